@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import remove, staged
 
 
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges as a written table, and their number and a hash of them, observed while they are written."""
+    seen = Observation()
+    held = staged(edges.observe(seen, F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("h")), "cc")
+    return held, (seen.get["n"], seen.get["h"])
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Rows (node, root): root is the smallest node that can be reached. `edges` has long columns a and b.
 
@@ -15,21 +22,21 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     executor repeats one round at most. Nodes without an edge to another node are not returned.
     """
     spark = edges.sparkSession
-    held = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    before = None
+    held, before = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(rounds):
-        state = held.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("h")).first()
-        if (state.n, state.h) == before or state.n == 0:
+        if before[0] == 0:
             break
-        before = (state.n, state.h)
         both = held.union(held.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = staged(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        after, state = _written(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         remove(spark, held)
         held = after
+        if state == before:
+            break
+        before = state
     else:
         raise RuntimeError(f"components have not settled after {rounds} rounds")
     return held.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -18,8 +18,8 @@ from .common import slices, with_text
 from .wordhash import Words, mix, text_bytes
 
 SLICE = 1 << 20
-SAMPLE = 6000
-BUCKETS = 1024
+SAMPLE = 3000
+BUCKETS = 512
 ABSTAIN, JUNK, FINE = 0, 1, 2
 FALSE_ALARM, PRIOR = 0.0001, 20
 LABELLERS = ("shouting", "exclaiming", "symbols", "separators", "repetition", "sentences")
