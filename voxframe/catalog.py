@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import tables
+from .plans import catalogue, metrics, voxels
+
+PLANS = metrics.PLANS | catalogue.PLANS
+
+
+def _plan(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: tables.sql(spark, sf_dir, text)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return voxels.QUERIES | {name: _plan(text) for name, text in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: tables.for_duckdb(text) for name, text in (voxels.ORACLES | PLANS).items()}
