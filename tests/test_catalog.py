@@ -3,16 +3,20 @@
 import glob
 import math
 import os
+import random
 
 import duckdb
 import pytest
 
 from voxframe import catalog
+from voxframe.operators import labels as lb
 from voxframe.operators import neighbours as nb
 from voxframe.operators import overlap
+from voxframe.operators import resample as rs
+from voxframe.operators import texture as tx
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["A03_dice", "A21_model_comparison", "A28_slice_dice", "A30_volumes", "A33_bounding_box", "V10_surface", "V11_erosion", "V13_majority_vote", "W01_ed_es", "W02_local_minima", "W10_holm", "S13_mask_catalogue", "A42_task_profile", "J23_geometry_mates"]
+NAMES = ["A03_dice", "A21_model_comparison", "A28_slice_dice", "A30_volumes", "A33_bounding_box", "V10_surface", "V11_erosion", "V13_majority_vote", "W01_ed_es", "W02_local_minima", "W10_holm", "S13_mask_catalogue", "A42_task_profile", "J23_geometry_mates", "V05_nearest_labels", "V06_linear_resample", "V07_fill_holes", "V30_glcm", "V31_shape", "W15_otsu"]
 
 
 def plain(rows):
@@ -46,7 +50,7 @@ def test_components_holes_and_largest(spark):
     mask = spark.createDataFrame([*ring, (1, 0, 7, 7)], "case_id int, z int, y int, x int")
     assert nb.components(mask, ["case_id"]).select("component").distinct().count() == 2
     assert nb.keep_largest(mask, ["case_id"]).count() == len(ring)
-    assert {(r.y, r.x) for r in nb.fill_holes(mask, ["case_id"], 9, 9).collect()} == {(2, 2), (2, 3), (3, 2), (3, 3)}
+    assert {(r.y, r.x) for r in nb.fill_holes(mask, ["case_id"]).collect()} == {(2, 2), (2, 3), (3, 2), (3, 3)}
 
 
 def test_wall_thickness_of_a_square_ring(spark):
@@ -58,3 +62,45 @@ def test_wall_thickness_of_a_square_ring(spark):
 def test_unknown_metric_is_an_error(spark):
     with pytest.raises(KeyError):
         overlap.metric(None, "no such metric")
+
+
+def test_holes_equal_a_flood_from_the_border(spark):
+    rng, n = random.Random(5), 14
+    masks = {c: {(y, x) for y in range(n) for x in range(n) if rng.random() < 0.25 + 0.12 * c} for c in range(4)}
+    rows = [(c, 0, y, x) for c, m in masks.items() for y, x in m]
+    got = {(r.case_id, r.y, r.x) for r in nb.fill_holes(spark.createDataFrame(rows, "case_id int, z int, y int, x int"), ["case_id"]).collect()}
+    want = set()
+    for c, m in masks.items():
+        seen, todo = set(), [(y, x) for y in range(-1, n + 1) for x in range(-1, n + 1) if y in (-1, n) or x in (-1, n)]
+        while todo:
+            y, x = todo.pop()
+            if (y, x) in seen or (y, x) in m or not (-1 <= y <= n and -1 <= x <= n):
+                continue
+            seen.add((y, x))
+            todo += [(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)]
+        want |= {(c, y, x) for y in range(n) for x in range(n) if (y, x) not in seen and (y, x) not in m}
+    assert got == want
+
+
+def test_anatomy_needs_an_enclosing_label(spark):
+    ring = [(1, 0, y, x, 7 if y in (1, 5) or x in (1, 5) else 4) for y in range(1, 6) for x in range(1, 6)]
+    apart = [(2, 0, 1, 1, 7), (2, 0, 4, 4, 4)]
+    df = spark.createDataFrame([*ring, (1, 0, 8, 8, 9), *apart], "case_id int, z int, y int, x int, label int")
+    assert [tuple(r) for r in lb.anatomy(df, ["case_id"]).collect()] == [(1, 7, 4, 1.0)]
+    names = {(r.case_id, r.label) for r in lb.canonical(df, ["case_id"]).collect()}
+    assert names == {(1, 1), (1, 2), (1, 3), (2, 7), (2, 4)}
+
+
+def test_resampling_to_the_same_grid_changes_nothing(spark):
+    grid = rs.Grid((2, 3, 4), (10.0, 1.5, 1.25), (5.0, -3.0, 2.0), ((1.0, 0.0, 0.0), (0.0, 0.0, 1.0), (0.0, -1.0, 0.0)))
+    rows = [(1, z, y, x, z * 12 + y * 4 + x, float(z * 12 + y * 4 + x)) for z in range(2) for y in range(3) for x in range(4)]
+    df = spark.createDataFrame(rows, "case_id int, z int, y int, x int, label int, intensity double")
+    near, line = rs.resample_labels(df, ["case_id"], grid, grid), rs.resample_linear(df, ["case_id"], grid, grid)
+    assert near.join(df.withColumnRenamed("label", "was"), ["case_id", "z", "y", "x"]).filter("label = was").count() == 24
+    assert all(math.isclose(r.intensity, r.z * 12 + r.y * 4 + r.x, abs_tol=1e-9) for r in line.collect())
+
+
+def test_empty_inputs_give_empty_results(spark):
+    none = spark.createDataFrame([], "case_id int, z int, y int, x int, label int, intensity double")
+    assert nb.fill_holes(none, ["case_id"]).isEmpty() and lb.dense(none, ["case_id"]).isEmpty() and lb.otsu(none, ["case_id"]).isEmpty()
+    assert tx.glcm_features(tx.discretised(none, ["case_id"]), ["case_id"]).isEmpty() and tx.shape_features(none, ["case_id"], (1.0, 1.0, 1.0)).isEmpty()

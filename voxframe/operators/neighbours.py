@@ -123,14 +123,24 @@ def keep_largest(mask: DataFrame, keys: list[str]) -> DataFrame:
     return sized.withColumn("top", F.max("size").over(Window.partitionBy(*keys))).filter("size = top").drop("size", "top", "component")
 
 
-def fill_holes(mask: DataFrame, keys: list[str], height: int, width: int) -> DataFrame:
-    """Background voxels of a slice that 4-connected background does not join to the border."""
-    cells = mask.select(*keys, "z").distinct().withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    background = cells.join(mask, [*keys, "z", "y", "x"], "left_anti")
-    parts = components(background, [*keys], IN_SLICE)
-    edge = (F.col("y").isin(0, height - 1)) | (F.col("x").isin(0, width - 1))
-    open_ = parts.filter(edge).select(*keys, "component").distinct()
-    return parts.join(open_, [*keys, "component"], "left_anti").select(*keys, "z", "y", "x")
+def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:
+    """Background voxels of a slice that 4-connected background does not join to the border.
+
+    A voxel sees the border unless the mask lies on both sides in its row and in its column, so only such pockets are made and
+    searched. A pocket's component is open when one of its voxels touches background outside all pockets.
+    """
+    m = mask.select(*keys, "z", "y", "x")
+    rows = m.groupBy(*keys, "z", "y").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("hi - lo > 1")
+    columns = m.groupBy(*keys, "z", "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi")).filter("hi - lo > 1")
+    between = rows.select(*keys, "z", "y", F.explode(F.sequence(F.col("lo") + 1, F.col("hi") - 1)).alias("x"))
+    pockets = _settled(mask.sparkSession, between.join(columns, [*keys, "z", "x"]).filter("y > lo and y < hi").select(*m.columns).join(m, m.columns, "left_anti"))
+    kept = erode(m.unionByName(pockets), keys, IN_SLICE)
+    leaks = pockets.join(kept, m.columns, "left_anti")
+    if leaks.isEmpty():
+        return pockets
+    parts = components(pockets, keys, IN_SLICE)
+    open_ = parts.join(leaks, m.columns, "left_semi").select(*keys, "component").distinct()
+    return parts.join(open_, [*keys, "component"], "left_anti").select(*m.columns)
 
 
 def wall_thickness(labels: DataFrame, keys: list[str], wall: int, cavity: int, spacing: tuple[float, float, float], reach: float = 12.0) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours as nb
 from ..operators import overlap
-from ..tables import X, Y, view
+from ..tables import view
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
 SPACING = (10.0, 1.25, 1.25)
@@ -112,7 +112,7 @@ def largest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def holes(spark: SparkSession, d: str) -> DataFrame:
-    return nb.fill_holes(_mask(spark, d, "vox_gt", 2), KEYS, Y, X).groupBy(*KEYS).agg(F.count("*").alias("n"))
+    return nb.fill_holes(_mask(spark, d, "vox_gt", 2), KEYS).groupBy(*KEYS).agg(F.count("*").alias("n"))
 
 
 def thickness(spark: SparkSession, d: str) -> DataFrame:
@@ -159,6 +159,7 @@ ORACLES = {
     "A50_intensity_reference": "select i.case_id, i.frame_tag, i.label, round(avg(100 * intensity / pool), 6) as mean from vox_img i join (select case_id, frame_tag, avg(case when label = 3 then intensity end) as pool from vox_img group by case_id, frame_tag) p on i.case_id = p.case_id and i.frame_tag = p.frame_tag group by i.case_id, i.frame_tag, i.label",
     "A53_zscore": "select i.case_id, i.frame_tag, i.z, round(sum(case when label > 0 then (intensity - m) / (s + 1e-8) else 0 end), 4) as total from vox_img i join (select case_id, frame_tag, avg(intensity) as m, stddev_pop(intensity) as s from vox_img where label > 0 group by case_id, frame_tag) p on i.case_id = p.case_id and i.frame_tag = p.frame_tag group by i.case_id, i.frame_tag, i.z",
     "V01_remap": "select case_id, frame_tag, case label when 1 then 3 when 2 then 2 when 3 then 1 else 0 end as label, count(*) as n from vox_gt group by case_id, frame_tag, case label when 1 then 3 when 2 then 2 when 3 then 1 else 0 end",
+    "V07_fill_holes": "select case_id, frame_tag, count(*) as n from (select case_id, frame_tag, max(x) over (partition by case_id, frame_tag, z) as far from vox_gt where label = 3) t where far < 11 group by case_id, frame_tag",
     "V10_surface": "select case_id, frame_tag, count(*) as n from (select m.case_id, m.frame_tag, m.z, m.y, m.x from vox_gt m left join vox_gt o on o.label = 3 and o.case_id = m.case_id and o.frame_tag = m.frame_tag and o.z between m.z - 1 and m.z + 1 and abs(o.z - m.z) + abs(o.y - m.y) + abs(o.x - m.x) = 1 where m.label = 3 group by m.case_id, m.frame_tag, m.z, m.y, m.x having count(o.z) < 6) t group by case_id, frame_tag",
     "V11_dilation": "select case_id, frame_tag, count(*) as n from (select distinct case_id, frame_tag, z, y + dy as y, x + dx as x from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3) t group by case_id, frame_tag",
     "V11_erosion": "select case_id, frame_tag, count(*) as n from (select case_id, frame_tag, z, y + dy as y, x + dx as x, count(*) as c from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3 group by case_id, frame_tag, z, y + dy, x + dx having count(*) = 5) t group by case_id, frame_tag",
