@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, metrics, texture, voxels
+from .plans import catalogue, metrics, runs, texture, voxels
 
 PLANS = metrics.PLANS | catalogue.PLANS
 
@@ -17,8 +17,8 @@ def _plan(text: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return voxels.QUERIES | texture.QUERIES | {name: _plan(text) for name, text in PLANS.items()}
+    return voxels.QUERIES | texture.QUERIES | runs.QUERIES | {name: _plan(text) for name, text in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: tables.for_duckdb(text) for name, text in (voxels.ORACLES | texture.ORACLES | PLANS).items()}
+    return {name: tables.for_duckdb(text) for name, text in (voxels.ORACLES | texture.ORACLES | runs.ORACLES | PLANS).items()}
