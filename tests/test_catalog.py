@@ -16,7 +16,7 @@ from voxframe.operators import resample as rs
 from voxframe.operators import texture as tx
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["A03_dice", "A21_model_comparison", "A28_slice_dice", "A30_volumes", "A33_bounding_box", "V10_surface", "V11_erosion", "V13_majority_vote", "W01_ed_es", "W02_local_minima", "W10_holm", "S13_mask_catalogue", "A42_task_profile", "J23_geometry_mates", "V05_nearest_labels", "V06_linear_resample", "V07_fill_holes", "V30_glcm", "V31_shape", "W15_otsu"]
+NAMES = ["A03_dice", "A21_model_comparison", "A28_slice_dice", "A30_volumes", "A33_bounding_box", "V10_surface", "V11_erosion", "V13_majority_vote", "W01_ed_es", "W02_local_minima", "W10_holm", "S13_mask_catalogue", "A42_task_profile", "J23_geometry_mates", "V05_nearest_labels", "V06_linear_resample", "V07_fill_holes", "V30_glcm", "V31_shape", "W15_otsu", "A29_dice_by_third", "J09_three_way", "W03_slice_position", "F12_spacing", "V16_crop_to_nonzero"]
 
 
 def plain(rows):

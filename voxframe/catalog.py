@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, metrics, runs, texture, voxels
+from .plans import catalogue, metrics, runs, texts, texture, voxels
 
-PLANS = metrics.PLANS | catalogue.PLANS
+PLANS = metrics.PLANS | catalogue.PLANS | texts.PLANS
 
 
 def _plan(text: str) -> Callable[[SparkSession, str], DataFrame]:

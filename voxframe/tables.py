@@ -77,7 +77,7 @@ def for_spark(sql: str, sf_dir: str) -> str:
         return f"(select explode(sequence(0, {int(m[2]) - 1})) as {m[1]})"
 
     text = re.sub(r"RANGE\((\w+), (\d+)\)", last, _with(sql))
-    text = re.sub(r"\bPCT\(", "percentile(", text)
+    text = re.sub(r"\bPCT\(", "percentile(", text).replace(", 'g')", ")")
     return re.sub(rf"\b(from|join)\s+({'|'.join(TABLES)})\b", lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet` {m[2]}", text)
 
 
