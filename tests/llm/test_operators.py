@@ -167,6 +167,18 @@ def test_passages(spark):
     assert left[1] == " ".join(made[1]) and left[0] == rows[0] and left[3] == rows[3] and left[5] is None and left[6] == rows[6]
 
 
+def test_passages_with_parts_first_used_elsewhere(spark):
+    r = random.Random(4)
+    some = lambda n: [f"w{r.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], {}
+    for _ in range(60):
+        p = some(60)
+        rows += [" ".join(some(50) + p[:45] + some(50)), " ".join(some(50) + p + some(50)), " ".join(some(50) + p + some(50))]
+        want[len(rows) - 1] = len(rows) - 2
+    got = {(x.doc_id, x.source_id) for x in substring_dedup.repeated_passages(frame(spark, rows)).collect() if (x.start_word, x.end_word) == (50, 110)}
+    assert got <= set(want.items()) | {(a - 1, a - 2) for a in want} and sum(x in got for x in want.items()) >= 50
+
+
 def test_quality(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = quality.quality_scores(d).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumnRenamed("quality", "good"), "doc_id").collect()
