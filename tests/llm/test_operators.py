@@ -179,6 +179,21 @@ def test_passages_with_parts_first_used_elsewhere(spark):
     assert got <= set(want.items()) | {(a - 1, a - 2) for a in want} and sum(x in got for x in want.items()) >= 50
 
 
+def test_passages_of_repeated_lines(spark):
+    r = random.Random(8)
+    some = lambda n: [f"w{r.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], {}
+    for width in (1, 2, 3, 4, 6, 7, 9, 10, 12, 14, 15, 18, 25):
+        line, times = some(width), -(-100 // width)
+        rows += [" ".join(some(40) + line * times + some(40)), " ".join(some(40) + line * times + some(40)), " ".join(some(40) + line * 4 * times + some(40))]
+        want |= {len(rows) - 2: (40, 40 + width * times), len(rows) - 1: (40, 40 + 4 * width * times)}
+    held = {i: set() for i in range(len(rows))}
+    for x in substring_dedup.repeated_passages(frame(spark, rows)).collect():
+        held[x.doc_id] |= set(range(x.start_word, x.end_word))
+    assert all(held[i] <= set(range(*want.get(i, (0, 0)))) for i in held)
+    assert all(len(held[i]) >= 0.9 * (b - a) for i, (a, b) in want.items())
+
+
 def test_quality(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = quality.quality_scores(d).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumnRenamed("quality", "good"), "doc_id").collect()
