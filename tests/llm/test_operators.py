@@ -194,6 +194,21 @@ def test_passages_of_repeated_lines(spark):
     assert all(len(held[i]) >= 0.9 * (b - a) for i, (a, b) in want.items())
 
 
+def test_passages_near_the_threshold(spark):
+    r = random.Random(6)
+    some = lambda n: [f"w{r.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], {}
+    for alike, every in ((80, 5), (85, 7), (90, 10)):
+        for size in (60, 200):
+            for _ in range(20):
+                p = some(size)
+                q = [w if i % every < every - 1 else "new" + w for i, w in enumerate(p)]
+                rows += [" ".join(some(30) + p + some(30)), " ".join(some(30) + q + some(30))]
+                want.setdefault((alike, size), {})[len(rows) - 1] = 0.9 * size
+    held = {x.doc_id: x.end_word - x.start_word for x in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert all(sum(held.get(i, 0) >= n for i, n in cases.items()) >= 18 for cases in want.values())
+
+
 def test_quality(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = quality.quality_scores(d).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumnRenamed("quality", "good"), "doc_id").collect()
