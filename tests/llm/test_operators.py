@@ -218,6 +218,16 @@ def test_quality(spark):
     assert kept.columns == d.columns and kept.filter("doc_id >= 90000").isEmpty()
 
 
+def test_quality_sample_is_whole_and_travels_compactly(spark):
+    import pyarrow as pa
+
+    assert (quality.SAMPLE, quality.BUCKETS) == (6000, 1024)
+    text = pa.array(["Some words, of a text that is neither long nor odd."] * 50)
+    rows = next(quality._sampled(iter([pa.RecordBatch.from_arrays([text], ["text"])]))).column("x")
+    assert all(np.array_equal(np.frombuffer(zlib.decompress(v.as_py()), np.float32), x) for v, x in zip(rows, quality.features(quality.Shapes(text)), strict=True))
+    assert max(len(v.as_py()) for v in rows) < quality.BUCKETS
+
+
 def test_languages(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     both = d.union(frame(spark, ["", None, "12 !"], 90_000).select(*d.columns))
