@@ -265,6 +265,20 @@ def test_pages(spark):
             assert row.text == "\n".join(p for p in parts if p)
 
 
+def test_elements_without_end_tags_keep_the_rest_of_the_page():
+    def got(page):
+        return [b.text for b in html_extract.blocks(page)]
+
+    assert got("<html><head><title>T</title><meta charset=x><body><header>H</header><p>one<p>two") == ["H", "one", "two"]
+    assert got("<head><title>T</title><p>one</p><header>H</header><p>two</p>") == ["one", "H", "two"]
+    assert got("<head><script>if (a</b) x</scripts></script></head><p>one") == ["one"]
+    for name in ("object", "svg", "math", "iframe", "noscript", "template"):
+        assert got(f"<article><p>one</p><{name}><p>two</p></article><p>three</p>") == ["one", "two", "three"], name
+    assert got("<p>a <math><mi>x</mi></math> b <object>c</object></p>") == ["a x b c"]
+    found = html_extract.blocks("<article><select><option>o</option><p>two</p></article>")
+    assert [(b.text, html_extract.teacher(b)) for b in found] == [("o", 0), ("two", 1)]
+
+
 def test_empty_tables(spark):
     e = empty(spark)
     frames = [exact_dedup.exact_groups(e), near_dedup.near_groups(e), packing.pack_documents(e, public_tokenizers.path("word_bpe_49k.json")), substring_dedup.repeated_passages(e), langid.identify(e), quality.quality_scores(e)]

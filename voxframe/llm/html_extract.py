@@ -32,12 +32,14 @@ LOOK = 16
 
 # fixed values: element classes of HTML
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object select head".split())
-BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+RAW = frozenset("script style textarea".split())
+UNSHOWN = frozenset("noscript template iframe title".split())
+IN_HEAD = RAW | UNSHOWN | frozenset("base link meta".split())
+BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # fixed values: containers and words of class names that tell content from the rest
 CONTENT = frozenset("article main".split())
-OTHER = frozenset("nav header footer aside form button menu dialog".split())
+OTHER = frozenset("nav header footer aside form button menu dialog select".split())
 OTHER_WORDS = frozenset("ad ads advert banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header menu nav navbar navigation newsletter notice popup promo related reply share sharing sidebar social sponsor sponsored subscribe tags toolbar widget".split())
 
 _tag = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
@@ -58,6 +60,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
     anchors = linked = at = 0
+    in_head = False
 
     def flush() -> None:
         nonlocal linked
@@ -77,20 +80,29 @@ def blocks(page: str) -> list[Block]:
 
     while m := _tag.search(page, at):
         if m.start() > at:
+            in_head = in_head and page[at : m.start()].isspace()
             text.append(page[at : m.start()])
             linked += anchors * (m.start() - at)
         at = m.end()
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if name in RAW:
+        if name == "head":
+            flush()
+            in_head = not closing
+            continue
+        if name in RAW or name in UNSHOWN:
             if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
-                if name in BLOCK or name == "head":
+                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                if name in BLOCK:
                     flush()
-                at = end.end() if end else len(page)
+                # without an end tag, script and style run to the end of the page; other elements are passed over
+                at = end.end() if end else len(page) if name in RAW else at
             text.append(" ")
             continue
+        in_head = in_head and (closing or name in IN_HEAD)
+        if name not in ("option", "optgroup", "hr") and name in BLOCK and not closing:
+            pop({"select"}, BLOCK - {"option", "select"})
         if name == "a":
             anchors = 0 if closing else 1
         if name in VOID or name not in BLOCK:
