@@ -61,3 +61,37 @@ def test_signed_rank_and_holm(spark):
 def test_bootstrap_ignores_what_is_not_finite(spark):
     v = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 2.0), ("a", 3, float("inf")), ("a", 4, None), ("b", 5, float("nan"))], "k string, i int, v double")
     assert [tuple(r) for r in inf.bootstrap_mean(v, ["k"], "v", ["i"], 50).collect()] == [("a", 2, 2.0, 2.0, 2.0)]
+
+
+def test_only_complete_frames_of_the_stream_are_scored(spark, tmp_path):
+    from voxframe.streaming.scores import score_stream
+
+    ref = spark.createDataFrame([(c, z, 0, x, 3) for c in (1, 2) for z in range(2) for x in range(2)], "case_id int, z int, y int, x int, label int")
+    rows = ref.filter("not (case_id = 2 and z = 0)")
+    rows.repartition(2, "z").write.parquet(f"{tmp_path}/rows")
+    source = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/rows")
+    score_stream(source, ref, ["case_id"], [], 3, 4, f"{tmp_path}/scores", f"{tmp_path}/checkpoint")
+    assert [(r.case_id, r.dice) for r in spark.read.parquet(f"{tmp_path}/scores").collect()] == [(1, 1.0)]
+
+
+@pytest.mark.parametrize("name", ["V14_probability_vote", "V34_stability", "V35_soft_argmax"])
+def test_probabilities_of_all_voxels_count(spark, name):
+    from voxframe.tables import view
+
+    c = duckdb.connect()
+    for p in glob.glob(f"{SF}/*.parquet"):
+        c.execute(f"create view {os.path.basename(p)[:-8]} as select * from '{p}'")
+    got, want = catalog.queries()[name](spark, SF), c.execute(catalog.oracle_sql()[name])
+    cols = [d[0] for d in want.description]
+    rows = got.select(*cols).collect()
+    assert plain(tuple(r) for r in rows) == plain(want.fetchall())
+    cases = view(spark, SF, "vox_gt").select("case_id").distinct().count()
+    keys = {"V14_probability_vote": lambda r: r.n, "V34_stability": lambda r: 1, "V35_soft_argmax": lambda r: 1}[name]
+    assert sum(map(keys, rows)) == cases * {"V14_probability_vote": 2 * 5 * 144, "V34_stability": 2 * 3 * 4, "V35_soft_argmax": 2 * 5 * 3 * 4}[name]
+
+
+def test_stream_scores_every_case(spark):
+    from voxframe.tables import view
+
+    frames = view(spark, SF, "vox_gt").select("case_id", "frame_tag").distinct().count()
+    assert {r.frames for r in catalog.queries()["X01_score_stream"](spark, SF).collect()} == {frames}

@@ -52,6 +52,6 @@ PLANS = {
     "V16_crop_to_nonzero": "select i.case_id, i.frame_tag, count(*) as voxels, count_if(i.label = 0) as outside, round(avg(case when i.label = 0 then -1.0 else intensity end), 6) as mean from vox_img i join (select case_id, frame_tag, min(z) as z0, max(z) as z1, min(y) as y0, max(y) as y1, min(x) as x0, max(x) as x1 from vox_gt where label > 0 group by case_id, frame_tag) b on i.case_id = b.case_id and i.frame_tag = b.frame_tag where z between z0 and z1 and y between y0 and y1 and x between x0 and x1 group by i.case_id, i.frame_tag",
     "V15_paste_back": "select g.case_id, g.frame_tag, coalesce(p.label, 0) as label, count(*) as n from vox_gt g left join (select case_id, frame_tag, z, y - 2 as y, x - 2 as x, label from vox_gt where y >= 2 and x >= 2) p on g.case_id = p.case_id and g.frame_tag = p.frame_tag and g.z = p.z and g.y = p.y + 2 and g.x = p.x + 2 group by g.case_id, g.frame_tag, coalesce(p.label, 0)",
     "V22_relabel_statistics": "select p.case_id, p.frame_tag, p.model, count_if(p.label = 3) as before, count_if(p.label = 3 and i.intensity > 60) as after, count_if(p.label = 3 and i.intensity <= 60) as moved, round(avg(case when p.label = 3 and i.intensity <= 60 then i.intensity end), 6) as moved_mean from vox_pred p join vox_img i on p.case_id = i.case_id and p.frame_tag = i.frame_tag and p.z = i.z and p.y = i.y and p.x = i.x group by p.case_id, p.frame_tag, p.model",
-    "V34_stability": "select case_id, round(count_if(m > 8) / nullif(count_if(m > 4), 0), 6) as score from (select case_id, y, x, p - avg(p) over (partition by case_id, z, y, x) as m, class, fold from vox_prob) t where class = 3 and fold = 0 group by case_id",
-    "V35_soft_argmax": "select case_id, class, round(sum(exp(0.2 * (p - top)) * y) / sum(exp(0.2 * (p - top))), 6) as soft_y, round(sum(exp(0.2 * (p - top)) * x) / sum(exp(0.2 * (p - top))), 6) as soft_x, max_by(y * 12 + x, p * 1000 - (y * 12 + x)) as hard from (select *, max(p) over (partition by case_id, class) as top from vox_prob where fold = 1) t group by case_id, class",
+    "V34_stability": "select case_id, frame_tag, fold, class, round(count_if(m > 8) / nullif(count_if(m > 4), 0), 6) as score from (select case_id, frame_tag, fold, class, p - avg(p) over (partition by case_id, frame_tag, z, y, x, fold) as m from vox_prob) t group by case_id, frame_tag, fold, class",
+    "V35_soft_argmax": "select case_id, frame_tag, z, fold, class, round(sum(exp(0.2 * (p - top)) * y) / sum(exp(0.2 * (p - top))), 6) as soft_y, round(sum(exp(0.2 * (p - top)) * x) / sum(exp(0.2 * (p - top))), 6) as soft_x, max_by(y * 12 + x, p * 1000 - (y * 12 + x)) as hard from (select *, max(p) over (partition by case_id, frame_tag, z, fold, class) as top from vox_prob) t group by case_id, frame_tag, z, fold, class",
 }

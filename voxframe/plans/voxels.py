@@ -65,8 +65,8 @@ def majority_vote(spark: SparkSession, d: str) -> DataFrame:
 
 
 def probability_vote(spark: SparkSession, d: str) -> DataFrame:
-    p = view(spark, d, "vox_prob").groupBy("case_id", "z", "y", "x", "class").agg(F.avg("p").alias("p"))
-    return p.groupBy("case_id", "z", "y", "x").agg(F.max_by("class", F.struct("p", -F.col("class"))).alias("label")).groupBy("case_id", "label").agg(F.count("*").alias("n"))
+    p = view(spark, d, "vox_prob").groupBy(*KEYS, "z", "y", "x", "class").agg(F.avg("p").alias("p"))
+    return p.groupBy(*KEYS, "z", "y", "x").agg(F.max_by("class", F.struct("p", -F.col("class"))).alias("label")).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
 
 
 def remap(spark: SparkSession, d: str) -> DataFrame:
@@ -164,7 +164,7 @@ ORACLES = {
     "V11_dilation": "select case_id, frame_tag, count(*) as n from (select distinct case_id, frame_tag, z, y + dy as y, x + dx as x from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3) t group by case_id, frame_tag",
     "V11_erosion": "select case_id, frame_tag, count(*) as n from (select case_id, frame_tag, z, y + dy as y, x + dx as x, count(*) as c from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3 group by case_id, frame_tag, z, y + dy, x + dx having count(*) = 5) t group by case_id, frame_tag",
     "V13_majority_vote": "select case_id, frame_tag, label, count(*) as n from (select case_id, frame_tag, z, y, x, case when max(n) = 1 then min(label) else max(case when n > 1 then label end) end as label from (select case_id, frame_tag, z, y, x, label, count(*) as n from vox_pred group by case_id, frame_tag, z, y, x, label) t group by case_id, frame_tag, z, y, x) u group by case_id, frame_tag, label",
-    "V14_probability_vote": "select case_id, label, count(*) as n from (select case_id, z, y, x, class as label, row_number() over (partition by case_id, z, y, x order by p desc, class) as r from (select case_id, z, y, x, class, avg(p) as p from vox_prob group by case_id, z, y, x, class) t) u where r = 1 group by case_id, label",
+    "V14_probability_vote": "select case_id, frame_tag, label, count(*) as n from (select case_id, frame_tag, z, y, x, class as label, row_number() over (partition by case_id, frame_tag, z, y, x order by p desc, class) as r from (select case_id, frame_tag, z, y, x, class, avg(p) as p from vox_prob group by case_id, frame_tag, z, y, x, class) t) u where r = 1 group by case_id, frame_tag, label",
     "V25_difference_map": "select p.case_id, p.frame_tag, p.model, p.label, g.label as ref, count(*) as n from vox_pred p join vox_gt g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x where p.label <> g.label group by p.case_id, p.frame_tag, p.model, p.label, g.label",
     "V28_first_order": "select case_id, frame_tag, round(sum(intensity * intensity), 6) as energy, min(intensity) as minimum, round(quantile_cont(intensity, 0.1), 6) as p10, round(quantile_cont(intensity, 0.9), 6) as p90, max(intensity) as maximum, round(avg(intensity), 6) as mean, round(median(intensity), 6) as median, round(var_pop(intensity), 6) as variance, round(sqrt(avg(intensity * intensity)), 6) as rms from vox_img where label = 2 group by case_id, frame_tag",
 } | {k: f"select case_id, model, frame_tag, label, cast(round({overlap.METRICS[n]}, 6) as double) as {n} from ({COUNTS}) c" for k, n in METRIC_IDS.items()}

@@ -26,7 +26,7 @@ VIEWS = {
         else {label_at('(x - (c_custkey + m) % 2)')} end as int) as label
         from {_grid} cross join (select * from (values ('model_a', 0), ('model_b', 1), ('model_c', 2)) m(model, m)) m""",
     "vox_img": "select case_id, frame_tag, z, y, x, cast(case when label = 3 and (x + y + case_id) % 7 = 0 then 50 when label = 3 then 150 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 41 when label = 2 then 60 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 23 else 20 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 11 end as double) as intensity, label from vox_gt",
-    "vox_prob": "select case_id, z, y, x, fold, class, cast(case when label = class then 40 else 10 end + (x * 3 + y * 5 + fold * 7 + class * 11 + case_id) % 37 as double) as p from vox_gt cross join RANGE(fold, 3) f cross join RANGE(class, 4) k where frame_tag = 'ED' and z = 2",
+    "vox_prob": "select case_id, frame_tag, z, y, x, fold, class, cast(case when label = class then 40 else 10 end + (x * 3 + y * 5 + fold * 7 + class * 11 + case_id) % 37 as double) as p from vox_gt cross join RANGE(fold, 3) f cross join RANGE(class, 4) k",
     "frame_metrics": """select l_suppkey as patient_id, concat('model_', lower(l_returnflag)) as model, case l_linestatus when 'O' then 'ED' else 'ES' end as frame_tag,
         cast(1 - avg(l_discount) as double) as dice_rv, cast(1 - avg(l_tax) as double) as dice_myo, cast(1 - avg(l_discount * l_tax) as double) as dice_lv,
         case when l_suppkey % 7 = 3 and l_returnflag = 'A' then cast('Infinity' as double) else cast(avg(l_quantity) as double) end as hd95_lv
