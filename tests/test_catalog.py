@@ -104,3 +104,29 @@ def test_empty_inputs_give_empty_results(spark):
     none = spark.createDataFrame([], "case_id int, z int, y int, x int, label int, intensity double")
     assert nb.fill_holes(none, ["case_id"]).isEmpty() and lb.dense(none, ["case_id"]).isEmpty() and lb.otsu(none, ["case_id"]).isEmpty()
     assert tx.glcm_features(tx.discretised(none, ["case_id"]), ["case_id"]).isEmpty() and tx.shape_features(none, ["case_id"], (1.0, 1.0, 1.0)).isEmpty()
+
+
+@pytest.mark.parametrize(("n", "k"), [(10, 4), (30, 5), (25, 7), (7, 3), (8, 3), (10, 2), (10, 1), (3, 5)])
+def test_even_frames_keep_first_and_last(spark, n, k):
+    from voxframe.plans.catalogue import even_frames
+    from voxframe.tables import for_spark
+
+    spark.range(n).selectExpr("1 as patient_id", "cast(id as int) as frame_index", f"{n} as n_frames").createOrReplaceTempView("some_curve")
+    got = sorted(r.frame_index for r in spark.sql(for_spark(even_frames(k, "some_curve"), SF)).collect())
+    assert got == (list(range(n)) if k >= n else [0] if k == 1 else sorted({round(i * (n - 1) / (k - 1)) for i in range(k)}))
+
+
+def test_component_limits_keep_fragments_apart(spark):
+    cells = [(1, 0, 0, x, 3) for x in (0, 1, 2, 3, 6, 7)] + [(2, 0, 0, x, 3) for x in (0, 1, 2)]
+    df = spark.createDataFrame(cells, "case_id int, z int, y int, x int, label int")
+    assert [tuple(r) for r in nb.component_limits(df, ["case_id", "label"], ["label"]).collect()] == [(3, 2, 3)]
+
+
+@pytest.mark.parametrize("name", ["W08_even_subsampling", "F23_slice_distance"])
+def test_survey_plan_equals_sql(spark, name):
+    test_query_equals_sql(spark, name)
+
+
+def test_slice_distance_depends_on_the_orientation(spark):
+    odd = {r.distance >= 0 for r in catalog.queries()["F23_slice_distance"](spark, SF).filter("exam % 2 = 1").collect()}
+    assert odd == {False}

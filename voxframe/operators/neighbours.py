@@ -123,6 +123,16 @@ def keep_largest(mask: DataFrame, keys: list[str]) -> DataFrame:
     return sized.withColumn("top", F.max("size").over(Window.partitionBy(*keys))).filter("size = top").drop("size", "top", "component")
 
 
+def component_limits(labels: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Per value of `by` (among the keys): voxels of the largest component that goes and of the smallest that stays.
+
+    The largest component of each group stays, and those that tie with it. max_removed is null where nothing goes.
+    """
+    sizes = components(labels, keys).groupBy(*keys, "component").agg(F.count("*").alias("n"))
+    kept = sizes.join(sizes.groupBy(*keys).agg(F.max("n").alias("_top")), keys)
+    return kept.groupBy(*by).agg(F.max(F.when(F.col("n") < F.col("_top"), F.col("n"))).alias("max_removed"), F.min(F.when(F.col("n") == F.col("_top"), F.col("n"))).alias("min_kept"))
+
+
 def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:
     """Background voxels of a slice that 4-connected background does not join to the border.
 

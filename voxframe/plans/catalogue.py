@@ -5,6 +5,19 @@ SECONDS = "60.0 * cast(regexp_extract(realtime, '([0-9]+)m', 1) as int) + cast(r
 GB = "cast(regexp_extract(peak_rss, '([0-9]+)', 1) as int) / 1024.0"
 RUNS = f"select name, status, label, attempt, cpus, {SECONDS} as s, {GB} as gb from trace"
 
+
+def even_frames(k: int, curves: str = "lv_curve") -> str:
+    """k of each patient's n_frames frames at even distances, rounded half to even, first and last kept; all where n_frames <= k.
+
+    One frame is the first. Steps are whole numbers over 2 (k - 1), so that halves are exact.
+    """
+    d = max(2 * (k - 1), 1)
+    at = f"(2 * i * (n - 1) + {k - 1})"
+    half = f"case when {at} % {d} = 0 and (({at} - {at} % {d}) / {d}) % 2 = 1 then 1 else 0 end"
+    picked = f"select distinct patient_id, cast(({at} - {at} % {d}) / {d} - {half} as int) as frame_index from (select distinct patient_id, n_frames as n from {curves}) c cross join RANGE(i, {k}) i where n > {k}"
+    return f"select c.patient_id, c.frame_index from {curves} c left join ({picked}) e on c.patient_id = e.patient_id and c.frame_index = e.frame_index where c.n_frames <= {k} or e.frame_index is not null"
+
+
 PLANS = {
     "S13_mask_catalogue": f"select patient_id, model, tag, min(path) as path from ({PARTS}) p where path not like 'previews/%' group by patient_id, model, tag",
     "S22_model_variants": f"select model, case when model like '%seed%' then try_cast(regexp_extract(model, 'seed([0-9]+)', 1) as double) end as seed, case when model like '%fold%' then try_cast(regexp_extract(model, 'fold([0-9]+)', 1) as double) end as fold, count(*) as files from ({PARTS}) p group by model",
@@ -29,7 +42,7 @@ PLANS = {
     "W05_latest_series": "select exam, position_mm, series from (select exam, position_mm, series, dense_rank() over (partition by exam, position_mm order by series_time desc) as r from series_headers) t where r = 1 group by exam, position_mm, series",
     "W06_cine_order": "select exam, series, instance, dense_rank() over (partition by exam, series order by position_mm) as slice, row_number() over (partition by exam, series, position_mm order by trigger_ms, instance) as frame from series_headers",
     "W07_series_choice": "select exam, max_by(series, n * 10 - series) as series, max(n) as files from (select exam, series, count(*) as n from series_headers group by exam, series) t group by exam",
-    "W08_even_subsampling": "select patient_id, frame_index from lv_curve where frame_index in (0, 3, 6, 9)",
+    "W08_even_subsampling": even_frames(4),
     "W13_variant_choice": f"select family, min_by(model, priority) as model from (select distinct split_part(model, '__', 1) as family, model, case when model like '%seed0' then 0 when model like '%seed%' then 1 + try_cast(regexp_extract(model, 'seed([0-9]+)', 1) as int) else 50 + length(model) end as priority from ({PARTS}) p) t group by family",
     "W14_ensembles": f"select dataset, count(*) as seeds from (select distinct regexp_extract(model, '__([a-z]+)_seed', 1) as dataset, regexp_extract(model, 'seed([0-9]+)', 1) as seed from ({PARTS}) p where model like '%seed%') t group by dataset having count(*) > 1",
     "T02_frame_order": f"select tag, cast(row_number() over (order by case tag when 'ED' then 0 when 'ES' then 1 else 2 end, tag) as int) as place from (select distinct tag from ({PARTS}) p) t",

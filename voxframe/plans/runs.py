@@ -59,7 +59,7 @@ def stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bootstrap(spark: SparkSession, d: str) -> DataFrame:
-    out = inf.bootstrap_mean(sql(spark, d, "select model, patient_id, frame_tag, round(dice_lv, 6) as dice_lv from frame_metrics"), ["model"], "dice_lv", ["patient_id", "frame_tag"], 500)
+    out = inf.bootstrap_mean(sql(spark, d, "select model, patient_id, frame_tag, round(dice_lv, 6) as dice_lv from frame_metrics"), ["model"], "dice_lv", ["patient_id", "frame_tag"])
     return out.select("model", "n", *(F.round(c, 6).alias(c) for c in ("mean", "low", "high")))
 
 
@@ -89,7 +89,7 @@ ORACLES = {
     "S32_packed_volumes": "select case_id, frame_tag, z, y, x, label from vox_gt",
     "X01_score_stream": "select model, count(*) as frames, round(avg(case when s = 0 then 1 else 2 * tp / s::double end), 6) as dice from (select p.case_id, p.frame_tag, p.model, count_if(p.label = 3 and g.label = 3) as tp, count_if(p.label = 3) + count_if(g.label = 3) as s from vox_pred p join vox_gt g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x group by p.case_id, p.frame_tag, p.model) t group by model",
     "R01_bootstrap": f"""with v as (select model, row_number() over (partition by model order by v, patient_id, frame_tag) - 1 as i, v from (select model, patient_id, frame_tag, round(dice_lv, 6) as v from frame_metrics) r), s as (select model, count(*) as n, avg(v) as mean from v group by model),
-        dr as (select model, n, cast(b as bigint) as b, cast(unnest(range(0, n)) as bigint) as k from s cross join RANGE(b, 500) b), m as (select dr.model, b, avg(v) as m from dr join v on v.model = dr.model and v.i = {_mix} % n group by dr.model, b)
+        dr as (select model, n, cast(b as bigint) as b, cast(unnest(range(0, n)) as bigint) as k from s cross join RANGE(b, 2000) b), m as (select dr.model, b, avg(v) as m from dr join v on v.model = dr.model and v.i = {_mix} % n group by dr.model, b)
         select s.model, any_value(n) as n, round(any_value(mean), 6) as mean, round(PCT(m, 0.025), 6) as low, round(PCT(m, 0.975), 6) as high from s join m on s.model = m.model group by s.model""",
     "R02_friedman": f"""with l as (select * from ({LONG}) q), f as (select *, count(*) over (partition by structure, patient_id) as c from l), r as (select *, (select count(*) from f o where o.structure = f.structure and o.patient_id = f.patient_id and o.dice < f.dice) + ((select count(*) from f o where o.structure = f.structure and o.patient_id = f.patient_id and o.dice = f.dice) + 1) / 2.0 as r from f where c = 3),
         t as (select structure, model, sum(r) as s, count(*) as n, sum(r * r) as rr from r group by structure, model), u as (select structure, max(n) as n, sum((s - 2 * n) * (s - 2 * n)) as between_, sum(rr) - 12 * max(n) as spread from t group by structure)

@@ -9,6 +9,9 @@ SPACING = "select o_orderkey as k, case when o_orderkey % 5 = 0 then '1.25,1.25'
 THREE = "select k, t, regexp_replace(t, '[;x]', ',', 'g') as u from (" + SPACING + ") s"
 POSITION = "select case_id, frame_tag, z, case when last_z = first_z then 0.5 when first_lv >= last_lv then (z - first_z) * 1.0 / (last_z - first_z) else (last_z - z) * 1.0 / (last_z - first_z) end as pos from (select case_id, frame_tag, z, min(z) over w as first_z, max(z) over w as last_z, first_value(lv) over (partition by case_id, frame_tag order by z) as first_lv, first_value(lv) over (partition by case_id, frame_tag order by z desc) as last_lv from (" + HEART + ") h window w as (partition by case_id, frame_tag)) t"
 GATE = "not (abs(hd95_lv) < cast('Infinity' as double))"
+# direction of rows and columns and the position of a slice, which lies off the normal's line; the normal is their cross product
+ORIENTED = "select *, case when exam % 2 = 0 then 1.0 else 0.0 end as r1, case when exam % 2 = 0 then 0.0 else 0.6 end as r2, case when exam % 2 = 0 then 0.0 else 0.8 end as r3, case when exam % 2 = 0 then 0.0 else 1.0 end as c1, case when exam % 2 = 0 then 0.8 else 0.0 end as c2, case when exam % 2 = 0 then 0.6 else 0.0 end as c3, 12.0 + exam % 5 as p1, -7.0 + position_mm * -0.6 as p2, position_mm * 0.8 as p3 from series_headers"
+DISTANCE = "round((r2 * c3 - r3 * c2) * p1 + (r3 * c1 - r1 * c3) * p2 + (r1 * c2 - r2 * c1) * p3, 6)"
 
 PLANS = {
     "A27_off_heart": f"select model, sum(case when ref = 0 then pred else 0 end) as off_heart, sum(pred) as predicted, count(distinct case_id) as cases from ({SLICE}) s group by model",
@@ -17,7 +20,6 @@ PLANS = {
     "A34_run_agreement": "select a.case_id, count_if(a.label <> b.label) = 0 as identical, round(avg(case when a.label = b.label then 1.0 else 0.0 end), 6) as agreement from vox_pred a join vox_pred b on a.case_id = b.case_id and a.frame_tag = b.frame_tag and a.z = b.z and a.y = b.y and a.x = b.x where a.model = 'model_a' and b.model = 'model_c' group by a.case_id",
     "A52_display_range": "select i.case_id, i.frame_tag, i.label, round(avg(case when hi > lo then least(greatest((intensity - lo) / (hi - lo), 0.0), 1.0) else 0.0 end), 6) as shown from vox_img i join (select case_id, frame_tag, PCT(intensity, 0.01) as lo, PCT(intensity, 0.99) as hi from vox_img group by case_id, frame_tag) r on i.case_id = r.case_id and i.frame_tag = r.frame_tag group by i.case_id, i.frame_tag, i.label",
     "A54_slice_maximum": "select case_id, frame_tag, z, round(avg(case when top > 0 then intensity / top else 0.0 end), 6) as mean from (select case_id, frame_tag, z, intensity, max(intensity) over (partition by case_id, frame_tag, z) as top from vox_img) t group by case_id, frame_tag, z",
-    "A56_component_limits": "select label, max(n) as most, min(n) as least from (select case_id, frame_tag, label, count(*) as n from vox_gt where label > 0 group by case_id, frame_tag, label) t group by label",
     "J07_voxel_join": "select p.model, p.label, coalesce(g.label, 0) as ref, count(*) as n from vox_pred p full outer join (select * from vox_gt where label > 0) g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x group by p.model, p.label, coalesce(g.label, 0)",
     "J09_three_way": "select a.case_id, a.frame_tag, round(2.0 * count_if(a.label = 3 and b.label = 3) / nullif(count_if(a.label = 3) + count_if(b.label = 3), 0), 6) as ab, round(2.0 * count_if(a.label = 3 and g.label = 3) / nullif(count_if(a.label = 3) + count_if(g.label = 3), 0), 6) as ag, round(2.0 * count_if(b.label = 3 and g.label = 3) / nullif(count_if(b.label = 3) + count_if(g.label = 3), 0), 6) as bg from vox_pred a join vox_pred b on a.case_id = b.case_id and a.frame_tag = b.frame_tag and a.z = b.z and a.y = b.y and a.x = b.x join vox_gt g on a.case_id = g.case_id and a.frame_tag = g.frame_tag and a.z = g.z and a.y = g.y and a.x = g.x where a.model = 'model_a' and b.model = 'model_b' group by a.case_id, a.frame_tag",
     "J16_frame_match": "select a.case_id, a.frame_tag, b.frame_tag as matched from vox_img a join vox_img b on a.case_id = b.case_id and a.z = b.z and a.y = b.y and a.x = b.x group by a.case_id, a.frame_tag, b.frame_tag having count_if(abs(a.intensity - b.intensity) > 0.00000001 + 0.00001 * abs(b.intensity)) = 0",
@@ -31,7 +33,7 @@ PLANS = {
     "F12_spacing": f"select k, t, case when split_part(u, ',', 3) <> '' and try_cast(split_part(u, ',', 1) as double) > 0 and try_cast(split_part(u, ',', 2) as double) > 0 and try_cast(split_part(u, ',', 3) as double) > 0 then try_cast(split_part(u, ',', 1) as double) end as sx, case when split_part(u, ',', 3) <> '' and try_cast(split_part(u, ',', 1) as double) > 0 then try_cast(split_part(u, ',', 3) as double) end as sz from ({THREE}) s",
     "F15_percent": "select event_id, try_cast(replace(t, '%', '') as double) as share from (select event_id, case when event_id % 9 = 0 then '-' else concat(cast(event_id % 100 as string), '.5%') end as t from events) s",
     "F21_family": f"select distinct model, case when model like '%nnformer%' then 'nnformer' when model like '%cinema%' then 'cinema' when model like '%vsa3l%' then 'vsa3l' else 'other' end as family from ({PARTS}) p",
-    "F23_slice_distance": "select exam, series, instance, round(0.0 * position_mm - 0.6 * position_mm * -0.6 + 0.8 * position_mm * 0.8, 6) as distance, n_rows * n_cols as pixels from series_headers",
+    "F23_slice_distance": f"select exam, series, instance, {DISTANCE} as distance, n_rows * n_cols as pixels from ({ORIENTED}) h",
     "F24_same_geometry": "select a.exam, count_if(abs(a.position_mm - b.position_mm) <= 0.001 + 0.00001 * abs(b.position_mm) and a.n_rows = b.n_rows and a.n_cols = b.n_cols) as mates from series_headers a join series_headers b on a.exam = b.exam group by a.exam",
     "F26_voxel_to_mm": "select case_id, frame_tag, round(min(10.0 * z - 5.0), 6) as z_mm, round(max(1.25 * y + 2.5), 6) as y_mm, round(avg(1.25 * x - 7.5), 6) as x_mm from vox_gt where label = 3 group by case_id, frame_tag",
     "F27_centre_crop": "select case_id, frame_tag, lo, hi, greatest(0, cast(floor((lo + hi - 8) / 2.0) as int)) as crop_from, least(12, greatest(0, cast(floor((lo + hi - 8) / 2.0) as int)) + 8) as crop_to from (select case_id, frame_tag, min(x) as lo, max(x) + 1 as hi from vox_gt where label > 0 group by case_id, frame_tag) b",

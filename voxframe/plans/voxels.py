@@ -69,6 +69,11 @@ def probability_vote(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy(*KEYS, "z", "y", "x").agg(F.max_by("class", F.struct("p", -F.col("class"))).alias("label")).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
 
 
+def component_limits(spark: SparkSession, d: str) -> DataFrame:
+    labels = view(spark, d, "vox_pred").filter("label > 0")
+    return nb.component_limits(labels, [*KEYS, "model", "label"], ["model", "label"])
+
+
 def remap(spark: SparkSession, d: str) -> DataFrame:
     table = spark.createDataFrame([(1, 3), (2, 2), (3, 1)], "label int, to int")
     return view(spark, d, "vox_gt").join(F.broadcast(table), "label", "left").groupBy(*KEYS, F.coalesce("to", F.lit(0)).alias("label")).agg(F.count("*").alias("n"))
@@ -142,7 +147,7 @@ def zscore(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "A01_confusion": counts, "A15_totals": totals, "A21_model_summary": model_summary, "A28_slice_dice": slice_dice, "A30_volumes": volumes, "A33_bounding_box": bounding_box, "A38_clinical": clinical,
-    "A16_surface_distances": surfaces, "A50_intensity_reference": image_reference, "A53_zscore": zscore, "V01_remap": remap, "V07_fill_holes": holes, "V08_components": component_sizes, "V09_keep_largest": largest,
+    "A16_surface_distances": surfaces, "A50_intensity_reference": image_reference, "A53_zscore": zscore, "V01_remap": remap, "V07_fill_holes": holes, "V08_components": component_sizes, "A56_component_limits": component_limits, "V09_keep_largest": largest,
     "V10_surface": surface_count, "V11_dilation": dilation, "V11_erosion": erosion, "V12_wall_thickness": thickness, "V13_majority_vote": majority_vote, "V14_probability_vote": probability_vote, "V25_difference_map": difference_map, "V28_first_order": firstorder,
 } | {k: _metric(n) for k, n in METRIC_IDS.items()}
 
