@@ -209,6 +209,48 @@ def test_passages_near_the_threshold(spark):
     assert all(sum(held.get(i, 0) >= n for i, n in cases.items()) >= 18 for cases in want.values())
 
 
+def test_every_passage_of_a_chain_is_found(spark):
+    r = random.Random(21)
+    some = lambda n: [f"w{r.randrange(10**7)}" for _ in range(n)]
+    p, q = some(3000), some(3000)
+    rows = [" ".join(p + some(2100) + q), " ".join(some(20) + p + some(2200) + q + some(20))]
+    got = sorted((x.start_word, x.end_word) for x in substring_dedup.repeated_passages(frame(spark, rows)).collect())
+    assert got == [(20, 3020), (5220, 8220)]
+
+
+def test_passages_whose_parts_have_other_first_sources(spark):
+    r = random.Random(22)
+    some = lambda n: [f"w{r.randrange(10**7)}" for _ in range(n)]
+    rows, want = [], []
+    for _ in range(40):
+        x, y, z = some(40), some(40), some(20)
+        rows += [" ".join(some(30) + t + some(30)) for t in (x, y, x + y, x + y)]
+        want.append((len(rows) - 1, 30, 110))
+        lines = [some(20) for _ in range(3)]
+        rows += [" ".join(some(30) + t + some(30)) for t in (*lines, sum(lines, []), sum(lines, []), z)]
+        want.append((len(rows) - 2, 30, 90))
+    got = {(x.doc_id, x.start_word, x.end_word) for x in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert all(w in got for w in want)
+
+
+def test_alignment_memory_is_bounded():
+    r = np.random.default_rng(5)
+    a, b = (r.integers(0, 1 << 62, n).astype(np.uint64) for n in (90_000, 80_000))
+    b[:60], b[-60:] = a[:60], a[-60:]
+    got = substring_dedup.align(a, b, [0, len(a) - 3], [0, len(b) - 3], 3, 50, 80)
+    assert [(s, e) for s, e, *_ in got] == [(0, 60), (len(a) - 60, len(a))]
+
+
+def test_runs_equal_brute_force():
+    r = random.Random(2)
+    for _ in range(200):
+        hit = np.array([r.random() < 0.75 for _ in range(r.randrange(1, 40))])
+        for s, e in substring_dedup.good_runs(hit, 5, 80):
+            assert e - s >= 5 and 100 * hit[s:e].sum() >= 80 * (e - s)
+        best = max(((e - s) for s in range(len(hit)) for e in range(s + 5, len(hit) + 1) if hit[s:e].all()), default=0)
+        assert max((e - s for s, e in substring_dedup.good_runs(hit, 5, 80)), default=0) >= best
+
+
 def test_quality(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = quality.quality_scores(d).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumnRenamed("quality", "good"), "doc_id").collect()

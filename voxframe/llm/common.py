@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         held = spark.sparkContext.getCheckpointDir()
+        if not held and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = held or f"file://{tempfile.mkdtemp(prefix='spark-ckpt-')}"
         if not held:
             spark.sparkContext.setCheckpointDir(path)
@@ -49,6 +51,31 @@ def remove(spark: SparkSession, *frames: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lookup(rows: DataFrame, held: DataFrame, keys: list[str], weight: str, spread: list[str], how: str = "inner", share: int = 1000) -> DataFrame:
+    """`rows` joined with the other columns of `held`, a written table of one row per key; no key gathers in one task.
+
+    `weight` of a row of `held` says how many rows hold its key. Keys of more than one `share`-th of the weight of all, so
+    fewer than `share` keys, are broadcast; their rows, and those with a null key, are dealt by a hash of `spread`.
+    Other rows are shuffled by key. how: inner or left.
+    """
+    total = held.agg(F.sum(weight)).first()[0] or 0
+    names = [c for c in held.columns if c not in keys and c != weight]
+    body = F.struct(*names) if names else F.struct(F.lit(True).alias("__any"))
+    often = F.col(weight) * share > F.lit(total)
+    hot = held.filter(often).select(*(F.col(k).alias(f"__hot_{k}") for k in keys), body.alias("__hot"))
+    cold = held.filter(~often).select(F.lit(0).cast("long").alias("__spread"), *keys, body.alias("__cold"))
+    same = [F.col(k) == F.col(f"__hot_{k}") for k in keys]
+    null = F.col(keys[0]).isNull()
+    for k in keys[1:]:
+        null |= F.col(k).isNull()
+    rows = rows.join(F.broadcast(hot), same, "left").drop(*(f"__hot_{k}" for k in keys))
+    rows = rows.withColumn("__spread", F.when(F.col("__hot").isNotNull() | null, F.xxhash64(*spread)).otherwise(F.lit(0).cast("long")))
+    found = rows.join(cold, ["__spread", *keys], "left").withColumn("__hot", F.coalesce("__hot", "__cold"))
+    if how == "inner":
+        found = found.filter(F.col("__hot").isNotNull())
+    return found.select(*(c for c in found.columns if c[:2] != "__"), *(F.col(f"__hot.{c}").alias(c) for c in names))
+
+
 def partitions_for(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -93,3 +93,11 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(width):
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD) + words[i : n - width + 1 + i] * np.uint64(0xC4CEB9FE1A85EC53)
     return mix(x)
+
+
+def windows(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the `width` words from each position on; all windows must end within `words`."""
+    up, down = _power(len(words) + 1)
+    total = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(mix(words) * up[: len(words)], out=total[1:])
+    return mix((total[at + width] - total[at]) * down[at])
