@@ -28,7 +28,6 @@ COMPOSED = 420
 PATH, WORDS, SHARES = 128, 32, 6
 DIM = PATH + WORDS + SHARES
 HIDDEN = 20
-LOOK = 16
 
 # fixed values: element classes of HTML
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -98,7 +97,6 @@ def blocks(page: str) -> list[Block]:
                     flush()
                 # without an end tag, script and style run to the end of the page; other elements are passed over
                 at = end.end() if end else len(page) if name in RAW else at
-            text.append(" ")
             continue
         in_head = in_head and (closing or name in IN_HEAD)
         if name not in ("option", "optgroup", "hr") and name in BLOCK and not closing:
@@ -106,7 +104,7 @@ def blocks(page: str) -> list[Block]:
         if name == "a":
             anchors = 0 if closing else 1
         if name in VOID or name not in BLOCK:
-            if name in ("br", "hr", "img"):
+            if name == "br":
                 text.append(" ")
             continue
         flush()
@@ -142,9 +140,8 @@ def vectors(found: list[Block]) -> np.ndarray:
     for i, b in enumerate(found):
         row = x[i]
         row[_slots(b.path)] = 1
-        words = b.text.split(" ", LOOK)[:LOOK]
-        for w in words:
-            row[PATH + _slot(w, WORDS)] += 1 / len(words)
+        words = b.text.split(" ")
+        row[PATH : PATH + WORDS] = np.bincount([_slot(w, WORDS) for w in words], minlength=WORDS) / len(words)
         n = len(b.text)
         row[PATH + WORDS :] = (min(math.log1p(n) / 8, 2), min(b.linked / n, 1), (b.text.count(".") + b.text.count(",")) / (n / 20 + 1), (i + 1) / len(found), n < 60, b.path[-1:] in (("h1",), ("h2",), ("h3",)))
     return x
@@ -278,7 +275,6 @@ def train(pages: list[str], composed: int = COMPOSED, rounds: int = 14, seed: in
     for _ in range(composed):
         if made := compose(texts, r):
             data.append((vectors([b for b, _ in made]), np.array([y for _, y in made], np.float32)))
-    data = [(x[:200], y[:200]) for x, y in data]
     model, m, v, step = Labeller(), {}, {}, 0
     for _ in range(rounds):
         order = sorted(range(len(data)), key=lambda i: len(data[i][0]) + 4 * r.random())
