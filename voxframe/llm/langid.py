@@ -16,6 +16,8 @@ SLICE = 1 << 18
 BITS = 13
 BUCKETS = 1 << BITS
 MOST_LANGUAGES = 512
+ROWS = 64
+CELLS = 1 << 21
 UNKNOWN = "und"
 _letter = re.compile(r"[^\W\d_]")
 _fold: list[np.ndarray] = []
@@ -30,8 +32,15 @@ def _folded() -> np.ndarray:
     return _fold[0]
 
 
-def gram_counts(texts: list[str]) -> np.ndarray:
-    """Counts of hashed 1- to 3-grams, one row per text. Letters are lower case, runs of others one space."""
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, count) of the hashed 1- to 3-grams of each text, by row. Letters are lower case, runs of others one space."""
+    parts = [_counts(texts[at : at + ROWS]) for at in range(0, len(texts), ROWS)]
+    found = [(at // BUCKETS + i * ROWS, at % BUCKETS, part[at]) for i, part in enumerate(parts) for at in (np.flatnonzero(part),)]
+    return tuple(np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in range(3))
+
+
+def _counts(texts: list[str]) -> np.ndarray:
+    """The counts of at most ROWS texts, all buckets of one text after those of the other."""
     sizes, parts = [], []
     for t in texts:
         x = np.frombuffer(t.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -53,18 +62,19 @@ def gram_counts(texts: list[str]) -> np.ndarray:
         h = (code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
         at = row[:m] * BUCKETS + h.astype(np.int64)
         out += np.bincount(at[same], minlength=len(out))
-    return out.reshape(len(texts), BUCKETS)
+    return out
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language of this task: bucket -1 counts documents."""
     total: dict[str, np.ndarray] = {}
     for batch in slices(batches, "text", SLICE):
-        x, langs = gram_counts(batch.column("text").to_pylist()), np.array(batch.column("lang").to_pylist(), dtype=object)
+        (row, bucket, n), langs = gram_counts(batch.column("text").to_pylist()), np.array(batch.column("lang").to_pylist(), dtype=object)
         for lang in set(langs):
             mine = langs == lang
             held = total.setdefault(lang, np.zeros(BUCKETS + 1, dtype=np.int64))
-            held[:BUCKETS] += x[mine].sum(axis=0)
+            some = mine[row]
+            np.add.at(held, bucket[some], n[some])
             held[BUCKETS] += mine.sum()
         if len(total) > MOST_LANGUAGES:
             raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -96,6 +106,19 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang") -> Model:
     return Model(langs, np.log(table[:, BUCKETS] / max(table[:, BUCKETS].sum(), 1)) if langs else np.zeros(0), np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
+def scores(model: Model, texts: list[str]) -> np.ndarray:
+    """Log probability of each text and language: only the buckets that a text has are added up, CELLS numbers at a time."""
+    row, bucket, n = gram_counts(texts)
+    out = np.tile(model.prior.astype(np.float64), (len(texts), 1))
+    step = max(1, CELLS // max(1, len(model.langs)))
+    columns = np.ascontiguousarray(model.logs.T)
+    for at in range(0, len(row), step):
+        r = row[at : at + step]
+        starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        out[r[starts]] += np.add.reduceat(n[at : at + step, None] * columns[bucket[at : at + step]].astype(np.float64), starts, axis=0)
+    return out
+
+
 def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
@@ -103,8 +126,7 @@ def _predict(model: Model):
             some = np.array([bool(t and _letter.search(t)) for t in texts], dtype=bool) & bool(model.langs)
             best, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
             if some.any():
-                x = gram_counts([t for t, s in zip(texts, some, strict=True) if s]).astype(np.float32)
-                logit = (x @ model.logs.T).astype(np.float64) + model.prior
+                logit = scores(model, [t for t, s in zip(texts, some, strict=True) if s])
                 top = logit.argmax(axis=1)
                 best[some] = np.array(model.langs, dtype=object)[top]
                 score[some] = 1 / np.exp(logit - logit.max(axis=1, keepdims=True)).sum(axis=1)
