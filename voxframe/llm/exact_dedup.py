@@ -2,7 +2,8 @@
 
 Copies are merged in three steps that all compare the whole text: inside each task (the partial aggregate), per
 salt, and over the salt winners. A text that a third of all rows share thus reaches the last step as at most
-`salts` rows. Members then look up their class by its fingerprint, which is a join that adaptive execution may split.
+`salts` rows. Members then look up their class by its fingerprint; the few classes that hold more than a thousandth of
+all copies each are broadcast, so their members stay where they are.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import lookup, staged
+
 SALTS = 16
 
 
@@ -31,7 +34,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # one row per fingerprint unless fingerprints collide: texts were compared whole above
     classes = texts.groupBy("digest", "check", "size").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"), F.count("*").alias("texts"))
     classes = classes.filter(F.when(F.col("texts") > 1, F.raise_error(F.lit("different texts share SHA-256, xxHash64 and length"))).otherwise(F.col("group_size")) > 1).drop("texts")
-    members = d.select("doc_id", "digest", "check", "size").join(classes, ["digest", "check", "size"], "left")
+    held = staged(classes.withColumn("n", F.col("group_size")), "classes")
+    members = lookup(d.select("doc_id", "digest", "check", "size"), held, ["digest", "check", "size"], "n", ["doc_id", "digest"], "left")
     single = F.col("group_size").isNull()
     keep = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
     return members.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
