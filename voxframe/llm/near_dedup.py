@@ -88,7 +88,7 @@ def _sign(k: int, bands: int, rows: int):
                 keys.append(signer(s) if len(s) else np.zeros(0, np.int64))
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))], ["row_id", "doc_id", "n_shingles", "hi", "lo", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), batch.column("print"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))], ["row_id", "doc_id", "print", "n_shingles", "hi", "lo", "bands"])
 
     return run
 
@@ -205,19 +205,21 @@ def _block_pairs(open_: DataFrame, percent: int, block: int) -> DataFrame:
     return rows.select("fam", "comp", "cls", F.explode(F.concat(same, up, down)).alias("p")).select("fam", "comp", "cls", "p.*")
 
 
-def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 36, rows: int = 7, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 64, rows: int = 7, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Documents link where 100 * intersection >= percent * union of their k-word shingle sets; component_id is the smallest
     doc_id reachable. A text of fewer than k words is one shingle. Null text, or text without words, has an empty set and
     links with nothing; its component is itself. A null doc_id is never chosen over another one; rows that repeat a doc_id
     and a text are all kept or all dropped. Tied sets are one class. Other columns are ignored. Long texts are
-    hashed whole. A pair at the threshold shares a bucket with probability 1 - (1 - t^rows)^bands: 0.9998 by default.
+    hashed whole. A pair at the threshold shares a bucket with probability 1 - (1 - t^rows)^bands: all but 3 of
+    10 million by default.
     """
     spark = docs.sparkSession
-    text = with_text(docs, id_col, text_col)
+    # a row is found again by its id and a hash of its text, so null ids meet only their own text
+    text = with_text(docs, id_col, text_col).withColumn("print", F.xxhash64("text"))
     n = partitions_for(spark)
-    sig = staged(text.withColumn("row_id", F.monotonically_increasing_id()).mapInArrow(_sign(k, bands, rows), "row_id long, doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "signatures")
+    sig = staged(text.withColumn("row_id", F.monotonically_increasing_id()).mapInArrow(_sign(k, bands, rows), "row_id long, doc_id long, print long, n_shingles long, hi long, lo long, bands array<long>"), "signatures")
     classes = staged(sig.filter("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(F.min("row_id").alias("cls"), F.min("doc_id").alias("first")).select("hi", "lo", F.col("n_shingles").alias("n"), "cls", "first"), "classes")
 
     keys = sig.select("row_id", "doc_id", F.col("bands")).join(classes.select(F.col("cls").alias("row_id")), "row_id").select(F.col("row_id").alias("cls"), F.explode("bands").alias("band"))
@@ -225,8 +227,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 36,
     star = staged(keys.join(buckets, "band").filter("cls <> center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct(), "star")
 
     wanted = star.select(F.col("a").alias("cls")).union(star.select("b")).distinct().join(classes, "cls")
-    where = wanted.join(sig.select(F.col("row_id").alias("cls"), "doc_id"), "cls").select("cls", "hi", "lo", F.col("doc_id").alias("wanted_id"))
-    sets = staged(text.join(where, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("cls", "hi", "lo", "text").mapInArrow(_sets(k), "cls long, members binary").dropDuplicates(["cls"]), "sets")
+    where = wanted.join(sig.select(F.col("row_id").alias("cls"), "doc_id", "print"), "cls").select("cls", "hi", "lo", F.col("doc_id").alias("wanted_id"), F.col("print").alias("wanted_print"))
+    sets = staged(text.join(where, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("print") == F.col("wanted_print"))).select("cls", "hi", "lo", "text").mapInArrow(_sets(k), "cls long, members binary").dropDuplicates(["cls"]), "sets")
     sized = star.join(classes.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(classes.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
     sized = sized.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
     pairs = sized.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")

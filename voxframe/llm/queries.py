@@ -44,7 +44,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"), k=3, percent=85, bands=32, rows=8)
+    return near_groups(table(spark, sf_dir, "documents"), k=3, percent=85, bands=56, rows=8)
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
