@@ -3,7 +3,8 @@
 Both tokenizers cut a text before every single space or line feed between visible characters, whatever stands around, so
 the ids of such a text are the ids of its units in turn. Units are found and hashed as byte spans of a whole batch; each
 distinct one is encoded once by the tokenizers library as long as the table holds it. A text with other white space is
-encoded whole. Units count as equal when their 64-bit hashes are.
+encoded whole. Units count as equal when their bytes are: the length, the first and the last eight bytes tell units of up
+to 16 bytes apart, longer ones are looked up by all their bytes.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from .wordhash import span_hashes, text_bytes
+from .wordhash import mix, text_bytes
 
 ENTRIES = 3_000_000
 MARK = "|"
+_HEAD = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 # every character but space and line feed that some library takes for white space or drops, and combining marks
 _wide = re.compile("[\\x00-\\x09\\x0b-\\x1f\\x7f-\\xa0\\xad\\u0300-\\u036f\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2064\\u3000\\ufeff]")
 _encoders: dict[tuple[str, bool], UnitEncoder] = {}
@@ -49,6 +51,8 @@ class UnitEncoder:
 
     def _clear(self) -> None:
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.shape = np.zeros((0, 3), np.uint64)
+        self.long: dict[bytes, tuple[int, int]] = {}
         self.ids = np.zeros(0, dtype="<u2")
 
     def _plain(self, text: str) -> bool:
@@ -77,25 +81,52 @@ class UnitEncoder:
                 out[i] = ids[a + skip : b]
         return out
 
+    def _add(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode new units; where their ids are in self.ids, and how many."""
+        found = self._encode_units([u.decode() for u in units])
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        at = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, *found])
+        return at, sizes
+
+    def _look_up_long(self, units: list[bytes]) -> tuple[list[int], list[int]]:
+        new = list(dict.fromkeys(u for u in units if u not in self.long))
+        if new:
+            at, size = self._add(new)
+            self.long |= dict(zip(new, zip(at.tolist(), size.tolist(), strict=True), strict=True))
+        return tuple(map(list, zip(*(self.long[u] for u in units), strict=True))) if units else ([], [])
+
     def _look_up(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each span are in self.ids, and how many."""
-        keys, first, back = np.unique(span_hashes(raw, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) > ENTRIES:
+        if len(self.keys) + len(self.long) > ENTRIES:
             self._clear()
+        n = end - start
+        data = np.concatenate([raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(raw) + 1, dtype="<u8", buffer=data, strides=(1,))
+        head = eight[start] & _HEAD[np.minimum(n, 8)]
+        tail = np.where(n > 8, eight[np.maximum(end - 8, 0)], np.uint64(0))
+        shape = np.stack([n.astype(np.uint64), head, tail], axis=1)
+        keys, first, back = np.unique(mix(head ^ mix(tail ^ (n.astype(np.uint64) << np.uint64(56)))), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), dtype=bool)
         if len(self.keys):
             known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
-        new = np.flatnonzero(~known)
+        new = np.flatnonzero(~known & (n[first] <= 16))
+        at, size = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
         if len(new):
-            data = raw.tobytes()
-            found = self._encode_units([data[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
-            sizes = np.array([len(x) for x in found], dtype=np.int64)
-            at = len(self.ids) + np.cumsum(sizes) - sizes
-            self.ids = np.concatenate([self.ids, *found])
-            self.keys, self.at, self.size = (np.insert(x, place[new], y) for x, y in ((self.keys, keys[new]), (self.at, at), (self.size, sizes)))
-            place = np.searchsorted(self.keys, keys)
-        return self.at[place][back], self.size[place][back]
+            body = raw.tobytes()
+            where, sizes = self._add([body[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            self.keys, self.at, self.size = (np.insert(x, place[new], y) for x, y in ((self.keys, keys[new]), (self.at, where), (self.size, sizes)))
+            self.shape = np.insert(self.shape, place[new], shape[first[new]], axis=0)
+        odd = np.arange(len(n))
+        if len(self.keys):
+            mine = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)[back]
+            at, size = self.at[mine], self.size[mine]
+            # longer units, and any whose key another unit has
+            odd = np.flatnonzero((n > 16) | (self.shape[mine] != shape).any(axis=1))
+        if len(odd):
+            at[odd], size[odd] = self._look_up_long([raw[a:b].tobytes() for a, b in zip(start[odd].tolist(), end[odd].tolist(), strict=True)])
+        return at, size
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of every text of a string column without nulls."""

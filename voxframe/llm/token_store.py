@@ -5,7 +5,9 @@ under its SHA-256. A document is a recipe, the list of its chunks. The manifest
 
 Layout under one folder, all Parquet, so that any file system that Spark reads will do:
   chunks    digest binary, ids binary (little-endian unsigned 16-bit)
-  recipes   part, doc_id, row_key, start, n_tokens, ids_crc32, digests array, sizes array, leaf; ascending in doc_id
+  recipes   part, node, doc_id, row_key, offset (ids before it in its part), n_tokens, ids_crc32, digests array, sizes
+            array; parts are ranges of doc_id, ascending, and nodes ascend in them
+  parts     part, base (ids in all parts before)
   manifest  level, part, node, hash; the highest level has one node
 """
 
@@ -28,7 +30,6 @@ SLICE = 1 << 21
 WINDOW = 16
 LEAST, MASK, MOST = 64, 0xFF, 2048
 FAN = 1024
-PARTS = 64
 SEEN = 200_000
 
 
@@ -117,51 +118,69 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_
     once.write.partitionBy("kind").option("compression", "zstd").parquet(raw)
 
     loose = spark.read.schema(f"{ROWS}, kind string").parquet(raw).filter("kind = 'recipes'").select(*(c for c in NAMES if c not in ("digest", "ids")))
-    edges = loose.filter("doc_id is not null").approxQuantile("doc_id", [i / PARTS for i in range(1, PARTS)], 0.002)
-    edges = sorted({int(x) for x in edges})
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(sum((F.when(F.col("doc_id") >= x, 1).otherwise(0) for x in edges), F.lit(0)))
-    loose = loose.withColumn("part", part.cast("int"))
-    sums = {r.part: r.n for r in loose.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}  # PARTS rows at most
-    before, at = {}, 0
-    for p in sorted(sums):
-        before[p] = at
-        at += sums[p]
-    base = F.create_map(*(F.lit(x) for kv in (before or {0: 0}).items() for x in kv))
-    order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "row_key")
-    leaf = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("n_tokens").cast("string"), F.lit(":"), F.concat_ws(",", F.transform("digests", lambda d: F.hex(d)))), 256)
-    done = loose.repartition(min(PARTS, partitions_for(spark)), "part").withColumn("start", base[F.col("part")] + F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens"))
-    done = done.withColumn("node", (F.row_number().over(order) - 1).cast("long")).withColumn("leaf", leaf)
-    done.sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "row_key").write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/recipes")
-    _merkle(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
-
-
-def _merkle(recipes: DataFrame) -> DataFrame:
-    """Nodes above the leaves: up to FAN children each, per part, then one root over the parts' roots."""
-    level, at, out = recipes.select(F.col("part").cast("int").alias("part"), "node", F.col("leaf").alias("hash")), 1, None
+    # ranges of doc_id, as many as the session has shuffle partitions; rows that repeat an id may be split between two
+    order = [F.col("doc_id").asc_nulls_first(), F.col("row_key")]
+    dealt = loose.repartitionByRange(partitions_for(spark), *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    kind = ", ".join(x for x in ROWS.split(", ") if x.split()[0] not in ("digest", "ids"))
+    dealt.mapInArrow(_placed, f"{kind}, part int, node long, offset long").write.option("compression", "zstd").parquet(f"{path}/recipes")
+    sums = recipes_in_parts(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    base = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
+    sums.select("part", F.coalesce(F.sum("n").over(base), F.lit(0)).alias("base")).write.parquet(f"{path}/parts")
+    _merkle(recipes_in_parts(spark, path)).write.parquet(f"{path}/manifest")
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of each recipe in its part, and the ids of the recipes before it."""
+    node = at = 0
+    for batch in batches:
+        n = batch.column("n_tokens").to_numpy(zero_copy_only=False)
+        ends = at + np.cumsum(n)
+        yield batch.append_column("node", pa.array(node + np.arange(len(n)), pa.int64())).append_column("offset", pa.array(ends - n, pa.int64()))
+        node, at = node + len(n), int(ends[-1]) if len(n) else at
+
+
+def _leaf():
+    return F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("n_tokens").cast("string"), F.lit(":"), F.col("ids_crc32").cast("string"), F.lit(":"), F.concat_ws(",", F.transform("digests", lambda d: F.hex(d)))), 256)
+
+
+def _merkle(held: DataFrame) -> DataFrame:
+    """Nodes above the leaves, which are hashes of whole recipes: up to FAN children each, per part, then one root over the parts' roots."""
+    level, at, out = held.select("part", "node", _leaf().alias("hash")), 1, None
 
     def up(nodes: DataFrame, n: int) -> DataFrame:
         above = nodes.groupBy("part", F.floor(F.col("node") / FAN).alias("node")).agg(F.sha2(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("node", "hash"))), lambda x: x["hash"])), 256).alias("hash"))
         return above.select(F.lit(n).alias("level"), "part", "node", "hash")
 
+    widest = held.agg(F.max("node")).first()[0] or 0
     while True:
-        now = up(level, at)
-        out = now if out is None else out.union(now)
-        widest = now.agg(F.max("node")).first()[0]
-        level, at = now.select("part", "node", "hash"), at + 1
+        level = up(level.select("part", "node", "hash"), at)
+        out = level if out is None else out.union(level)
+        widest, at = widest // FAN, at + 1
         if not widest:
             break
     root = level.select(F.lit(0).alias("part"), F.col("part").cast("long").alias("node"), "hash")
-    return out.union(up(root, at).select("level", F.lit(-1).alias("part"), "node", "hash"))
+    while True:
+        root = up(root.select("part", "node", "hash"), at)
+        out, at = out.union(root.select("level", F.lit(-1).alias("part"), "node", "hash")), at + 1
+        if root.count() <= 1:
+            return out
 
 
 def chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("digest binary, ids binary, kind string").parquet(f"{path}/raw").filter("kind = 'chunks'").select("digest", "ids")
 
 
-def recipes(spark: SparkSession, path: str) -> DataFrame:
+def recipes_in_parts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/recipes")
 
 
+def recipes(spark: SparkSession, path: str) -> DataFrame:
+    """The recipes with `start`, the ids of all documents before each; there is one row of `parts` for each range."""
+    base = spark.read.parquet(f"{path}/parts")
+    held = recipes_in_parts(spark, path).join(F.broadcast(base), "part")
+    return held.withColumn("start", F.col("base") + F.col("offset")).drop("base", "offset")
+
+
 def _shift(crc: np.ndarray, n: np.ndarray) -> np.ndarray:
     """CRC-32 of each text followed by n zero bytes, without the final and initial inversions: 32 x 32 bit matrices, squared."""
     m = np.array([0xEDB88320, *(1 << i for i in range(31))], dtype=np.uint32)  # one zero bit, columns by bit of the state
@@ -196,6 +215,17 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(good, pa.bool_()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["digest", "good", "n", "crc"])
 
 
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk of a recipe, with the number of ids that follow it in the document."""
+    for batch in batches:
+        digests, sizes = batch.column("digests"), batch.column("sizes")
+        n = digests.value_lengths().to_numpy(zero_copy_only=False)
+        size = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, last = np.cumsum(size), np.cumsum(n) - 1
+        after = np.repeat(ends[last], n) - ends
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("row_key").to_numpy(), n)), digests.flatten(), pa.array(after, pa.int64())], ["row_key", "digest", "after"])
+
+
 def _suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         crc = _shift(batch.column("crc").to_numpy(zero_copy_only=False).astype(np.uint32), 4 * batch.column("after").to_numpy(zero_copy_only=False))
@@ -206,17 +236,24 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32, verified.
 
     Chunks are read, hashed and summed where they lie; only their sums travel to the documents, and the CRC of a document is
-    put together from those of its chunks. verified: all chunks are there, match their digests, and give the recipe's CRC.
+    put together from those of its chunks. verified: the recipes give the manifest's Merkle tree, and the document's chunks
+    are all there, match their digests, and give the recipe's number of ids and CRC.
     """
+    whole_tree = verify_manifest(spark, path)
     sums = chunks(spark, path).mapInArrow(_sums, "digest binary, good boolean, n long, crc long")
-    r = recipes(spark, path)
-    parts = r.select("row_key", "n_tokens", F.posexplode(F.arrays_zip("digests", "sizes")).alias("i", "x"), "sizes")
-    after = F.aggregate(F.slice("sizes", F.col("i") + 2, F.size("sizes")), F.lit(0).cast("long"), lambda a, b: a + b)
-    parts = parts.select("row_key", F.col("x.digests").alias("digest"), after.alias("after"))
-    joined = parts.join(sums, "digest").select("row_key", "n", "good", "crc", "after")
+    uses = recipes_in_parts(spark, path).select("row_key", "digests", "sizes").mapInArrow(_uses, "row_key long, digest binary, after long")
+    # chunks that more than a thousandth of all uses name, so fewer than a thousand, are broadcast
+    count = uses.groupBy("digest").agg(F.count("*").alias("uses"))
+    total = uses.count()
+    often = F.broadcast(count.filter(F.col("uses") * 1000 > total).select("digest").join(sums, "digest"))
+    names = ["row_key", "n", "good", "crc", "after"]
+    near = uses.join(often, "digest").select(names)
+    far = uses.join(F.broadcast(often.select("digest")), "digest", "left_anti").join(sums, "digest").select(names)
+    joined = near.union(far)
     whole = joined.mapInArrow(_suffix, "row_key long, n long, good boolean, crc long").groupBy("row_key").agg(F.sum("n").alias("n"), F.bit_xor("crc").alias("crc"), F.min("good").alias("good"))
-    out = r.select("row_key", "doc_id", "start", "ids_crc32").join(whole, "row_key", "left")
-    return out.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"), F.coalesce(F.col("good") & (F.col("crc") == F.col("ids_crc32")), F.lit(False)).alias("verified"))
+    out = recipes(spark, path).select("row_key", "doc_id", "start", "n_tokens", "ids_crc32").join(whole, "row_key", "left")
+    fine = F.lit(whole_tree) & F.col("good") & (F.col("crc") == F.col("ids_crc32")) & (F.col("n") == F.col("n_tokens"))
+    return out.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"), F.coalesce(fine, F.lit(False)).alias("verified"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -236,5 +273,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def verify_manifest(spark: SparkSession, path: str) -> bool:
     """Whether the recipes still give the Merkle tree that was written."""
     keys = ["level", "part", "node", "hash"]
-    held, now = spark.read.parquet(f"{path}/manifest").select(*keys), _merkle(recipes(spark, path)).select(*keys)
-    return held.exceptAll(now).isEmpty() and now.exceptAll(held).isEmpty()
+    held, now = (m.groupBy(*keys).agg(F.sum("side").alias("n")) for m in (spark.read.parquet(f"{path}/manifest").withColumn("side", F.lit(1)), _merkle(recipes_in_parts(spark, path)).withColumn("side", F.lit(-1))))
+    return held.union(now).groupBy(*keys).agg(F.sum("n").alias("n")).filter("n <> 0").isEmpty()
