@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, metrics, runs, texts, texture, voxels
+from .plans import catalogue, cleaning, frames, metrics, records, runs, scores, texts, texture, voxels
 
+MODULES = (voxels, texture, runs, cleaning, scores, frames, records)
 PLANS = metrics.PLANS | catalogue.PLANS | texts.PLANS
 
 
@@ -17,8 +18,8 @@ def _plan(text: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return voxels.QUERIES | texture.QUERIES | runs.QUERIES | {name: _plan(text) for name, text in PLANS.items()}
+    return {n: q for m in MODULES for n, q in m.QUERIES.items()} | {name: _plan(text) for name, text in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: tables.for_duckdb(text) for name, text in (voxels.ORACLES | texture.ORACLES | runs.ORACLES | PLANS).items()}
+    return {name: tables.for_duckdb(text) for name, text in ({n: q for m in MODULES for n, q in m.ORACLES.items()} | PLANS).items()}

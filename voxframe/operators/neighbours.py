@@ -46,8 +46,9 @@ def opening(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]
 
 def surface(mask: DataFrame, keys: list[str]) -> DataFrame:
     """Mask voxels with a face neighbour outside the mask or the grid."""
-    votes = shifted(mask.select(*keys, "z", "y", "x"), FACES).groupBy(*keys, "z", "y", "x").agg(F.count("*").alias("n"))
-    return mask.select(*keys, "z", "y", "x").join(votes, [*keys, "z", "y", "x"], "left").filter(F.coalesce("n", F.lit(0)) < 6).drop("n")
+    around = shifted(mask.select(*keys, "z", "y", "x").withColumn("_own", F.struct("z", "y", "x")), [(0, 0, 0), *FACES])
+    own = F.max(F.col("_own") == F.struct("z", "y", "x"))
+    return around.groupBy(*keys, "z", "y", "x").agg(F.count("*").alias("n"), own.alias("own")).filter("own and n < 7").drop("n", "own")
 
 
 def _apart(spacing: tuple[float, float, float]) -> Column:
@@ -73,11 +74,21 @@ def nearest(a: DataFrame, b: DataFrame, keys: list[str], spacing: tuple[float, f
     return close.unionByName(rest)
 
 
-def surface_distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float = 12.0) -> DataFrame:
-    """hd, hd95, asd and assd of every group that both masks have.
+def surface_distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float = 12.0, groups: DataFrame | None = None) -> DataFrame:
+    """hd, hd95, asd and assd of every group in `groups`, by default of those that either mask has.
 
     hd95 is the percentile over both directions together; asd is the mean from prediction to reference, assd of both means.
+    All are infinite where one mask of a group is empty, and 0 where both are.
     """
+    sides = pred.select(*keys, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(ref.select(*keys, F.lit(0).alias("a"), F.lit(1).alias("b")))
+    sides = sides.groupBy(*keys).agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    held = _distances(pred, ref, keys, spacing, reach)
+    out = (groups.select(*keys).distinct().join(sides, keys, "left") if groups is not None else sides).join(held, keys, "left")
+    one = F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0)) == 1
+    return out.select(*keys, *(F.when(one, F.lit(float("inf"))).otherwise(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("hd", "hd95", "asd", "assd")))
+
+
+def _distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float) -> DataFrame:
     a, b = surface(pred, keys), surface(ref, keys)
     both = nearest(a, b, keys, spacing, reach).withColumn("side", F.lit(0)).unionByName(nearest(b, a, keys, spacing, reach).withColumn("side", F.lit(1)))
     mean = [F.avg(F.when(F.col("side") == s, F.col("d"))) for s in (0, 1)]
@@ -88,6 +99,8 @@ def _settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Cut the lineage by a table in the shared folder."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-ckpt-')}"
         spark.sparkContext.setCheckpointDir(path)
     at = f"{path.rstrip('/')}/voxels-{uuid.uuid4().hex}"
@@ -95,6 +108,15 @@ def _settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def voxel_code() -> Column:
+    """One long for z, y and x, 21 bits each; other coordinates are an error."""
+    fits = F.lit(True)
+    for c in "zyx":
+        fits &= F.col(c).between(0, (1 << 21) - 1)
+    code = F.shiftleft(F.col("z").cast("long"), 42) + F.shiftleft(F.col("y").cast("long"), 21) + F.col("x")
+    return F.when(fits, code).otherwise(F.raise_error(F.lit("voxel coordinates must lie in 0 to 2097151")))
+
+
 def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]] = FACES, rounds: int = 200) -> DataFrame:
     """The mask with `component`, the smallest voxel code of its connected component.
 
@@ -102,12 +124,11 @@ def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, i
     """
     spark = mask.sparkSession
     point = [*keys, "z", "y", "x"]
-    code = (F.col("z") * 1_000_000 + F.col("y") * 1000 + F.col("x")).cast("long")
-    now = _settled(spark, mask.select(*point).withColumn("component", code))
+    now = _settled(spark, mask.select(*point).withColumn("component", voxel_code()))
     for _ in range(rounds):
         near = shifted(now, offsets).groupBy(*point).agg(F.min("component").alias("least"))
         step = now.join(near, point, "left").select(*point, F.col("component").alias("old"), F.least("component", "least").alias("component"))
-        roots = step.select(*keys, (F.col("z") * 1_000_000 + F.col("y") * 1000 + F.col("x")).cast("long").alias("component"), F.col("component").alias("up"))
+        roots = step.select(*keys, voxel_code().alias("component"), F.col("component").alias("up"))
         after = _settled(spark, step.join(roots, [*keys, "component"], "left").select(*point, "old", F.least("component", "up").alias("component")))
         if after.filter("component <> old").isEmpty():
             return after.drop("old")
@@ -115,12 +136,21 @@ def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, i
     raise RuntimeError("components have not settled")
 
 
-def keep_largest(mask: DataFrame, keys: list[str]) -> DataFrame:
-    """Voxels of the largest component of each group; components that tie at the maximum all stay."""
-    from pyspark.sql import Window
+def sized(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """(component, size, top) per component: its voxels, and those of the largest of its group."""
+    sizes = parts.groupBy(*keys, "component").agg(F.count("*").alias("size"))
+    return sizes.join(sizes.groupBy(*keys).agg(F.max("size").alias("top")), keys)
 
-    sized = components(mask, keys).withColumn("size", F.count("*").over(Window.partitionBy(*keys, "component")))
-    return sized.withColumn("top", F.max("size").over(Window.partitionBy(*keys))).filter("size = top").drop("size", "top", "component")
+
+def keep_largest(mask: DataFrame, keys: list[str], least: int | None = None) -> DataFrame:
+    """Voxels of the largest component of each group; components that tie at the maximum all stay.
+
+    With `least`, only components of fewer voxels go.
+    """
+    parts = components(mask, keys)
+    stays = F.col("size") == F.col("top")
+    kept = sized(parts, keys).filter(stays if least is None else stays | (F.col("size") >= least))
+    return parts.join(kept.select(*keys, "component"), [*keys, "component"], "left_semi").select(*keys, "z", "y", "x")
 
 
 def component_limits(labels: DataFrame, keys: list[str], by: list[str]) -> DataFrame:

@@ -25,24 +25,54 @@ METRICS = {
 }
 
 
-def confusion(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], labels: list[int]) -> DataFrame:
-    """tp, fp, fn, tn per group `keys` + `by` and label, in one join and one aggregate for all labels.
+def label_masks(labels: DataFrame, regions: dict[int, list[int]] | None) -> DataFrame:
+    """Voxels as rows of the regions that they belong to: `label` is the region's number, its members are merged.
 
-    `keys` are in both tables, `by` in `pred` alone (the model). Voxels missing on one side count as background.
+    Without regions every positive label is its own.
     """
-    joined = pred.select(*keys, *by, *VOXEL, F.col("label").alias("p")).join(ref.select(*keys, *VOXEL, F.col("label").alias("r")), [*keys, *VOXEL], "full_outer" if not by else "left")
-    p, r = F.coalesce("p", F.lit(0)), F.coalesce("r", F.lit(0))
+    if regions is None:
+        return labels.filter("label > 0")
+    table = F.array(*(F.struct(F.lit(k).alias("label"), F.array(*map(F.lit, members)).alias("of")) for k, members in regions.items()))
+    mine = F.transform(F.filter(table, lambda r: F.array_contains(r["of"], F.col("label"))), lambda r: r["label"])
+    return labels.filter(F.col("label").isin(sorted({x for m in regions.values() for x in m}))).withColumn("label", F.explode(mine))
 
-    def cell(label: int, in_p: bool, in_r: bool) -> Column:
-        return F.count_if(((p == label) if in_p else (p != label)) & ((r == label) if in_r else (r != label)))
 
-    aggs = [cell(k, *c).alias(f"{n}_{k}") for k in labels for n, c in (("tp", (True, True)), ("fp", (True, False)), ("fn", (False, True)), ("tn", (False, False)))]
-    wide = joined.groupBy(*keys, *by).agg(*aggs)
-    long = F.explode(F.array(*(F.struct(F.lit(k).alias("label"), *(F.col(f"{n}_{k}").alias(n) for n in ("tp", "fp", "fn", "tn"))) for k in labels)))
-    return wide.select(*keys, *by, long.alias("c")).select(*keys, *by, "c.*")
+def confusion(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], labels: list[int], grid: int | None = None, pred_regions: dict[int, list[int]] | None = None, ref_regions: dict[int, list[int]] | None = None) -> DataFrame:
+    """tp, fp, fn, tn per group `keys` + `by` and label.
 
+    `keys` are in both tables, `by` in `pred` alone (the model). Voxels missing on one side count as background there, so
+    tables may hold foreground only; a group of either table meets all values of `by`. `grid` is the number of voxels of a
+    group; without it tn counts the voxels that either table lists. Regions merge labels, on either side as given.
 
-def metric(counts: DataFrame, name: str) -> Column:
+    Only voxels of the labels asked for are joined; totals come from an aggregate of each table.
+    """
+    regions = {k: [k] for k in labels}
+    p, r = label_masks(pred, pred_regions or regions), label_masks(ref, ref_regions or regions)
+
+    def totals(masks: DataFrame, group: list[str], name: str) -> DataFrame:
+        return masks.groupBy(*group).agg(*(F.count_if(F.col("label") == k).alias(f"{name}_{k}") for k in labels))
+
+    all_ = [*keys, *by]
+    hits = totals(p.select(*all_, *VOXEL, "label").join(r.select(*keys, *VOXEL, "label"), [*keys, *VOXEL, "label"]), all_, "tp")
+    groups = pred.select(*all_).distinct()
+    frames = groups.select(*keys).union(ref.select(*keys)).distinct()
+    frames = frames.crossJoin(F.broadcast(groups.select(*by).distinct())) if by else frames
+    out = frames.join(hits, all_, "left").join(totals(p, all_, "p"), all_, "left").join(totals(r, keys, "r"), keys, "left")
+    if grid is None:
+        both = pred.select(*all_, *VOXEL).join(ref.select(*keys, *VOXEL), [*keys, *VOXEL]).groupBy(*all_).agg(F.count("*").alias("_b"))
+        out = out.join(both, all_, "left").join(pred.groupBy(*all_).agg(F.count("*").alias("_p")), all_, "left").join(ref.groupBy(*keys).agg(F.count("*").alias("_r")), keys, "left")
+        size = F.coalesce("_p", F.lit(0)) + F.coalesce("_r", F.lit(0)) - F.coalesce("_b", F.lit(0))
+    else:
+        size = F.lit(grid)
+
+    def n(name: str, k: int) -> Column:
+        return F.coalesce(f"{name}_{k}", F.lit(0))
+
+    rows = [F.struct(F.lit(k).alias("label"), n("tp", k).alias("tp"), (n("p", k) - n("tp", k)).alias("fp"), (n("r", k) - n("tp", k)).alias("fn"), (size - n("p", k) - n("r", k) + n("tp", k)).cast("long").alias("tn")) for k in labels]
+    return out.select(*all_, F.explode(F.array(*rows)).alias("c")).select(*all_, "c.*")
+
+
+def metric(name: str) -> Column:
     """A metric's column by name: user metrics may be added to METRICS."""
     if name not in METRICS:
         raise KeyError(f"no metric {name!r}; known: {sorted(METRICS)}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours as nb
 from ..operators import overlap
-from ..tables import view
+from ..tables import X, Y, Z, view
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
 SPACING = (10.0, 1.25, 1.25)
@@ -21,11 +21,11 @@ METRIC_IDS = {"A02_dice_or_one": "dice_or_one", "A03_dice": "dice", "A04_jaccard
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.confusion(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, MODEL, [1, 2, 3])
+    return overlap.confusion(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, MODEL, [1, 2, 3], Z * Y * X)
 
 
 def _metric(name: str):
-    return lambda spark, d: counts(spark, d).select("case_id", "model", "frame_tag", "label", overlap.metric(counts(spark, d), name))
+    return lambda spark, d: counts(spark, d).select("case_id", "model", "frame_tag", "label", overlap.metric(name))
 
 
 def model_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -39,7 +39,7 @@ def totals(spark: SparkSession, d: str) -> DataFrame:
 
 def slice_dice(spark: SparkSession, d: str) -> DataFrame:
     p, g = (view(spark, d, n).withColumn("slice", F.col("z")) for n in ("vox_pred", "vox_gt"))
-    c = overlap.confusion(p, g, [*KEYS, "slice"], MODEL, [3])
+    c = overlap.confusion(p, g, [*KEYS, "slice"], MODEL, [3], Y * X)
     return c.select(*KEYS, "model", "slice", F.round(F.expr(overlap.METRICS["dice"]), 6).cast("double").alias("dice"), (F.col("tp") + F.col("fn")).alias("gt"), (F.col("tp") + F.col("fp")).alias("pred"))
 
 
@@ -61,7 +61,15 @@ def bounding_box(spark: SparkSession, d: str) -> DataFrame:
 
 
 def majority_vote(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "vox_pred").groupBy(*KEYS, "z", "y", "x").agg(F.mode("label", True).alias("label")).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    return majority(view(spark, d, "vox_pred"), KEYS, [0, 1, 2, 3]).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+
+
+def majority(votes: DataFrame, keys: list[str], labels: list[int]) -> DataFrame:
+    """The label that most rows of a voxel have, the smallest at a tie: one hash aggregate of a count for each label."""
+    counts = votes.groupBy(*keys, "z", "y", "x").agg(*(F.count_if(F.col("label") == k).alias(f"n{k}") for k in sorted(labels)))
+    top = F.greatest(*(F.col(f"n{k}") for k in labels)) if len(labels) > 1 else F.col(f"n{labels[0]}")
+    won = F.coalesce(*(F.when(F.col(f"n{k}") == top, F.lit(k)) for k in sorted(labels)))
+    return counts.select(*keys, "z", "y", "x", won.alias("label"))
 
 
 def probability_vote(spark: SparkSession, d: str) -> DataFrame:
@@ -102,14 +110,15 @@ def erosion(spark: SparkSession, d: str) -> DataFrame:
 
 def surfaces(spark: SparkSession, d: str) -> DataFrame:
     keys = [*KEYS, "model"]
-    models = view(spark, d, "vox_pred").filter("label = 3").select(*keys).distinct()
+    models = view(spark, d, "vox_pred").select(*keys).distinct()
     ref = _mask(spark, d).join(models, KEYS)
-    out = nb.surface_distances(_mask(spark, d, "vox_pred"), ref, keys, SPACING)
+    out = nb.surface_distances(_mask(spark, d, "vox_pred"), ref, keys, SPACING, groups=models)
     return out.select(*keys, *(F.round(c, 6).alias(c) for c in ("hd", "hd95", "asd", "assd")))
 
 
 def component_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return nb.components(_mask(spark, d, "vox_pred", 1), [*KEYS, "model"]).groupBy(*KEYS, "model", "component").agg(F.count("*").alias("n"))
+    parts = nb.components(_mask(spark, d, "vox_pred", 1), [*KEYS, "model"]).groupBy(*KEYS, "model", "component").agg(F.count("*").alias("n"))
+    return parts.select(*KEYS, "model", *((F.shiftright("component", s) % (1 << 21)).alias(c) for c, s in (("z", 42), ("y", 21), ("x", 0))), "n")
 
 
 def largest(spark: SparkSession, d: str) -> DataFrame:
@@ -164,7 +173,7 @@ ORACLES = {
     "A50_intensity_reference": "select i.case_id, i.frame_tag, i.label, round(avg(100 * intensity / pool), 6) as mean from vox_img i join (select case_id, frame_tag, avg(case when label = 3 then intensity end) as pool from vox_img group by case_id, frame_tag) p on i.case_id = p.case_id and i.frame_tag = p.frame_tag group by i.case_id, i.frame_tag, i.label",
     "A53_zscore": "select i.case_id, i.frame_tag, i.z, round(sum(case when label > 0 then (intensity - m) / (s + 1e-8) else 0 end), 4) as total from vox_img i join (select case_id, frame_tag, avg(intensity) as m, stddev_pop(intensity) as s from vox_img where label > 0 group by case_id, frame_tag) p on i.case_id = p.case_id and i.frame_tag = p.frame_tag group by i.case_id, i.frame_tag, i.z",
     "V01_remap": "select case_id, frame_tag, case label when 1 then 3 when 2 then 2 when 3 then 1 else 0 end as label, count(*) as n from vox_gt group by case_id, frame_tag, case label when 1 then 3 when 2 then 2 when 3 then 1 else 0 end",
-    "V07_fill_holes": "select case_id, frame_tag, count(*) as n from (select case_id, frame_tag, max(x) over (partition by case_id, frame_tag, z) as far from vox_gt where label = 3) t where far < 11 group by case_id, frame_tag",
+
     "V10_surface": "select case_id, frame_tag, count(*) as n from (select m.case_id, m.frame_tag, m.z, m.y, m.x from vox_gt m left join vox_gt o on o.label = 3 and o.case_id = m.case_id and o.frame_tag = m.frame_tag and o.z between m.z - 1 and m.z + 1 and abs(o.z - m.z) + abs(o.y - m.y) + abs(o.x - m.x) = 1 where m.label = 3 group by m.case_id, m.frame_tag, m.z, m.y, m.x having count(o.z) < 6) t group by case_id, frame_tag",
     "V11_dilation": "select case_id, frame_tag, count(*) as n from (select distinct case_id, frame_tag, z, y + dy as y, x + dx as x from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3) t group by case_id, frame_tag",
     "V11_erosion": "select case_id, frame_tag, count(*) as n from (select case_id, frame_tag, z, y + dy as y, x + dx as x, count(*) as c from vox_gt cross join (values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) where label = 3 group by case_id, frame_tag, z, y + dy, x + dx having count(*) = 5) t group by case_id, frame_tag",

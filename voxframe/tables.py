@@ -61,6 +61,8 @@ def _with(sql: str) -> str:
         return sql
     views = ", ".join(f"{n} as ({VIEWS[n]})" for n in names)
     body = sql.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {views}, {body[15:].strip()}"
     return f"with {views}, {body[4:].strip()}" if body[:5].lower() == "with " else f"with {views} {body}"
 
 
