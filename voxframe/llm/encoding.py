@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from .wordhash import mix, text_bytes
 
-ENTRIES = 3_000_000
+ENTRIES = 2_500_000
 MARK = "|"
 _HEAD = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 # every character but space and line feed that some library takes for white space or drops, and combining marks
@@ -50,8 +50,8 @@ class UnitEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.shape = np.zeros((0, 3), np.uint64)
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.head, self.tail, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8)
         self.long: dict[bytes, tuple[int, int]] = {}
         self.ids = np.zeros(0, dtype="<u2")
 
@@ -105,7 +105,6 @@ class UnitEncoder:
         eight = np.ndarray(len(raw) + 1, dtype="<u8", buffer=data, strides=(1,))
         head = eight[start] & _HEAD[np.minimum(n, 8)]
         tail = np.where(n > 8, eight[np.maximum(end - 8, 0)], np.uint64(0))
-        shape = np.stack([n.astype(np.uint64), head, tail], axis=1)
         keys, first, back = np.unique(mix(head ^ mix(tail ^ (n.astype(np.uint64) << np.uint64(56)))), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), dtype=bool)
@@ -117,13 +116,13 @@ class UnitEncoder:
             body = raw.tobytes()
             where, sizes = self._add([body[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
             self.keys, self.at, self.size = (np.insert(x, place[new], y) for x, y in ((self.keys, keys[new]), (self.at, where), (self.size, sizes)))
-            self.shape = np.insert(self.shape, place[new], shape[first[new]], axis=0)
+            self.head, self.tail, self.bytes = (np.insert(x, place[new], y[first[new]]) for x, y in ((self.head, head), (self.tail, tail), (self.bytes, n)))
         odd = np.arange(len(n))
         if len(self.keys):
             mine = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)[back]
-            at, size = self.at[mine], self.size[mine]
+            at, size = self.at[mine].astype(np.int64), self.size[mine].astype(np.int64)
             # longer units, and any whose key another unit has
-            odd = np.flatnonzero((n > 16) | (self.shape[mine] != shape).any(axis=1))
+            odd = np.flatnonzero((n > 16) | (self.head[mine] != head) | (self.tail[mine] != tail) | (self.bytes[mine] != n))
         if len(odd):
             at[odd], size[odd] = self._look_up_long([raw[a:b].tobytes() for a, b in zip(start[odd].tolist(), end[odd].tolist(), strict=True)])
         return at, size

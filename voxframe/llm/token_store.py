@@ -26,7 +26,7 @@ from .common import partitions_for, slices, with_text
 from .encoding import encoder
 from .wordhash import mix
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 WINDOW = 16
 LEAST, MASK, MOST = 64, 0xFF, 2048
 FAN = 1024
