@@ -120,3 +120,28 @@ def shape_features(mask: DataFrame, keys: list[str], spacing: tuple[float, float
     axis = lambda n: 4 * F.sqrt(F.col(n))
     ratio = lambda n: F.when(F.col("l1") > 0, F.sqrt(F.col(n) / F.col("l1")))
     return m.join(d, keys).select(*keys, "volume", "diameter_3d", "diameter_slice", axis("l1").alias("major"), axis("l2").alias("minor"), axis("l3").alias("least"), ratio("l2").alias("elongation"), ratio("l3").alias("flatness"))
+
+
+def first_order(values: DataFrame, keys: list[str], spacing: tuple[float, float, float], width: float = 25.0, value: str = "intensity") -> DataFrame:
+    """The 18 first-order features of a region's intensities; entropy and uniformity over levels of `width`.
+
+    Total energy is per voxel volume in mm3; robust deviation is over values between the 10th and 90th percentile; a flat
+    region has skewness and kurtosis 0.
+    """
+    v = F.col(value)
+    base = values.groupBy(*keys).agg(F.avg(v).alias("_m"), F.percentile(v, F.lit(0.1)).alias("_p10"), F.percentile(v, F.lit(0.9)).alias("_p90"))
+    j = values.select(*keys, v.alias(value)).join(base, keys)
+    core = (v >= F.col("_p10")) & (v <= F.col("_p90"))
+    robust = j.groupBy(*keys).agg(F.avg(F.when(core, v)).alias("_r"))
+    j = j.join(robust, keys)
+    d = v - F.col("_m")
+    quarter = [F.percentile(v, F.lit(q)) for q in (0.25, 0.75)]
+    flat = F.var_pop(v) == 0
+    out = j.groupBy(*keys).agg(
+        F.sum(v * v).alias("energy"), (F.sum(v * v) * F.lit(float(spacing[0] * spacing[1] * spacing[2]))).alias("total_energy"), F.min(v).alias("minimum"), F.first("_p10").alias("p10"), F.first("_p90").alias("p90"), F.max(v).alias("maximum"),
+        F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), (quarter[1] - quarter[0]).alias("iqr"), (F.max(v) - F.min(v)).alias("range"), F.avg(F.abs(d)).alias("mad"), F.avg(F.when(core, F.abs(v - F.col("_r")))).alias("robust_mad"),
+        F.sqrt(F.avg(v * v)).alias("rms"), F.when(flat, 0.0).otherwise(F.avg(d * d * d) / F.pow(F.var_pop(v), 1.5)).alias("skewness"), F.when(flat, 0.0).otherwise(F.avg(d * d * d * d) / F.pow(F.var_pop(v), 2)).alias("kurtosis"), F.var_pop(v).alias("variance"),
+    )
+    low = values.groupBy(*keys).agg(F.floor(F.min(v) / width).alias("_lo"), F.count(v).alias("_n"))
+    levels = values.join(low, keys).groupBy(*keys, (F.floor(v / width) - F.col("_lo")).alias("_level")).agg((F.count("*") / F.first("_n")).alias("_p"))
+    return out.join(levels.groupBy(*keys).agg((-F.sum(F.col("_p") * F.log2("_p"))).alias("entropy"), F.sum(F.col("_p") * F.col("_p")).alias("uniformity")), keys)

@@ -1,2 +1,350 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries on score tables by the operators, and SQL of their own that checks them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import inference as inf
+from ..operators import neighbours as nb
+from ..operators import overlap
+from ..operators import scores as sc
+from ..tables import X, Y, Z, view
+from . import runs, voxels
+
+KEYS, MODELS, SPACING = ["case_id", "frame_tag"], ["model_a", "model_n", "model_r"], (10.0, 1.25, 1.25)
+STRUCTURES, GRID = ["rv", "myo", "lv"], Z * Y * X
+DICE, FAR = [f"dice_{s}" for s in STRUCTURES], [f"hd95_{s}" for s in STRUCTURES]
+
+
+def _frames(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "frame_metrics")
+
+
+def _rounded(df: DataFrame, *keep: str, digits: int = 6) -> DataFrame:
+    return df.select(*(F.col(f"`{c}`") if c in keep or t not in ("double", "float") else F.round(f"`{c}`", digits).alias(c) for c, t in df.dtypes))
+
+
+def labels_present(spark: SparkSession, d: str) -> DataFrame:
+    return sc.labels_present(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"))
+
+
+def regions(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of merged labels: the left heart, and all of the heart."""
+    merged = {1: [2, 3], 2: [1, 2, 3]}
+    c = overlap.confusion(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, ["model"], [1, 2], GRID, merged, merged)
+    return c.groupBy("model", "label").agg(F.round(F.avg(F.expr(overlap.METRICS["dice"]).cast("double")), 6).alias("dice"))
+
+
+def sparse_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Confusion counts of masks that list foreground only, against a reference that some models lack voxels of."""
+    pred = view(spark, d, "vox_pred").filter("label > 0 and not (model = 'model_b' and label = 1)")
+    return overlap.confusion(pred, view(spark, d, "vox_gt").filter("label > 0"), KEYS, ["model"], [1, 2, 3], GRID)
+
+
+def matrix(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(sc.metric_matrix(voxels.counts(spark, d), [*KEYS, "model"], ["dice", "jaccard"], [1, 2, 3]))
+
+
+def case_means(spark: SparkSession, d: str) -> DataFrame:
+    m = sc.metric_matrix(voxels.counts(spark, d), [*KEYS, "model"], ["dice", "precision", "recall"], [1, 2, 3])
+    both = [sc.case_means(m, ["model", "metric"], [1, 2, 3], skip).withColumn("skip_missing", F.lit(skip)) for skip in (True, False)]
+    return _rounded(both[0].unionByName(both[1]))
+
+
+def structure_means(spark: SparkSession, d: str) -> DataFrame:
+    out = _frames(spark, d).select("patient_id", "model", "frame_tag", sc.mean_of_finite(DICE).alias("dice_mean"), sc.mean_of_finite(FAR, float("inf")).alias("hd95_mean"))
+    return _rounded(out)
+
+
+def patient_by_model(spark: SparkSession, d: str) -> DataFrame:
+    s = _frames(spark, d).withColumn("dice_mean", sc.mean_of_finite(DICE))
+    return _rounded(sc.first_by(s, "patient_id", "model", MODELS, "dice_mean", F.col("frame_tag")))
+
+
+def patient_level(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(sc.patient_level(_frames(spark, d), ["model", "patient_id"], [*DICE, "hd95_rv", "hd95_lv"]))
+
+
+def accuracy_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(sc.summarise(_frames(spark, d), [["model"], ["model", "frame_tag"]], "patient_id", ["dice_lv"], ["hd95_rv"], resamples=200))
+
+
+def _table(spark: SparkSession, d: str, by: str) -> DataFrame:
+    m = sc.many_to_one(_frames(spark, d), view(spark, d, "subjects").select("patient_id", by), "patient_id")
+    return _rounded(sc.row_means(m, [by, "model"], "patient_id", DICE))
+
+
+def vendor_table(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "vendor")
+
+
+def pathology_table(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "pathology")
+
+
+def failure_rates(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(sc.failure_rates(sc.long_scores(_frames(spark, d), ["patient_id", "model", "frame_tag"], STRUCTURES), ["model", "structure"]))
+
+
+def failure_predicate(spark: SparkSession, d: str) -> DataFrame:
+    l = sc.long_scores(_frames(spark, d), ["patient_id", "model", "frame_tag"], STRUCTURES)
+    return l.select("patient_id", "model", "frame_tag", "structure", sc.failed(F.col("dice"), F.col("hd95")).alias("failed"))
+
+
+def label_schemas(spark: SparkSession, d: str) -> DataFrame:
+    """Which structures each architecture in use is scored on."""
+    found = [r.a for r in view(spark, d, "mask_files").select(F.split_part(F.regexp_extract("path", "_(?:ED|ES|frame[0-9]+)_(.*)[.]nii", 1), F.lit("__"), F.lit(1)).alias("a")).distinct().collect()]  # a handful of architectures
+    rows = [(a, s, k, name) for a, s in [*((a, sc.schema_for(a)) for a in sorted(found)), ("atrial_nnunet", sc.schema_for("atrial_nnunet", "atrial_la_cavity"))] for k, name in sc.SCHEMAS[s]["labels"].items()]
+    return spark.createDataFrame(rows, "architecture string, schema string, label int, name string")
+
+
+def binary_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions against a reference of one structure: the union of all labels, and label 3 alone."""
+    p, r = view(spark, d, "vox_pred"), view(spark, d, "vox_gt").withColumn("label", F.when(F.col("label") > 1, 255).otherwise(0))
+    both = [sc.score_by_schema(p, r, KEYS, ["model"], s, GRID).withColumn("schema", F.lit(s)) for s in ("atrial_binary_union", "atrial_la_cavity")]
+    c = both[0].unionByName(both[1])
+    return c.groupBy("schema", "name", "model").agg(F.count("*").alias("n"), F.round(F.avg(F.expr(overlap.METRICS["dice_or_one"]).cast("double")), 6).alias("dice"))
+
+
+def standalone(spark: SparkSession, d: str) -> DataFrame:
+    """Dice of run against run and of each against the reference, averaged per structure."""
+    p, g = view(spark, d, "vox_pred"), view(spark, d, "vox_gt")
+    a, b = (p.filter(F.col("model") == m).drop("model") for m in ("model_a", "model_b"))
+    pairs = {"a_b": (a, b), "a_gt": (a, g), "b_gt": (b, g)}
+    out = None
+    for name, (x, y) in pairs.items():
+        c = overlap.confusion(x, y, KEYS, [], [1, 2, 3], GRID).select(*KEYS, "label", F.lit(name).alias("pair"), F.expr(overlap.METRICS["dice_or_one"]).cast("double").alias("dice"))
+        out = c if out is None else out.unionByName(c)
+    return out.groupBy("pair", "label").agg(F.count("*").alias("n"), F.round(F.avg("dice"), 6).alias("mean"), F.round(F.min("dice"), 6).alias("least"))
+
+
+def determinism(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs: masks that are identical, least voxel agreement, and the largest difference of a frame's Dice."""
+    p = view(spark, d, "vox_pred")
+    a, b = (p.filter(F.col("model") == m).drop("model") for m in ("model_a", "model_c"))
+    same = sc.agreement(a, b, KEYS)
+    dice = [overlap.confusion(x, view(spark, d, "vox_gt"), KEYS, [], [1, 2, 3], GRID).select(*KEYS, "label", F.expr(overlap.METRICS["dice_or_one"]).cast("double").alias(n)) for x, n in ((a, "x"), (b, "y"))]
+    far = dice[0].join(dice[1], [*KEYS, "label"]).groupBy(*KEYS).agg(F.max(F.abs(F.col("x") - F.col("y"))).alias("far"))
+    return _rounded(same.join(far, KEYS).groupBy("frame_tag").agg(F.count("*").alias("masks"), F.count_if("identical").alias("identical"), F.min("agreement").alias("least_agreement"), F.max("far").alias("largest_difference")))
+
+
+def clinical(spark: SparkSession, d: str) -> DataFrame:
+    wall = nb.wall_thickness(view(spark, d, "vox_gt"), KEYS, 2, 3, SPACING)
+    return _rounded(sc.clinical(voxels.volumes(spark, d).join(wall, KEYS, "left"), ["case_id"]))
+
+
+def many_to_one(spark: SparkSession, d: str) -> DataFrame:
+    return sc.many_to_one(_frames(spark, d).select("patient_id", "model", "frame_tag"), view(spark, d, "subjects").select("patient_id", "vendor", "age"), "patient_id")
+
+
+def all_found(spark: SparkSession, d: str) -> DataFrame:
+    """Frames per vendor after a join in which every subject must be found."""
+    j = _frames(spark, d).join(view(spark, d, "subjects").select("patient_id", "vendor"), "patient_id", "left")
+    return sc.all_found(j, "vendor", "patient_id").groupBy("vendor").agg(F.count("*").alias("frames"))
+
+
+def adjusted(spark: SparkSession, d: str) -> DataFrame:
+    """Mean Dice loss per model and structure with its adjusted p attached; structures without a test keep null."""
+    l = sc.long_scores(_frames(spark, d), ["patient_id", "model", "frame_tag"], STRUCTURES)
+    means = l.groupBy("model", "structure").agg(F.round(F.avg(1 - F.col("dice")) / 10, 6).alias("p"))
+    tests = inf.holm(means.filter("structure <> 'rv'"), ["model"], "p", ["structure"]).select("model", "structure", "p_holm")
+    return _rounded(means.join(tests, ["model", "structure"], "left"))
+
+
+def phases(spark: SparkSession, d: str) -> DataFrame:
+    """One row per patient and model with the columns of both phases."""
+    f = _frames(spark, d)
+    return _rounded(f.groupBy("patient_id", "model").agg(*(F.max(F.when(F.col("frame_tag") == t, F.col(c))).alias(f"{t.lower()}_{c}") for t in ("ED", "ES") for c in ("dice_lv", "hd95_lv"))))
+
+
+def label_volumes(spark: SparkSession, d: str, labels: dict[str, list[int]] | None = None) -> DataFrame:
+    """Volumes of named label sets."""
+    ml = SPACING[0] * SPACING[1] * SPACING[2] / 1000
+    sets = labels or {"cavities": [1, 3], "wall": [2], "left": [2, 3]}
+    return _rounded(view(spark, d, "vox_gt").groupBy(*KEYS).agg(*((F.count_if(F.col("label").isin(v)) * F.lit(ml)).alias(k) for k, v in sets.items())))
+
+
+def clipped(spark: SparkSession, d: str) -> DataFrame:
+    """Intensities clipped to percentiles, scaled to 0..1 and to bytes: means and byte range per label."""
+    i = view(spark, d, "vox_img")
+    ends = i.groupBy(*KEYS).agg(F.percentile("intensity", F.lit(0.0095)).alias("lo"), F.percentile("intensity", F.lit(0.995)).alias("hi"))
+    c = i.join(ends, KEYS).withColumn("v", F.least(F.greatest("intensity", "lo"), F.col("hi")))
+    s = c.groupBy(*KEYS).agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("sd"), F.min("v").alias("a"), F.max("v").alias("b"))
+    z = c.join(s, KEYS).withColumn("z", F.when(F.col("sd") > 0, (F.col("v") - F.col("m")) / F.col("sd")).otherwise(0.0)).withColumn("u", F.when(F.col("b") > F.col("a"), (F.col("v") - F.col("a")) / (F.col("b") - F.col("a"))).otherwise(0.0))
+    return _rounded(z.groupBy(*KEYS, "label").agg(F.avg("z").alias("z"), F.avg("u").alias("unit"), F.max((F.col("u") * 255).cast("int")).alias("top_byte")), digits=5)
+
+
+def dataset_clip(spark: SparkSession, d: str) -> DataFrame:
+    """Z-scores by statistics of all foreground voxels of the dataset, clipped to its percentiles."""
+    i = view(spark, d, "vox_img")
+    s = i.filter("label > 0").agg(F.avg("intensity").alias("m"), F.stddev_pop("intensity").alias("sd"), F.percentile("intensity", F.lit(0.005)).alias("lo"), F.percentile("intensity", F.lit(0.995)).alias("hi"))
+    v = (F.least(F.greatest("intensity", "lo"), F.col("hi")) - F.col("m")) / (F.col("sd") + 1e-8)
+    return _rounded(i.crossJoin(F.broadcast(s)).groupBy(*KEYS, "label").agg(F.avg(v).alias("z")), digits=5)
+
+
+def slice_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Dice and 95th percentile distance of every slice, averaged to case, phase and model; infinite distances don't count."""
+    p, g = (view(spark, d, n).withColumn("slice", F.col("z")) for n in ("vox_pred", "vox_gt"))
+    group = [*KEYS, "slice", "model"]
+    c = overlap.confusion(p, g, [*KEYS, "slice"], ["model"], [3], Y * X).select(*group, F.expr(overlap.METRICS["dice_or_one"]).cast("double").alias("dice"))
+    # a slice has no neighbours above and below: its voxels are shown with a flat z
+    flat = [m.filter("label = 3").drop("label").withColumn("z", F.lit(0)) for m in (p, g)]
+    groups = p.select(*group).distinct()
+    far = nb.surface_distances(flat[0], flat[1].join(groups, [*KEYS, "slice"]), group, SPACING, groups=groups)
+    return _rounded(c.join(far, group).groupBy(*KEYS, "model").agg(F.avg("dice").alias("dice"), F.avg(sc.finite(F.col("hd95"))).alias("hd95"), F.count(sc.finite(F.col("hd95"))).alias("finite")))
+
+
+def first_order(spark: SparkSession, d: str) -> DataFrame:
+    """All 18 first-order features of the wall's intensities."""
+    from ..operators import texture as tx
+
+    out = tx.first_order(view(spark, d, "vox_img").filter("label = 2"), KEYS, SPACING, width=5.0)
+    return out.select(*KEYS, *(F.col(c) if c in ("minimum", "maximum", "range") else F.round(F.col(c) + 1e-9, 5).alias(c) for c in out.columns[2:]))
+
+
+def effect_table(spark: SparkSession, d: str) -> DataFrame:
+    """Two variants per structure: means of the paired patients, change with its interval, signed-rank W+; Holm over myo and lv only."""
+    l = sc.patient_level(_frames(spark, d), ["model", "patient_id"], DICE)
+    out = None
+    for s in STRUCTURES:
+        wide = l.groupBy("patient_id").pivot("model", ["model_a", "model_r"]).agg(F.round(F.max(f"dice_{s}"), 6)).filter("model_a is not null and model_r is not null")
+        one = wide.select(F.lit(s).alias("structure"), "patient_id", "model_a", "model_r", F.round(F.col("model_r") - F.col("model_a"), 6).alias("change"))
+        out = one if out is None else out.unionByName(one)
+    stats = out.groupBy("structure").agg(F.avg("model_a").alias("raw"), F.avg("model_r").alias("cleaned"), F.avg("change").alias("change"))
+    ends = inf.bootstrap_mean(out, ["structure"], "change", ["patient_id"], 200).select("structure", "n", "low", "high")
+    ranks = inf.signed_rank(out, ["structure"], "model_r", "model_a").select("structure", "w_plus", "p")
+    tested = inf.holm(ranks.filter("structure <> 'rv'").withColumn("_all", F.lit(1)), ["_all"], "p", ["structure"]).select("structure", "p_holm")
+    return _rounded(stats.join(ends, "structure").join(ranks, "structure").join(tested, "structure", "left"))
+
+
+def signed_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """W+ and median difference of every pair of models and structure, in windows of one pair each."""
+    l = sc.patient_level(_frames(spark, d), ["model", "patient_id"], DICE)
+    a = l.select("patient_id", F.col("model").alias("model_a"), F.round("dice_lv", 6).alias("a"))
+    pairs = a.join(l.select("patient_id", F.col("model").alias("model_b"), F.round("dice_lv", 6).alias("b")), "patient_id").filter("model_a < model_b")
+    return _rounded(inf.signed_rank(pairs, ["model_a", "model_b"], "a", "b").drop("p"))
+
+
+def supplement(spark: SparkSession, d: str) -> DataFrame:
+    """Formatted rows: mean (sd) of Dice and median [quartiles] of distance per model and phase."""
+    s = sc.summarise(_frames(spark, d), [["model", "frame_tag"]], "patient_id", ["dice_lv"], ["hd95_rv"], resamples=20)
+    return s.select("model", "frame_tag", F.format_string("%.3f (%.3f)", "dice_lv_mean", "dice_lv_sd").alias("dice"), F.format_string("%.1f [%.1f, %.1f]", "hd95_rv_median", "hd95_rv_q1", "hd95_rv_q3").alias("hd95"))
+
+
+def user_metric(spark: SparkSession, d: str) -> DataFrame:
+    """A metric that a user adds by name, asked for beside a known one."""
+    overlap.METRICS.setdefault("volume_similarity", "1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0)")
+    return voxels.counts(spark, d).select(*KEYS, "model", "label", *(overlap.metric(n) for n in ("volume_similarity", "jaccard")))
+
+
+def per_frame(spark: SparkSession, d: str) -> DataFrame:
+    """A function of one frame, the share of its heart that is pool, lifted over time by keys that include the frame."""
+
+    def pool_share(v: DataFrame, keys: list[str]) -> DataFrame:
+        return v.groupBy(*keys).agg(F.round(F.count_if(F.col("label") == 3) / F.nullif(F.count_if(F.col("label") > 0), F.lit(0)), 6).alias("share"))
+
+    return view(spark, d, "vox_gt").transform(pool_share, KEYS)
+
+
+QUERIES = {
+    "A17_labels_present": labels_present, "A17_regions": regions, "A01_sparse_masks": sparse_counts, "A18_metric_matrix": matrix, "A19_case_means": case_means, "A20_structure_means": structure_means, "A22_patient_by_model": patient_by_model,
+    "A23_patient_level": patient_level, "A24_accuracy_summary": accuracy_summary, "A25_vendor_table": vendor_table, "A25_pathology_table": pathology_table, "A26_failure_rates": failure_rates, "P08_failure_predicate": failure_predicate,
+    "P09_label_schemas": label_schemas, "P10_binary_masks": binary_masks, "A35_standalone_agreement": standalone, "A34_determinism": determinism, "A38_clinical_measures": clinical, "J05_many_to_one": many_to_one, "J11_all_found": all_found,
+    "J22_adjusted_p": adjusted, "J24_phases_in_one_row": phases, "A31_label_volumes": label_volumes, "A51_clipped": clipped, "A53_dataset_clip": dataset_clip, "A60_slice_scores": slice_scores, "V28_all_first_order": first_order,
+    "R03_effect_table": effect_table, "W12_signed_ranks": signed_ranks, "R05_supplement": supplement, "U01_user_metric": user_metric, "U02_per_frame": per_frame,
+}
+
+COUNTS = voxels.COUNTS
+INF = "'Infinity'::double"
+LONG = " union all ".join(f"select patient_id, model, frame_tag, '{s}' as structure, dice_{s} as dice, hd95_{s} as hd95 from frame_metrics" for s in STRUCTURES)
+FIN = "case when hd95_{0} < 'Infinity'::double then hd95_{0} end"
+PAT = "select model, patient_id, " + ", ".join(f"avg({c}) as {c}" for c in (*DICE, "hd95_rv", "hd95_lv")) + " from frame_metrics group by model, patient_id"
+
+
+def _dice(p: str, r: str) -> str:
+    return f"case when count_if({p}) + count_if({r}) = 0 then 1 else 2.0 * count_if({p} and {r}) / (count_if({p}) + count_if({r})) end"
+
+
+def _pair(a: str, b: str) -> str:
+    """Dice per frame and label of two label columns of a joined table j."""
+    return f"select case_id, frame_tag, l.label, {_dice(f'{a} = l.label', f'{b} = l.label')} as dice from j cross join (values (1), (2), (3)) l(label) group by case_id, frame_tag, l.label"
+
+
+_join = "j as (select g.case_id, g.frame_tag, g.label as g, a.label as a, b.label as b from vox_gt g join vox_pred a on a.model = 'model_a' and a.case_id = g.case_id and a.frame_tag = g.frame_tag and a.z = g.z and a.y = g.y and a.x = g.x join vox_pred b on b.model = '{m}' and b.case_id = g.case_id and b.frame_tag = g.frame_tag and b.z = g.z and b.y = g.y and b.x = g.x)"
+
+
+def _bootstrap(values: str, keys: str, resamples: int) -> str:
+    """CTEs v, s, m: numbered values (keys, i, v), their mean, and the means of the draws; `values` has keys, v and tie."""
+    eq = lambda a, b: " and ".join(f"{a}.{k.strip()} is not distinct from {b}.{k.strip()}" for k in keys.split(","))
+    q = lambda a: ", ".join(f"{a}.{k.strip()}" for k in keys.split(","))
+    return f"""v as (select {keys}, row_number() over (partition by {keys} order by v, tie) - 1 as i, v from ({values}) t where v is not null and abs(v) < {INF}), s as (select {keys}, count(*) as n, avg(v) as mean from v group by {keys}),
+        dr as (select {keys}, n, cast(b as bigint) as b, cast(unnest(range(0, n)) as bigint) as k from s cross join RANGE(b, {resamples}) b), m as (select {q('dr')}, b, avg(v) as m from dr join v on {eq('v', 'dr')} and v.i = {runs._mix} % n group by {q('dr')}, b),
+        ci as (select {keys}, quantile_cont(m, 0.025) as lo, quantile_cont(m, 0.975) as hi from m group by {keys})"""
+
+
+def _summary(keys: str, resamples: int) -> str:
+    per = f"select {keys}, patient_id as tie, avg(dice_lv) as v, avg(hd95_rv) as h from frame_metrics group by {keys}, patient_id"
+    on = " and ".join(f"a.{k.strip()} = ci.{k.strip()}" for k in keys.split(","))
+    pick = "a.model, a.frame_tag" if "frame_tag" in keys else "a.model, cast(null as varchar) as frame_tag"
+    return f"(with {_bootstrap(per, keys, resamples)}, a as (select {keys}, count(*) as n, avg(v) as m, stddev_samp(v) as sd, quantile_cont(h, 0.25) as q1, quantile_cont(h, 0.5) as q2, quantile_cont(h, 0.75) as q3 from ({per}) p group by {keys}) select {pick}, n as n_patients, round(m, 6) as dice_lv_mean, round(sd, 6) as dice_lv_sd, round(q1, 6) as hd95_rv_q1, round(q2, 6) as hd95_rv_median, round(q3, 6) as hd95_rv_q3, round(lo, 6) as dice_lv_ci_lo, round(hi, 6) as dice_lv_ci_hi from a left join ci on {on})"
+
+
+_lab = {m: f"1.0 * {n}" for m, n in (("dice", "2 * tp / nullif(2 * tp + fp + fn, 0)"), ("jaccard", "tp / nullif(tp + fp + fn, 0)"), ("precision", "tp / nullif(tp + fp, 0)"), ("recall", "tp / nullif(tp + fn, 0)"))}
+_labv = lambda names: " union all ".join(f"select case_id, frame_tag, model, label, '{n}' as metric, {_lab[n]} as v from c" for n in names)
+_mean3 = lambda how: ", ".join(how.format(k=k) + f' as "{k}"' for k in (1, 2, 3))
+_change = " union all ".join(f"select '{s}' as structure, a.patient_id, round(a.dice_{s}, 6) as a, round(r.dice_{s}, 6) as r, round(round(r.dice_{s}, 6) - round(a.dice_{s}, 6), 6) as c from p a join p r on a.patient_id = r.patient_id and a.model = 'model_a' and r.model = 'model_r'" for s in STRUCTURES)
+ORACLES = {
+    "A17_labels_present": "select distinct label from (select label from vox_pred union all select label from vox_gt) t where label > 0",
+    "A17_regions": "select model, label, round(avg(dice), 6) as dice from (select p.case_id, p.frame_tag, p.model, k.label, 2.0 * count_if(p.label >= k.low and g.label >= k.low) / nullif(count_if(p.label >= k.low) + count_if(g.label >= k.low), 0) as dice from vox_pred p join vox_gt g using (case_id, frame_tag, z, y, x) cross join (values (1, 2), (2, 1)) k(label, low) group by all) t group by model, label",
+    "A01_sparse_masks": "select p.case_id, p.frame_tag, p.model, k.label, count_if(q = k.label and g.label = k.label) as tp, count_if(q = k.label and g.label <> k.label) as fp, count_if(q <> k.label and g.label = k.label) as fn, count_if(q <> k.label and g.label <> k.label) as tn from (select *, case when model = 'model_b' and label = 1 then 0 else label end as q from vox_pred) p join vox_gt g using (case_id, frame_tag, z, y, x) cross join (values (1), (2), (3)) k(label) group by p.case_id, p.frame_tag, p.model, k.label",
+    "A18_metric_matrix": f"with c as ({COUNTS}), l as ({_labv(('dice', 'jaccard'))}) select case_id, frame_tag, model, metric, {_mean3('round(max(case when label = {k} then v end), 6)')} from l group by case_id, frame_tag, model, metric",
+    "A19_case_means": f"with c as ({COUNTS}), l as ({_labv(('dice', 'precision', 'recall'))}) select model, metric, skip_missing, {_mean3('round(case when skip_missing or count(case when label = {k} and v is null then 1 end) = 0 then avg(case when label = {k} then v end) end, 6)')} from l cross join (values (true), (false)) k(skip_missing) group by model, metric, skip_missing",
+    "A20_structure_means": f"select patient_id, model, frame_tag, round((dice_rv + dice_myo + dice_lv) / 3, 6) as dice_mean, round(coalesce(list_avg([x for x in [{', '.join(FIN.format(s) for s in STRUCTURES)}] if x is not null]), {INF}), 6) as hd95_mean from frame_metrics",
+    "A22_patient_by_model": "select patient_id, " + ", ".join(f"round(coalesce(max(case when model = '{m}' and frame_tag = 'ED' then d end), max(case when model = '{m}' then d end)), 6) as {m}" for m in MODELS) + " from (select *, (dice_rv + dice_myo + dice_lv) / 3 as d from frame_metrics) t group by patient_id",
+    "A23_patient_level": "select model, patient_id, " + ", ".join(f"round({c}, 6) as {c}" for c in (*DICE, "hd95_rv", "hd95_lv")) + f" from ({PAT}) p",
+    "A24_accuracy_summary": f"select * from {_summary('model', 200)} union all select * from {_summary('model, frame_tag', 200)}",
+    "A25_vendor_table": "select vendor, model, count(*) as n_patients, round(avg(m), 6) as dice_avg_mean from (select vendor, model, patient_id, avg((dice_rv + dice_myo + dice_lv) / 3) as m from frame_metrics left join subjects using (patient_id) group by vendor, model, patient_id) t group by vendor, model",
+    "A25_pathology_table": "select pathology, model, count(*) as n_patients, round(avg(m), 6) as dice_avg_mean from (select pathology, model, patient_id, avg((dice_rv + dice_myo + dice_lv) / 3) as m from frame_metrics left join subjects using (patient_id) group by pathology, model, patient_id) t group by pathology, model",
+    "A26_failure_rates": f"select model, structure, count(*) as n_frames, count_if(bad) as failures, round(count_if(bad) / count(*), 6) as failure_rate, count_if(hd95 is null or hd95 = {INF}) as missing from (select *, dice < 0.5 or hd95 is null or hd95 > 20 as bad from ({LONG}) l) t group by model, structure",
+    "P08_failure_predicate": f"select patient_id, model, frame_tag, structure, dice < 0.5 or hd95 is null or hd95 > 20 as failed from ({LONG}) l",
+    "P09_label_schemas": "select architecture, 'ventricular' as schema, label, name from (select distinct split_part(regexp_extract(path, '_(?:ED|ES|frame[0-9]+)_(.*)[.]nii', 1), '__', 1) as architecture from mask_files) a cross join (values (1, 'rv'), (2, 'myo'), (3, 'lv')) l(label, name) union all select 'atrial_nnunet', 'atrial_la_cavity', 3, 'la'",
+    "P10_binary_masks": f"select schema, name, model, count(*) as n, round(avg(dice), 6) as dice from (select k.schema, k.name, p.model, p.case_id, p.frame_tag, {_dice('p.label >= k.low', 'g.label > 1')} as dice from vox_pred p join vox_gt g using (case_id, frame_tag, z, y, x) cross join (values ('atrial_binary_union', 'biatrial', 1), ('atrial_la_cavity', 'la', 3)) k(schema, name, low) group by all) t group by schema, name, model",
+    "A35_standalone_agreement": f"with {_join.format(m='model_b')}, d as (select 'a_b' as pair, * from ({_pair('a', 'b')}) t union all select 'a_gt', * from ({_pair('a', 'g')}) t union all select 'b_gt', * from ({_pair('b', 'g')}) t) select pair, label, count(*) as n, round(avg(dice), 6) as mean, round(min(dice), 6) as least from d group by pair, label",
+    "A34_determinism": f"with {_join.format(m='model_c')}, s as (select case_id, frame_tag, count_if(a <> b) = 0 as identical, count_if(a = b) / count(*) as agreement from j group by case_id, frame_tag), f as (select x.case_id, x.frame_tag, max(abs(x.dice - y.dice)) as far from ({_pair('a', 'g')}) x join ({_pair('b', 'g')}) y using (case_id, frame_tag, label) group by all) select frame_tag, count(*) as masks, count_if(identical) as identical, round(min(agreement), 6) as least_agreement, round(max(far), 6) as largest_difference from s join f using (case_id, frame_tag) group by frame_tag",
+    "A38_clinical_measures": """with w as (select case_id, max(d) as wall_mm from (select a.case_id, a.z, a.y, a.x, min(sqrt(pow((a.y - b.y) * 1.25, 2) + pow((a.x - b.x) * 1.25, 2))) as d from (select distinct v.* from vox_gt v join vox_gt p on p.case_id = v.case_id and p.frame_tag = 'ED' and p.label = 3 and p.z = v.z and abs(p.y - v.y) + abs(p.x - v.x) = 1 where v.label = 2 and v.frame_tag = 'ED') a
+          join vox_gt b on a.case_id = b.case_id and b.frame_tag = 'ED' and a.z = b.z and b.label not in (2, 3) group by all) t group by case_id),
+        n as (select case_id, """ + ", ".join(f"count_if(label = {k} and frame_tag = '{t}') * 0.015625::double as {v}" for k, t, v in ((3, "ED", "lvedv"), (3, "ES", "lvesv"), (1, "ED", "rvedv"), (1, "ES", "rvesv"), (2, "ED", "myo"))) + """ from vox_gt group by case_id)
+        select case_id, round(lvedv, 6) as lvedv, round(lvesv, 6) as lvesv, round(rvedv, 6) as rvedv, round(rvesv, 6) as rvesv, round(1.05 * myo, 6) as mass_g, round(wall_mm, 6) as wall_mm, case when lvedv > 0 then round(100 * (lvedv - lvesv) / lvedv, 6) end as lvef, case when rvedv > 0 then round(100 * (rvedv - rvesv) / rvedv, 6) end as rvef from n left join w using (case_id)""",
+    "J05_many_to_one": "select patient_id, model, frame_tag, vendor, age from frame_metrics left join subjects using (patient_id)",
+    "J11_all_found": "select vendor, count(*) as frames from frame_metrics join subjects using (patient_id) group by vendor",
+    "J22_adjusted_p": f"with m as (select model, structure, round(avg(1 - dice) / 10, 6) as p from ({LONG}) l group by model, structure), t as (select *, row_number() over (partition by model order by p, structure) as r from m where structure <> 'rv') select m.model, m.structure, m.p, round(case t.r when 1 then least(1, 2 * m.p) when 2 then least(1, greatest(m.p, 2 * o.p)) end, 6) as p_holm from m left join t on m.model = t.model and m.structure = t.structure left join t o on o.model = m.model and o.r = 1",
+    "J24_phases_in_one_row": "select patient_id, model, " + ", ".join(f"round(max({c}) filter (frame_tag = '{t}'), 6) as {t.lower()}_{c}" for t in ("ED", "ES") for c in ("dice_lv", "hd95_lv")) + " from frame_metrics group by patient_id, model",
+    "A31_label_volumes": "select case_id, frame_tag, round(count(*) filter (label in (1, 3)) * 0.015625::double, 6) as cavities, round(count(*) filter (label = 2) * 0.015625::double, 6) as wall, round(count(*) filter (label in (2, 3)) * 0.015625::double, 6) as \"left\" from vox_gt group by case_id, frame_tag",
+    "A51_clipped": """with c as (select i.*, least(greatest(intensity, lo), hi) as v from vox_img i join (select case_id, frame_tag, quantile_cont(intensity, 0.0095) as lo, quantile_cont(intensity, 0.995) as hi from vox_img group by case_id, frame_tag) e using (case_id, frame_tag)), s as (select case_id, frame_tag, avg(v) as m, stddev_pop(v) as sd, min(v) as a, max(v) as b from c group by case_id, frame_tag)
+        select case_id, frame_tag, label, round(avg((v - m) / sd), 5) as z, round(avg((v - a) / (b - a)), 5) as unit, max(floor((v - a) / (b - a) * 255))::int as top_byte from c join s using (case_id, frame_tag) group by case_id, frame_tag, label""",
+    "A53_dataset_clip": "with s as (select avg(intensity) as m, stddev_pop(intensity) as sd, quantile_cont(intensity, 0.005) as lo, quantile_cont(intensity, 0.995) as hi from vox_img where label > 0) select case_id, frame_tag, label, round(avg((least(greatest(intensity, lo), hi) - m) / (sd + 1e-8)), 5) as z from vox_img cross join s group by case_id, frame_tag, label",
+    "A60_slice_scores": """with edge as (select p.*, 'p' as side from vox_pred p where label = 3 and (select count(*) from vox_pred o where o.label = 3 and o.case_id = p.case_id and o.frame_tag = p.frame_tag and o.model = p.model and o.z = p.z and abs(o.y - p.y) + abs(o.x - p.x) = 1) < 4),
+        ref as (select v.* from vox_gt v where label = 3 and (select count(*) from vox_gt o where o.label = 3 and o.case_id = v.case_id and o.frame_tag = v.frame_tag and o.z = v.z and abs(o.y - v.y) + abs(o.x - v.x) = 1) < 4),
+        gr as (select p.case_id, p.frame_tag, p.model, p.z, count_if(p.label = 3) as np, count_if(g.label = 3) as ng, count_if(p.label = 3 and g.label = 3) as tp from vox_pred p join vox_gt g using (case_id, frame_tag, z, y, x) group by all),
+        pr as (select e.case_id, e.frame_tag, e.model, e.z, e.y as ey, e.x as ex, r.y as ry, r.x as rx, sqrt(pow((e.y - r.y) * 1.25, 2) + pow((e.x - r.x) * 1.25, 2)) as d from edge e join ref r using (case_id, frame_tag, z)),
+        m as (select case_id, frame_tag, model, z, min(d) as d from pr group by case_id, frame_tag, model, z, ey, ex union all select case_id, frame_tag, model, z, min(d) from pr group by case_id, frame_tag, model, z, ry, rx),
+        h as (select case_id, frame_tag, model, z, quantile_cont(d, 0.95) as h from m group by case_id, frame_tag, model, z),
+        t as (select gr.*, case when np + ng = 0 then 1 else 2.0 * tp / (np + ng) end as dice, case when np = 0 and ng = 0 then 0 when np > 0 and ng > 0 then h end as hd from gr left join h using (case_id, frame_tag, model, z))
+        select case_id, frame_tag, model, round(avg(dice), 6) as dice, round(avg(hd), 6) as hd95, count(hd) as finite from t group by case_id, frame_tag, model""",
+    "V28_all_first_order": """with w as (select case_id, frame_tag, intensity as v from vox_img where label = 2), s as (select case_id, frame_tag, avg(v) as m, min(v) as lo, quantile_cont(v, 0.1) as p10, quantile_cont(v, 0.9) as p90 from w group by case_id, frame_tag),
+        j as (select w.*, m, lo, p10, p90, cast(floor(v / 5.0) - floor(lo / 5.0) as int) as level from w join s using (case_id, frame_tag)), r as (select case_id, frame_tag, avg(v) as rm from j where v between p10 and p90 group by case_id, frame_tag),
+        e as (select case_id, frame_tag, -sum(p * log2(p)) as entropy, sum(p * p) as uniformity from (select case_id, frame_tag, level, count(*) / sum(count(*)) over (partition by case_id, frame_tag) as p from j group by case_id, frame_tag, level) t group by case_id, frame_tag)
+        select j.case_id, j.frame_tag, round(sum(v * v) + 1e-9, 5) as energy, round(15.625 * sum(v * v) + 1e-9, 5) as total_energy, round(any_value(entropy) + 1e-9, 5) as entropy, min(v) as minimum, round(any_value(p10) + 1e-9, 5) as p10, round(any_value(p90) + 1e-9, 5) as p90, max(v) as maximum, round(avg(v) + 1e-9, 5) as mean, round(quantile_cont(v, 0.5) + 1e-9, 5) as median, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25) + 1e-9, 5) as iqr, max(v) - min(v) as "range",
+        round(avg(abs(v - m)) + 1e-9, 5) as mad, round(avg(abs(v - rm)) filter (v between p10 and p90) + 1e-9, 5) as robust_mad, round(sqrt(avg(v * v)) + 1e-9, 5) as rms, round(case when var_pop(v) > 0 then avg(pow(v - m, 3)) / pow(var_pop(v), 1.5) else 0 end + 1e-9, 5) as skewness, round(case when var_pop(v) > 0 then avg(pow(v - m, 4)) / pow(var_pop(v), 2) else 0 end + 1e-9, 5) as kurtosis, round(var_pop(v) + 1e-9, 5) as variance, round(any_value(uniformity) + 1e-9, 5) as uniformity
+        from j join r using (case_id, frame_tag) join e using (case_id, frame_tag) group by j.case_id, j.frame_tag""",
+    "W12_signed_ranks": f"""with p as ({PAT}), d as (select a.model as model_a, b.model as model_b, a.patient_id, round(round(a.dice_lv, 6) - round(b.dice_lv, 6), 12) as d from p a join p b on a.patient_id = b.patient_id and a.model < b.model),
+        r as (select x.model_a, x.model_b, x.d, (select count(*) from d o where o.model_a = x.model_a and o.model_b = x.model_b and o.d <> 0 and abs(o.d) < abs(x.d)) + ((select count(*) from d o where o.model_a = x.model_a and o.model_b = x.model_b and abs(o.d) = abs(x.d)) + 1) / 2.0 as r from d x where x.d <> 0)
+        select m.model_a, m.model_b, coalesce(any_value(n), 0) as n, round(any_value(mid), 6) as median, round(coalesce(any_value(w), 0), 6) as w_plus from (select model_a, model_b, quantile_cont(d, 0.5) as mid from d group by model_a, model_b) m left join (select model_a, model_b, count(*) as n, sum(case when d > 0 then r else 0 end)::double as w from r group by model_a, model_b) s using (model_a, model_b) group by m.model_a, m.model_b""",
+    "R05_supplement": "with p as (select model, frame_tag, patient_id, avg(dice_lv) as v, avg(hd95_rv) as h from frame_metrics group by all) select model, frame_tag, printf('%.3f (%.3f)', avg(v), stddev_samp(v)) as dice, replace(printf('%.1f [%.1f, %.1f]', quantile_cont(h, 0.5), quantile_cont(h, 0.25), quantile_cont(h, 0.75)), 'inf', 'Infinity') as hd95 from p group by model, frame_tag",
+    "U01_user_metric": f"select case_id, frame_tag, model, label, round(1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0), 6)::double as volume_similarity, round(1.0 * tp / nullif(tp + fp + fn, 0), 6)::double as jaccard from ({COUNTS}) c",
+    "U02_per_frame": "select case_id, frame_tag, round(count(*) filter (label = 3) / nullif(count(*) filter (label > 0), 0), 6) as share from vox_gt group by case_id, frame_tag",
+}
+# the interval and the ranks of R03, each by a text of its own; p is a function that SQL lacks
+_effect = f"""with p as ({PAT}), ch as ({_change}), {_bootstrap('select structure, patient_id as tie, c as v from ch', 'structure', 200)}
+    select ch.structure, round(avg(a), 6) as raw, round(avg(r), 6) as cleaned, round(avg(c), 6) as change, count(*) as n, round(any_value(lo), 6) as low, round(any_value(hi), 6) as high from ch join ci using (structure) group by ch.structure"""

@@ -29,9 +29,10 @@ VIEWS = {
     "vox_prob": "select case_id, frame_tag, z, y, x, fold, class, cast(case when label = class then 40 else 10 end + (x * 3 + y * 5 + fold * 7 + class * 11 + case_id) % 37 as double) as p from vox_gt cross join RANGE(fold, 3) f cross join RANGE(class, 4) k",
     "frame_metrics": """select l_suppkey as patient_id, concat('model_', lower(l_returnflag)) as model, case l_linestatus when 'O' then 'ED' else 'ES' end as frame_tag,
         cast(1 - avg(l_discount) as double) as dice_rv, cast(1 - avg(l_tax) as double) as dice_myo, cast(1 - avg(l_discount * l_tax) as double) as dice_lv,
-        case when l_suppkey % 7 = 3 and l_returnflag = 'A' then cast('Infinity' as double) else cast(avg(l_quantity) as double) end as hd95_lv
+        case when l_suppkey % 7 = 3 and l_returnflag = 'A' then cast('Infinity' as double) else cast(avg(l_quantity) as double) end as hd95_lv,
+        case when l_suppkey % 11 = 5 and l_returnflag = 'R' then cast('Infinity' as double) else 0.7 * cast(avg(l_quantity) as double) end as hd95_rv, case when l_suppkey % 13 = 1 then cast(null as double) else 0.5 * cast(avg(l_quantity) as double) end as hd95_myo
         from lineitem group by l_suppkey, l_returnflag, l_linestatus""",
-    "subjects": "select s_suppkey as patient_id, r_name as vendor, n_name as pathology, case when s_suppkey % 10 < 1 then 'train' when s_suppkey % 10 < 2 then 'validation' else 'test' end as split from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
+    "subjects": "select s_suppkey as patient_id, r_name as vendor, n_name as pathology, case when s_suppkey % 10 < 1 then 'train' when s_suppkey % 10 < 2 then 'validation' else 'test' end as split, 30 + s_suppkey % 50 as age, 150 + s_suppkey % 45 as height_cm, cast(50 + s_suppkey % 60 as double) as weight_kg from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
     "lv_curve": "select c_custkey as patient_id, t as frame_index, 10 as n_frames, cast(case when (c_custkey + t) % 13 = 0 then 0 else 60 + (c_custkey * 37 + t * 53) % 61 end as double) as lv_ml from customer cross join RANGE(t, 10) t",
     "trace": """select concat('PROC_', cast(user_id % 8 as string)) as name, case when event_type = 'error' then 'FAILED' else 'COMPLETED' end as status, ts as submit,
         concat(cast(event_id % 3 as string), 'm ', cast(cast(floor(abs(value)) as int) as string), 's') as realtime, 1 + event_id % 4 as cpus, concat(cast(1 + event_id % 4096 as string), ' MB') as peak_rss,
