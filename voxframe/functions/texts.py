@@ -78,19 +78,27 @@ def spacing(t: Column, zero: bool = False) -> Column:
 def direction_3d(values: Column) -> Column:
     """The 3 x 3 part of 9 or 16 direction cosines, row by row; the identity for other numbers or a singular matrix."""
     one = F.array(*(F.lit(float(i % 4 == 0)) for i in range(9)))
-    m = F.when(F.size(values) == 9, values).when(F.size(values) == 16, F.array(*(values[i] for i in (0, 1, 2, 4, 5, 6, 8, 9, 10)))).otherwise(one)
-    det = m[0] * (m[4] * m[8] - m[5] * m[7]) - m[1] * (m[3] * m[8] - m[5] * m[6]) + m[2] * (m[3] * m[7] - m[4] * m[6])
-    return F.when((F.size(values) == 9) | (F.abs(det) > 1e-12), m).otherwise(one)
+
+    def checked(m: Column) -> Column:
+        det = m[0] * (m[4] * m[8] - m[5] * m[7]) - m[1] * (m[3] * m[8] - m[5] * m[6]) + m[2] * (m[3] * m[7] - m[4] * m[6])
+        return F.when(F.abs(det) > 1e-12, m).otherwise(one)
+
+    def spatial(v: Column) -> Column:
+        part = F.transform(F.array(F.array(*(v[i] for i in (0, 1, 2, 4, 5, 6, 8, 9, 10)))), checked)[0]
+        return F.when(F.size(v) == 9, v).when(F.size(v) == 16, part).otherwise(one)
+
+    # bound to variables, so that long expressions are not written out again and again
+    return F.transform(F.array(values), spatial)[0]
 
 
 def direction_4d(values: Column) -> Column:
     """A 3 x 3 matrix as the upper left part of a 4 x 4 identity."""
-    return F.array(*(values[3 * (i // 4) + i % 4] if i // 4 < 3 and i % 4 < 3 else F.lit(float(i % 5 == 0)) for i in range(16)))
+    return F.transform(F.array(values), lambda v: F.array(*(v[3 * (i // 4) + i % 4] if i // 4 < 3 and i % 4 < 3 else F.lit(float(i % 5 == 0)) for i in range(16))))[0]
 
 
 def ras_to_lps(affine: Column) -> Column:
     """The first three rows of a 4 x 4 affine with the signs of the first two turned."""
-    return F.array(*((-affine[i] if i < 8 else affine[i]) for i in range(12)))
+    return F.transform(F.array(affine), lambda v: F.array(*((-v[i] if i < 8 else v[i]) for i in range(12))))[0]
 
 
 def radiomics_settings(options: dict[str, Column]) -> tuple[Column, Column]:

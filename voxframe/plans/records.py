@@ -1,2 +1,397 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries on texts, traces, listings and files by functions and sources, and SQL of their own that checks them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import texts as tx
+from ..sources import files
+from ..tables import sql, view
+from .scores import _rounded
+
+TIMES = "select event_id as k, case event_id % 8 when 0 then '1h 2m 3s' when 1 then concat(cast(event_id % 500 as string), 'ms') when 2 then concat(cast(event_id % 90 as string), '.5') when 3 then '2d 4h' when 4 then concat(cast(event_id % 60 as string), 'm ', cast(event_id % 59 as string), 's') when 5 then '-' when 6 then '1m500ms' else '' end as t from events"
+SIZES = "select event_id as k, case event_id % 7 when 0 then concat(cast(event_id % 999 as string), ' MB') when 1 then '3 GB' when 2 then '1024 KiB' when 3 then '2TB' when 4 then '0' when 5 then 'many' else concat(cast(event_id % 7777 as string), ' B') end as t from events"
+NAMES = {"rv": 1, "myo": 2, "lv": 3}
+MAPS = "select c_custkey as k, case c_custkey % 6 when 0 then 'rv=1,myo=2,lv=3' when 1 then ' LV = 30, myo=20,rv=10' when 2 then 'auto' when 3 then 'rv=1,myo=2' when 4 then 'rv=1,rv=2,lv=3' else 'rv=1,myo=x,lv=3' end as t from customer"
+LISTS = "select p_partkey as k, case p_partkey % 4 when 0 then concat('1\\\\0\\\\', cast(p_partkey % 10 as string), '.5') when 1 then '0.8\\\\ \\\\-0.6' when 2 then '' else 'a\\\\2' end as t from part"
+EXAMS = "select o_orderkey as k, concat('s-', cast(o_orderkey % 50 as string), '_x') as subject, case o_orderkey % 4 when 0 then '03Feb2021' when 1 then '2021-02-03' when 2 then '31Dec1999' else 'un known' end as day from orders"
+TAGS = "select distinct concat(case user_id % 3 when 0 then 'cinema__' when 1 then 'nnformer__' else 'vsa3l' end, case user_id % 3 when 2 then '' else case event_id % 6 when 0 then 'acdc_seed2' when 1 then 'mnms_ensemble' when 2 then 'fold0' when 3 then 'acdc_seeds5' when 4 then 'acdc_seed1_pp' else 'mnms' end end) as tag from events"
+TRACE = "select event_id, user_id, concat('PROC_', cast(user_id % 8 as string)) as name, case when event_type = 'error' then 'FAILED' else 'COMPLETED' end as status, ts as submit, concat(cast(event_id % 3 as string), 'm ', cast(event_id % 47 as string), 's') as realtime, 1 + event_id % 4 as cpus, concat(cast(1 + event_id % 4096 as string), ' MB') as peak_rss, case when event_id % 17 = 0 then 2 else 1 end as attempt, case when user_id % 3 = 0 then 'process_gpu' else 'process_low' end as label from events"
+
+
+def durations(spark: SparkSession, d: str) -> DataFrame:
+    return sql(spark, d, TIMES).select("k", F.round(tx.duration_seconds(F.col("t")), 6).alias("seconds"))
+
+
+def memories(spark: SparkSession, d: str) -> DataFrame:
+    return sql(spark, d, SIZES).select("k", F.round(tx.memory_gb(F.col("t")), 9).alias("gb"))
+
+
+def label_maps(spark: SparkSession, d: str) -> DataFrame:
+    m = tx.label_map(F.col("t"), NAMES)
+    return sql(spark, d, MAPS).select("k", F.concat_ws(",", F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"].cast("string"), F.lit(">"), e["value"].cast("string")))).alias("map"))
+
+
+def label_specs(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.col("k") % 5, F.lit("=LV, 7= RV ,x=Y,8="))
+    m = tx.label_spec(t)
+    return sql(spark, d, MAPS).select("k", F.concat_ws(",", F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"].cast("string"), F.lit(">"), e["value"]))).alias("map"))
+
+
+def number_lists(spark: SparkSession, d: str) -> DataFrame:
+    v = tx.number_list(F.col("t"))
+    return sql(spark, d, LISTS).select("k", F.size(v).alias("n"), F.size(F.filter(v, lambda x: x.isNull())).alias("bad"), F.aggregate(F.filter(v, lambda x: x.isNotNull()), F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+def exams(spark: SparkSession, d: str) -> DataFrame:
+    return sql(spark, d, EXAMS).select("k", tx.exam_id(F.col("subject"), F.col("day")).alias("exam"))
+
+
+def spacings(spark: SparkSession, d: str) -> DataFrame:
+    from .texts import SPACING
+
+    v, w = tx.spacing(F.col("t")), tx.spacing(F.replace("t", F.lit("1x"), F.lit("0x")), zero=True)
+    return sql(spark, d, SPACING).select("k", *(v[i].alias(f"s{a}") for i, a in enumerate("xyz")), w[0].alias("zero_x"))
+
+
+def directions(spark: SparkSession, d: str) -> DataFrame:
+    """Direction cosines of 9, 16 and other numbers of values, some of them singular."""
+    k = F.col("p_partkey")
+    nine = F.array(*(F.when(F.lit(i % 4 == 0), F.lit(1.0)).otherwise(F.when(k % 5 == 0, 0.0).otherwise((k % 7) * 0.01 * i)) for i in range(9)))
+    values = F.when(k % 4 == 0, nine).when(k % 4 == 1, tx.direction_4d(nine)).when(k % 4 == 2, F.transform(tx.direction_4d(nine), lambda x: x * 0)).otherwise(F.slice(nine, 1, 5))
+    m = tx.direction_3d(values)
+    lps = tx.ras_to_lps(tx.direction_4d(nine))
+    return sql(spark, d, "select p_partkey from part").select("p_partkey", F.round(m[1], 6).alias("m01"), F.round(m[5], 6).alias("m12"), F.round(m[0] + m[4] + m[8], 6).alias("trace"), F.round(lps[1], 6).alias("l01"), F.round(lps[9], 6).alias("l21"))
+
+
+def settings(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    o = {
+        "normalize": k % 2 == 0, "normalize_scale": F.when(k % 4 == 0, 100.0), "remove_outliers": F.when(k % 5 == 0, 3.0), "bin_count": F.when(k % 3 == 0, 32), "bin_width": F.when(k % 7 == 0, 5.0),
+        "spacing": F.when(k % 6 == 1, F.array(F.lit(1.0), F.lit(1.0), F.lit(0.0))), "force2d": k % 9 == 0, "reference": F.when(k % 11 == 0, "lv_blood_pool"),
+    }
+    text, conflict = tx.radiomics_settings(o)
+    got = F.from_json(text, "normalize boolean, normalizeScale double, removeOutliers double, binCount int, force2D boolean, force2Ddimension int")
+    return sql(spark, d, "select c_custkey from customer").select("c_custkey", conflict.alias("conflict"), F.size(F.json_object_keys(text)).alias("options"), got["normalizeScale"].alias("scale"), got["binCount"].alias("bins"), got["force2Ddimension"].alias("plane"))
+
+
+def model_tags(spark: SparkSession, d: str) -> DataFrame:
+    return sql(spark, d, TAGS).select("tag", tx.model_tag(F.col("tag")).alias("p")).select("tag", "p.*")
+
+
+def formats(spark: SparkSession, d: str) -> DataFrame:
+    v = F.expr("case when l_orderkey % 9 = 0 then null when l_orderkey % 4 = 0 then l_quantity * 100.0 when l_orderkey % 4 = 1 then l_quantity / 1000.0 else l_quantity * 1.0 end").cast("double")
+    return sql(spark, d, "select l_orderkey, l_linenumber, l_quantity, l_discount from lineitem").select("l_orderkey", "l_linenumber", tx.value_text(v).alias("value"), tx.p_text(F.when(F.col("l_orderkey") % 9 > 0, F.col("l_discount").cast("double") / 100)).alias("p"))
+
+
+def comma_lists(spark: SparkSession, d: str) -> DataFrame:
+    t = F.concat(F.lit(" "), F.upper("event_type"), F.lit(" , ,"), F.when(F.col("event_id") % 2 == 0, "").otherwise(" Fold"), F.lit(","))
+    return sql(spark, d, "select event_id, event_type from events").select("event_id", F.concat_ws("|", tx.comma_list(t)).alias("entries"))
+
+
+def _trace(spark: SparkSession, d: str) -> DataFrame:
+    t = sql(spark, d, TRACE)
+    return t.withColumn("s", tx.duration_seconds(F.col("realtime"))).withColumn("gb", tx.memory_gb(F.col("peak_rss")))
+
+
+def makespan(spark: SparkSession, d: str) -> DataFrame:
+    """Seconds from the first submission to the last end, if above 0."""
+    start = (F.unix_micros(F.col("submit").cast("timestamp")) / 1e6)
+    span = F.max(start + F.col("s")) - F.min(start)
+    return _trace(spark, d).groupBy("label").agg(F.round(F.when(span > 0, span), 3).alias("makespan"))
+
+
+def execution(spark: SparkSession, d: str) -> DataFrame:
+    start, s = (F.unix_micros(F.col("submit").cast("timestamp")) / 1e6), F.coalesce("s", F.lit(0.0))
+    span = F.max(start + F.col("s")) - F.min(start)
+    out = _trace(spark, d).agg(
+        F.count("*").alias("tasks"), F.count_if(F.col("status") == "COMPLETED").alias("completed"), F.count_if(F.col("status") == "FAILED").alias("failed"), F.avg((F.col("status") == "COMPLETED").cast("int")).alias("success_rate"), F.avg((F.col("attempt") > 1).cast("int")).alias("retry_rate"),
+        (F.sum(s * F.coalesce("cpus", F.lit(1))) / 3600).alias("cpu_hours"), (F.sum(s / 3600 * F.coalesce("gb", F.lit(0.0)))).alias("gb_hours"), (F.sum(s) / F.when(span > 0, span)).alias("parallelism"), (F.count_if(F.col("status") == "FAILED") == 0).alias("success"),
+    )
+    return _rounded(out)
+
+
+def gpu(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks with a GPU label or name: count, share of all, hours, and mean number at once over their own span."""
+    t = _trace(spark, d).withColumn("gpu", F.col("label").contains("gpu") | F.col("name").rlike("(?i)_7$"))
+    start = (F.unix_micros(F.col("submit").cast("timestamp")) / 1e6)
+    g = F.col("gpu")
+    span = F.max(F.when(g, start + F.col("s"))) - F.min(F.when(g, start))
+    out = t.agg(F.count_if(g).alias("gpu_tasks"), F.avg(g.cast("int")).alias("share"), (F.sum(F.when(g, F.col("s"))) / 3600).alias("hours"), (F.sum(F.when(g, F.col("s"))) / F.when(span > 0, span)).alias("at_once"))
+    return _rounded(out)
+
+
+def scientific(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage, best model, spread, mean variation within an architecture, and structure means."""
+    f = view(spark, d, "frame_metrics").withColumn("overall", (F.col("dice_rv") + F.col("dice_myo") + F.col("dice_lv")) / 3).withColumn("architecture", F.when(F.col("model") == "model_a", "one").otherwise("two"))
+    n = view(spark, d, "subjects").agg(F.count_distinct("patient_id").alias("n_input"))
+    per = f.groupBy("model").agg(F.avg("overall").alias("m"))
+    best = per.agg(F.max_by("model", F.struct("m", "model")).alias("best_model"), F.max("m").alias("best_dice"), (F.max("m") - F.min("m")).alias("spread"))
+    cv = f.groupBy("architecture").agg(F.when((F.count("overall") >= 2) & (F.avg("overall") > 0), F.stddev_samp("overall") / F.avg("overall")).alias("cv")).agg(F.avg("cv").alias("cv_mean"))
+    all_ = f.agg(F.count_distinct("patient_id").alias("n_scored"), F.count_distinct("model").alias("models"), *(F.avg(f"dice_{s}").alias(f"{s}_mean") for s in ("rv", "myo", "lv")))
+    one = all_.crossJoin(n).crossJoin(best).crossJoin(cv)  # each has one row
+    return _rounded(one.withColumn("coverage", F.col("n_scored") / F.col("n_input")))
+
+
+def throughput(spark: SparkSession, d: str) -> DataFrame:
+    """Hours and tasks an hour by family of processes and label, labels as columns."""
+    t = _trace(spark, d).withColumn("family", F.concat(F.lit("F"), F.col("user_id") % 4))
+    p = t.groupBy("family").pivot("label", ["process_gpu", "process_low"]).agg(F.round(F.sum("s") / 3600, 6).alias("hours"), F.round(F.count(F.lit(1)) / (F.sum("s") / 3600), 6).alias("an_hour"))
+    return p
+
+
+def composition(spark: SparkSession, d: str) -> DataFrame:
+    out = view(spark, d, "subjects").groupBy("vendor").agg(F.count("*").alias("n"), *(f(c).alias(f"{c}_{n}") for c in ("age", "height_cm", "weight_kg") for n, f in (("mean", F.avg), ("sd", F.stddev_samp))), *(F.count_if(F.col("split") == s).alias(s) for s in ("train", "validation", "test")))
+    return _rounded(out)
+
+
+# listings, sheets and files
+LISTING = """select cast(o_custkey % 60 as int) as case_id, concat('data/case', cast(o_custkey % 60 as string), '/', case o_orderkey % 7 when 0 then 'image_4d.nii.gz' when 1 then 'scan.nii.gz' when 2 then 'scan_gt.nii.gz' when 3 then 'label.nii.gz' when 4 then 'Info.cfg' when 5 then 'notes.txt' else 'SA_image.nii.gz' end) as path from orders group by 1, 2"""
+KINDS = {"image": [r"_4d\.nii\.gz$", r"SA_image\.nii\.gz$", r"/scan\.nii\.gz$"], "ground_truth": [r"_gt\.nii\.gz$", r"label\.nii\.gz$"], "cfg": [r"\.cfg$"]}
+BULKY = "select concat(case o_orderkey % 4 when 0 then 'postprocess/' when 1 then 'cinema/work/' when 2 then 'cinema/segmentations/' else 'logs/' end, cast(o_custkey as string), '.nii.gz') as path from orders"
+
+
+def samplesheet(spark: SparkSession, d: str) -> DataFrame:
+    """A sheet with blank and padded cells, written and scanned again."""
+    at = files.shared_folder(spark, "samples")
+    files.write_sheet(sql(spark, d, "select cast(c_custkey as string) as patient_id, case when c_custkey % 4 = 0 then '  ' else concat(' img', cast(c_custkey as string), ' ') end as image, case when c_custkey % 3 = 0 then '' else 'gt' end as ground_truth from customer"), at)
+    return files.read_sheet(spark, at)
+
+
+def fallback(spark: SparkSession, d: str) -> DataFrame:
+    """The aggregate table is missing, so the sheets of all frames are read."""
+    at = files.shared_folder(spark, "scores")
+    files.write_sheet(sql(spark, d, "select patient_id, frame_tag, model, round(dice_lv, 6) as dice from frame_metrics"), f"{at}/frames", by=["model"])
+    return files.first_source(spark, [f"{at}/all_metrics.csv", f"{at}/frames"]).groupBy("model").agg(F.count("*").alias("n"), F.round(F.avg(F.col("dice").try_cast("double")), 6).alias("dice"))
+
+
+def metadata_texts(spark: SparkSession, d: str) -> DataFrame:
+    s = view(spark, d, "subjects")
+    text = s.select("patient_id", files.info_text({"Group": F.col("pathology"), "Height": F.col("height_cm"), "Weight": F.col("weight_kg"), "NbFrame": F.lit(30)}).alias("t"))
+    out = files.key_values(text, ["patient_id"], "t", ["Group", "Height", "Weight", "Diagnosis"])
+    h = F.col("height").try_cast("double") / 100
+    return out.withColumn("bmi", F.round(F.col("weight").try_cast("double") / (h * h), 6))
+
+
+def metadata_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """Sheets whose key and frame columns have other names, with cells that are no whole numbers."""
+    at = files.shared_folder(spark, "metadata")
+    files.write_sheet(sql(spark, d, "select c_custkey as `External code`, case when c_custkey % 5 = 0 then 'n/a' else cast(c_custkey % 20 as string) end as `ED frame`, cast(c_custkey % 30 as string) as ES from customer"), at)
+    s = files.read_sheet(spark, at)
+    return s.select(files.first_present(s, ["patient_id", "external code"], "string").alias("patient_id"), files.first_present(s, ["ed", "ed frame"], "int").alias("ed"), files.first_present(s, ["es", "es frame"], "int").alias("es"), files.first_present(s, ["vendor"], "string").alias("vendor"))
+
+
+def trace_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A trace with tabs between columns, whose separator the header tells."""
+    at = files.shared_folder(spark, "trace")
+    sql(spark, d, TRACE).select("name", "status", "realtime", "cpus").write.option("header", True).option("sep", "\t").csv(at)
+    return files.sniffed(spark, at).groupBy("name", "status").agg(F.count("*").alias("n"), F.sum(F.col("cpus").try_cast("long")).alias("cpus"))
+
+
+def generic_sheet(spark: SparkSession, d: str) -> DataFrame:
+    return files.listing_sheet(sql(spark, d, LISTING), "case_id", KINDS)
+
+
+def split_folder(spark: SparkSession, d: str) -> DataFrame:
+    """Per nation, the folder of its customers' segments that a list of names prefers."""
+    f = sql(spark, d, "select distinct lower(c_mktsegment) as name from customer")
+    return files.best_folder(f, "name", ["testing", "machinery", "household", "building"])
+
+
+def two_axes(spark: SparkSession, d: str) -> DataFrame:
+    """Short-axis and long-axis rows of each case with an image, a missing file left blank and told."""
+    l = sql(spark, d, LISTING)
+    s = files.listing_sheet(l, "case_id", {"SA": KINDS["image"][:1], "LA": KINDS["image"][1:2], "cfg": KINDS["cfg"]})
+    rows = s.select("case_id", F.expr("stack(2, 'SA', SA, 'LA', LA) as (axis, image)"), F.coalesce("cfg", F.lit("")).alias("info_cfg")).filter("image is not null")
+    return rows.withColumn("warning", F.when(F.col("info_cfg") == "", "no Info.cfg"))
+
+
+def gated_write(spark: SparkSession, d: str) -> DataFrame:
+    """Each half of the cases is written only if all of its rows have an image and labels."""
+    s = files.listing_sheet(sql(spark, d, LISTING), "case_id", KINDS).withColumn("half", F.col("case_id") % 2)
+    bad = F.count_if(F.col("image").isNull() | F.col("ground_truth").isNull())
+    gate = s.groupBy("half").agg(bad.alias("problems"), F.count("*").alias("n"))
+    return gate.withColumn("written", F.when(F.col("problems") == 0, F.col("n")).otherwise(0))
+
+
+def models(spark: SparkSession, d: str) -> DataFrame:
+    """A registry written as JSON text, read, and searched by name."""
+    rows = sql(spark, d, "select distinct concat('m', cast(s_nationkey as string)) as model, s_nationkey % 3 <> 0 as enabled, case when s_nationkey % 2 = 0 then 'cinema' else 'nnformer' end as architecture, array(0, cast(s_nationkey as int)) as folds, concat('w', cast(s_nationkey as string)) as weights from supplier")
+    text = rows.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("model", F.struct("enabled", "architecture", "folds", "weights"))))).alias("value"))  # one entry for each of 25 nations at most
+    found = files.registry(text)
+    return files.looked_up(found.select("model"), found).select("model", "architecture", F.element_at("folds", -1).alias("last_fold"), "weights")
+
+
+def sheets_by_model(spark: SparkSession, d: str) -> DataFrame:
+    at = files.shared_folder(spark, "by-model")
+    files.write_sheet(sql(spark, d, "select patient_id, model, frame_tag, round(dice_lv, 6) as dice_lv from frame_metrics"), at, by=["model"])
+    return files.read_sheet(spark, at).groupBy("model").agg(F.count("*").alias("n"), F.round(F.sum(F.col("dice_lv").try_cast("double")), 6).alias("total"))
+
+
+def compressed(spark: SparkSession, d: str) -> DataFrame:
+    at = files.shared_folder(spark, "gz")
+    files.write_sheet(sql(spark, d, "select * from lv_curve"), at, compressed=True)
+    names = spark.read.format("binaryFile").load(at).select(F.count_if(F.col("path").endswith(".csv.gz")).alias("gz"), F.count("*").alias("files"))
+    back = files.read_sheet(spark, at).agg(F.count("*").alias("n"), F.round(F.sum(F.col("lv_ml").try_cast("double")), 3).alias("ml"))
+    return back.crossJoin(names).select("n", "ml", (F.col("gz") == F.col("files")).alias("all_compressed"))
+
+
+def markdown(spark: SparkSession, d: str) -> DataFrame:
+    t = sql(spark, d, "select model, frame_tag, avg(dice_lv) as m, stddev_samp(dice_lv) as s from frame_metrics group by model, frame_tag")
+    cells = t.select("model", "frame_tag", F.format_string("%.3f", "m").alias("mean"), F.coalesce(F.format_string("%.3f", "s"), F.lit("NA")).alias("sd"))
+    return files.markdown_lines(cells, ["model", "frame_tag"], "sd over frames")
+
+
+def json_summaries(spark: SparkSession, d: str) -> DataFrame:
+    t = sql(spark, d, "select model, patient_id, count(*) as frames from frame_metrics group by model, patient_id")
+    return files.json_summary(t, ["model"], "patient_id", ["patient_id", "frames"])
+
+
+def cleaning_json(spark: SparkSession, d: str) -> DataFrame:
+    """Parameters and frame statistics of a cleaning as nested JSON, read again."""
+    v = view(spark, d, "vox_img").groupBy("case_id", "frame_tag").agg(F.count_if(F.col("label") == 3).alias("pool"), F.count_if(F.col("label") == 2).alias("wall"))
+    doc = F.to_json(F.struct(F.col("case_id"), F.struct(F.lit("otsu_2d").alias("method"), F.lit(0.5).alias("strength")).alias("parameters"), F.array_sort(F.collect_list(F.struct("frame_tag", "pool", "wall"))).alias("frames")))
+    at = files.shared_folder(spark, "cleaning")
+    v.groupBy("case_id").agg(doc.alias("value")).select("value").write.text(at)
+    back = spark.read.text(at).select(F.from_json("value", "case_id long, parameters struct<method:string,strength:double>, frames array<struct<frame_tag:string,pool:long,wall:long>>").alias("j"))
+    return back.select("j.case_id", "j.parameters.method", F.explode("j.frames").alias("f")).select("case_id", "method", "f.*")
+
+
+def info_files(spark: SparkSession, d: str) -> DataFrame:
+    """Info texts of picked frames, one folder a patient, and their lines read again."""
+    from .runs import PICKS
+
+    at = files.shared_folder(spark, "info")
+    p = sql(spark, d, PICKS).select("patient_id", files.info_text({"ED": F.col("ed") + 1, "ES": F.col("es") + 1}).alias("value"))
+    p.repartition("patient_id").write.partitionBy("patient_id").text(at)
+    back = spark.read.text(at, wholetext=True).select(F.col("patient_id").cast("long").alias("patient_id"), "value")
+    return back.select("patient_id", files.info_frame(F.col("value"), "ED").alias("ed"), files.info_frame(F.col("value"), "ES").alias("es"))
+
+
+def provenance(spark: SparkSession, d: str) -> DataFrame:
+    """Two writings of the same sheets give the same digests; file names differ, so their place in order names them."""
+    out = None
+    for turn in (1, 2):
+        at = files.shared_folder(spark, "source")
+        sql(spark, d, "select * from lv_curve").repartition(4, "patient_id").sortWithinPartitions("patient_id", "frame_index").write.option("header", True).csv(at)
+        named = files.file_digests(spark, at).filter(F.col("path").endswith(".csv")).withColumn("path", F.regexp_extract("path", r"part-(\d+)-", 1)).withColumn("turn", F.lit(turn))
+        one = files.digest_of(named, ["turn"])
+        out = one if out is None else out.unionByName(one)
+    return out.agg(F.count_distinct("sha256").alias("digests"), F.min(F.length("sha256")).alias("width"), (F.min("files") == F.max("files")).alias("same_files"))
+
+
+def run_table(spark: SparkSession, d: str) -> DataFrame:
+    at = files.shared_folder(spark, "runs")
+    t = sql(spark, d, f"select concat('F', cast(user_id % 4 as string)) as run, cast(count(distinct name) as int) as models, cast(round(sum(cpus) / 60.0, 6) as double) as cpu_hours, cast(count(distinct user_id) as int) as patients from ({TRACE}) t group by 1")
+    for r in range(3):
+        t.filter(F.col("run") == f"F{r}").write.json(f"{at}/{r}")
+    return files.run_summaries(spark, {"cinema": [f"{at}/0"], "nnformer": [f"{at}/1"]}, f"paper={at}/2").withColumn("cpu_hours", F.round("cpu_hours", 4))
+
+
+def pruned(spark: SparkSession, d: str) -> DataFrame:
+    return files.pruned(sql(spark, d, BULKY), ["work", "logs"], ["postprocess", "cinema"]).groupBy(F.split_part("path", F.lit("/"), F.lit(1)).alias("top")).agg(F.count("*").alias("n"))
+
+
+def case_files(spark: SparkSession, d: str) -> DataFrame:
+    """Modalities that a case lacks, and files of modalities that are not expected."""
+    l = sql(spark, d, "select distinct o_custkey % 60 as case_id, o_orderkey % 5 as modality from orders")
+    expected = l.select("case_id").distinct().crossJoin(F.broadcast(spark.range(4).select(F.col("id").alias("modality"))))
+    return expected.join(l, ["case_id", "modality"], "left_anti").withColumn("what", F.lit("missing")).unionByName(l.join(expected, ["case_id", "modality"], "left_anti").withColumn("what", F.lit("unexpected")))
+
+
+def variant_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """Variants of each wanted architecture from file names, or one default row; several folds give `all` as well."""
+    v = sql(spark, d, TAGS).select(tx.model_tag(F.col("tag")).alias("p")).select("p.*").groupBy("architecture").agg(F.count_distinct("seed").alias("seeds"), F.count_distinct("fold").alias("folds"), F.count("*").alias("variants"))
+    wanted = spark.createDataFrame([("cinema",), ("nnformer",), ("atrial_nnunet",)], "architecture string")
+    return wanted.join(v, "architecture", "left").select("architecture", F.coalesce("seeds", F.lit(0)).alias("seeds"), F.coalesce("variants", F.lit(1)).alias("variants"), F.when(F.coalesce("folds", F.lit(0)) > 1, "all").otherwise("0").alias("fold"))
+
+
+def one_patient(spark: SparkSession, d: str, name: int | None = None) -> DataFrame:
+    """The frames of a named patient; an unknown name is an error."""
+    c = view(spark, d, "lv_curve")
+    name = 7 if name is None else name
+    known = c.agg(F.count_if(F.col("patient_id") == name).alias("n"))
+    sure = known.select(F.when(F.col("n") > 0, F.lit(name)).otherwise(F.raise_error(F.lit(f"no patient {name}"))).alias("patient_id"))
+    return c.join(F.broadcast(sure), "patient_id").select(c.columns)
+
+
+def dense_slices(spark: SparkSession, d: str) -> DataFrame:
+    """Slices with 100 positive pixels or more, of grids drawn three times as fine."""
+    return view(spark, d, "vox_gt").groupBy("case_id", "frame_tag", "z").agg((9 * F.count_if(F.col("label") > 0)).alias("pixels")).filter("pixels >= 100")
+
+
+def shown_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Preferred columns first, then the rest by name; legacy names are shown under their new ones."""
+    f = view(spark, d, "frame_metrics").withColumnRenamed("hd95_lv", "lv_hd95")
+    names = {"lv_hd95": "hd95_lv"}
+    order = [c for c in ("model", "patient_id", "dice_lv") if c in f.columns]
+    shown = f.select(*(F.col(c).alias(names.get(c, c)) for c in [*order, *sorted(c for c in f.columns if c not in order)]))
+    return spark.createDataFrame([(i, c) for i, c in enumerate(shown.columns)], "place int, name string").crossJoin(shown.agg(F.count("*").alias("rows")))
+
+
+def cleaned_values(spark: SparkSession, d: str) -> DataFrame:
+    v = view(spark, d, "vox_img").withColumn("intensity", F.expr("case when (x + y + z) % 6 = 0 then cast('NaN' as double) else intensity end")).withColumn("label", F.expr("case when (x + y) % 5 = 0 then label - 4 else label end"))
+    v = v.withColumn("intensity", F.nanvl("intensity", F.lit(0.0))).withColumn("label", F.when(F.col("label") < -1, 0).otherwise(F.col("label")))
+    return v.groupBy("case_id", "frame_tag").agg(F.round(F.sum("intensity"), 3).alias("total"), F.min("label").alias("least"), F.count_if(F.col("label") == 0).alias("zeros"))
+
+
+QUERIES = {
+    "F13_duration_units": durations, "F14_memory_units": memories, "F10_label_maps": label_maps, "F11_label_specs": label_specs, "F22_number_lists": number_lists, "F09_exam_ids": exams, "F12_all_spacings": spacings, "F25_directions": directions, "F30_radiomics_settings": settings,
+    "F05_tag_parts": model_tags, "F20_formats": formats, "F01_all_entries": comma_lists, "A41_makespan": makespan, "A40_execution_metrics": execution, "A43_gpu_share": gpu, "A44_scientific_summary": scientific, "A45_throughput": throughput, "A46_demographics": composition,
+    "S01_samplesheet": samplesheet, "S05_fallback_source": fallback, "S09_metadata_texts": metadata_texts, "S10_metadata_sheet": metadata_sheet, "S12_sniffed_trace": trace_scan, "S15_generic_sheet": generic_sheet, "S16_split_folder": split_folder, "S20_two_axes": two_axes, "S21_gated_write": gated_write,
+    "S24_model_registry": models, "S26_sheets_by_model": sheets_by_model, "S27_compressed_sheet": compressed, "S28_markdown": markdown, "S29_json_summaries": json_summaries, "S30_cleaning_json": cleaning_json, "S31_info_files": info_files, "S23_provenance": provenance, "S33_run_table": run_table,
+    "S13_pruned_paths": pruned, "S25_case_files": case_files, "S22_variant_fallback": variant_fallback, "P02_named_patient": one_patient, "P13_dense_slices": dense_slices, "P15_shown_columns": shown_columns, "P19_cleaned_values": cleaned_values,
+}
+
+_seconds = "case k % 8 when 0 then 3723 when 1 then k % 500 / 1000 when 2 then k % 90 + 0.5 when 3 then 187200 when 4 then 60 * (k % 60) + k % 59 when 6 then 60.5 end"
+_list = lambda kind, last: f"max(case when path like '{kind}' then {last} end)"
+_has = "with l as (" + LISTING + "), s as (select case_id, coalesce(max(path) filter (path like '%image_4d.nii.gz'), max(path) filter (path like '%SA_image.nii.gz'), max(path) filter (path like '%/scan.nii.gz')) as image, coalesce(max(path) filter (path like '%scan_gt.nii.gz'), max(path) filter (path like '%label.nii.gz')) as ground_truth, max(path) filter (path like '%.cfg') as cfg, max(path) filter (path like '%image_4d.nii.gz') as sa, max(path) filter (path like '%SA_image.nii.gz') as la from l group by case_id)"
+ORACLES = {
+    "F13_duration_units": f"select k, round(case when {_seconds} > 0 then {_seconds} end, 6) as seconds from ({TIMES}) t",
+    "F14_memory_units": f"select k, round(case k % 7 when 0 then (k % 999) / 1024.0::double when 1 then 3 when 2 then 1024 / 1048576.0::double when 3 then 2048 when 4 then 0 when 6 then (k % 7777) / 1073741824.0::double end, 9) as gb from ({SIZES}) t",
+    "F10_label_maps": "select c_custkey as k, case c_custkey % 6 when 0 then '1>1,2>2,3>3' when 1 then '10>1,20>2,30>3' else '' end as map from customer",
+    "F11_label_specs": "select c_custkey as k, concat(c_custkey % 5, '>LV,7>RV') as map from customer",
+    "F22_number_lists": "select p_partkey as k, case p_partkey % 4 when 0 then 3 when 1 then 2 when 2 then 0 else 2 end as n, case when p_partkey % 4 = 3 then 1 else 0 end as bad, round(case p_partkey % 4 when 0 then 1.5 + p_partkey % 10 when 1 then 0.8 - 0.6 when 2 then 0 else 2 end, 6)::double as total from part",
+    "F09_exam_ids": "select o_orderkey as k, concat('s', o_orderkey % 50, 'x_', case o_orderkey % 4 when 0 then '20210203' when 1 then '20210203' when 2 then '19991231' else 'unknown' end) as exam from orders",
+    "F12_all_spacings": "select o_orderkey as k, case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0 then 1.5 when o_orderkey % 4 > 0 then o_orderkey % 4 end::double as sx, case when o_orderkey % 5 <> 0 and (o_orderkey % 3 = 0 or o_orderkey % 4 > 0) then 1.5 end::double as sy, case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0 then 8 when o_orderkey % 4 > 0 then 10 end::double as sz, case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0 then 1.5 when o_orderkey % 4 = 1 then 0 else o_orderkey % 4 end::double as zero_x from orders",
+    "F25_directions": "select p_partkey, case when p_partkey % 5 = 0 or p_partkey % 4 > 1 then 0 else round(p_partkey % 7 * 0.01, 6) end::double as m01, case when p_partkey % 5 = 0 or p_partkey % 4 > 1 then 0 else round(p_partkey % 7 * 0.05, 6) end::double as m12, 3.0::double as trace, case when p_partkey % 5 = 0 then 0 else round(-0.01 * (p_partkey % 7), 6) end::double as l01, case when p_partkey % 5 = 0 then 0 else round(0.07 * (p_partkey % 7), 6) end::double as l21 from part",
+    "F30_radiomics_settings": """select c_custkey, case when bc and bw then 'bin count and bin width' when rf and n then 'normalize and intensity reference' end as conflict, case when not (bc and bw) and not (rf and n) then n::int + (n and c_custkey % 4 = 0)::int + (c_custkey % 5 = 0)::int + bc::int + bw::int + (c_custkey % 6 = 1)::int + 2 * f::int + 2 * rf::int end as options,
+        case when not (bc and bw) and not (rf and n) and c_custkey % 4 = 0 then 100.0::double end as scale, case when not (bc and bw) and not (rf and n) and bc then 32 end as bins, case when not (bc and bw) and not (rf and n) and f then 0 end as plane from (select c_custkey, c_custkey % 2 = 0 as n, c_custkey % 3 = 0 as bc, c_custkey % 7 = 0 as bw, c_custkey % 9 = 0 as f, c_custkey % 11 = 0 as rf from customer) t""",
+    "F05_tag_parts": f"select tag, split_part(tag, '__', 1) as architecture, case when tag like '%acdc%' then 'acdc' when tag like '%mnms%' then 'mnms' end as dataset, case when tag like '%seed2' then 2 when tag like '%seed1%' then 1 end as seed, case when tag like '%seeds5' then 5 end as seeds, case when tag like '%fold0' then 0 end as fold, tag like '%ensemble' or tag like '%seeds5' as ensemble, tag like '%@_pp' escape '@' as cleaned from ({TAGS}) t",
+    "F20_formats": "select l_orderkey, l_linenumber, case when l_orderkey % 9 = 0 then 'NA' when v >= 1000 then printf('%.0f', v) when v >= 1 then printf('%.2f', v) else printf('%.4f', v) end as value, case when l_orderkey % 9 = 0 then 'NA' when l_discount / 100 < 0.001 then concat('<0', '.001') else printf('%.3f', (l_discount / 100)::double) end as p from (select *, (case l_orderkey % 4 when 0 then l_quantity * 100 when 1 then l_quantity / 1000 else l_quantity end)::double as v from lineitem) t",
+    "F01_all_entries": "select event_id, case when event_id % 2 = 0 then lower(event_type) else concat(lower(event_type), '|fold') end as entries from events",
+    "A41_makespan": f"select label, round(max(epoch(submit) + 60 * (event_id % 3) + event_id % 47) - min(epoch(submit)), 3) as makespan from ({TRACE}) t group by label",
+    "A40_execution_metrics": f"""select count(*) as tasks, count_if(status = 'COMPLETED') as completed, count_if(status = 'FAILED') as failed, round(count_if(status = 'COMPLETED') / count(*), 6) as success_rate, round(count_if(attempt = 2) / count(*), 6) as retry_rate, round(sum(s * cpus) / 3600, 6) as cpu_hours, round(sum(s / 3600 * (1 + event_id % 4096) / 1024), 6) as gb_hours,
+        round(sum(s) / (max(epoch(submit) + case when s > 0 then s end) - min(epoch(submit))), 6) as parallelism, count_if(status = 'FAILED') = 0 as success from (select *, (60 * (event_id % 3) + event_id % 47)::double as s from ({TRACE}) t) u""",
+    "A43_gpu_share": f"select count_if(g) as gpu_tasks, round(count_if(g) / count(*), 6) as share, round(sum(s) filter (g) / 3600, 6) as hours, round(sum(s) filter (g) / (max(epoch(submit) + case when s > 0 then s end) filter (g) - min(epoch(submit)) filter (g)), 6) as at_once from (select *, (60 * (event_id % 3) + event_id % 47)::double as s, user_id % 3 = 0 or user_id % 8 = 7 as g from ({TRACE}) t) u",
+    "A44_scientific_summary": """with f as (select *, (dice_rv + dice_myo + dice_lv) / 3 as o from frame_metrics), p as (select model, avg(o) as m from f group by model), c as (select stddev_samp(o) / avg(o) as cv from f group by model = 'model_a')
+        select (select count(distinct patient_id) from f) as n_scored, (select count(*) from p) as models, (select round(avg(dice_rv), 6) from f) as rv_mean, (select round(avg(dice_myo), 6) from f) as myo_mean, (select round(avg(dice_lv), 6) from f) as lv_mean, (select count(*) from subjects) as n_input, (select arg_max(model, m) from p) as best_model, (select round(max(m), 6) from p) as best_dice, (select round(max(m) - min(m), 6) from p) as spread, (select round(avg(cv), 6) from c) as cv_mean, round((select count(distinct patient_id) from f) / (select count(*) from subjects), 6) as coverage""",
+    "A45_throughput": "select family, " + ", ".join(f"round(sum(s) filter (label = '{m}') / 3600, 6) as {m}_hours, round(count(*) filter (label = '{m}') / (sum(s) filter (label = '{m}') / 3600), 6) as {m}_an_hour" for m in ("process_gpu", "process_low")) + f" from (select *, (60 * (event_id % 3) + event_id % 47)::double as s, concat('F', user_id % 4) as family from ({TRACE}) t) u group by family",
+    "A46_demographics": "select vendor, count(*) as n, " + ", ".join(f"round(avg({c}), 6) as {c}_mean, round(stddev_samp({c}), 6) as {c}_sd" for c in ("age", "height_cm", "weight_kg")) + ", " + ", ".join(f"count_if(split = '{s}') as {s}" for s in ("train", "validation", "test")) + " from subjects group by vendor",
+    "S01_samplesheet": "select c_custkey::varchar as patient_id, case when c_custkey % 4 > 0 then concat('img', c_custkey) end as image, case when c_custkey % 3 > 0 then 'gt' end as ground_truth from customer",
+    "S05_fallback_source": "select model, count(*) as n, round(avg(round(dice_lv, 6)), 6) as dice from frame_metrics group by model",
+    "S09_metadata_texts": "select patient_id, pathology as \"group\", height_cm::varchar as height, weight_kg::varchar as weight, null::varchar as diagnosis, round(weight_kg / ((height_cm / 100.0::double) * (height_cm / 100.0::double)), 6) as bmi from subjects",
+    "S10_metadata_sheet": "select c_custkey::varchar as patient_id, case when c_custkey % 5 > 0 then (c_custkey % 20)::int end as ed, (c_custkey % 30)::int as es, null::varchar as vendor from customer",
+    "S12_sniffed_trace": f"select name, status, count(*) as n, sum(cpus)::bigint as cpus from ({TRACE}) t group by name, status",
+    "S15_generic_sheet": f"{_has} select case_id, image, ground_truth, cfg from s",
+    "S16_split_folder": "select case when count_if(c_mktsegment = 'MACHINERY') > 0 then 'machinery' when count_if(c_mktsegment = 'HOUSEHOLD') > 0 then 'household' else 'building' end as name from customer",
+    "S20_two_axes": f"{_has} select case_id, axis, image, coalesce(cfg, '') as info_cfg, case when cfg is null then 'no Info.cfg' end as warning from (select case_id, 'SA' as axis, sa as image, cfg from s union all select case_id, 'LA', la, cfg from s) t where image is not null",
+    "S21_gated_write": f"{_has} select case_id % 2 as half, count_if(image is null or ground_truth is null) as problems, count(*) as n, case when count_if(image is null or ground_truth is null) = 0 then count(*) else 0 end as written from s group by case_id % 2",
+    "S24_model_registry": "select distinct concat('m', s_nationkey) as model, case when s_nationkey % 2 = 0 then 'cinema' else 'nnformer' end as architecture, s_nationkey::int as last_fold, concat('w', s_nationkey) as weights from supplier where s_nationkey % 3 <> 0",
+    "S26_sheets_by_model": "select model, count(*) as n, round(sum(round(dice_lv, 6)), 6) as total from frame_metrics group by model",
+    "S27_compressed_sheet": "select count(*) as n, round(sum(lv_ml), 3) as ml, true as all_compressed from lv_curve",
+    "S28_markdown": "select 0 as n, '| model | frame_tag | mean | sd |' as line union all select 1, '|---|---|---|---|' union all select row_number() over (order by model, frame_tag) + 1, concat('| ', model, ' | ', frame_tag, ' | ', printf('%.3f', avg(dice_lv)), ' | ', coalesce(printf('%.3f', stddev_samp(dice_lv)), 'NA'), ' |') from frame_metrics group by model, frame_tag union all select 1073741824, 'sd over frames'",
+    "S29_json_summaries": "select model, json, substr(md5(json), 1, 12) as id from (select model, concat('{\"model\":\"', model, '\",\"rows\":[', string_agg(concat('{\"patient_id\":', patient_id, ',\"frames\":', n, '}'), ',' order by patient_id), ']}') as json from (select model, patient_id, count(*) as n from frame_metrics group by model, patient_id) t group by model) u",
+    "S30_cleaning_json": "select case_id, 'otsu_2d' as method, frame_tag, count_if(label = 3) as pool, count_if(label = 2) as wall from vox_gt group by case_id, frame_tag",
+    "S31_info_files": "select patient_id, cast(arg_max(frame_index, lv_ml * 1000 - frame_index) as int) as ed, cast(arg_min(frame_index, lv_ml * 1000 + frame_index) as int) as es from lv_curve where lv_ml > 0 group by patient_id",
+    "S23_provenance": "select 1 as digests, 64 as width, true as same_files",
+    "S33_run_table": f"select case user_id % 4 when 0 then 'cinema' when 1 then 'nnformer' else 'paper' end as family, case when user_id % 4 = 2 then 'reference' else 'run' end as mode, concat('F', user_id % 4) as run, count(distinct name)::int as models, round(sum(cpus) / 60.0::double, 4) as cpu_hours, count(distinct user_id)::int as patients from ({TRACE}) t where user_id % 4 < 3 group by user_id % 4",
+    "S13_pruned_paths": "select case when o_orderkey % 4 = 0 then 'postprocess' else 'cinema' end as top, count(*) as n from orders where o_orderkey % 4 in (0, 2) group by 1",
+    "S25_case_files": "with l as (select distinct o_custkey % 60 as case_id, o_orderkey % 5 as modality from orders), e as (select distinct case_id, m as modality from l cross join (values (0), (1), (2), (3)) v(m)) select *, 'missing' as what from (select * from e except select * from l) a union all select *, 'unexpected' from (select * from l except select * from e) b",
+    "S22_variant_fallback": f"select a as architecture, coalesce(count(distinct nullif(regexp_extract(tag, 'seed([0-9]+)', 1), '')), 0) as seeds, greatest(count(tag), 1) as variants, '0' as fold from (values ('cinema'), ('nnformer'), ('atrial_nnunet')) w(a) left join ({TAGS}) t on split_part(tag, '__', 1) = a group by a",
+    "P02_named_patient": "select * from lv_curve where patient_id = 7",
+    "P13_dense_slices": "select case_id, frame_tag, z, 9 * count(*) filter (label > 0) as pixels from vox_gt group by case_id, frame_tag, z having 9 * count(*) filter (label > 0) > 99",
+    "P15_shown_columns": "select i as place, n as name, (select count(*) from frame_metrics) as rows from (values (0, 'model'), (1, 'patient_id'), (2, 'dice_lv'), (3, 'dice_myo'), (4, 'dice_rv'), (5, 'frame_tag'), (6, 'hd95_myo'), (7, 'hd95_rv'), (8, 'hd95_lv')) v(i, n)",
+    "P19_cleaned_values": "select case_id, frame_tag, round(sum(case when (x + y + z) % 6 = 0 then 0 else intensity end), 3) as total, min(case when (x + y) % 5 = 0 and label <> 3 then 0 when (x + y) % 5 = 0 then -1 else label end) as least, count_if(case when (x + y) % 5 = 0 then label <> 3 else label = 0 end) as zeros from vox_img group by case_id, frame_tag",
+}
