@@ -22,8 +22,7 @@ SLICE = 1 << 20
 SAMPLE = 6000
 BUCKETS = 1024
 ABSTAIN, JUNK, FINE = 0, 1, 2
-FALSE_ALARM, PRIOR = 0.0001, 20
-LABELLERS = ("shouting", "exclaiming", "symbols", "separators", "repetition", "sentences")
+LABELLERS = ("shouting", "exclaiming", "symbols", "separators", "repetition", "sentences", "signs", "strays", "variety")
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _KIND = np.zeros(256, dtype=np.int64)
@@ -55,6 +54,17 @@ class Shapes:
         self.row = np.repeat(np.arange(len(w.rows) - 1), np.diff(w.rows))
         self.size = np.diff(w.rows)
 
+    def variety(self) -> np.ndarray:
+        """Distinct pairs of neighbouring words, of all pairs; 1 for fewer than two words."""
+        h, row = self.words.hash, self.row
+        inner = row[1:] == row[:-1] if len(row) else np.zeros(0, bool)
+        pair = mix(mix(h[:-1]) + h[1:])[inner] if len(h) else h
+        row = row[1:][inner] if len(row) else row
+        order = np.lexsort((pair, row))
+        pair, row = pair[order], row[order]
+        new = np.r_[True, (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])][: len(pair)]
+        return np.where(self.size > 1, np.bincount(row, new, len(self.size)) / np.maximum(self.size - 1, 1), 1.0)
+
     def share(self, mask: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, mask, len(self.size)) / np.maximum(self.size, 1)
 
@@ -77,6 +87,10 @@ def votes(shapes: Shapes) -> np.ndarray:
         vote(s.share((s.n == 1) & (s.signs == 1)), 0.02, 0.15, some),
         vote(s.share(s.again), 0.08, 0.2, several),
         np.where(~several, ABSTAIN, np.where((stop < 0.005) | (stop > 0.6), JUNK, np.where((stop > 0.02) & (stop < 0.4), FINE, ABSTAIN))),
+        # these overlap with the others, so that accuracies can be told from agreement
+        vote(np.bincount(s.row, s.signs, len(n)) / np.maximum(np.bincount(s.row, s.n, len(n)), 1), 0.06, 0.08, several),
+        vote(s.share((s.signs > 0) & ~s.stop), 0.05, 0.2, several),
+        vote(1 - s.variety(), 0.3, 0.5, n >= 30),
     ]
     return np.stack(out, axis=1).astype(np.int64)
 
@@ -104,11 +118,11 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """(P(vote | class, it votes) as [labeller, class, vote], posterior P(fine) of every pattern); classes are junk, fine.
 
-    It starts from: junk where some labeller says so. Abstaining tells nothing. Rates are smoothed by one document, and
-    the prior that fine documents are seldom called junk weighs PRIOR times all documents: kinds of junk that exclude each
-    other would else be taken for noise.
+    It starts from: junk where some labeller says so. Abstaining tells nothing. Rates are smoothed by a tenth of a document. Labellers
+    overlap, so that each kind of junk is seen by several: their agreement, and no prior, tells the classes apart.
     """
-    v = (patterns[:, None] // 3 ** np.arange(len(LABELLERS))) % 3
+    labellers = len(LABELLERS)
+    v = (patterns[:, None] // 3 ** np.arange(labellers)) % 3
     fine = np.where((v == JUNK).any(axis=1), 0.001, 0.95)
     rates = np.zeros((len(LABELLERS), 2, 3))
     for _ in range(rounds):
@@ -116,8 +130,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
         prior = (weight.sum(axis=1) + 1) / (counts.sum() + 2)
         for j in range(len(LABELLERS)):
             for x in (JUNK, FINE):
-                rates[j, :, x] = weight[:, v[:, j] == x].sum(axis=1) + 1
-            rates[j, 1, [JUNK, FINE]] += np.array([FALSE_ALARM, 1 - FALSE_ALARM]) * PRIOR * counts.sum()
+                rates[j, :, x] = weight[:, v[:, j] == x].sum(axis=1) + 0.1
             rates[j] /= rates[j].sum(axis=1, keepdims=True)
         log = np.log(prior)[:, None] + sum(np.where(v[:, j] == ABSTAIN, 0.0, np.log(np.maximum(rates[j], 1e-300))[:, v[:, j]]) for j in range(len(LABELLERS)))
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
@@ -148,12 +161,12 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 8.0, ri
     return w, float(b)
 
 
-def _score(w: np.ndarray, b: float):
+def _score(w: np.ndarray, b: float, keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            s = Shapes(batch.column("text"))
+            s = Shapes(batch.column("text").fill_null(""))
             p = np.where(s.size > 0, 1 / (1 + np.exp(-np.clip(features(s) @ w + b, -50, 50))), 0.0)
-            names = [c for c in batch.schema.names if c != "text"]
+            names = [c for c in batch.schema.names if c != "text" or keep_text]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(p, pa.float64())], [*names, "quality"])
 
     return run
@@ -162,7 +175,7 @@ def _score(w: np.ndarray, b: float):
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, dict[str, float]]:
     """Weights, offset and each labeller's estimated accuracy where it votes.
 
-    The vote patterns of all documents are counted (at most 3^6 of them); the scorer learns from the `sample`
+    The vote patterns of all documents are counted (at most 3^9 of them); the scorer learns from the `sample`
     documents whose doc_id hashes least.
     """
     text = with_text(docs)
@@ -199,6 +212,9 @@ def keep_good(docs: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) ->
     """The documents that the classifier accepts, with all their columns. Texts without words go."""
     w, b, _ = fit(docs, sample)
     names = docs.columns
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    others = [c for c in names if c != "text"]
+    row = docs.select(F.struct(F.lit(True).alias("k"), *(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(others))).alias("row"), "text")
     kind = row.schema["row"].dataType.simpleString()
-    return row.mapInArrow(_score(w, b), f"row {kind}, quality double").filter(F.col("quality") >= threshold).select(*(F.col(f"row.`{c}`").alias(c) for c in names))
+    out = row.mapInArrow(_score(w, b, True), f"row {kind}, text string, quality double").filter(F.col("quality") >= threshold)
+    place = {c: F.col(f"row.k{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
+    return out.select(*(place[c].alias(c) for c in names))
