@@ -260,6 +260,31 @@ def test_quality(spark):
     assert kept.columns == d.columns and kept.filter("doc_id >= 90000").isEmpty()
 
 
+def test_accuracies_are_estimated_from_agreement():
+    r = np.random.default_rng(4)
+    n, m = 40_000, len(quality.LABELLERS)
+    fine = r.random(n) < 0.8
+    alarm, find = r.uniform(0.01, 0.08, m), r.uniform(0.5, 0.9, m)
+    votes = np.where(r.random((n, m)) < np.where(fine[:, None], alarm, find), quality.JUNK, quality.FINE)
+    votes[r.random((n, m)) < 0.3] = quality.ABSTAIN
+    code, counts = np.unique(votes @ 3 ** np.arange(m), return_counts=True)
+    rates, posterior = quality.estimate(code, counts.astype(float))
+    assert abs((counts @ posterior) / n - fine.mean()) < 0.01
+    assert np.abs(rates[:, 1, quality.JUNK] - alarm).max() < 0.02 and np.abs(rates[:, 0, quality.JUNK] - find).max() < 0.04
+
+
+def test_estimated_classes_on_the_corpus():
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    t, l = (pq.read_table(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    good = dict(zip(l.column("doc_id").to_pylist(), l.column("quality").to_pylist(), strict=True))
+    code, back, counts = np.unique(quality.votes(quality.Shapes(pc.fill_null(t.column("text"), "").combine_chunks())) @ 3 ** np.arange(len(quality.LABELLERS)), return_inverse=True, return_counts=True)
+    _, posterior = quality.estimate(code, counts.astype(float))
+    pairs = [(p >= 0.5, good[i] == 1) for p, i in zip(posterior[back], t.column("doc_id").to_pylist(), strict=True) if i in good]
+    assert sum(a == b for a, b in pairs) >= 0.98 * len(pairs)
+
+
 def test_quality_sample_is_whole_and_travels_compactly(spark):
     import pyarrow as pa
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import remove, staged
 
+SALTS = 16
+
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     """The edges as a written table, and their number and a hash of them, observed while they are written."""
@@ -15,6 +17,15 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     return held, (seen.get["n"], seen.get["h"])
 
 
+def _with_least(rows: DataFrame, salts: int, own: bool) -> DataFrame:
+    """Edges (u, v) with m, the least v of their u, or u itself with `own`. A u with very many edges is dealt by a hash of v."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("v", F.lit(11)), F.lit(salts)))
+    part = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = part.groupBy("u").agg(F.min("m").alias("m"))
+    least = least.select("u", (F.least("u", "m") if own else F.col("m")).alias("m"))
+    return salted.join(part.select("u", "salt").join(least, "u"), ["u", "salt"]).select("u", "v", "m")
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Rows (node, root): root is the smallest node that can be reached. `edges` has long columns a and b.
 
@@ -27,11 +38,10 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if before[0] == 0:
             break
         both = held.union(held.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after, state = _written(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        large = _with_least(both, SALTS, True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = _with_least(large, SALTS, False)
+        # a node points to its least neighbour, and so do its other neighbours
+        after, state = _written(small.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct())
         remove(spark, held)
         held = after
         if state == before:
