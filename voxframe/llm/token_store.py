@@ -242,14 +242,14 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     whole_tree = verify_manifest(spark, path)
     sums = chunks(spark, path).mapInArrow(_sums, "digest binary, good boolean, n long, crc long")
     uses = recipes_in_parts(spark, path).select("row_key", "digests", "sizes").mapInArrow(_uses, "row_key long, digest binary, after long")
-    # chunks that more than a thousandth of all uses name, so fewer than a thousand, are broadcast
-    count = uses.groupBy("digest").agg(F.count("*").alias("uses"))
-    total = uses.count()
-    often = F.broadcast(count.filter(F.col("uses") * 1000 > total).select("digest").join(sums, "digest"))
-    names = ["row_key", "n", "good", "crc", "after"]
-    near = uses.join(often, "digest").select(names)
-    far = uses.join(F.broadcast(often.select("digest")), "digest", "left_anti").join(sums, "digest").select(names)
-    joined = near.union(far)
+    # chunks that more than a thousandth of all uses name, so fewer than a thousand, are broadcast, and their rows dealt evenly
+    total = recipes_in_parts(spark, path).agg(F.sum(F.size("sizes"))).first()[0] or 0
+    often = uses.groupBy("digest").agg(F.count("*").alias("uses")).filter(F.col("uses") * 1000 > total).select("digest")
+    hot = F.broadcast(often.join(sums, "digest").select("digest", F.struct("n", "good", "crc").alias("hot")))
+    spread = F.when(F.col("hot").isNotNull(), F.xxhash64("row_key", "after")).otherwise(F.lit(0).cast("long"))
+    cold = sums.select(F.lit(0).cast("long").alias("spread"), "digest", F.struct("n", "good", "crc").alias("cold"))
+    joined = uses.join(hot, "digest", "left").withColumn("spread", spread).join(cold, ["spread", "digest"], "left")
+    joined = joined.withColumn("x", F.coalesce("hot", "cold")).filter("x is not null").select("row_key", "x.n", "x.good", "x.crc", "after")
     whole = joined.mapInArrow(_suffix, "row_key long, n long, good boolean, crc long").groupBy("row_key").agg(F.sum("n").alias("n"), F.bit_xor("crc").alias("crc"), F.min("good").alias("good"))
     out = recipes(spark, path).select("row_key", "doc_id", "start", "n_tokens", "ids_crc32").join(whole, "row_key", "left")
     fine = F.lit(whole_tree) & F.col("good") & (F.col("crc") == F.col("ids_crc32")) & (F.col("n") == F.col("n_tokens"))
