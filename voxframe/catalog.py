@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, cleaning, frames, metrics, records, runs, scores, texts, texture, voxels
+from .plans import catalogue, choices, cleaning, frames, metrics, records, runs, scores, texts, texture, voxels
 
-MODULES = (voxels, texture, runs, cleaning, scores, frames, records)
+MODULES = (voxels, texture, runs, cleaning, scores, frames, records, choices)
 PLANS = metrics.PLANS | catalogue.PLANS | texts.PLANS
 
 

@@ -59,7 +59,7 @@ def nearest(a: DataFrame, b: DataFrame, keys: list[str], spacing: tuple[float, f
     """Distance of every point of `a` to the nearest of `b` in the same group.
 
     Points are bucketed in cells of side `reach`, in mm; only the 27 cells around can hold a point within `reach`. What has
-    none there is joined to all points of its group, so no distance is lost.
+    none there is joined to the cells of its group, and to the points of those that bounds don't rule out.
     """
     side = [max(1, math.ceil(reach / s)) for s in spacing]
     cell = [F.floor(F.col(c) / n).cast("int").alias(f"c{c}") for c, n in zip("zyx", side, strict=True)]
@@ -70,7 +70,16 @@ def nearest(a: DataFrame, b: DataFrame, keys: list[str], spacing: tuple[float, f
     here = a.select(*keys, "z", "y", "x", *cell).withColumn("o", F.explode(moves)).select(*keys, "z", "y", "x", *((F.col(f"c{c}") + F.col(f"o.{n}")).alias(f"c{c}") for c, n in zip("zyx", "ijk", strict=True)))
     point = [*keys, "z", "y", "x"]
     close = here.join(cells, [*keys, "cz", "cy", "cx"]).groupBy(*point).agg(F.min(_apart(spacing)).alias("d")).filter(F.col("d") <= reach)
-    rest = a.select(*point).join(close, point, "left_anti").join(far, keys).groupBy(*point).agg(F.min(_apart(spacing)).alias("d"))
+    # what is further away meets the cells of its group first, and then the points of those that can hold the nearest
+    lone = a.select(*point).join(close, point, "left_anti")
+    boxes = cells.groupBy(*keys, "cz", "cy", "cx").agg(*(f(f"{c}2").alias(f"{c}{n}") for c in "zyx" for n, f in (("lo", F.min), ("hi", F.max))))
+    low, high = F.lit(0.0), F.lit(0.0)
+    for c, s in zip("zyx", spacing, strict=True):
+        low += F.pow(F.greatest(F.lit(0), F.col(f"{c}lo") - F.col(c), F.col(c) - F.col(f"{c}hi")) * F.lit(s), 2)
+        high += F.pow(F.greatest(F.abs(F.col(c) - F.col(f"{c}lo")), F.abs(F.col(c) - F.col(f"{c}hi"))) * F.lit(s), 2)
+    pairs = lone.join(boxes, keys).select(*point, "cz", "cy", "cx", low.alias("_low"), high.alias("_high"))
+    bound = pairs.groupBy(*point).agg(F.min("_high").alias("_bound"))
+    rest = pairs.join(bound, point).filter("_low <= _bound").join(cells, [*keys, "cz", "cy", "cx"]).groupBy(*point).agg(F.min(_apart(spacing)).alias("d"))
     return close.unionByName(rest)
 
 

@@ -49,6 +49,7 @@ PLANS = {
     "F20_p_text": "select model, case when p < 0.001 then '<0.001' else cast(round(p, 3) as string) end as p_text from (select model, avg(1 - dice_lv) / 2 as p from frame_metrics group by model) t",
     "F31_in_distribution": "select distinct f.model, s.vendor, d.vendor is not null as in_distribution from frame_metrics f join subjects s on f.patient_id = s.patient_id left join (select 'model_a' as model, 'EUROPE' as vendor union all select 'model_r', 'ASIA') d on d.model = f.model and d.vendor = s.vendor",
 }
+_PAIRS = "select a.lv as x, b.lv as y from (" + PATIENT + ") a join (" + PATIENT + ") b on a.patient_id = b.patient_id where a.model = 'model_a' and b.model = 'model_r'"
 PLANS["A37_icc"] = """select n, round((msr - mse) / (msr + mse + 2 * (msc - mse) / n), 6) as icc from (select n, ssr / (n - 1) as msr, ssc as msc, (sst - ssr - ssc) / (n - 1) as mse from (
     select count(*) as n, sum(2 * ((x + y) / 2 - g) * ((x + y) / 2 - g)) as ssr, sum((x - g) * (x - g) + (y - g) * (y - g)) as sst, count(*) * ((avg(x) - avg(g)) * (avg(x) - avg(g)) + (avg(y) - avg(g)) * (avg(y) - avg(g))) as ssc
-    from (select x, y, avg((x + y) / 2) over () as g from (select a.lv as x, b.lv as y from (""" + PATIENT + ") a join (" + PATIENT + ") b on a.patient_id = b.patient_id where a.model = 'model_a' and b.model = 'model_r') p) q) r) s"
+    from (select x, y, g from (""" + _PAIRS + ") p cross join (select avg((x + y) / 2) as g from (" + _PAIRS + ") m) w) q) r) s"

@@ -55,8 +55,8 @@ def _needed(sql: str) -> list[str]:
 
 
 def _with(sql: str) -> str:
-    """The text after its views, with decimal numbers as doubles, which both dialects then compute alike."""
-    sql = re.sub(r"\b(\d+\.\d+)\b(?!e)", r"\1e0", sql)
+    """The text after its views, with decimal numbers outside quotes as doubles, which both dialects then compute alike."""
+    sql = re.sub(r"('(?:[^']|'')*')|\b(\d+\.\d+)\b(?!e)", lambda m: m[1] or f"{m[2]}e0", sql)
     names = _needed(sql)
     if not names:
         return sql
