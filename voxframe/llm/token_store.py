@@ -151,7 +151,7 @@ def _merkle(held: DataFrame) -> DataFrame:
         above = nodes.groupBy("part", F.floor(F.col("node") / FAN).alias("node")).agg(F.sha2(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("node", "hash"))), lambda x: x["hash"])), 256).alias("hash"))
         return above.select(F.lit(n).alias("level"), "part", "node", "hash")
 
-    widest = held.agg(F.max("node")).first()[0] or 0
+    widest, parts = (x or 0 for x in held.agg(F.max("node"), F.max("part")).first())
     while True:
         level = up(level.select("part", "node", "hash"), at)
         out = level if out is None else out.union(level)
@@ -162,7 +162,8 @@ def _merkle(held: DataFrame) -> DataFrame:
     while True:
         root = up(root.select("part", "node", "hash"), at)
         out, at = out.union(root.select("level", F.lit(-1).alias("part"), "node", "hash")), at + 1
-        if root.count() <= 1:
+        parts //= FAN
+        if not parts:
             return out
 
 
@@ -244,7 +245,7 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     uses = recipes_in_parts(spark, path).select("row_key", "digests", "sizes").mapInArrow(_uses, "row_key long, digest binary, after long")
     # chunks that more than a thousandth of all uses name, so fewer than a thousand, are broadcast, and their rows dealt evenly
     total = recipes_in_parts(spark, path).agg(F.sum(F.size("sizes"))).first()[0] or 0
-    often = uses.groupBy("digest").agg(F.count("*").alias("uses")).filter(F.col("uses") * 1000 > total).select("digest")
+    often = recipes_in_parts(spark, path).select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("uses")).filter(F.col("uses") * 1000 > total).select("digest")
     hot = F.broadcast(often.join(sums, "digest").select("digest", F.struct("n", "good", "crc").alias("hot")))
     spread = F.when(F.col("hot").isNotNull(), F.xxhash64("row_key", "after")).otherwise(F.lit(0).cast("long"))
     cold = sums.select(F.lit(0).cast("long").alias("spread"), "digest", F.struct("n", "good", "crc").alias("cold"))
