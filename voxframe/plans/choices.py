@@ -16,7 +16,7 @@ from .scores import _rounded
 KEYS = ["case_id", "frame_tag"]
 SLICES = "select p.case_id, p.frame_tag, p.model, p.z, count_if(p.label <> g.label) as changed, count_if(p.label = 3) as pool, count_if(p.label > 0) as pred, count_if(g.label > 0) as ref, 2.0 * count_if(p.label = 3 and g.label = 3) / nullif(count_if(p.label = 3) + count_if(g.label = 3), 0) as dice from vox_pred p join vox_gt g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x group by p.case_id, p.frame_tag, p.model, p.z"
 WANTED = "select distinct o_custkey % 40 as pid, case o_orderkey % 3 when 0 then 'ED' when 1 then 'ES' else 'frame05' end as tag, cast(case o_orderkey % 3 when 0 then 0 when 1 then 11 else 5 end as int) as idx from orders"
-FILES = "select distinct concat('gt/', case o_orderkey % 6 when 0 then lpad(cast(o_custkey % 40 as string), 3, '0') when 1 then lpad(cast(o_custkey % 40 as string), 3, '0') when 2 then cast(o_custkey % 40 as string) else lpad(cast(o_custkey % 40 as string), 3, '0') end, case o_orderkey % 6 when 0 then '_ED_gt' when 1 then '_frame12_gt' when 2 then '_ES_gt' when 3 then '_frame06_gt' when 4 then '_notes' else '_gt_4d' end, '.nii.gz') as path from orders where o_custkey % 7 <> 0"
+FILES = "select distinct concat('gt/', case o_orderkey % 6 when 0 then lpad(cast(o_custkey % 40 as string), 3, '0') when 1 then lpad(cast(o_custkey % 40 as string), 3, '0') when 2 then cast(o_custkey % 40 as string) else lpad(cast(o_custkey % 40 as string), 3, '0') end, case o_orderkey % 6 when 0 then '_ED_gt' when 1 then '_frame12_gt' when 2 then '_ES_gt' when 3 then '_frame06_gt' when 4 then '_notes' else '_gt_4d' end, '.nii.gz') as path from orders"
 
 
 def best_slices(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +110,7 @@ def info_problems(spark: SparkSession, d: str) -> DataFrame:
 def indexed_masks(spark: SparkSession, d: str) -> DataFrame:
     """Masks of a catalogue with the frame index of their case's manifest, else that of their tag; first path per key."""
     m = sql(spark, d, "select distinct o_custkey % 1000 as pid, case o_orderstatus when 'O' then 'ED' when 'F' then 'ES' else concat('frame', lpad(cast(o_orderkey % 30 as string), 2, '0')) end as tag, concat('m', cast(o_orderkey % 3 as string)) as model, concat('p', cast(o_orderkey as string)) as path from orders")
-    cases = sql(spark, d, "select distinct o_custkey % 1000 as pid, 20 as n_frames, o_custkey % 2 = 0 as has_cfg, 3 as ed, 11 as es from orders").filter("pid % 4 = 0").withColumn("annotated", F.lit(None).cast("array<int>"))
+    cases = sql(spark, d, "select distinct o_custkey % 1000 as pid, 20 as n_frames, o_custkey % 2 = 0 as has_cfg, 3 as ed, 11 as es from orders").withColumn("annotated", F.lit(None).cast("array<int>"))
     frames = fr.frame_manifest(cases, "pid", "ed_es")
     of_tag = F.when(F.col("tag") == "ED", 0).when(F.col("tag") == "ES", 1).otherwise(F.expr("try_cast(substr(tag, 6) as int)"))
     first = m.groupBy("pid", "tag", "model").agg(F.min("path").alias("path"))
@@ -119,7 +119,7 @@ def indexed_masks(spark: SparkSession, d: str) -> DataFrame:
 
 def layouts(spark: SparkSession, d: str) -> DataFrame:
     """Two atrial layouts: images and labels of one id, and folders MBAS_###; what has no partner is told."""
-    l = sql(spark, d, "select distinct concat(case o_orderkey % 4 when 0 then 'imagesTr/' when 1 then 'labelsTr/' when 2 then 'MBAS_' else 'MBAS_' end, lpad(cast(o_custkey % 90 as string), 3, '0'), case o_orderkey % 4 when 0 then '_0000.nii.gz' when 1 then '.nii.gz' when 2 then '/gt.nii.gz' else '/label.nii.gz' end) as path from orders where o_custkey % 5 < 4 or o_orderkey % 2 = 0")
+    l = sql(spark, d, "select distinct concat(case o_orderkey % 4 when 0 then 'imagesTr/' when 1 then 'labelsTr/' when 2 then 'MBAS_' else 'MBAS_' end, lpad(cast(o_custkey % 90 as string), 3, '0'), case o_orderkey % 4 when 0 then '_0000.nii.gz' when 1 then '.nii.gz' when 2 then '/gt.nii.gz' else '/label.nii.gz' end) as path from orders")
     flat = l.withColumn("id", F.regexp_extract("path", r"(?:Tr/|MBAS_)(\d{3})", 1)).withColumn("layout", F.when(F.col("path").startswith("MBAS"), "folders").otherwise("flat"))
     image = F.col("path").startswith("imagesTr") | F.col("path").endswith("/gt.nii.gz")
     s = flat.groupBy("layout", "id").agg(F.min(F.when(image, F.col("path"))).alias("image"), F.min(F.when(~image, F.col("path"))).alias("label_path"))
@@ -167,7 +167,7 @@ ORACLES = {
     "A50_reference_scaled": "select i.case_id, i.frame_tag, i.label, round(avg(100 * intensity / pool), 6) as mean from vox_img i join (select case_id, frame_tag, avg(intensity) filter (label = 3) as pool from vox_img group by case_id, frame_tag) p using (case_id, frame_tag) group by i.case_id, i.frame_tag, i.label",
     "S08_info_problems": "select c_custkey, case when c_custkey % 5 > 1 and c_custkey % 9 > 0 then (c_custkey % 9 - 1)::int end as ed, case when c_custkey % 5 = 0 then 'below 1' when c_custkey % 5 = 1 then 'not a number' when c_custkey % 9 = 0 then 'below 1' end as ed_problem, case when c_custkey % 4 > 0 then (c_custkey % 30)::int end as es, case when c_custkey % 4 = 0 then 'missing' end as es_problem from customer",
     "S13_indexed_masks": """with m as (select distinct o_custkey % 1000 as pid, case o_orderstatus when 'O' then 'ED' when 'F' then 'ES' else concat('frame', lpad((o_orderkey % 30)::varchar, 2, '0')) end as tag, concat('m', o_orderkey % 3) as model, concat('p', o_orderkey) as path from orders)
-        select pid, tag, model, min(path) as path, case when tag = 'ED' and pid % 4 = 0 and pid % 2 = 0 then 3 when tag = 'ES' and pid % 4 = 0 then 11 when tag = 'ED' then 0 when tag = 'ES' then 1 else substr(tag, 6)::int end as idx from m group by pid, tag, model""",
-    "S17_two_layouts": """with o as (select distinct o_orderkey % 4 as kind, lpad((o_custkey % 90)::varchar, 3, '0') as id from orders where o_custkey % 5 < 4 or o_orderkey % 2 = 0), s as (select case when kind > 1 then 'folders' else 'flat' end as layout, id, max(case kind when 0 then concat('imagesTr/', id, '_0000.nii.gz') when 2 then concat('MBAS_', id, '/gt.nii.gz') end) as image, max(case kind when 1 then concat('labelsTr/', id, '.nii.gz') when 3 then concat('MBAS_', id, '/label.nii.gz') end) as label_path from o group by 1, 2)
+        select pid, tag, model, min(path) as path, case when tag = 'ED' and pid % 2 = 0 then 3 when tag = 'ES' and pid % 2 = 0 then 11 when tag = 'ED' then 0 when tag = 'ES' then 19 else substr(tag, 6)::int end as idx from m group by pid, tag, model""",
+    "S17_two_layouts": """with o as (select distinct o_orderkey % 4 as kind, lpad((o_custkey % 90)::varchar, 3, '0') as id from orders), s as (select case when kind > 1 then 'folders' else 'flat' end as layout, id, max(case kind when 0 then concat('imagesTr/', id, '_0000.nii.gz') when 2 then concat('MBAS_', id, '/gt.nii.gz') end) as image, max(case kind when 1 then concat('labelsTr/', id, '.nii.gz') when 3 then concat('MBAS_', id, '/label.nii.gz') end) as label_path from o group by 1, 2)
         select layout, id, image, label_path, case when image is null then 'no image' when label_path is null then 'no label' end as warning from s""",
 }

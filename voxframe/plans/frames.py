@@ -11,12 +11,13 @@ from .scores import _rounded
 
 # each case's cine length, key-value file and annotated frames, made from its curve
 CASES = """select patient_id, max(n_frames) as n_frames, patient_id % 3 <> 0 as has_cfg, case when patient_id % 3 <> 0 and patient_id % 7 <> 0 then cast(patient_id % 4 as int) end as ed, case when patient_id % 3 <> 0 then cast(4 + patient_id % 9 as int) end as es, patient_id % 2 as odd from lv_curve group by patient_id"""
-ANNOTATED = "select patient_id, frame_index from lv_curve where patient_id % 2 = 1 and lv_ml > 115"
+ANNOTATED = "select patient_id, frame_index from lv_curve where lv_ml > 118"
 OUTPUTS = """select o_custkey % 97 as case_id, concat('case_', cast(o_custkey % 97 as string), case o_orderkey % 6 when 0 then '_ED' when 1 then '_es' when 2 then '_frame07' when 3 then '_0001' when 4 then '_frame12' else '_part' end, case when o_orderkey % 6 in (3, 5) then concat('_', cast(o_orderkey % 50 as string)) else '' end, '.nii.gz') as file from orders group by 1, 2"""
 IMAGES = """select case_id, 'frame01' as name, z, y, x, intensity as value from vox_img where case_id % 3 = 0 and frame_tag = 'ED'
     union all select case_id, 'frame02', z, y, x, case when case_id % 12 = 3 and z = 2 then intensity + 1.0 else intensity end from vox_img where case_id % 3 = 0 and frame_tag = 'ES'
     union all select case_id, concat('SA_', frame_tag), z, y, x, intensity from vox_img where case_id % 3 = 1 and case_id % 9 <> 1
-    union all select case_id, 'SA_ES', z, y, x, intensity from vox_img where case_id % 9 = 1 and frame_tag = 'ED'"""
+    union all select case_id, 'SA_ES', z, y, x, intensity from vox_img where case_id % 9 = 1 and frame_tag = 'ED'
+    union all select case_id, concat('LA_', frame_tag), z, y, x, intensity + 7.0 from vox_img where case_id % 3 = 2"""
 
 
 def manifests(spark: SparkSession, d: str) -> DataFrame:
@@ -50,8 +51,8 @@ def outputs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def same_frames(spark: SparkSession, d: str) -> DataFrame:
-    a = sql(spark, d, "select patient_id, frame_index as frame from lv_curve where lv_ml > 117 and patient_id % 4 <> 0")
-    b = sql(spark, d, "select patient_id, frame_index as frame from lv_curve where lv_ml > 117 - patient_id % 2 and patient_id % 5 <> 0")
+    a = sql(spark, d, "select patient_id, frame_index as frame from lv_curve where lv_ml > 117")
+    b = sql(spark, d, "select patient_id, frame_index as frame from lv_curve where lv_ml > 117 - patient_id % 2")
     out = fr.equal_sets(a, b, "patient_id")
     return out.select("patient_id", *(F.concat_ws(",", F.transform(c, lambda x: x.cast("string"))).alias(c) for c in ("annotated", "listed")), "equal")
 
@@ -72,7 +73,7 @@ def cine(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cine_checks(spark: SparkSession, d: str) -> DataFrame:
-    h = sql(spark, d, "select exam, series, case when exam % 4 = 3 and position_mm > 30 then position_mm + 4.0 else position_mm end as position_mm, instance from series_headers where not (exam % 6 = 5 and instance = 2)")
+    h = sql(spark, d, "select exam, series, case when exam % 4 = 3 and position_mm > 30 then position_mm + 4.0 else position_mm end as position_mm, instance from series_headers")
     return fr.cine_problems(h, ["exam", "series"], "position_mm")
 
 
@@ -148,14 +149,14 @@ ORACLES = {
         l2 as (select *, row_number() over (partition by case_id order by file) as r from f anti join u using (case_id, file)),
         free as (select *, row_number() over (partition by case_id order by i) as r from (select case_id, i, concat('frame', lpad(i::varchar, 2, '0')) as tag from (select distinct case_id from f) k cross join RANGE(i, 99) n) x anti join u using (case_id, tag))
         select case_id, file, tag from u union all select l2.case_id, l2.file, free.tag from l2 join free using (case_id, r)""",
-    "J21_equal_frame_sets": "select patient_id, coalesce(string_agg(frame_index::varchar, ',' order by frame_index) filter (a), '') as annotated, coalesce(string_agg(frame_index::varchar, ',' order by frame_index) filter (b), '') as listed, count_if(a <> b) = 0 as equal from (select *, lv_ml > 117 and patient_id % 4 <> 0 as a, lv_ml > 117 - patient_id % 2 and patient_id % 5 <> 0 as b from lv_curve) t where a or b group by patient_id",
+    "J21_equal_frame_sets": "select patient_id, coalesce(string_agg(frame_index::varchar, ',' order by frame_index) filter (a), '') as annotated, coalesce(string_agg(frame_index::varchar, ',' order by frame_index) filter (b), '') as listed, count_if(a <> b) = 0 as equal from (select *, lv_ml > 117 as a, lv_ml > 117 - patient_id % 2 as b from lv_curve) t where a or b group by patient_id",
     "W01_phases": """with c as (select patient_id, frame_index, case when patient_id % 50 = 7 and frame_index > 0 then 0 else lv_ml end as v from lv_curve), k as (select *, row_number() over (partition by patient_id order by frame_index) - 1 as r, count(*) over (partition by patient_id) as n, min(v) over (partition by patient_id) as low from c where v > 0),
         m as (select a.patient_id, count_if(a.v < b.v and a.v < d.v and a.v > a.low) as extra from k a join k b on b.patient_id = a.patient_id and b.r = (a.r + 1) % a.n join k d on d.patient_id = a.patient_id and d.r = (a.r + a.n - 1) % a.n group by a.patient_id),
         s as (select patient_id, count(*) as frames, count_if(v = 0) as empty, arg_max(frame_index, v * 100 - frame_index) filter (v > 0) as ed, arg_min(frame_index, v * 100 + frame_index) filter (v > 0) as es, max(v) as hi, min(v) filter (v > 0) as lo from c group by patient_id)
         select s.patient_id, frames, empty, case when frames - empty > 1 then ed end as ed, case when frames - empty > 1 then es end as es, case when frames - empty > 1 then extra end as extra_minima, case when frames - empty > 1 then round(100 * (hi - lo) / hi, 6) end as ef, case when frames - empty > 1 then least(ed, frames - ed) > 0.15 * frames end as late_ed, case when frames - empty < 2 then 'fewer than two frames with volume' end as problem from s left join m using (patient_id)""",
     "W05_latest_positions": "select exam, place, max(series) as series, count(distinct series) - 1 as replaced from (select exam, series, round(-0.6 + 0.8 * position_mm, 1) as place from series_headers) t group by exam, place",
     "W06_cine_frames": "select exam, series, instance, dense_rank() over (partition by exam, series order by position_mm) as slice, row_number() over (partition by exam, series, position_mm order by case when instance % 5 = 0 then 1 else 0 end, case when instance % 5 <> 0 then trigger_ms end, instance) as frame from series_headers",
-    "W06_cine_checks": """with h as (select exam, series, case when exam % 4 = 3 and position_mm > 30 then position_mm + 4 else position_mm end as p from series_headers where exam % 6 <> 5 or instance <> 2), s as (select exam, series, p, count(*) as n, (select min(o.p) from h o where o.exam = h.exam and o.series = h.series and o.p > h.p) - p as gap from h group by exam, series, p)
+    "W06_cine_checks": """with h as (select exam, series, case when exam % 4 = 3 and position_mm > 30 then position_mm + 4 else position_mm end as p from series_headers), s as (select exam, series, p, count(*) as n, (select min(o.p) from h o where o.exam = h.exam and o.series = h.series and o.p > h.p) - p as gap from h group by exam, series, p)
         select exam, series, count(*) as slices, max(n) as frames, count(distinct n) = 1 as equal_counts, median(gap) as gap, coalesce(max(gap) - min(gap) > 0.1 * median(gap), false) as uneven from s group by exam, series""",
     "J23_series_mates": "select exam, series, case when exam % 6 = 0 then 1 when exam % 2 = 0 then 2 else 1 end as mates from (select distinct exam, series from series_headers) s",
     "W07_series_kinds": "select exam, case when exam % 2 = 1 then 'stack' when exam % 6 = 0 then 'too few' else 'combined' end as kind, case when exam % 2 = 1 then '0' when exam % 6 = 0 then '' else '0,1' end as series from (select distinct exam from series_headers) e",
