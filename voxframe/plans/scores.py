@@ -235,7 +235,8 @@ def supplement(spark: SparkSession, d: str) -> DataFrame:
 def user_metric(spark: SparkSession, d: str) -> DataFrame:
     """A metric that a user adds by name, asked for beside a known one."""
     overlap.METRICS.setdefault("volume_similarity", "1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0)")
-    return voxels.counts(spark, d).select(*KEYS, "model", "label", *(overlap.metric(n) for n in ("volume_similarity", "jaccard")))
+    c = voxels.counts(spark, d)
+    return c.select(*KEYS, "model", "label", *(overlap.metric(c, n) for n in ("volume_similarity", "jaccard")))
 
 
 def per_frame(spark: SparkSession, d: str) -> DataFrame:

@@ -25,7 +25,11 @@ def counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _metric(name: str):
-    return lambda spark, d: counts(spark, d).select("case_id", "model", "frame_tag", "label", overlap.metric(name))
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        c = counts(spark, d)
+        return c.select("case_id", "model", "frame_tag", "label", overlap.metric(c, name))
+
+    return query
 
 
 def model_summary(spark: SparkSession, d: str) -> DataFrame:
