@@ -19,9 +19,8 @@ from voxframe.sources import files
 
 VOX = "case_id int, z int, y int, x int, label int"
 NEW = [
-    "A01_sparse_masks", "A16_surface_distances", "V08_components", "V09_keep_largest", "V12_wall_thickness", "V18_ring_relabel", "V20_confidence", "V21_band_relabel", "V03_known_wall", "V24_apply_decision", "A19_case_means", "A24_accuracy_summary",
-    "P10_binary_masks", "A60_slice_scores", "V28_all_first_order", "W12_signed_ranks", "W09_frame_manifests", "J17_verified_frames", "J19_outputs_to_frames", "W01_phases", "J20_duplicate_scans", "W07_series_kinds", "F13_duration_units", "F14_memory_units", "F30_radiomics_settings",
-    "F25_directions", "A40_execution_metrics", "A44_scientific_summary", "S15_generic_sheet", "S23_provenance", "S28_markdown", "S29_json_summaries", "S31_info_files", "W13_chosen_variants", "J18_ground_truths", "V15_pasted", "V16_filled_crop", "F27_crop_bounds",
+    "A01_sparse_masks", "A16_surface_distances", "V08_components", "V12_wall_thickness", "V18_ring_relabel", "V21_band_relabel", "A19_case_means", "A24_accuracy_summary", "P10_binary_masks", "V28_all_first_order", "W09_frame_manifests", "J17_verified_frames",
+    "W01_phases", "F13_duration_units", "A44_scientific_summary", "S15_generic_sheet", "W13_chosen_variants", "V16_filled_crop",
 ]
 
 
