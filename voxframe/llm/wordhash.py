@@ -61,11 +61,12 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 class Words:
     """hash, first byte and end byte of every word of a column, and the range of words of each row."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE):
+        """`space` says of each byte, after A-Z became a-z, whether it stands between words."""
         raw, offsets = text_bytes(column)
-        raw = _LOWER[raw]
+        self.raw = raw = _LOWER[raw]
         inside = np.zeros(len(raw) + 2, dtype=bool)
-        inside[1:-1] = ~_SPACE[raw]
+        inside[1:-1] = ~space[raw]
         edge = inside[1:] != inside[:-1]
         cuts = offsets[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < len(raw))]
@@ -95,6 +96,12 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return mix(x)
 
 
+def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of all spans, one span after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 def windows(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the `width` words from each position on; all windows must end within `words`."""
     up, down = _power(len(words) + 1)
