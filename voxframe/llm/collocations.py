@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remove, slices, staged
+from .common import gathered_batches, remove, slices, staged
 from .wordhash import _LOWER, Words, gathered, mix, span_hashes, text_bytes
 
 SLICE = 1 << 22
@@ -113,7 +113,7 @@ def _count(order: int, table) -> Callable:
     """Weighted counts of the phrases of `order` words in a task's chunks, if both their parts of one word less are marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "chunk", SLICE):
+        for batch in slices(gathered_batches(batches, "chunk", SLICE), "chunk", SLICE):
             p = Phrases(batch.column("lang"), batch.column("chunk"))
             rows, n = p.words.rows, batch.column("n").to_numpy()
             at = np.arange(len(p.hash))

@@ -99,6 +99,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             yield batch.slice(at)
 
 
+def gathered_batches(batches: Iterator[pa.RecordBatch], column: str, least_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Record batches put together until the text of each holds `least_bytes`; the last may hold less."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= least_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows with equal keys, from batches in which these rows are adjacent."""
     import numpy as np
