@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import components as two_level
+
 FACES = [(-1, 0, 0), (1, 0, 0), (0, -1, 0), (0, 1, 0), (0, 0, -1), (0, 0, 1)]
 IN_SLICE = [o for o in FACES if o[0] == 0]
 
@@ -104,45 +104,9 @@ def _distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[
     return both.groupBy(*keys).agg(F.max("d").alias("hd"), F.percentile("d", F.lit(0.95)).alias("hd95"), mean[0].alias("asd"), ((mean[0] + mean[1]) / 2).alias("assd"))
 
 
-def _settled(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cut the lineage by a table in the shared folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        path = f"file://{tempfile.mkdtemp(prefix='spark-ckpt-')}"
-        spark.sparkContext.setCheckpointDir(path)
-    at = f"{path.rstrip('/')}/voxels-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
-
-
-def voxel_code() -> Column:
-    """One long for z, y and x, 21 bits each; other coordinates are an error."""
-    fits = F.lit(True)
-    for c in "zyx":
-        fits &= F.col(c).between(0, (1 << 21) - 1)
-    code = F.shiftleft(F.col("z").cast("long"), 42) + F.shiftleft(F.col("y").cast("long"), 21) + F.col("x")
-    return F.when(fits, code).otherwise(F.raise_error(F.lit("voxel coordinates must lie in 0 to 2097151")))
-
-
-def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]] = FACES, rounds: int = 200) -> DataFrame:
-    """The mask with `component`, the smallest voxel code of its connected component.
-
-    Each round takes the least code of the neighbours and jumps to the code's own component; it ends when nothing changes.
-    """
-    spark = mask.sparkSession
-    point = [*keys, "z", "y", "x"]
-    now = _settled(spark, mask.select(*point).withColumn("component", voxel_code()))
-    for _ in range(rounds):
-        near = shifted(now, offsets).groupBy(*point).agg(F.min("component").alias("least"))
-        step = now.join(near, point, "left").select(*point, F.col("component").alias("old"), F.least("component", "least").alias("component"))
-        roots = step.select(*keys, voxel_code().alias("component"), F.col("component").alias("up"))
-        after = _settled(spark, step.join(roots, [*keys, "component"], "left").select(*point, "old", F.least("component", "up").alias("component")))
-        if after.filter("component <> old").isEmpty():
-            return after.drop("old")
-        now = after.drop("old")
-    raise RuntimeError("components have not settled")
+def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]] = FACES) -> DataFrame:
+    """The mask with `component`, the smallest voxel code of its connected component: z, y and x in 21 bits each, from the top."""
+    return two_level.components(mask, keys, offsets)
 
 
 def sized(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -173,23 +137,8 @@ def component_limits(labels: DataFrame, keys: list[str], by: list[str]) -> DataF
 
 
 def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:
-    """Background voxels of a slice that 4-connected background does not join to the border.
-
-    A voxel sees the border unless the mask lies on both sides in its row and in its column, so only such pockets are made and
-    searched. A pocket's component is open when one of its voxels touches background outside all pockets.
-    """
-    m = mask.select(*keys, "z", "y", "x")
-    rows = m.groupBy(*keys, "z", "y").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("hi - lo > 1")
-    columns = m.groupBy(*keys, "z", "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi")).filter("hi - lo > 1")
-    between = rows.select(*keys, "z", "y", F.explode(F.sequence(F.col("lo") + 1, F.col("hi") - 1)).alias("x"))
-    pockets = _settled(mask.sparkSession, between.join(columns, [*keys, "z", "x"]).filter("y > lo and y < hi").select(*m.columns).join(m, m.columns, "left_anti"))
-    kept = erode(m.unionByName(pockets), keys, IN_SLICE)
-    leaks = pockets.join(kept, m.columns, "left_anti")
-    if leaks.isEmpty():
-        return pockets
-    parts = components(pockets, keys, IN_SLICE)
-    open_ = parts.join(leaks, m.columns, "left_semi").select(*keys, "component").distinct()
-    return parts.join(open_, [*keys, "component"], "left_anti").select(*m.columns)
+    """Background voxels of a slice that 4-connected background does not join to the border."""
+    return two_level.fill_holes(mask, keys)
 
 
 def wall_thickness(labels: DataFrame, keys: list[str], wall: int, cavity: int, spacing: tuple[float, float, float], reach: float = 12.0) -> DataFrame:

@@ -1,10 +1,12 @@
-"""Overlap metrics of label volumes held as voxel tables."""
+"""Overlap metrics of label volumes held as packed slices or as voxel tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import settled
+
 VOXEL = ["z", "y", "x"]
 
 # metric name -> expression over tp, fp, fn, tn; undefined ratios are null
@@ -25,55 +27,71 @@ METRICS = {
 }
 
 
-def label_masks(labels: DataFrame, regions: dict[int, list[int]] | None) -> DataFrame:
-    """Voxels as rows of the regions that they belong to: `label` is the region's number, its members are merged.
+def _members(labels: list[int], regions: dict[int, list[int]] | None) -> dict[int, list[int]]:
+    return {k: (regions or {}).get(k, [] if regions else [k]) for k in labels}
+
+
+def _slice_pairs(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """One row per voxel of packed slices: `keys`, `by`, a (predicted), b (reference; 0 without a slice), `met` (it has one)."""
+    both = pred.select(*keys, *by, "z", "labels").join(ref.select(*keys, "z", F.col("labels").alias("_ref")), [*keys, "z"], "left")
+    other = F.coalesce("_ref", F.transform("labels", lambda v: F.lit(0)))
+    code = F.zip_with("labels", other, lambda a, b: F.shiftleft(a.cast("long"), 32) + F.coalesce(b, F.lit(0)))
+    rows = both.select(*keys, *by, F.col("_ref").isNotNull().alias("met"), F.explode(code).alias("_c"))
+    return rows.select(*keys, *by, "met", F.shiftright("_c", 32).cast("int").alias("a"), F.col("_c").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"))
 
-    Without regions every positive label is its own.
-    """
-    if regions is None:
-        return labels.filter("label > 0")
-    table = F.array(*(F.struct(F.lit(k).alias("label"), F.array(*map(F.lit, members)).alias("of")) for k, members in regions.items()))
-    mine = F.transform(F.filter(table, lambda r: F.array_contains(r["of"], F.col("label"))), lambda r: r["label"])
-    return labels.filter(F.col("label").isin(sorted({x for m in regions.values() for x in m}))).withColumn("label", F.explode(mine))
+
+def label_pairs(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """How many voxels of packed slices have each predicted `label` and reference label `ref`, per group."""
+    rows = _slice_pairs(pred, ref, keys, by)
+    return rows.groupBy(*keys, *by, F.col("a").alias("label"), F.col("b").alias("ref")).agg(F.count("*").alias("n"))
 
 
 def confusion(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], labels: list[int], grid: int | None = None, pred_regions: dict[int, list[int]] | None = None, ref_regions: dict[int, list[int]] | None = None) -> DataFrame:
     """tp, fp, fn, tn per group `keys` + `by` and label.
 
-    `keys` are in both tables, `by` in `pred` alone (the model). Voxels missing on one side count as background there, so
-    tables may hold foreground only; a group of either table meets all values of `by`. `grid` is the number of voxels of a
-    group; without it tn counts the voxels that either table lists. Regions merge labels, on either side as given.
+    Both tables hold voxels (z, y, x, label) or both packed slices (z, labels). `keys` are in both, `by` in `pred` alone
+    (the model). What one side lacks counts as background there, so voxel tables may hold foreground only; a
+    group of either table meets all values of `by`. `grid` is the number of voxels of a group; without it tn counts the voxels
+    that either table lists. Regions merge labels, on either side as given.
 
-    Only voxels of the labels asked for are joined; totals come from an aggregate of each table.
+    Slices are joined whole and counted in one aggregate, without an exchange below it where both are bucketed by `keys` and
+    z. Of voxel tables one aggregate a side gives totals and groups, and only foreground is joined.
     """
-    regions = {k: [k] for k in labels}
-    p, r = label_masks(pred, pred_regions or regions), label_masks(ref, ref_regions or regions)
-
-    def totals(masks: DataFrame, group: list[str], name: str) -> DataFrame:
-        return masks.groupBy(*group).agg(*(F.count_if(F.col("label") == k).alias(f"{name}_{k}") for k in labels))
-
-    all_ = [*keys, *by]
-    hits = totals(p.select(*all_, *VOXEL, "label").join(r.select(*keys, *VOXEL, "label"), [*keys, *VOXEL, "label"]), all_, "tp")
-    groups = pred.select(*all_).distinct()
-    frames = groups.select(*keys).union(ref.select(*keys)).distinct()
-    frames = frames.crossJoin(F.broadcast(groups.select(*by).distinct())) if by else frames
-    out = frames.join(hits, all_, "left").join(totals(p, all_, "p"), all_, "left").join(totals(r, keys, "r"), keys, "left")
-    if grid is None:
-        both = pred.select(*all_, *VOXEL).join(ref.select(*keys, *VOXEL), [*keys, *VOXEL]).groupBy(*all_).agg(F.count("*").alias("_b"))
-        out = out.join(both, all_, "left").join(pred.groupBy(*all_).agg(F.count("*").alias("_p")), all_, "left").join(ref.groupBy(*keys).agg(F.count("*").alias("_r")), keys, "left")
-        size = F.coalesce("_p", F.lit(0)) + F.coalesce("_r", F.lit(0)) - F.coalesce("_b", F.lit(0))
+    all_, p_of, r_of = [*keys, *by], _members(labels, pred_regions), _members(labels, ref_regions)
+
+    def counted(column: str, name: str, of: dict[int, list[int]]) -> list[Column]:
+        return [F.count_if(F.col(column).isin(m)).alias(f"{name}_{k}") for k, m in of.items()]
+
+    hits = [F.count_if(F.col("a").isin(p_of[k]) & F.col("b").isin(r_of[k])).alias(f"tp_{k}") for k in labels]
+    if "labels" in pred.columns:
+        mine = settled(_slice_pairs(pred, ref, keys, by).groupBy(*all_).agg(*counted("a", "p", p_of), *hits, F.count("*").alias("_p"), F.count_if("met").alias("_b")), "counts")
+        theirs = ref.select(*keys, F.explode("labels").alias("b")).groupBy(*keys).agg(*counted("b", "r", r_of), F.count("*").alias("_r"))
+    else:
+        mine = settled(pred.groupBy(*all_).agg(*counted("label", "p", p_of), F.count("*").alias("_p")), "counts")
+        theirs = ref.groupBy(*keys).agg(*counted("label", "r", r_of), F.count("*").alias("_r"))
+        a, b = pred.select(*all_, *VOXEL, F.col("label").alias("a")), ref.select(*keys, *VOXEL, F.col("label").alias("b"))
+        if grid is not None:
+            a, b = a.filter(F.col("a").isin(sorted({x for m in p_of.values() for x in m}))), b.filter(F.col("b").isin(sorted({x for m in r_of.values() for x in m})))
+        mine = mine.join(a.join(b, [*keys, *VOXEL]).groupBy(*all_).agg(*hits, F.count("*").alias("_b")), all_, "left")
+    out = mine.join(theirs, keys, "left")
+    if by:
+        # frames that only the reference has, once for each value of `by`: rows of the result
+        lone = theirs.join(mine.select(*keys).distinct(), keys, "left_anti")
+        out = out.unionByName(lone.crossJoin(mine.select(*by).distinct()), allowMissingColumns=True)
     else:
-        size = F.lit(grid)
+        out = out.unionByName(theirs.join(mine.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
-    def n(name: str, k: int) -> Column:
-        return F.coalesce(f"{name}_{k}", F.lit(0))
+    def n(name: str) -> Column:
+        return F.coalesce(name, F.lit(0)).cast("long")
 
-    rows = [F.struct(F.lit(k).alias("label"), n("tp", k).alias("tp"), (n("p", k) - n("tp", k)).alias("fp"), (n("r", k) - n("tp", k)).alias("fn"), (size - n("p", k) - n("r", k) + n("tp", k)).cast("long").alias("tn")) for k in labels]
+    size = F.lit(grid) if grid is not None else n("_p") + n("_r") - n("_b")
+    rows = [F.struct(F.lit(k).alias("label"), n(f"tp_{k}").alias("tp"), (n(f"p_{k}") - n(f"tp_{k}")).alias("fp"), (n(f"r_{k}") - n(f"tp_{k}")).alias("fn"), (size - n(f"p_{k}") - n(f"r_{k}") + n(f"tp_{k}")).cast("long").alias("tn")) for k in labels]
     return out.select(*all_, F.explode(F.array(*rows)).alias("c")).select(*all_, "c.*")
 
 
-def metric(counts: DataFrame, name: str) -> Column:
-    """A metric's column by name: user metrics may be added to METRICS."""
-    if name not in METRICS:
-        raise KeyError(f"no metric {name!r}; known: {sorted(METRICS)}")
-    return F.round(F.expr(METRICS[name]), 6).cast("double").alias(name)
+def metric(counts: DataFrame, name: str, more: dict[str, str] | None = None) -> Column:
+    """A metric's column by name, among METRICS and those that a user gives in `more`."""
+    known = METRICS | (more or {})
+    if name not in known:
+        raise KeyError(f"no metric {name!r}; known: {sorted(known)}")
+    return F.round(F.expr(known[name]), 6).cast("double").alias(name)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import settled
 from . import overlap
 from .labels import darkest, otsu
-from .neighbours import IN_SLICE, _settled, ball, closing, components, dilate, fill_holes, keep_largest, opening, shifted, sized
+from .neighbours import IN_SLICE, ball, closing, components, dilate, fill_holes, keep_largest, opening, shifted, sized
 
 VOXEL = ["z", "y", "x"]
 WALL, POOL = 2, 3
@@ -51,7 +52,7 @@ class RingRelabel:
         now = self.seeds
         for _ in range(1 + round(5 * self.s)):
             now = dilate(now, self.keys, ball(1)).join(dark, [*self.keys, *VOXEL], "left_semi")
-        return _settled(now.sparkSession, now)
+        return settled(now)
 
     def judged(self) -> tuple[DataFrame, DataFrame]:
         """(voxels with their component, components with size, darkness, adjacency, seed share, confidence and `why`)."""
@@ -96,7 +97,7 @@ def band_relabel(voxels: DataFrame, keys: list[str], percentile: float | None =
     for _ in range(smooth):
         chosen = opening(closing(chosen, keys, ball(1)), keys, ball(1))
     if smooth:
-        chosen = _settled(chosen.sparkSession, chosen)
+        chosen = settled(chosen)
         chosen = chosen.unionByName(fill_holes(chosen, keys)).distinct()
     return _capped(chosen.join(near, [*keys, *VOXEL]), pool, keys, most, keep)
 
@@ -148,7 +149,7 @@ def decide(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], clas
 
     group = [*keys, *by]
     raw = mean_dice(pred, ref, keys, by, classes, grid)
-    whole = _settled(pred.sparkSession, largest_foreground(pred, group))
+    whole = settled(largest_foreground(pred, group))
     after = mean_dice(whole, ref, keys, by, classes, grid)
     good = any(gains(raw.get(k), after.get(k), eps) for k in classes) and not any(gains(after.get(k), raw.get(k), 0.0) for k in classes)
     rows = [("all", k, raw.get(k), after.get(k), good) for k in classes]

@@ -9,7 +9,7 @@ from ..operators import inference as inf
 from ..operators import neighbours as nb
 from ..operators import overlap
 from ..operators import scores as sc
-from ..tables import X, Y, Z, view
+from ..tables import X, Y, Z, slices, stored, view
 from . import runs, voxels
 
 KEYS, MODELS, SPACING = ["case_id", "frame_tag"], ["model_a", "model_n", "model_r"], (10.0, 1.25, 1.25)
@@ -32,7 +32,7 @@ def labels_present(spark: SparkSession, d: str) -> DataFrame:
 def regions(spark: SparkSession, d: str) -> DataFrame:
     """Scores of merged labels: the left heart, and all of the heart."""
     merged = {1: [2, 3], 2: [1, 2, 3]}
-    c = overlap.confusion(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, ["model"], [1, 2], GRID, merged, merged)
+    c = overlap.confusion(stored(spark, d, "vox_pred"), stored(spark, d, "vox_gt"), KEYS, ["model"], [1, 2], GRID, merged, merged)
     return c.groupBy("model", "label").agg(F.round(F.avg(F.expr(overlap.METRICS["dice"]).cast("double")), 6).alias("dice"))
 
 
@@ -109,7 +109,7 @@ def binary_masks(spark: SparkSession, d: str) -> DataFrame:
 
 def standalone(spark: SparkSession, d: str) -> DataFrame:
     """Dice of run against run and of each against the reference, averaged per structure."""
-    p, g = view(spark, d, "vox_pred"), view(spark, d, "vox_gt")
+    p, g = stored(spark, d, "vox_pred"), stored(spark, d, "vox_gt")
     a, b = (p.filter(F.col("model") == m).drop("model") for m in ("model_a", "model_b"))
     pairs = {"a_b": (a, b), "a_gt": (a, g), "b_gt": (b, g)}
     out = None
@@ -234,9 +234,9 @@ def supplement(spark: SparkSession, d: str) -> DataFrame:
 
 def user_metric(spark: SparkSession, d: str) -> DataFrame:
     """A metric that a user adds by name, asked for beside a known one."""
-    overlap.METRICS.setdefault("volume_similarity", "1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0)")
+    own = {"volume_similarity": "1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0)"}
     c = voxels.counts(spark, d)
-    return c.select(*KEYS, "model", "label", *(overlap.metric(c, n) for n in ("volume_similarity", "jaccard")))
+    return c.select(*KEYS, "model", "label", *(overlap.metric(c, n, own) for n in ("volume_similarity", "jaccard")))
 
 
 def per_frame(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours as nb
 from ..operators import overlap
-from ..tables import X, Y, Z, view
+from ..tables import X, Y, Z, slices, stored, view
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
 SPACING = (10.0, 1.25, 1.25)
@@ -21,7 +21,7 @@ METRIC_IDS = {"A02_dice_or_one": "dice_or_one", "A03_dice": "dice", "A04_jaccard
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.confusion(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, MODEL, [1, 2, 3], Z * Y * X)
+    return overlap.confusion(stored(spark, d, "vox_pred"), stored(spark, d, "vox_gt"), KEYS, MODEL, [1, 2, 3], Z * Y * X)
 
 
 def _metric(name: str):
@@ -42,7 +42,7 @@ def totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def slice_dice(spark: SparkSession, d: str) -> DataFrame:
-    p, g = (view(spark, d, n).withColumn("slice", F.col("z")) for n in ("vox_pred", "vox_gt"))
+    p, g = (slices(spark, d, n).withColumn("slice", F.col("z")) for n in ("vox_pred", "vox_gt"))
     c = overlap.confusion(p, g, [*KEYS, "slice"], MODEL, [3], Y * X)
     return c.select(*KEYS, "model", "slice", F.round(F.expr(overlap.METRICS["dice"]), 6).cast("double").alias("dice"), (F.col("tp") + F.col("fn")).alias("gt"), (F.col("tp") + F.col("fp")).alias("pred"))
 
@@ -92,8 +92,7 @@ def remap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def difference_map(spark: SparkSession, d: str) -> DataFrame:
-    p, g = view(spark, d, "vox_pred"), view(spark, d, "vox_gt").withColumnRenamed("label", "ref")
-    return p.join(g, [*KEYS, "z", "y", "x"]).filter("label <> ref").groupBy(*KEYS, "model", "label", "ref").agg(F.count("*").alias("n"))
+    return overlap.label_pairs(stored(spark, d, "vox_pred"), stored(spark, d, "vox_gt"), KEYS, MODEL).filter("label <> ref")
 
 
 def _mask(spark: SparkSession, d: str, name: str = "vox_gt", label: int = 3) -> DataFrame:

@@ -2,22 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder beside the session's checkpoints; a folder of this machine only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-files-')}"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from .staging import shared_folder as shared_folder
 
 
 def read_sheet(spark: SparkSession, paths: str | list[str]) -> DataFrame:

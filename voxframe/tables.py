@@ -6,25 +6,32 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.staging import bucketed
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 Z, Y, X = 5, 12, 12
 
 
+RADIUS = "(3 + c_custkey % 2 - es - case when z >= 3 then 1 else 0 end)"
+
+
 def label_at(x: str) -> str:
     """Label of a voxel by position: a ring (2) around a pool (3) that tapers, and a crescent (1) beside it."""
-    r = "(3 + c_custkey % 2 - es - case when z >= 3 then 1 else 0 end)"
+    r = RADIUS
     d = f"((y - 6) * (y - 6) + ({x} - 7) * ({x} - 7))"
     return f"(case when z not between 1 and 3 or {x} < 0 then 0 when {d} <= {r} * {r} then 3 when {d} <= ({r} + 1) * ({r} + 1) then 2 when (y - 6) * (y - 6) + ({x} - 2) * ({x} - 2) <= 2 then 1 else 0 end)"
 
 
-_grid = "customer cross join (select * from (values ('ED', 0), ('ES', 1)) f(frame_tag, es)) f cross join RANGE(z, 5) z cross join RANGE(y, 12) y cross join RANGE(x, 12) x"
+PREDICTED = f"""case when m = 2 and c_custkey % 11 = 0 and {label_at('(x - (c_custkey + m) % 2)')} = 3 then 2
+        when m = 2 and c_custkey % 5 = 0 and z = 3 then 0 when m = 1 and c_custkey % 4 = 0 and z = 4 and y < 2 and x < 2 then 1
+        else {label_at('(x - (c_custkey + m) % 2)')} end"""
+MODELS = "(select * from (values ('model_a', 0), ('model_b', 1), ('model_c', 2)) m(model, m)) m"
+_frame = "customer cross join (select * from (values ('ED', 0), ('ES', 1)) f(frame_tag, es)) f cross join RANGE(z, 5) z"
+_grid = f"{_frame} cross join RANGE(y, 12) y cross join RANGE(x, 12) x"
 
 VIEWS = {
     "vox_gt": f"select c_custkey as case_id, frame_tag, z, y, x, cast({label_at('x')} as int) as label from {_grid}",
-    "vox_pred": f"""select c_custkey as case_id, model, frame_tag, z, y, x, cast(case when m = 2 and c_custkey % 11 = 0 and {label_at('(x - (c_custkey + m) % 2)')} = 3 then 2
-        when m = 2 and c_custkey % 5 = 0 and z = 3 then 0 when m = 1 and c_custkey % 4 = 0 and z = 4 and y < 2 and x < 2 then 1
-        else {label_at('(x - (c_custkey + m) % 2)')} end as int) as label
-        from {_grid} cross join (select * from (values ('model_a', 0), ('model_b', 1), ('model_c', 2)) m(model, m)) m""",
+    "vox_pred": f"select c_custkey as case_id, model, frame_tag, z, y, x, cast({PREDICTED} as int) as label from {_grid} cross join {MODELS}",
     "vox_img": "select case_id, frame_tag, z, y, x, cast(case when label = 3 and (x + y + case_id) % 7 = 0 then 50 when label = 3 then 150 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 41 when label = 2 then 60 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 23 else 20 + (x * 7 + y * 13 + z * 29 + case_id * 31) % 11 end as double) as intensity, label from vox_gt",
     "vox_prob": "select case_id, frame_tag, z, y, x, fold, class, cast(case when label = class then 40 else 10 end + (x * 3 + y * 5 + fold * 7 + class * 11 + case_id) % 37 as double) as p from vox_gt cross join RANGE(fold, 3) f cross join RANGE(class, 4) k",
     "frame_metrics": """select l_suppkey as patient_id, concat('model_', lower(l_returnflag)) as model, case l_linestatus when 'O' then 'ED' else 'ES' end as frame_tag,
@@ -90,3 +97,28 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(for_spark(text, sf_dir))
+
+
+def _packed(label: str, empty: str) -> str:
+    """A label's expression over y and x as the array of a whole slice, row by row; `empty` says which slices hold background only."""
+    whole = f"flatten(transform(sequence(0, {Y - 1}), y -> transform(sequence(0, {X - 1}), x -> cast({label.replace(RADIUS, 'r')} as int))))"
+    return f"case when {empty} then array_repeat(0, {Y * X}) else {whole} end as labels"
+
+
+# the same volumes as the voxel views of these names, as packed slices: rows, keys and labels of a slice
+SLICES = {
+    "vox_gt": (f"select c_custkey, es, {RADIUS} as r, c_custkey as case_id, frame_tag, z from {_frame}", ["case_id", "frame_tag", "z"], _packed(label_at("x"), "z not between 1 and 3")),
+    "vox_pred": (f"select c_custkey, es, m, {RADIUS} as r, c_custkey as case_id, model, frame_tag, z from {_frame} cross join {MODELS}", ["case_id", "model", "frame_tag", "z"], _packed(PREDICTED, "z not between 1 and 3 and not (m = 1 and c_custkey % 4 = 0 and z = 4)")),
+}
+
+
+def slices(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A label volume as one row per slice, dealt by case, frame and slice: keys, z, labels."""
+    rows, keys, labels = SLICES[name]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.sql(for_spark(rows, sf_dir)).repartition(n, "case_id", "frame_tag", "z").selectExpr(*keys, labels)
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """`slices` as a table bucketed by case, frame and slice."""
+    return bucketed(slices(spark, sf_dir, name), ["case_id", "frame_tag", "z"], name)
