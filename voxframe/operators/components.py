@@ -84,10 +84,13 @@ def _within(offsets: list[tuple[int, int]]) -> Callable:
         for whole in batches:
             for batch in _portions(whole, _lists(whole.column("at"))[2]):
                 at, row, sizes = _lists(batch.column("at"))
-                order = np.lexsort((at, row))
-                at = at[order]
-                if len(at) and (at.min() < 0):
+                if len(at) and at.min() < 0:
                     raise ValueError("voxel coordinates must lie in 0 to 2097151")
+                at = at[np.lexsort((at, row))]
+                once = np.ones(len(at), dtype=bool)
+                once[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
+                at, row = at[once], row[once]
+                sizes = np.bincount(row, minlength=len(sizes))
                 pairs = [_pair_rows(at, at, row, at, row, dy, dx) for dy, dx in offsets]
                 root = joined(len(at), *(np.concatenate([p[i] for p in pairs]) if pairs else np.zeros(0, int) for i in (0, 1)))
                 z = batch.column("z").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -212,8 +215,8 @@ def slice_code() -> Column:
 
 
 def by_slice(mask: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per slice with the codes of its voxels: keys, z, at."""
-    return mask.groupBy(*keys, F.col("z").cast("int").alias("z")).agg(F.collect_set(slice_code()).alias("at"))
+    """One row per slice with the codes of its voxels, in any order: keys, z, at."""
+    return mask.groupBy(*keys, F.col("z").cast("int").alias("z")).agg(F.collect_list(slice_code()).alias("at"))
 
 
 def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]]) -> DataFrame:
@@ -275,5 +278,5 @@ def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:
     """Background voxels of a slice that 4-connected background does not join to the border: one pass over slices."""
     names = ", ".join(f"{k} {t}" for k, t in mask.dtypes if k in keys)
     box = [(F.max(c) - F.min(c) + 3).cast("long") for c in "yx"]
-    slices = mask.groupBy(*keys, F.col("z").cast("int").alias("z")).agg(F.collect_set(slice_code()).alias("at"), (box[0] * box[1]).alias("cells"))
+    slices = mask.groupBy(*keys, F.col("z").cast("int").alias("z")).agg(F.collect_list(slice_code()).alias("at"), (box[0] * box[1]).alias("cells"))
     return slices.mapInArrow(_holes(keys), f"{names}, z int, y int, x int")

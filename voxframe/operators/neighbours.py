@@ -104,6 +104,11 @@ def _distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[
     return both.groupBy(*keys).agg(F.max("d").alias("hd"), F.percentile("d", F.lit(0.95)).alias("hd95"), mean[0].alias("asd"), ((mean[0] + mean[1]) / 2).alias("assd"))
 
 
+def voxel_code() -> Column:
+    """One long for z, y and x, 21 bits each, as `components` numbers voxels."""
+    return F.shiftleft(F.col("z").cast("long"), 42) + F.shiftleft(F.col("y").cast("long"), 21) + F.col("x")
+
+
 def components(mask: DataFrame, keys: list[str], offsets: list[tuple[int, int, int]] = FACES) -> DataFrame:
     """The mask with `component`, the smallest voxel code of its connected component: z, y and x in 21 bits each, from the top."""
     return two_level.components(mask, keys, offsets)

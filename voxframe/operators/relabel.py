@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import settled
-from . import overlap
 from .labels import darkest, otsu
-from .neighbours import IN_SLICE, ball, closing, components, dilate, fill_holes, keep_largest, opening, shifted, sized
+from .neighbours import IN_SLICE, ball, closing, components, dilate, fill_holes, keep_largest, opening, shifted, sized, voxel_code
 
 VOXEL = ["z", "y", "x"]
 WALL, POOL = 2, 3
@@ -130,38 +129,63 @@ def largest_by_label(labels: DataFrame, keys: list[str], classes: list[int], lea
     return mine.join(kept, [*keys, "label", *VOXEL], "left_semi").unionByName(labels.filter((F.col("label") > 0) & ~F.col("label").isin(classes)))
 
 
-def mean_dice(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], classes: list[int], grid: int) -> dict[int, float]:
-    """Mean Dice per class over the groups that have it on either side; one row a class reaches the driver."""
-    counts = overlap.confusion(pred, ref, keys, by, classes, grid)
-    rows = counts.groupBy("label").agg(F.avg(F.expr(overlap.METRICS["dice"]).cast("double")).alias("d")).collect()
-    return {r.label: r.d for r in rows}
+def component_scores(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], classes: list[int]) -> DataFrame:
+    """Every component of every class: keys, by, label, component, size, hits (voxels of the class in the reference), in_largest.
+
+    One run finds the components of each label and, as label 0, those of all labels together; in_largest says whether the
+    component lies in a largest one of all labels. It lies in one as a whole, so its least voxel tells.
+    """
+    group = [*keys, *by]
+    l = pred.filter("label > 0").select(*group, *VOXEL, "label")
+    forest = settled(components(l.unionByName(l.withColumn("label", F.lit(0).cast(l.schema["label"].dataType))), [*group, "label"]), "forest")
+    union = forest.filter("label = 0").drop("label")
+    own = forest.filter(F.col("label").isin(classes))
+    hit = ref.filter(F.col("label").isin(classes)).select(*keys, *VOXEL, "label", F.lit(1).alias("_hit"))
+    found = own.join(hit, [*keys, *VOXEL, "label"], "left").groupBy(*group, "label", "component").agg(F.count("*").alias("size"), F.count("_hit").alias("hits"))
+    largest = sized(union, group).filter("size = top").select(*group, F.col("component").alias("_whole"))
+    least = union.withColumnRenamed("component", "_whole").withColumn("component", voxel_code())
+    return found.join(least.select(*group, "component", "_whole"), [*group, "component"]).join(largest.withColumn("_in", F.lit(True)), [*group, "_whole"], "left").select(*group, "label", "component", "size", "hits", F.coalesce("_in", F.lit(False)).alias("in_largest"))
 
 
-def decide(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], classes: list[int], grid: int, eps: float = 0.0) -> list[tuple[str, int, float | None, float | None, bool]]:
-    """Which cleaning helps: rows (step, label, Dice before, Dice after, accepted).
+def decide(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], classes: list[int], eps: float = 0.0) -> DataFrame:
+    """Which cleaning helps: rows (step, label, mean Dice before, after, accepted), one or two for each class.
 
     First the largest component of all labels together, accepted if a class gains more than `eps` and none loses; then, on
-    the result, each class by itself, accepted where it gains more than `eps`. `keys` are in both tables, `by` in `pred` alone.
+    the result, each class by itself (if there are several), accepted where it gains more than `eps`. Largest components that tie all
+    stay. Means are over the groups that have the class on either side. `keys` are in both tables, `by` in `pred` alone.
+    Both steps are sums over one table of components; only the last windows, over the classes, see all rows.
     """
+    from pyspark.sql import Window
 
-    def gains(a: float | None, b: float | None, more: float) -> bool:
-        return a is not None and b is not None and b > a + more
-
-    group = [*keys, *by]
-    raw = mean_dice(pred, ref, keys, by, classes, grid)
-    whole = settled(largest_foreground(pred, group))
-    after = mean_dice(whole, ref, keys, by, classes, grid)
-    good = any(gains(raw.get(k), after.get(k), eps) for k in classes) and not any(gains(after.get(k), raw.get(k), 0.0) for k in classes)
-    rows = [("all", k, raw.get(k), after.get(k), good) for k in classes]
-    source, before = (whole, after) if good else (pred, raw)
+    group, c = [*keys, *by], component_scores(pred, ref, keys, by, classes)
+    mine = Window.partitionBy(*group, "label")
+    c = c.withColumn("_top", F.max("size").over(mine)).withColumn("_top_in", F.max(F.when(F.col("in_largest"), F.col("size"))).over(mine))
+    kept = {"raw": F.lit(True), "whole": F.col("in_largest"), "each_raw": F.col("size") == F.col("_top"), "each_whole": F.col("in_largest") & (F.col("size") == F.col("_top_in"))}
+    sums = c.groupBy(*group, "label").agg(*(F.sum(F.when(k, F.col(v))).alias(f"{v}_{n}") for n, k in kept.items() for v in ("size", "hits")))
+    theirs = ref.filter(F.col("label").isin(classes)).groupBy(*keys, "label").agg(F.count("*").alias("_r"))
+    groups = settled(pred.select(*group).distinct(), "groups")
+    # frames that only the reference has, once for each value of `by`
+    lone = theirs.select(*keys).distinct().join(groups.select(*keys).distinct(), keys, "left_anti")
+    groups = groups.unionByName(lone.crossJoin(groups.select(*by).distinct()) if by else lone)
+    rows = groups.withColumn("label", F.explode(F.array(*map(F.lit, classes)))).join(sums, [*group, "label"], "left").join(theirs, [*keys, "label"], "left")
+
+    def n(name: str):
+        return F.coalesce(name, F.lit(0))
+
+    dice = rows.groupBy("label").agg(*(F.avg(2.0 * n(f"hits_{k}") / F.nullif(n(f"size_{k}") + n("_r"), F.lit(0))).alias(k) for k in kept))
+    all_ = Window.partitionBy(F.lit(1))  # a row for each class
+    good = F.coalesce(F.bool_or(F.col("whole") > F.col("raw") + eps).over(all_), F.lit(False)) & ~F.coalesce(F.bool_or(F.col("whole") < F.col("raw")).over(all_), F.lit(False))
+    d = dice.withColumn("good", good)
+    before, after = F.when(F.col("good"), F.col("whole")).otherwise(F.col("raw")), F.when(F.col("good"), F.col("each_whole")).otherwise(F.col("each_raw"))
+    step = lambda name, b, a, ok: F.struct(F.lit(name).alias("step"), "label", b.alias("before"), a.alias("after"), ok.alias("accepted"))
+    steps = [step("all", F.col("raw"), F.col("whole"), F.col("good"))]
     if len(classes) > 1:
-        each = mean_dice(largest_by_label(source, group, classes), ref, keys, by, classes, grid)
-        rows += [("label", k, before.get(k), each.get(k), gains(before.get(k), each.get(k), eps)) for k in classes]
-    return rows
+        steps.append(step("label", before, after, F.coalesce(after > before + eps, F.lit(False))))
+    return d.select(F.explode(F.array(*steps)).alias("s")).select("s.*")
 
 
 def apply_decision(pred: DataFrame, keys: list[str], decision: list[tuple]) -> DataFrame:
-    """The labels after the cleaning that a decision, rows as `decide` gives them, accepts; `keys` are those of a whole mask."""
+    """The labels after the cleaning that a saved decision, rows as those of `decide`, accepts; `keys` are those of a whole mask."""
     out = largest_foreground(pred, keys) if any(step == "all" and ok for step, _, _, _, ok in decision) else pred.filter("label > 0")
     classes = [k for step, k, _, _, ok in decision if step == "label" and ok]
     return largest_by_label(out, keys, classes) if classes else out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours as nb
 from ..operators import relabel as rl
-from ..tables import X, Y, Z, view
+from ..tables import X, Y, view
 
 KEYS = ["case_id", "frame_tag"]
 SPACING = (10.0, 1.25, 1.25)
@@ -54,9 +54,7 @@ def delta(spark: SparkSession, d: str) -> DataFrame:
 
 
 def decision(spark: SparkSession, d: str) -> DataFrame:
-    rows = rl.decide(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, ["model"], CLASSES, Z * Y * X)
-    out = spark.createDataFrame(rows, "step string, label int, before double, after double, accepted boolean")
-    return _rounded(out, "before", "after")
+    return _rounded(rl.decide(view(spark, d, "vox_pred"), view(spark, d, "vox_gt"), KEYS, ["model"], CLASSES), "before", "after")
 
 
 def apply_decision(spark: SparkSession, d: str) -> DataFrame:
@@ -133,6 +131,15 @@ def _parts(name: str, mask: str, keys: str, offsets: str) -> str:
     {name} as (select {keys}, z, y, x, min(root) as component from {name}_reach group by {keys}, z, y, x)"""
 
 
+def _forest(name: str, mask: str, keys: str) -> str:
+    """CTE: as _parts, but each voxel holds only the least number that has reached it, so that large masks are fine."""
+    k = [x.strip() for x in keys.split(",")]
+    n, same = ", ".join(f"n.{x}" for x in k), _same("n", "r", keys)
+    return f"""{name}({keys}, z, y, x, component) using key ({keys}, z, y, x) as (select {keys}, z, y, x, z * 1000000 + y * 1000 + x from {mask} union
+        select {n}, n.z, n.y, n.x, min(r.component) from {name} r cross join {FACES} join {mask} n on {same} and n.z = r.z + dz and n.y = r.y + dy and n.x = r.x + dx
+        join recurring.{name} h on {_same('n', 'h', keys)} and h.z = n.z and h.y = n.y and h.x = n.x where r.component < h.component group by all)"""
+
+
 def _grow(of: str) -> str:
     return f"select distinct dark.{K.replace(', ', ', dark.')}, dark.z, dark.y, dark.x from dark {_beside('dark', of)}"
 
@@ -184,6 +191,19 @@ ORACLES = {
         chosen as (select near.* from parts join good on {_same('parts', 'good', K + ', component')} join near on {_same('parts', 'near', K + ', z, y, x')}), {_moved('chosen', '0.25', '0.5')}""",
     "V22_delta": f"""with n as (select {K}, count_if(label = 3) as pool_n from vox_img group by {K}), r as (select v.*, row_number() over (partition by v.case_id, v.frame_tag, v.label = 3 and intensity <= 60 order by intensity, z, y, x) <= least(floor(0.25 * pool_n), pool_n - floor(0.5 * pool_n)) and label = 3 and intensity <= 60 as moves from vox_img v join n on {_same('v', 'n')})
         select {K}, case when moves then 2 else label end as label, count(*) as n, count_if(moves) as moved from r group by {K}, case when moves then 2 else label end""",
+    "V23_decision": f"""with recursive masks as (select {KM}, label, z, y, x from vox_pred where label > 0 union all select {KM}, 0, z, y, x from vox_pred where label > 0), {_forest('f', 'masks', KM + ', label')},
+        sizes as (select {KM}, component, count(*) as n from f where label = 0 group by {KM}, component), big as (select {KM}, component from (select *, max(n) over (partition by {KM}) as top from sizes) t where n = top),
+        inside as (select f.case_id, f.frame_tag, f.model, f.z, f.y, f.x from f join big on {_same('f', 'big', KM + ', component')} where f.label = 0),
+        c as (select f.case_id, f.frame_tag, f.model, f.label, f.component, count(*) as n, count_if(g.label = f.label) as hits, count(i.z) > 0 as within from f join vox_gt g on {_same('f', 'g', K + ', z, y, x')} left join inside i on {_same('f', 'i', KM + ', z, y, x')} where f.label > 0 group by all),
+        t as (select *, max(n) over w as top, max(case when within then n end) over w as top_in from c window w as (partition by {KM}, label)),
+        r as (select {K}, label, count(*) as r from vox_gt where label > 0 group by {K}, label), m as (select distinct {KM} from vox_pred),
+        d as (select k.label, m.case_id, m.frame_tag, m.model, coalesce(any_value(r.r), 0) as r, coalesce(sum(n), 0) as n0, coalesce(sum(hits), 0) as h0, coalesce(sum(n) filter (within), 0) as n1, coalesce(sum(hits) filter (within), 0) as h1,
+          coalesce(sum(n) filter (n = top), 0) as n2, coalesce(sum(hits) filter (n = top), 0) as h2, coalesce(sum(n) filter (within and n = top_in), 0) as n3, coalesce(sum(hits) filter (within and n = top_in), 0) as h3
+          from m cross join (values (1), (2), (3)) k(label) left join t on {_same('m', 't', KM)} and t.label = k.label left join r on {_same('m', 'r')} and r.label = k.label group by k.label, m.case_id, m.frame_tag, m.model),
+        s as (select label, avg(2 * h0 / nullif(n0 + r, 0)) as raw, avg(2 * h1 / nullif(n1 + r, 0)) as whole, avg(2 * h2 / nullif(n2 + r, 0)) as each0, avg(2 * h3 / nullif(n3 + r, 0)) as each1 from d group by label),
+        g as (select *, bool_or(whole > raw) over () and not bool_or(whole < raw) over () as good from s)
+        select 'all' as step, label, round(raw, 6) as before, round(whole, 6) as after, good as accepted from g union all
+        select 'label', label, round(case when good then whole else raw end, 6), round(case when good then each1 else each0 end, 6), case when good then each1 > whole else each0 > raw end from g""",
     "V24_apply_decision": f"""with recursive ones as {_ones}, {_parts('parts', 'ones', KM, FACES)},
         sizes as (select {KM}, component, count(*) as n from parts group by {KM}, component), kept as (select {KM}, sum(n) as n from (select *, max(n) over (partition by {KM}) as top from sizes) t where n = top group by {KM})
         select case_id, model, 1 as label, sum(n) as n from kept group by case_id, model union all select case_id, model, label, count(*) from vox_pred where label > 1 group by case_id, model, label""",
@@ -197,6 +217,9 @@ ORACLES = {
 }
 # of queries that stand with the voxel plans
 VOXEL_ORACLES = {
+    "A56_component_limits": f"""with recursive masks as (select {KM}, label, z, y, x from vox_pred where label > 0), {_forest('f', 'masks', KM + ', label')},
+        sizes as (select {KM}, label, component, count(*) as n from f group by {KM}, label, component), t as (select *, max(n) over (partition by {KM}, label) as top from sizes)
+        select model, label, max(case when n < top then n end) as max_removed, min(case when n = top then n end) as min_kept from t group by model, label""",
     "V08_components": f"with recursive ones as {_ones}, {_parts('parts', 'ones', KM, FACES)} select {KM}, component // 1000000 as z, component // 1000 % 1000 as y, component % 1000 as x, count(*) as n from parts group by {KM}, component",
     "V09_keep_largest": f"with recursive ones as {_ones}, {_parts('parts', 'ones', KM, FACES)}, sizes as (select {KM}, component, count(*) as n from parts group by {KM}, component) select {KM}, sum(n)::bigint as n from (select *, max(n) over (partition by {KM}) as top from sizes) t where n = top group by {KM}",
     "V07_fill_holes": f"""with recursive bg as (select case_id, frame_tag, z, y, x from vox_gt where label <> 2), seen as (select * from bg where y in (0, {Y - 1}) or x in (0, {X - 1}) union select bg.* from seen {_beside('seen', 'bg')}),

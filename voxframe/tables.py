@@ -80,23 +80,36 @@ def for_duckdb(sql: str) -> str:
     return re.sub(r"\bPCT\(", "quantile_cont(", text)
 
 
-def for_spark(sql: str, sf_dir: str) -> str:
-    """The text with its views, over the tables of a folder."""
+def for_spark(sql: str, sf_dir: str, parts: int | None = None) -> str:
+    """The text with its views, over the tables of a folder.
+
+    Given `parts`, cases are dealt over so many tasks before a view turns each into hundreds of voxel rows: the table of cases is so
+    small that it is read by one.
+    """
 
     def last(m: re.Match) -> str:
         return f"(select explode(sequence(0, {int(m[2]) - 1})) as {m[1]})"
 
     text = re.sub(r"RANGE\((\w+), (\d+)\)", last, _with(sql))
     text = re.sub(r"\bPCT\(", "percentile(", text).replace(", 'g')", ")")
-    return re.sub(rf"\b(from|join)\s+({'|'.join(TABLES)})\b", lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet` {m[2]}", text)
+
+    def source(m: re.Match) -> str:
+        file = f"parquet.`{sf_dir}/{m[2]}.parquet`"
+        return f"{m[1]} (select /*+ REPARTITION({parts}, c_custkey) */ * from {file}) {m[2]}" if parts and m[2] == "customer" else f"{m[1]} {file} {m[2]}"
+
+    return re.sub(rf"\b(from|join)\s+({'|'.join(TABLES)})\b", source, text)
+
+
+def _parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(for_spark(f"select * from {name}", sf_dir))
+    return spark.sql(for_spark(f"select * from {name}", sf_dir, _parts(spark)))
 
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(for_spark(text, sf_dir))
+    return spark.sql(for_spark(text, sf_dir, _parts(spark)))
 
 
 def _packed(label: str, empty: str) -> str:
@@ -115,8 +128,7 @@ SLICES = {
 def slices(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A label volume as one row per slice, dealt by case, frame and slice: keys, z, labels."""
     rows, keys, labels = SLICES[name]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return spark.sql(for_spark(rows, sf_dir)).repartition(n, "case_id", "frame_tag", "z").selectExpr(*keys, labels)
+    return spark.sql(for_spark(rows, sf_dir)).repartition(_parts(spark), "case_id", "frame_tag", "z").selectExpr(*keys, labels)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
