@@ -6,8 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxframe.llm import collocations as co
+from voxframe.llm import html_extract, topk
 from voxframe.llm import decontaminate as de
 from voxframe.llm import whitening as wh
 
@@ -182,3 +184,31 @@ def test_chunks_hold_each_word_once(spark):
     rows = co.chunk_dictionary(frame, every=4).collect()
     assert sum(r.n * (len(r.chunk.split(" ")) - r.tail) for r in rows) == 20 * 201
     assert len(rows) == len({(r.chunk, r.tail) for r in rows})
+
+
+# ---- attributes of bad markup, vectors of many lengths
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<article><p data-x=it's>Main text one.</p><p>You don't lose this.</p></article>", ["Main text one.", "You don't lose this."]),
+        ("<body><nav>Menu</nav><article><h1>T</h1><p class=it's>Text A isn't.</p><p>B</p>", ["Menu", "T", "Text A isn't.", "B"]),
+        ('<p alt="5" tall">x</p>', ["x"]),
+        ("<p><![CDATA[ x > y ]]>z</p>", ["z"]),
+        ("<p title='a > b' href=x=y?z>t</p><p id=\"never>u</p>", ["t", "u"]),
+        ("<a href = 'q>'>link</a> <p class>v</p>", ["link", "v"]),
+    ],
+)
+def test_attributes_of_bad_markup(page, texts):
+    assert [b.text for b in html_extract.blocks(page)] == texts
+
+
+def test_names_come_from_whole_attributes():
+    assert [b.path for b in html_extract.blocks("<div data-sidebar-id='menu' title='x class=nav'><p ID=\"main\" class=a>t</p></div>")] == [("div", "p", ".main", ".a")]
+
+
+def test_top_k_of_many_lengths(spark):
+    rows = [(20 * i + j, [float(j)] * (i + 1)) for i in range(20) for j in range(3)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=2).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted((20 * i, n, 20 * i + n) for i in range(20) for n in (1, 2))

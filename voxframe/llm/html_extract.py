@@ -39,10 +39,13 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 # fixed values: containers and words of class names that tell content from the rest
 CONTENT = frozenset("article main".split())
 OTHER = frozenset("nav header footer aside form button menu dialog select".split())
+NAMING = frozenset("class id role".split())
 OTHER_WORDS = frozenset("ad ads advert banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header menu nav navbar navigation newsletter notice popup promo related reply share sharing sidebar social sponsor sponsored subscribe tags toolbar widget".split())
 
-_tag = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
-_attr = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# a quote opens a value only right after "="; one that never closes is part of a value without quotes
+_value = r"(?:\"[^\"]*\"|'[^']*'|[^\s>]*)"
+_tag = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*{_value}|[^>=])*+)>|<[!?][^>]*>", re.S)
+_attr = re.compile(rf"([^\s=/>\"']+)(?:\s*=\s*({_value}))?")
 _part = re.compile(r"[a-z]+")
 
 
@@ -115,7 +118,7 @@ def blocks(page: str) -> list[Block]:
             pop({"p"}, BLOCK - {"p"})
         if name in CLOSES:
             pop(CLOSES[name], frozenset({"ul", "ol", "dl", "table", "menu"}))
-        names = [w for x in _attr.findall(m[3]) for w in _part.findall("".join(x).lower())]
+        names = [w for key, value in _attr.findall(m[3]) if key.lower() in NAMING for w in _part.findall(value.lower())]
         if not m[3].endswith("/"):
             stack.append((name, tuple("." + w for w in names)))
     if at < len(page):

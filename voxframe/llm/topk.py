@@ -9,6 +9,7 @@ stops where the triangle inequality rules that score out: only what is left is s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ RINGS = 3
 UNIT = 32768
 QUERIES = 512
 CHUNK = 64
-LENGTHS = 64
+LENGTHS = 16
 
 
 def choose_pivots(x: np.ndarray, n: int = PIVOTS, rounds: int = 6) -> np.ndarray:
@@ -208,7 +209,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
 
     Components become floor(scale * x). Ties go to the smaller vec_id. Fewer rows are returned where there are fewer
     candidates. Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with a null id;
-    vectors meet those of their own length, of which there may be LENGTHS. Rows that repeat an id count once each as
+    vectors meet those of their own length. Rows that repeat an id count once each as
     candidates, never for their own id, and are asked as one. Scores must fit 64 bits. An empty table gives no rows. Pivots are fitted to the
     `sample` rows of each length whose ids hash least; all rows are indexed, and what is not searched can't be among the
     k best, so the result is exact.
@@ -218,13 +219,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     fine = x.isNotNull() & F.col(id_col).isNotNull() & (F.size(x) > 0) & ~F.coalesce(F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf"))), F.lit(False))
     v = F.transform(x, lambda c: F.floor(c.cast("double") * scale))
     rows = vectors.filter(fine).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asked"))
-    lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.max(F.array_max(F.transform("v", lambda c: F.abs(c)))).alias("most")).orderBy("dim").limit(LENGTHS + 1).collect()
-    if len(lengths) > LENGTHS:
-        raise ValueError(f"vectors of more than {LENGTHS} lengths")
-    found = None
+    lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.max(F.array_max(F.transform("v", lambda c: F.abs(c)))).alias("most")).orderBy("dim").toLocalIterator()
+    parts: list[DataFrame] = []
     for r in lengths:
-        part = _of_length(rows, r.dim, r.most, k, sample)
-        found = part if found is None else found.union(part)
+        if len(parts) == LENGTHS:  # keeps the plan small
+            parts = [staged(reduce(DataFrame.union, parts), "top-k")]
+        parts.append(_of_length(rows, r.dim, r.most, k, sample))
+    found = reduce(DataFrame.union, parts) if parts else None
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
