@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import gathered_batches, remove, slices, staged
 from .wordhash import _LOWER, Words, gathered, mix, span_hashes, text_bytes
 
-SLICE = 1 << 22
+SLICE = 1 << 21
 BITS = 26
 SALTS = 64
 UNKNOWN = "und"
@@ -141,7 +141,7 @@ def _count(order: int, table) -> Callable:
     return run
 
 
-def chunk_dictionary(docs: DataFrame, longest: int = 3, every: int = 8, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def chunk_dictionary(docs: DataFrame, longest: int = 3, every: int = 32, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The distinct chunks of the parse: lang, tail, chunk (words with one space between), n."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     parsed = rows.mapInArrow(_parse(longest, every), "lang string, tail int, chunk string, n long")
@@ -168,7 +168,7 @@ def _with_score(phrases: DataFrame, parts: dict[int, DataFrame], order: int) ->
     return out.select("lang", "phrase", "a", best.alias("best"), "w").select("lang", "phrase", "a", "best.l", "best.r", "best.score", "w")
 
 
-def collocations(docs: DataFrame, longest: int = 3, least: int = 10, most: int = 2000, inside: int = 50, every: int = 8, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 3, least: int = 10, most: int = 2000, inside: int = 50, every: int = 32, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The `most` best phrases of 2 to `longest` words of each language: lang, rank, phrase, a, l, r, n, score.
 
     Words are runs between spaces and tabs within pieces, which end at .,;:!? and line ends; A-Z count as a-z. A null
