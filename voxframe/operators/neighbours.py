@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import settled
 from . import components as two_level
+from . import distance
 
 FACES = [(-1, 0, 0), (1, 0, 0), (0, -1, 0), (0, 1, 0), (0, 0, -1), (0, 0, 1)]
 IN_SLICE = [o for o in FACES if o[0] == 0]
@@ -51,39 +51,12 @@ def surface(mask: DataFrame, keys: list[str]) -> DataFrame:
     return around.groupBy(*keys, "z", "y", "x").agg(F.count("*").alias("n"), own.alias("own")).filter("own and n < 7").drop("n", "own")
 
 
-def _apart(spacing: tuple[float, float, float]) -> Column:
-    return F.sqrt(sum((F.pow((F.col(f"{a}") - F.col(f"{a}2")) * F.lit(s), 2) for a, s in zip("zyx", spacing, strict=True)), F.lit(0.0)))
-
+def nearest(a: DataFrame, b: DataFrame, keys: list[str], spacing: tuple[float, float, float]) -> DataFrame:
+    """Distance `d` in mm of every point of `a` to the nearest of `b` in the same group, by an exact distance transform."""
+    return distance.nearest(a, b, keys, spacing)
 
-def nearest(a: DataFrame, b: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float) -> DataFrame:
-    """Distance of every point of `a` to the nearest of `b` in the same group.
 
-    Points are bucketed in cells of side `reach`, in mm; only the 27 cells around can hold a point within `reach`. What has
-    none there is joined to the cells of its group, and to the points of those that bounds don't rule out.
-    """
-    side = [max(1, math.ceil(reach / s)) for s in spacing]
-    cell = [F.floor(F.col(c) / n).cast("int").alias(f"c{c}") for c, n in zip("zyx", side, strict=True)]
-    far = b.select(*keys, *(F.col(c).alias(f"{c}2") for c in "zyx"))
-    cells = far.select("*", *(F.floor(F.col(f"{c}2") / n).cast("int").alias(f"c{c}") for c, n in zip("zyx", side, strict=True)))
-    around = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
-    moves = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(o, "ijk", strict=True))) for o in around))
-    here = a.select(*keys, "z", "y", "x", *cell).withColumn("o", F.explode(moves)).select(*keys, "z", "y", "x", *((F.col(f"c{c}") + F.col(f"o.{n}")).alias(f"c{c}") for c, n in zip("zyx", "ijk", strict=True)))
-    point = [*keys, "z", "y", "x"]
-    close = here.join(cells, [*keys, "cz", "cy", "cx"]).groupBy(*point).agg(F.min(_apart(spacing)).alias("d")).filter(F.col("d") <= reach)
-    # what is further away meets the cells of its group first, and then the points of those that can hold the nearest
-    lone = a.select(*point).join(close, point, "left_anti")
-    boxes = cells.groupBy(*keys, "cz", "cy", "cx").agg(*(f(f"{c}2").alias(f"{c}{n}") for c in "zyx" for n, f in (("lo", F.min), ("hi", F.max))))
-    low, high = F.lit(0.0), F.lit(0.0)
-    for c, s in zip("zyx", spacing, strict=True):
-        low += F.pow(F.greatest(F.lit(0), F.col(f"{c}lo") - F.col(c), F.col(c) - F.col(f"{c}hi")) * F.lit(s), 2)
-        high += F.pow(F.greatest(F.abs(F.col(c) - F.col(f"{c}lo")), F.abs(F.col(c) - F.col(f"{c}hi"))) * F.lit(s), 2)
-    pairs = lone.join(boxes, keys).select(*point, "cz", "cy", "cx", low.alias("_low"), high.alias("_high"))
-    bound = pairs.groupBy(*point).agg(F.min("_high").alias("_bound"))
-    rest = pairs.join(bound, point).filter("_low <= _bound").join(cells, [*keys, "cz", "cy", "cx"]).groupBy(*point).agg(F.min(_apart(spacing)).alias("d"))
-    return close.unionByName(rest)
-
-
-def surface_distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float = 12.0, groups: DataFrame | None = None) -> DataFrame:
+def surface_distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], groups: DataFrame | None = None) -> DataFrame:
     """hd, hd95, asd and assd of every group in `groups`, by default of those that either mask has.
 
     hd95 is the percentile over both directions together; asd is the mean from prediction to reference, assd of both means.
@@ -91,15 +64,15 @@ def surface_distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing:
     """
     sides = pred.select(*keys, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(ref.select(*keys, F.lit(0).alias("a"), F.lit(1).alias("b")))
     sides = sides.groupBy(*keys).agg(F.max("a").alias("a"), F.max("b").alias("b"))
-    held = _distances(pred, ref, keys, spacing, reach)
+    held = _distances(pred, ref, keys, spacing)
     out = (groups.select(*keys).distinct().join(sides, keys, "left") if groups is not None else sides).join(held, keys, "left")
     one = F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0)) == 1
     return out.select(*keys, *(F.when(one, F.lit(float("inf"))).otherwise(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("hd", "hd95", "asd", "assd")))
 
 
-def _distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float], reach: float) -> DataFrame:
-    a, b = surface(pred, keys), surface(ref, keys)
-    both = nearest(a, b, keys, spacing, reach).withColumn("side", F.lit(0)).unionByName(nearest(b, a, keys, spacing, reach).withColumn("side", F.lit(1)))
+def _distances(pred: DataFrame, ref: DataFrame, keys: list[str], spacing: tuple[float, float, float]) -> DataFrame:
+    a, b = settled(surface(pred, keys), "surface"), settled(surface(ref, keys), "surface")
+    both = nearest(a, b, keys, spacing).withColumn("side", F.lit(0)).unionByName(nearest(b, a, keys, spacing).withColumn("side", F.lit(1)))
     mean = [F.avg(F.when(F.col("side") == s, F.col("d"))) for s in (0, 1)]
     return both.groupBy(*keys).agg(F.max("d").alias("hd"), F.percentile("d", F.lit(0.95)).alias("hd95"), mean[0].alias("asd"), ((mean[0] + mean[1]) / 2).alias("assd"))
 
@@ -146,7 +119,7 @@ def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:
     return two_level.fill_holes(mask, keys)
 
 
-def wall_thickness(labels: DataFrame, keys: list[str], wall: int, cavity: int, spacing: tuple[float, float, float], reach: float = 12.0) -> DataFrame:
+def wall_thickness(labels: DataFrame, keys: list[str], wall: int, cavity: int, spacing: tuple[float, float, float]) -> DataFrame:
     """Per group: mean, max and 95th percentile of the distance from wall voxels beside the cavity to the nearest outside.
 
     Works slice by slice. The nearest voxel that is neither wall nor cavity touches the wall, so only those are searched.
@@ -157,5 +130,5 @@ def wall_thickness(labels: DataFrame, keys: list[str], wall: int, cavity: int, s
     inner = l.filter(F.col("label") == wall).join(beside, [*group, "z", "y", "x"], "left_semi")
     touching = dilate(l.filter(F.col("label") == wall), group, IN_SLICE)
     outer = l.filter(~F.col("label").isin(wall, cavity)).join(touching, [*group, "z", "y", "x"], "left_semi")
-    d = nearest(inner, outer, group, spacing, reach)
+    d = nearest(settled(inner, "wall"), settled(outer, "wall"), group, spacing)
     return d.groupBy(*keys).agg(F.avg("d").alias("mean_mm"), F.max("d").alias("max_mm"), F.percentile("d", F.lit(0.95)).alias("p95_mm"))

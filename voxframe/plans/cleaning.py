@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import distance
 from ..operators import neighbours as nb
 from ..operators import relabel as rl
 from ..tables import X, Y, view
@@ -90,10 +91,20 @@ def opening(spark: SparkSession, d: str) -> DataFrame:
     return nb.opening(m, [*KEYS, "model"], nb.ball(1)).groupBy(*KEYS, "model").agg(F.count("*").alias("n"))
 
 
+def _balls(name: str, radius: int):
+    """A morphology of the pool with a ball in three dimensions, counted per slice."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        m = view(spark, d, "vox_gt").filter("label = 3").withColumnRenamed("label", "was")
+        return getattr(distance, name)(m, KEYS, radius).groupBy(*KEYS, "z").agg(F.count("*").alias("n"))
+
+    return query
+
+
 def nearest_points(spark: SparkSession, d: str) -> DataFrame:
     """From each voxel of the pool's surface to the nearest of the crescent."""
     a, b = (nb.surface(view(spark, d, "vox_gt").filter(F.col("label") == k), KEYS) for k in (3, 1))
-    return nb.nearest(a, b, KEYS, SPACING, 5.0).groupBy(*KEYS).agg(F.count("*").alias("n"), F.round(F.avg("d"), 6).alias("mean"), F.round(F.min("d"), 6).alias("least"))
+    return nb.nearest(a, b, KEYS, SPACING).groupBy(*KEYS).agg(F.count("*").alias("n"), F.round(F.avg("d"), 6).alias("mean"), F.round(F.min("d"), 6).alias("least"))
 
 
 def offsets(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +116,7 @@ def offsets(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "V18_ring_relabel": ring_relabel, "V19_grown": grown, "V20_confidence": confidence, "V20_rejections": rejections, "V21_band_relabel": band_relabel, "V22_delta": delta, "V23_decision": decision, "V24_apply_decision": apply_decision,
     "V03_known_wall": known_wall, "V17_stacked": stacked, "V27_locations": locations, "V11_closing": closing, "V11_opening": opening, "J14_nearest_points": nearest_points, "J15_offsets": offsets,
-}
+} | {f"V11_ball_{n}_{r}": _balls(f"{n_}_ball", r) for n, n_, r in (("dilation", "dilate", 2), ("dilation", "dilate", 3), ("erosion", "erode", 1), ("opening", "opening", 1), ("closing", "closing", 2))}
 
 K = "case_id, frame_tag"
 DISC = "(values (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx)"
@@ -179,7 +190,26 @@ APART = "sqrt(pow((a.z - b.z) * 10.0, 2) + pow((a.y - b.y) * 1.25, 2) + pow((a.x
 _ones = f"(select {KM}, z, y, x from vox_pred where label = 1)"
 _dilated = "select distinct {k}, z, y + dy as y, x + dx as x from {m} cross join " + DISC
 _eroded = "select {k}, z, y + dy as y, x + dx as x from {m} cross join " + DISC + " group by {k}, z, y + dy, x + dx having count(*) = 5"
-ORACLES = {
+
+
+def _ball(r: int) -> str:
+    return f"(select a - {r} as dz, b - {r} as dy, c - {r} as dx from RANGE(a, {2 * r + 1}) a cross join RANGE(b, {2 * r + 1}) b cross join RANGE(c, {2 * r + 1}) c where (a - {r}) * (a - {r}) + (b - {r}) * (b - {r}) + (c - {r}) * (c - {r}) <= {r * r}) o"
+
+
+def _grown_by(mask: str, r: int) -> str:
+    return f"select distinct {K}, z + dz as z, y + dy as y, x + dx as x from {mask} cross join {_ball(r)} where z + dz >= 0 and y + dy >= 0 and x + dx >= 0"
+
+
+def _shrunk_by(mask: str, r: int) -> str:
+    return f"select {K}, z + dz as z, y + dy as y, x + dx as x from {mask} cross join {_ball(r)} group by {K}, z + dz, y + dy, x + dx having count(*) = (select count(*) from {_ball(r)})"
+
+
+_pool = f"(select {K}, z, y, x from vox_gt where label = 3) p"
+BALLS = {
+    "V11_ball_dilation_2": _grown_by(_pool, 2), "V11_ball_dilation_3": _grown_by(_pool, 3), "V11_ball_erosion_1": _shrunk_by(_pool, 1),
+    "V11_ball_opening_1": _grown_by(f"({_shrunk_by(_pool, 1)}) e", 1), "V11_ball_closing_2": _shrunk_by(f"({_grown_by(_pool, 2)}) e", 2),
+}
+ORACLES = {k: f"select {K}, z, count(*) as n from ({v}) t group by {K}, z" for k, v in BALLS.items()} | {
     "V18_ring_relabel": f"{RING}, chosen as (select pool.case_id, pool.frame_tag, pool.z, pool.y, pool.x, pool.intensity from parts join named on {_same('parts', 'named', K + ', component')} and why = 'accepted' join pool on {_same('parts', 'pool', K + ', z, y, x')}), {_moved('chosen', 'least(0.25, 0.03 + 0.22 * 0.5)', 'greatest(0.5, 0.7 - 0.2 * 0.5)')}",
     "V19_grown": f"{RING} select {K}, z, count(*) as n from g3 group by {K}, z",
     "V20_confidence": f"{RING} select {K}, z, size, round(darkness, 6) as darkness, round(adjacency, 6) as adjacency, round(seeding, 6) as seeding, round(confidence, 6) as confidence, why from named",

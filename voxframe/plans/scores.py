@@ -191,7 +191,7 @@ def slice_scores(spark: SparkSession, d: str) -> DataFrame:
     # a slice has no neighbours above and below: its voxels are shown with a flat z
     flat = [m.filter("label = 3").drop("label").withColumn("z", F.lit(0)) for m in (p, g)]
     groups = p.select(*group).distinct()
-    far = nb.surface_distances(flat[0], flat[1].join(groups, [*KEYS, "slice"]), group, SPACING, 4.0, groups)
+    far = nb.surface_distances(flat[0], flat[1].join(groups, [*KEYS, "slice"]), group, SPACING, groups)
     return _rounded(c.join(far, group).groupBy(*KEYS, "model").agg(F.avg("dice").alias("dice"), F.avg(sc.finite(F.col("hd95"))).alias("hd95"), F.count(sc.finite(F.col("hd95"))).alias("finite")))
 
 
