@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 PRIME = 2_147_483_647
+EXACT = 50
+
+
+def erfc(x: Column) -> Column:
+    """The complementary error function for x >= 0: a series of positive terms below 3, a continued fraction above."""
+    power = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.struct(x.alias("t"), x.alias("s")), lambda a, n: F.struct((a["t"] * 2 * x * x / (2 * n + 1)).alias("t"), (a["s"] + a["t"] * 2 * x * x / (2 * n + 1)).alias("s")))["s"]
+    deep = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), x, lambda t, n: x + n / 2 / t)
+    e = F.exp(-x * x) / math.sqrt(math.pi)
+    return F.when(x < 3, 1 - 2 * e * power).otherwise(e / deep)
+
+
+def chi2_survival(x: Column, df: int) -> Column:
+    """P(X > x) for `df` degrees of freedom: two more degrees add one term."""
+    half = x / 2
+    out = F.exp(-half) if df % 2 == 0 else erfc(F.sqrt(half))
+    for j in range((df - 1) // 2 if df % 2 else df // 2 - 1):
+        a = j + (0.5 if df % 2 else 1.0)
+        out = out + F.pow(half, F.lit(a)) * F.exp(-half) / math.gamma(a + 1)
+    return F.when(x <= 0, F.lit(1.0)).otherwise(out)
+
+
+def exact_rank_p(w: Column, n: Column) -> Column:
+    """Two-sided p of a signed-rank sum of n untied differences: subsets of 1 to n by their sum, a rank at a time."""
+    zeros = lambda k: F.array_repeat(F.lit(0.0), k.cast("int"))
+    counts = F.aggregate(F.sequence(F.lit(1).cast("long"), n), F.array(F.lit(1.0)), lambda c, k: F.zip_with(F.concat(c, zeros(k)), F.concat(zeros(k), c), lambda a, b: a + b))
+    low = F.least(w, n * (n + 1) / 2 - w).cast("int")
+    return F.least(F.lit(1.0), 2 * F.aggregate(F.slice(counts, F.lit(1), low + 1), F.lit(0.0), lambda a, b: a + b) / F.pow(F.lit(2.0), n))
 
 
 def _draw(b: Column, i: Column) -> Column:
@@ -38,45 +64,35 @@ def bootstrap_mean(values: DataFrame, keys: list[str], value: str, order: list[s
 
 
 def friedman(scores: DataFrame, keys: list[str], subject: str, treatment: str, value: str, treatments: int) -> DataFrame:
-    """Tie-corrected chi-square over subjects that have all treatments; p in closed form, for an odd number of treatments."""
-    if treatments % 2 == 0:
-        raise ValueError("the closed form needs an odd number of treatments")
+    """Tie-corrected chi-square over subjects that have all treatments, and its p, for any number of treatments above 1."""
     block = Window.partitionBy(*keys, subject)
     full = scores.filter(F.col(value).isNotNull()).withColumn("_n", F.count("*").over(block)).filter(F.col("_n") == treatments)
     ties = F.count("*").over(Window.partitionBy(*keys, subject, value))
     ranked = full.withColumn("_t", ties).withColumn("_r", F.rank().over(block.orderBy(value)) + (ties - 1) / 2)
-    sums = ranked.groupBy(*keys, treatment).agg(F.sum("_r").alias("r"), F.count("*").alias("n"), F.sum(F.col("_t") * F.col("_t") - 1).alias("t"))
+    sums = ranked.groupBy(*keys, treatment).agg(F.sum("_r").alias("_sum"), F.count("*").alias("_of"), F.sum(F.col("_t") * F.col("_t") - 1).alias("_tc"))
     k = treatments
-    whole = sums.groupBy(*keys).agg(F.max("n").alias("n"), F.sum(F.col("r") * F.col("r")).alias("ss"), F.sum("t").alias("ties"))
-    plain = 12 * F.col("ss") / (F.col("n") * k * (k + 1)) - 3 * F.col("n") * (k + 1)
-    shrink = 1 - F.col("ties") / (F.col("n") * k * (k * k - 1))
+    whole = sums.groupBy(*keys).agg(F.max("_of").alias("n"), F.sum(F.col("_sum") * F.col("_sum")).alias("_ss"), F.sum("_tc").alias("_ties"))
+    plain = 12 * F.col("_ss") / (F.col("n") * k * (k + 1)) - 3 * F.col("n") * (k + 1)
+    shrink = 1 - F.col("_ties") / (F.col("n") * k * (k * k - 1))
     out = whole.withColumn("chi2", F.when(shrink > 0, plain / shrink))
-    term, tail = F.lit(1.0), F.lit(1.0)
-    for j in range(1, (k - 1) // 2):
-        term = term * F.col("chi2") / (2 * j)
-        tail = tail + term
-    return out.select(*keys, "n", "chi2", (F.exp(-F.col("chi2") / 2) * tail).alias("p"))
-
-
-@F.pandas_udf(DoubleType())
-def _two_sided(z: pd.Series) -> pd.Series:
-    from math import erfc
-
-    return z.map(lambda v: None if pd.isna(v) else erfc(abs(v) / 2**0.5))
+    return out.select(*keys, "n", "chi2", chi2_survival(F.col("chi2"), k - 1).alias("p"))
 
 
 def signed_rank(pairs: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
-    """W+, median difference and the normal approximation's p with tie correction; without any difference p is 1."""
+    """W+, median difference and two-sided p: exact for at most EXACT differences without ties or zeros, else by the normal
+    approximation with tie correction; without any difference p is 1. Ranks are windows of one test's pairs each."""
     d = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn("_d", F.round(F.col(a) - F.col(b), 12))
     w = Window.partitionBy(*keys)
     ties = F.count("*").over(Window.partitionBy(*keys, F.abs("_d")))
     ranked = d.filter("_d <> 0").withColumn("_t", ties).withColumn("_r", F.rank().over(w.orderBy(F.abs("_d"))) + (ties - 1) / 2)
     stats = ranked.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(F.when(F.col("_d") > 0, F.col("_r")).otherwise(0.0)).alias("w_plus"), F.sum(F.col("_t") * F.col("_t") - 1).alias("_tc"))
-    every = d.groupBy(*keys).agg(F.percentile("_d", F.lit(0.5)).alias("median"))
+    every = d.groupBy(*keys).agg(F.percentile("_d", F.lit(0.5)).alias("median"), F.count("*").alias("_all"))
     n = F.col("n")
     z = (F.col("w_plus") - n * (n + 1) / 4) / F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("_tc") / 48)
     out = every.join(stats, keys, "left")
-    return out.select(*keys, F.coalesce("n", F.lit(0)).alias("n"), "median", F.coalesce("w_plus", F.lit(0.0)).alias("w_plus"), F.coalesce(_two_sided(z), F.lit(1.0)).alias("p"))
+    plain = (n <= EXACT) & (n == F.col("_all")) & (F.col("_tc") == 0)
+    p = F.when(plain, exact_rank_p(F.col("w_plus"), n)).otherwise(erfc(F.abs(z) / math.sqrt(2)))
+    return out.select(*keys, F.coalesce("n", F.lit(0)).alias("n"), "median", F.coalesce("w_plus", F.lit(0.0)).alias("w_plus"), F.coalesce(p, F.lit(1.0)).alias("p"))
 
 
 def holm(tests: DataFrame, keys: list[str], p: str = "p", order: list[str] | None = None) -> DataFrame:

@@ -73,7 +73,8 @@ def pairwise(spark: SparkSession, d: str) -> DataFrame:
     l = sql(spark, d, LONG)
     other = l.select("patient_id", "structure", F.col("model").alias("model_b"), F.col("dice").alias("b"))
     pairs = l.withColumnRenamed("model", "model_a").join(other, ["patient_id", "structure"]).filter("model_a < model_b")
-    return inf.holm(inf.signed_rank(pairs, ["structure", "model_a", "model_b"], "dice", "b"), ["structure"], "p", ["model_a", "model_b"])
+    out = inf.holm(inf.signed_rank(pairs, ["structure", "model_a", "model_b"], "dice", "b"), ["structure"], "p", ["model_a", "model_b"])
+    return out.select("structure", "model_a", "model_b", "n", *(F.round(c, 6).alias(c) for c in ("median", "w_plus", "p", "p_holm")))
 
 
 QUERIES = {"S04_metric_sheets": sheets, "S02_sheet_problems": problems, "S06_manifests": manifests, "S08_info_texts": info, "S32_packed_volumes": volume_round_trip, "X01_score_stream": stream, "R01_bootstrap": bootstrap, "R02_friedman": friedman, "R02_pairwise_tests": pairwise}
@@ -81,7 +82,26 @@ QUERIES = {"S04_metric_sheets": sheets, "S02_sheet_problems": problems, "S06_man
 _mix = "((b * 48271 + k * 69621 + 12345) % 2147483647)"
 for _c in (11, 101, 1009):
     _mix = f"(({_mix} * {_mix} + {_c}) % 2147483647)"
+# the tail of a normal variable at z standard deviations on both sides: an alternating series near 0, else a continued fraction
+_TAIL = """case when z < 4 then 1 - sqrt(2 / pi()) * z * list_sum(list_transform(range(0, 120), lambda k: case when k % 2 = 0 then 1 else -1 end * exp(k * ln(greatest(z * z / 2, 1e-300)) - lgamma(k + 1)) / (2 * k + 1)))
+    else sqrt(2 / pi()) * exp(-z * z / 2) / list_reduce(range(100, 0, -1), lambda t, k: z + k / t, z) end"""
+
+
+def rank_tests(keys: str) -> str:
+    """CTEs of a recursive WITH: from d (keys, d) to `tested`: n, median, w (sum of positive ranks) and p of each test."""
+    same = " and ".join(f"o.{k.strip()} = d.{k.strip()}" for k in keys.split(","))
+    return f"""r as (select *, (select count(*) from d o where {same} and o.d <> 0 and abs(o.d) < abs(d.d)) as below, (select count(*) from d o where {same} and abs(o.d) = abs(d.d)) as tied from d),
+        t as (select {keys}, count(*) as total, median(d) as median, count_if(d <> 0) as n, sum(case when d > 0 then below + (tied + 1) / 2.0 else 0 end)::double as w, sum(case when d <> 0 then tied * tied - 1 else 0 end)::double as tc from r group by all),
+        sums as (select 0 as k, 0 as w, 1::double as c union all select k + 1, w + b * (k + 1), sum(c) from sums cross join (values (0), (1)) x(b) where k < 50 group by k + 1, w + b * (k + 1)),
+        z as (select *, abs(w - n * (n + 1) / 4.0)::double / sqrt((n * (n + 1) * (2 * n + 1) / 24.0 - tc / 48)::double) as z, (select sum(c) from sums where sums.k = t.n and sums.w <= least(t.w, t.n * (t.n + 1) / 2.0 - t.w)) as few from t),
+        tested as (select *, case when n = 0 then 1.0::double when n <= 50 and n = total and tc = 0 then least(1.0::double, 2 * few / pow(2.0::double, n)) else {_TAIL} end as p from z)"""
+
+
 ORACLES = {
+    "R02_pairwise_tests": f"""with recursive l as ({LONG}), d as (select a.structure, a.model as model_a, b.model as model_b, round(a.dice - b.dice, 12) as d from l a join l b on a.structure = b.structure and a.patient_id = b.patient_id and a.model < b.model),
+        {rank_tests("structure, model_a, model_b")},
+        h as (select *, p * (count(*) over (partition by structure) - row_number() over (partition by structure order by p, model_a, model_b) + 1) as up, row_number() over (partition by structure order by p, model_a, model_b) as place from tested)
+        select structure, model_a, model_b, n, round(median, 6) as median, round(w, 6) as w_plus, round(p, 6) as p, round(least(1, max(up) over (partition by structure order by place)), 6) as p_holm from h""",
     "S04_metric_sheets": "select cast(patient_id as string) as patient_id, frame_tag, model, round(dice_lv, 6) as dice_lv, round(case when model <> 'model_r' then hd95_lv end, 6) as hd95_lv from frame_metrics",
     "S02_sheet_problems": "select 'spacing' as \"column\", 'missing' as problem, 1 as n union all select 'patient_id', 'empty', count(*) from orders where o_orderkey % 7 = 0 having count(*) > 0 union all select 'image', 'pattern', count(*) from orders where o_orderkey % 5 = 0 having count(*) > 0",
     "S06_manifests": f"select patient_id, 'ED' as tag, ed as idx from ({PICKS}) p union all select patient_id, 'ES', es from ({PICKS}) q",

@@ -67,7 +67,7 @@ def patient_level(spark: SparkSession, d: str) -> DataFrame:
 
 
 def accuracy_summary(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(sc.summarise(_frames(spark, d), [["model"], ["model", "frame_tag"]], "patient_id", ["dice_lv"], ["hd95_rv"], resamples=200))
+    return _rounded(sc.summarise(_frames(spark, d), [["model"], ["model", "frame_tag"]], "patient_id", ["dice_lv"], ["hd95_rv"]))
 
 
 def _table(spark: SparkSession, d: str, by: str) -> DataFrame:
@@ -212,7 +212,7 @@ def effect_table(spark: SparkSession, d: str) -> DataFrame:
         one = wide.select(F.lit(s).alias("structure"), "patient_id", "model_a", "model_r", F.round(F.col("model_r") - F.col("model_a"), 6).alias("change"))
         out = one if out is None else out.unionByName(one)
     stats = out.groupBy("structure").agg(F.avg("model_a").alias("raw"), F.avg("model_r").alias("cleaned"), F.avg("change").alias("change"))
-    ends = inf.bootstrap_mean(out, ["structure"], "change", ["patient_id"], 200).select("structure", "n", "low", "high")
+    ends = inf.bootstrap_mean(out, ["structure"], "change", ["patient_id"]).select("structure", "n", "low", "high")
     ranks = inf.signed_rank(out, ["structure"], "model_r", "model_a").select("structure", "w_plus", "p")
     tested = inf.holm(ranks.filter("structure <> 'rv'").withColumn("_all", F.lit(1)), ["_all"], "p", ["structure"]).select("structure", "p_holm")
     return _rounded(stats.join(ends, "structure").join(ranks, "structure").join(tested, "structure", "left"))
@@ -304,7 +304,7 @@ ORACLES = {
     "A20_structure_means": f"select patient_id, model, frame_tag, round((dice_rv + dice_myo + dice_lv) / 3, 6) as dice_mean, round(coalesce(list_avg([x for x in [{', '.join(FIN.format(s) for s in STRUCTURES)}] if x is not null]), {INF}), 6) as hd95_mean from frame_metrics",
     "A22_patient_by_model": "select patient_id, " + ", ".join(f"round(coalesce(max(case when model = '{m}' and frame_tag = 'ED' then d end), max(case when model = '{m}' then d end)), 6) as {m}" for m in MODELS) + " from (select *, (dice_rv + dice_myo + dice_lv) / 3 as d from frame_metrics) t group by patient_id",
     "A23_patient_level": "select model, patient_id, " + ", ".join(f"round({c}, 6) as {c}" for c in (*DICE, "hd95_rv", "hd95_lv")) + f" from ({PAT}) p",
-    "A24_accuracy_summary": f"select * from {_summary('model', 200)} union all select * from {_summary('model, frame_tag', 200)}",
+    "A24_accuracy_summary": f"select * from {_summary('model', 2000)} union all select * from {_summary('model, frame_tag', 2000)}",
     "A25_vendor_table": "select vendor, model, count(*) as n_patients, round(avg(m), 6) as dice_avg_mean from (select vendor, model, patient_id, avg((dice_rv + dice_myo + dice_lv) / 3) as m from frame_metrics left join subjects using (patient_id) group by vendor, model, patient_id) t group by vendor, model",
     "A25_pathology_table": "select pathology, model, count(*) as n_patients, round(avg(m), 6) as dice_avg_mean from (select pathology, model, patient_id, avg((dice_rv + dice_myo + dice_lv) / 3) as m from frame_metrics left join subjects using (patient_id) group by pathology, model, patient_id) t group by pathology, model",
     "A26_failure_rates": f"select model, structure, count(*) as n_frames, count_if(bad) as failures, round(count_if(bad) / count(*), 6) as failure_rate, count_if(hd95 is null or hd95 = {INF}) as missing from (select *, dice < 0.5 or hd95 is null or hd95 > 20 as bad from ({LONG}) l) t group by model, structure",
@@ -346,6 +346,7 @@ ORACLES = {
     "U01_user_metric": f"select case_id, frame_tag, model, label, round(1 - 1.0 * abs(fn - fp) / nullif(2 * tp + fp + fn, 0), 6)::double as volume_similarity, round(1.0 * tp / nullif(tp + fp + fn, 0), 6)::double as jaccard from ({COUNTS}) c",
     "U02_per_frame": "select case_id, frame_tag, round(count(*) filter (label = 3) / nullif(count(*) filter (label > 0), 0), 6) as share from vox_gt group by case_id, frame_tag",
 }
-# the interval and the ranks of R03, each by a text of its own; p is a function that SQL lacks
-_effect = f"""with p as ({PAT}), ch as ({_change}), {_bootstrap('select structure, patient_id as tie, c as v from ch', 'structure', 200)}
-    select ch.structure, round(avg(a), 6) as raw, round(avg(r), 6) as cleaned, round(avg(c), 6) as change, count(*) as n, round(any_value(lo), 6) as low, round(any_value(hi), 6) as high from ch join ci using (structure) group by ch.structure"""
+ORACLES["R03_effect_table"] = f"""with recursive p as ({PAT}), ch as ({_change}), {_bootstrap('select structure, patient_id as tie, c as v from ch', 'structure', 2000)}, d as (select structure, round(r - a, 12) as d from ch), {runs.rank_tests('structure')},
+    h as (select structure, p * (count(*) over () - row_number() over (order by p, structure) + 1) as up, row_number() over (order by p, structure) as place from tested where structure <> 'rv'), adjusted as (select structure, least(1, max(up) over (order by place)) as p_holm from h)
+    select ch.structure, round(avg(ch.a), 6) as raw, round(avg(ch.r), 6) as cleaned, round(avg(ch.c), 6) as change, count(*) as n, round(any_value(ci.lo), 6) as low, round(any_value(ci.hi), 6) as high, round(any_value(tested.w), 6) as w_plus, round(any_value(tested.p), 6) as p, round(any_value(adjusted.p_holm), 6) as p_holm
+    from ch join ci on ci.structure = ch.structure join tested on tested.structure = ch.structure left join adjusted on adjusted.structure = ch.structure group by ch.structure"""
