@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxframe.operators import inference as inf
+from voxframe.operators import scores as sc
 
 
 def test_erfc(spark):
@@ -64,3 +65,15 @@ def test_friedman_of_four_treatments(spark):
     assert abs(r.n - 8) == 0 and r.chi2 >= 12 / (8 * 4 * 5) * sum(x * x for x in sums) - 3 * 8 * 5 - 1e-9
     h = r.chi2 / 2
     assert abs(r.p - (math.erfc(math.sqrt(h)) + math.sqrt(h) * math.exp(-h) / math.gamma(1.5))) < 1e-12
+
+
+def test_quantiles_narrow_to_the_ranks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.standard_normal(500), np.full(200, 0.25), [1e300, -1e300, 1e-300]]).tolist()
+    frame = spark.createDataFrame([(x,) for x in [*v, None, float("nan"), float("inf")]], "v double")
+    shares = [0.0, 0.005, 0.31, 0.5, 0.995, 1.0]
+    got = sc.quantiles(frame, "v", shares, bins=16)
+    assert np.allclose(got, np.quantile(v, shares), rtol=1e-12)
+    assert sc.quantiles(frame.filter("v is null"), "v", [0.5]) == [None]

@@ -15,7 +15,7 @@ PLANS = {
     "J05_metrics_metadata": "select m.patient_id, m.model, m.frame_tag, s.vendor, s.split from frame_metrics m left join subjects s on m.patient_id = s.patient_id",
     "J06_pred_ref_suffixes": "select a.patient_id, round(a.dice_lv, 6) as dice_pred, round(b.dice_lv, 6) as dice_ref from frame_metrics a join frame_metrics b on a.patient_id = b.patient_id and a.model = b.model where a.frame_tag = 'ED' and b.frame_tag = 'ES' and a.model = 'model_n'",
     "J08_run_join": "select a.patient_id, a.frame_tag, round(abs(a.dice_lv - b.dice_lv), 6) as diff from frame_metrics a join frame_metrics b on a.patient_id = b.patient_id and a.frame_tag = b.frame_tag where a.model = 'model_a' and b.model = 'model_r'",
-    "J12_two_key_semi_join": "select patient_id, model, frame_tag from frame_metrics m where exists (select 1 from frame_metrics w where w.patient_id = m.patient_id and w.model = m.model and w.dice_lv < 0.997)",
+    "J12_two_key_semi_join": "select patient_id, model, frame_tag from frame_metrics m where exists (select 1 from frame_metrics w where w.patient_id = m.patient_id and w.model = m.model and w.dice_lv < 0.998)",
     "J13_anti_joins": "select s.patient_id, s.vendor from subjects s where not exists (select 1 from frame_metrics m where m.patient_id = s.patient_id and m.hd95_lv > 27)",
     "A20_patient_means": f"select model, patient_id, round(rv, 6) as rv, round(myo, 6) as myo, round(lv, 6) as lv, round(hd, 6) as hd from ({PATIENT}) p",
     "A21_model_comparison": f"select model, count(*) as n, round(avg(dice_lv), 6) as dice_mean, round(stddev_samp(dice_lv), 6) as dice_std, round(PCT(dice_lv, 0.5), 6) as dice_median, round(avg({FINITE}), 6) as hd95_mean, round(stddev_samp({FINITE}), 6) as hd95_std from frame_metrics group by model",

@@ -178,8 +178,9 @@ def clipped(spark: SparkSession, d: str) -> DataFrame:
 def dataset_clip(spark: SparkSession, d: str) -> DataFrame:
     """Z-scores by statistics of all foreground voxels of the dataset, clipped to its percentiles."""
     i = view(spark, d, "vox_img")
-    s = i.filter("label > 0").agg(F.avg("intensity").alias("m"), F.stddev_pop("intensity").alias("sd"), F.percentile("intensity", F.lit(0.005)).alias("lo"), F.percentile("intensity", F.lit(0.995)).alias("hi"))
-    v = (F.least(F.greatest("intensity", "lo"), F.col("hi")) - F.col("m")) / (F.col("sd") + 1e-8)
+    s = i.filter("label > 0").agg(F.avg("intensity").alias("m"), F.stddev_pop("intensity").alias("sd"))
+    low, high = sc.quantiles(i.filter("label > 0"), "intensity", [0.005, 0.995])
+    v = (F.least(F.greatest(F.col("intensity"), F.lit(low)), F.lit(high)) - F.col("m")) / (F.col("sd") + 1e-8)
     return _rounded(i.crossJoin(F.broadcast(s)).groupBy(*KEYS, "label").agg(F.avg(v).alias("z")), digits=5)
 
 
