@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,20 +88,72 @@ def glcm_features(levels: DataFrame, keys: list[str], directions: list[tuple[int
     return all_.groupBy(*keys).agg(*(F.avg(n).alias(n) for n in names))
 
 
-def _ends(mask: DataFrame, keys: list[str]) -> DataFrame:
-    """Voxels that end their grid line along all three axes: the farthest pair of a mask is among them."""
-    out = mask
-    for axis in POINT:
-        w = Window.partitionBy(*keys, *(c for c in POINT if c != axis))
-        out = out.withColumn("_lo", F.min(axis).over(w)).withColumn("_hi", F.max(axis).over(w)).withColumn(f"_{axis}", F.col(axis).isin(F.col("_lo"), F.col("_hi")))
-    return out.filter("_z and _y and _x").select(*keys, *POINT)
+def hull(y: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Corners (y, x) of the convex hull of grid lines, each given by its row and ends, by monotone chains over the ends."""
+    order = np.argsort(y)
+    chains = []
+    for x, turn in ((lo, 1), (hi, -1)):
+        chain: list[tuple[int, int]] = []
+        for p in zip(y[order].tolist(), x[order].tolist(), strict=True):
+            while len(chain) > 1 and turn * ((chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) - (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0])) <= 0:
+                chain.pop()
+            chain.append(p)
+        chains += chain
+    return np.unique(np.array(chains, dtype=np.int64).reshape(-1, 2), axis=0)
+
+
+def farthest(points: np.ndarray) -> tuple[float, int]:
+    """Greatest distance of two of the points (n x 3, in mm), and how many pairs were measured.
+
+    Points go from the outermost inwards, in blocks: no pair is farther apart than both lie from the middle, so pairs
+    that can't beat the greatest distance so far are left out, which changes nothing.
+    """
+    r = np.sqrt(((points - (points.min(axis=0) + points.max(axis=0)) / 2) ** 2).sum(axis=1))
+    order = np.argsort(-r)
+    p, r, best, pairs = points[order], r[order], 0.0, 0
+    for i in range(0, len(p), 256):
+        part = p[i : i + 256]
+        end = min(i + len(part), int(np.searchsorted(-r, r[i] - best * (1 - 1e-12), side="right")))
+        for j in range(0, end, 4096):
+            other = p[j : min(j + 4096, end)]
+            pairs += len(part) * len(other)
+            best = max(best, float(np.sqrt(sum((part[:, a, None] - other[None, :, a]) ** 2 for a in range(3)).max())))
+        if r[i] + r[0] < best * (1 - 1e-12):
+            break
+    return best, pairs
+
+
+def diameters(mask: DataFrame, keys: list[str], spacing: tuple[float, float, float]) -> DataFrame:
+    """Greatest distance of two voxels of each mask, in space (diameter_3d) and within a slice (diameter_slice), in mm.
+
+    A farthest pair lies on corners of slices' convex hulls. Lines shrink to their ends, slices to their hulls, each in a
+    grouped pass; only the corners of one mask meet in a task, which are at most two for each of its lines.
+    """
+    sz, sy, sx = spacing
+
+    @F.pandas_udf("points array<struct<y: long, x: long>>, diameter double")
+    def corners(y: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
+        found = [hull(*(np.asarray(a, dtype=np.int64) for a in row)) for row in zip(y, lo, hi, strict=True)]
+        far = [farthest(np.c_[np.zeros(len(h)), h[:, 0] * sy, h[:, 1] * sx])[0] for h in found]
+        return pd.DataFrame({"points": [[{"y": a, "x": b} for a, b in h.tolist()] for h in found], "diameter": far})
+
+    @F.pandas_udf("double")
+    def widest(z: pd.Series, y: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series([farthest(np.c_[np.asarray(a) * sz, np.asarray(b) * sy, np.asarray(c) * sx])[0] for a, b, c in zip(z, y, x, strict=True)], dtype=float)
+
+    lines = mask.groupBy(*keys, "z", "y").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    slices = lines.groupBy(*keys, "z").agg(F.collect_list(F.struct("y", "lo", "hi")).alias("l"))
+    slices = slices.select(*keys, "z", corners("l.y", "l.lo", "l.hi").alias("h"))
+    points = F.flatten(F.collect_list(F.transform("h.points", lambda p: F.struct(F.col("z").alias("z"), p["y"].alias("y"), p["x"].alias("x")))))
+    whole = slices.groupBy(*keys).agg(points.alias("p"), F.max("h.diameter").alias("diameter_slice"))
+    return whole.select(*keys, widest("p.z", "p.y", "p.x").alias("diameter_3d"), "diameter_slice")
 
 
 def shape_features(mask: DataFrame, keys: list[str], spacing: tuple[float, float, float]) -> DataFrame:
     """Volume, greatest diameter (in space and within a slice), axis lengths, elongation and flatness of a mask, in mm.
 
     Axis lengths are 4 times the root of the eigenvalues of the population covariance, by the closed form for symmetric
-    3 x 3 matrices. Only line ends are paired for the diameters.
+    3 x 3 matrices. The diameters are those of `diameters`.
     """
     mm = {a: F.col(a) * F.lit(s) for a, s in zip(POINT, spacing, strict=True)}
     cov = {a + b: F.covar_pop(mm[a], mm[b]).alias(a + b) for a, b in ("zz", "yy", "xx", "zy", "zx", "yx")}
@@ -113,10 +167,7 @@ def shape_features(mask: DataFrame, keys: list[str], spacing: tuple[float, float
     third = 2 * F.acos(F.lit(-1.0)) / 3
     m = m.withColumn("l1", q + 2 * F.col("s") * F.cos("t")).withColumn("l3", F.greatest(F.lit(0.0), q + 2 * F.col("s") * F.cos(F.col("t") + third)))
     m = m.withColumn("l2", F.greatest(F.lit(0.0), 3 * q - F.col("l1") - F.col("l3")))
-    ends = _ends(mask, keys)
-    far = ends.select(*keys, *(F.col(c).alias(f"{c}2") for c in POINT))
-    apart = F.sqrt(sum((F.pow((F.col(a) - F.col(f"{a}2")) * F.lit(s), 2) for a, s in zip(POINT, spacing, strict=True)), F.lit(0.0)))
-    d = ends.join(far, keys).groupBy(*keys).agg(F.max(apart).alias("diameter_3d"), F.max(F.when(F.col("z") == F.col("z2"), apart)).alias("diameter_slice"))
+    d = diameters(mask, keys, spacing)
     axis = lambda n: 4 * F.sqrt(F.col(n))
     ratio = lambda n: F.when(F.col("l1") > 0, F.sqrt(F.col(n) / F.col("l1")))
     return m.join(d, keys).select(*keys, "volume", "diameter_3d", "diameter_slice", axis("l1").alias("major"), axis("l2").alias("minor"), axis("l3").alias("least"), ratio("l2").alias("elongation"), ratio("l3").alias("flatness"))
