@@ -2,25 +2,118 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 VOXEL = ["z", "y", "x"]
+DONE = -1
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class FrameStore(StatefulProcessor):
+    """Slices of each frame until all of its voxels have come.
+
+    State of a frame: how many different voxels it has, and for each slice the places and labels that came, so a batch
+    rewrites only slices that it brings rows of. The first label of a voxel counts. A complete frame is given out once and its
+    slices are dropped; a mark stays until the watermark passes the frame's last row, so that repeated rows are passed over.
+    A frame that is still incomplete then is given out as one row without a slice, with the number of voxels it had.
+    """
+
+    def __init__(self, names: list[str], voxels: int):
+        self.names, self.voxels = names, voxels
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n long, last long")
+        self.slices = handle.getMapState("slices", "z int", "places binary, labels binary")
+
+    def _row(self, key: tuple, z: list, places: list, labels: list, seen: int) -> pd.DataFrame:
+        return pd.DataFrame({**{n: [k] * len(z) for n, k in zip(self.names, key, strict=True)}, "z": pd.array(z, "Int32"), "places": places, "labels": labels, "seen": seen})
+
+    def _until(self, last: int, before: int | None) -> None:
+        """One timer a frame, at its last row."""
+        if before is not None and before != last:
+            self.handle.deleteTimer(before)
+        if before != last:
+            self.handle.registerTimer(last)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        new.columns = [*self.names, *VOXEL, "label", "_came"]  # the watermark's column comes without its name
+        n, before = self.count.get() or (0, None)
+        if n == DONE:
+            return
+        came = new["_came"].to_numpy("datetime64[ms]").astype(np.int64).max()
+        last, had = int(came if before is None else max(before, came)), n > 0
+        held = {z: (np.frombuffer(a, np.int64), np.frombuffer(b, np.int32)) for (z,), (a, b) in self.slices.iterator()} if had else {}
+        z, labels = new["z"].to_numpy(np.int32), new["label"].to_numpy(np.int32)
+        places = (new["y"].to_numpy(np.int64) << 21) | new["x"].to_numpy(np.int64)
+        touched = np.unique(z).tolist()
+        for k in touched:
+            here = np.flatnonzero(z == k)
+            old, of = held.get(k, (places[:0], labels[:0]))
+            merged, first = np.unique(np.r_[old, places[here]], return_index=True)
+            held[k] = merged, np.r_[of, labels[here]][first]
+            n += len(merged) - len(old)
+        if n < self.voxels:
+            for k in touched:
+                self.slices.updateValue((k,), tuple(x.tobytes() for x in held[k]))
+        else:
+            if had:
+                self.slices.clear()
+            yield self._row(key, list(held), [p for p, _ in held.values()], [v for _, v in held.values()], n)
+        self.count.update((DONE if n >= self.voxels else n, last))
+        self._until(last, before)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        n = self.count.get()[0]
+        self.count.clear()
+        self.slices.clear()
+        if n != DONE:
+            yield self._row(key, [None], [None], [None], n)
+
+    def close(self) -> None:
+        pass
 
 
-def score_stream(rows: DataFrame, ref: DataFrame, keys: list[str], by: list[str], label: int, voxels: int, out: str, checkpoint: str) -> None:
-    """Read what is available of the stream `rows`, write a row of counts and Dice for every complete frame.
+def score_stream(rows: DataFrame, ref: DataFrame, keys: list[str], by: list[str], label: int, voxels: int, out: str, checkpoint: str, came: str | None = None, delay: str = "1 hour") -> list:
+    """Read what is available of the stream `rows`, write a row of counts and Dice for every complete frame; the progress reports.
 
-    A frame is complete when all `voxels` of its grid have come; each voxel is expected once. The state is one row of four
-    counts a frame, not its voxels. A batch overwrites its own folder, so a repeated batch after a failure adds nothing twice.
+    A frame is complete when all `voxels` of its grid have come; a voxel that comes again is passed over. Only complete frames
+    meet the reference, of which each batch reads its own frames. `came` is the column with the time of a row (else the time
+    of its batch). State is dropped `delay` after a frame's last row: complete frames leave nothing, incomplete ones a row
+    (keys, seen) in `<out>-abandoned`. A batch overwrites its own folder, so a repeated batch after a failure adds nothing
+    twice. The reference's voxels that the frame's grid lacks are not counted.
     """
+    spark, all_ = rows.sparkSession, [*keys, *by]
+    timed = rows.select(*all_, *VOXEL, "label", (F.col(came) if came else F.current_timestamp()).alias("_came")).withWatermark("_came", delay)
+    shape = StructType([*(rows.schema[c] for c in all_), StructField("z", IntegerType()), StructField("places", ArrayType(LongType())), StructField("labels", ArrayType(IntegerType())), StructField("seen", LongType())])
+    frames = timed.groupBy(*all_).transformWithStateInPandas(FrameStore(all_, voxels), shape, "Append", "EventTime")
     p, r = F.col("label") == label, F.col("_r") == label
-    joined = rows.join(ref.select(*keys, *VOXEL, F.col("label").alias("_r")), [*keys, *VOXEL])
-    counts = joined.groupBy(*keys, *by).agg(F.count("*").alias("n"), F.count_if(p & r).alias("tp"), F.count_if(p & ~r).alias("fp"), F.count_if(~p & r).alias("fn"))
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        whole = batch.filter("z is not null").select(*all_, "z", F.explode(F.arrays_zip("places", "labels")).alias("v"))
+        whole = whole.select(*all_, "z", F.shiftright("v.places", 21).cast("int").alias("y"), F.col("v.places").bitwiseAND(F.lit((1 << 21) - 1)).cast("int").alias("x"), F.col("v.labels").alias("label"))
+        mine = ref.join(batch.filter("z is not null").select(*keys).distinct(), keys, "left_semi").select(*keys, *VOXEL, F.col("label").alias("_r"))
+        counts = whole.join(mine, [*keys, *VOXEL], "left").groupBy(*all_).agg(F.count("*").alias("n"), F.count_if(p & r).alias("tp"), F.count_if(p & ~F.coalesce(r, F.lit(False))).alias("fp"), F.count_if(~p & r).alias("fn"))
         size = 2 * F.col("tp") + F.col("fp") + F.col("fn")
-        done = batch.filter(F.col("n") == voxels).withColumn("dice", F.when(size == 0, 1.0).otherwise(2 * F.col("tp") / size))
-        done.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        counts.withColumn("dice", F.when(size == 0, 1.0).otherwise(2 * F.col("tp") / size)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.filter("z is null").select(*all_, "seen").write.mode("overwrite").parquet(f"{out}-abandoned/batch={number}")
+        batch.unpersist()
 
-    counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        query = frames.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER, before)
+    return query.recentProgress
