@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -203,23 +205,67 @@ def choose_series(headers: DataFrame, exam: str, exact: list[str], near: list[st
     return out.select(exam, kind.alias("kind"), F.when(F.col("a").isNotNull(), F.array(F.col("a.series"))).when(F.col("slices") >= least, F.col("all")).otherwise(F.array().cast(out.schema["all"].dataType)).alias("series"))
 
 
-def best_correlation(cases: DataFrame, catalogue: DataFrame, block: list[str], variants: list[tuple[str, Column]], size: int) -> DataFrame:
-    """Per case: the catalogue entry with the highest Pearson r over all variants, and r; only r above 0 counts.
+def best_products(a: np.ndarray, of: np.ndarray, b: np.ndarray, entries: np.ndarray, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of unit vectors `a` (of a case `of`): the greatest product with a row of `b` of another id, to 9 places, and its entry.
 
-    Both have id and value, a flat array of `size` numbers; `block` columns must agree, which bounds the pairs. A variant is a
-    column of positions, by which a case's values are read: a flip or a turn. Ties go to the smaller id.
+    Products grow by `step` components at a time; an entry goes on only while some row could still gain from it: the part
+    that is left adds at most the product of both tails' lengths. Ties go to the smaller entry; no entry: r is -1.
     """
-    c = cases.select(*block, F.col("id").alias("case_id"), F.explode(F.array(*(F.transform(at, lambda i: F.col("value")[i]) for _, at in variants))).alias("a"))
+    order = np.argsort(entries, kind="stable")
+    b, entries = b[order], entries[order]
+    left = np.arange(len(b))
+    part = np.zeros((len(a), len(b)))
+    own = of[:, None] == entries[None, :]
+    for at in range(0, a.shape[1], step):
+        part += a[:, at : at + step] @ b[left, at : at + step].T
+        rest = np.sqrt((a[:, at + step :] ** 2).sum(axis=1))[:, None] * np.sqrt((b[left, at + step :] ** 2).sum(axis=1))[None, :]
+        sure = np.where(own, -np.inf, part - rest).max(axis=1, initial=-np.inf)
+        keep = np.flatnonzero(((part + rest >= sure[:, None] - 2e-9) & ~own).any(axis=0))  # what rounds to a tie stays
+        left, part, own = left[keep], part[:, keep], own[:, keep]
+    r = np.where(own, -1.0, np.round(part, 9))
+    if not len(left):
+        return np.full(len(a), -1.0), np.zeros(len(a), dtype=np.int64)
+    at = r.argmax(axis=1)
+    return r[np.arange(len(a)), at], entries[left][at]
+
+
+def best_correlation(cases: DataFrame, catalogue: DataFrame, block: list[str], variants: list[tuple[str, Column]], size: int, numbers: int = 1 << 18) -> DataFrame:
+    """Per case: the catalogue entry with the highest Pearson r (to 9 places) over all variants, and r; only r above 0 counts.
+
+    Both have id and value, a flat array of `size` numbers; only rows that agree in the `block` columns meet. A variant is a
+    column of positions, by which a case's values are read: a flip or a turn. Ties go to the smaller id. Flat, null
+    and non-finite arrays have no r. Vectors of a block are dealt into groups of about `numbers` numbers and 512 rows at most, and each pair of groups is
+    multiplied as matrices; a large block is so dealt over as many tasks as its catalogue has groups.
+    """
+    rows = max(1, min(512, numbers // size))
 
-    def centred(x: str) -> Column:
+    def centred(x: Column) -> Column:
         mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / size
         return F.transform(x, lambda v: v - mean)
 
-    def dot(x: Column | str, y: Column | str) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-
-    c = c.withColumn("a", centred("a")).withColumn("aa", dot("a", "a"))
-    e = catalogue.select(*block, F.col("id").alias("entry"), centred("value").alias("b")).withColumn("bb", dot("b", "b"))
-    r = F.when((F.col("aa") > 0) & (F.col("bb") > 0), dot("a", "b") / F.sqrt(F.col("aa") * F.col("bb"))).otherwise(0.0)
-    best = c.join(e, block).filter(F.col("case_id") != F.col("entry")).select("case_id", "entry", F.round(r, 9).alias("r")).filter("r > 0").groupBy("case_id").agg(F.max(F.struct("r", (-F.col("entry")).alias("m"))).alias("t"))
+    def groups(df: DataFrame, mark: Column) -> DataFrame:
+        """Unit vectors in groups: block, _g, ids, flat."""
+        norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, v: s + v * v))
+        df = df.select(*block, "id", mark.alias("_m"), centred(F.col("value")).alias("v")).withColumn("_n", norm).filter((F.col("_n") > 0) & (F.col("_n") < float("inf")))
+        many = df.groupBy(*block).agg(F.ceil(F.count("*") / rows).alias("_k"))
+        dealt = df.join(many, block).withColumn("_g", F.pmod(F.xxhash64("id", "_m"), "_k"))
+        in_group = F.collect_list(F.struct(F.col("id").cast("long").alias("id"), F.transform("v", lambda v: v / F.col("_n")).alias("v")))
+        return dealt.groupBy(*block, "_g").agg(in_group.alias("_l"), F.first("_k").alias("_k")).select(*block, "_g", "_k", F.col("_l.id").alias("ids"), F.flatten("_l.v").alias("flat"))
+
+    turned = cases.select(*block, "id", F.posexplode(F.array(*(F.transform(at, lambda i: F.col("value")[i]) for _, at in variants))).alias("_m", "value"))
+    mine, theirs = groups(turned, F.col("_m")), groups(catalogue, F.lit(0))
+    kinds = theirs.groupBy(*block).agg(F.first("_k").alias("_k"))
+    met = mine.drop("_g", "_k").join(kinds, block).withColumn("_g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
+    pairs = met.join(theirs.select(*block, "_g", F.col("ids").alias("entries"), F.col("flat").alias("other")), [*block, "_g"])
+
+    @F.pandas_udf("array<struct<case_id: long, r: double, entry: long>>")
+    def multiplied(ids: pd.Series, flat: pd.Series, entries: pd.Series, other: pd.Series) -> pd.Series:
+        out = []
+        for i, a, e, b in zip(ids, flat, entries, other, strict=True):
+            r, best = best_products(np.asarray(a, dtype=float).reshape(len(i), size), np.asarray(i), np.asarray(b, dtype=float).reshape(len(e), size), np.asarray(e))
+            out.append([{"case_id": int(c), "r": float(x), "entry": int(m)} for c, x, m in zip(i, r, best, strict=True)])
+        return pd.Series(out)
+
+    found = pairs.select(F.explode(multiplied("ids", "flat", "entries", "other")).alias("f")).select("f.case_id", F.round("f.r", 9).alias("r"), "f.entry").filter("r > 0")
+    best = found.groupBy("case_id").agg(F.max(F.struct("r", (-F.col("entry")).alias("m"))).alias("t"))
     return best.select("case_id", (-F.col("t.m")).alias("entry"), F.col("t.r").alias("r"))
