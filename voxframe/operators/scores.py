@@ -27,6 +27,14 @@ def schema_for(architecture: str, schema: str = "architecture_default") -> str:
     return schema
 
 
+def schemas_of(architectures: DataFrame, name: str = "architecture") -> DataFrame:
+    """The structures that each architecture is scored on by default: architecture, schema, label, name. Null has none."""
+    schema = F.when(F.col(name) == "atrial_nnunet", "atrial").when(F.col(name).isNotNull(), "ventricular")
+    entry = lambda s, k, n: F.struct(F.lit(s).alias("schema"), F.lit(k).alias("label"), F.lit(n).alias("name"))
+    every = F.array(*(entry(s, k, n) for s in ("ventricular", "atrial") for k, n in SCHEMAS[s]["labels"].items()))
+    return architectures.select(name).distinct().select(name, F.explode(F.filter(every, lambda e: e["schema"] == schema)).alias("e")).select(name, "e.*")
+
+
 def score_by_schema(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], schema: str, grid: int | None = None) -> DataFrame:
     """Confusion counts of a schema's structures with their `name`. In binary schemas every positive reference voxel counts."""
     s = SCHEMAS[schema]
@@ -122,6 +130,26 @@ def case_means(matrix: DataFrame, groups: list[str], labels: list[int], skip_mis
     return matrix.groupBy(*groups).agg(*means)
 
 
+def determinism(first: DataFrame, second: DataFrame, ref: DataFrame, keys: list[str], by: list[str], group: str, labels: list[int], grid: int) -> DataFrame:
+    """Two runs of the same models, as packed slices with the columns `by`, per `group` (one of them).
+
+    masks, identical (masks without a different voxel), least_agreement (smallest share of equal voxels of a mask) and
+    largest_difference (of the Dice of any structure of a mask; both empty: 1). Masks that both runs have count; a slice
+    that one of them lacks differs in all its voxels.
+    """
+    all_ = [*keys, *by]
+    a, b = first.select(*all_, "z", F.col("labels").alias("_a")), second.select(*all_, "z", F.col("labels").alias("_b"))
+    pairs = F.zip_with(F.coalesce("_a", F.array().cast("array<int>")), F.coalesce("_b", F.array().cast("array<int>")), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    slices = a.join(b, [*all_, "z"], "full").select(*all_, F.size(pairs).alias("_n"), F.size(F.filter(pairs, lambda e: e)).alias("_same"), F.col("_a").isNotNull().alias("_in_a"), F.col("_b").isNotNull().alias("_in_b"))
+    masks = slices.groupBy(*all_).agg((F.sum("_same") == F.sum("_n")).alias("same"), (F.sum("_same") / F.sum("_n")).alias("share"), (F.max("_in_a") & F.max("_in_b")).alias("both")).filter("both")
+
+    def dice(run: DataFrame, name: str) -> DataFrame:
+        return overlap.confusion(run, ref, keys, by, labels, grid).select(*all_, "label", F.expr(overlap.METRICS["dice_or_one"]).cast("double").alias(name))
+
+    far = dice(first, "x").join(dice(second, "y"), [*all_, "label"]).groupBy(*all_).agg(F.max(F.abs(F.col("x") - F.col("y"))).alias("far"))
+    return masks.join(far, all_).groupBy(group).agg(F.count("*").alias("masks"), F.count_if("same").alias("identical"), F.min("share").alias("least_agreement"), F.max("far").alias("largest_difference"))
+
+
 def labels_present(pred: DataFrame, ref: DataFrame) -> DataFrame:
     """All positive labels of both sides."""
     return pred.select("label").union(ref.select("label")).filter("label > 0").distinct()

@@ -19,6 +19,8 @@ DICE, FAR = [f"dice_{s}" for s in STRUCTURES], [f"hd95_{s}" for s in STRUCTURES]
 
 def _frames(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "frame_metrics")
+# the architecture that stands for each model
+ARCHITECTURE = {"model_a": "cinema", "model_b": "nnformer", "model_c": "vsa3l"}
 
 
 def _rounded(df: DataFrame, *keep: str, digits: int = 6) -> DataFrame:
@@ -94,9 +96,9 @@ def failure_predicate(spark: SparkSession, d: str) -> DataFrame:
 
 def label_schemas(spark: SparkSession, d: str) -> DataFrame:
     """Which structures each architecture in use is scored on."""
-    found = [r.a for r in view(spark, d, "mask_files").select(F.split_part(F.regexp_extract("path", "_(?:ED|ES|frame[0-9]+)_(.*)[.]nii", 1), F.lit("__"), F.lit(1)).alias("a")).distinct().collect()]  # a handful of architectures
-    rows = [(a, s, k, name) for a, s in [*((a, sc.schema_for(a)) for a in sorted(found)), ("atrial_nnunet", sc.schema_for("atrial_nnunet", "atrial_la_cavity"))] for k, name in sc.SCHEMAS[s]["labels"].items()]
-    return spark.createDataFrame(rows, "architecture string, schema string, label int, name string")
+    used = view(spark, d, "mask_files").select(F.split_part(F.regexp_extract("path", "_(?:ED|ES|frame[0-9]+)_(.*)[.]nii", 1), F.lit("__"), F.lit(1)).alias("architecture"))
+    cavity = [("atrial_nnunet", sc.schema_for("atrial_nnunet", "atrial_la_cavity"), k, n) for k, n in sc.SCHEMAS["atrial_la_cavity"]["labels"].items()]
+    return sc.schemas_of(used).unionByName(spark.createDataFrame(cavity, "architecture string, schema string, label int, name string"))
 
 
 def binary_masks(spark: SparkSession, d: str) -> DataFrame:
@@ -129,6 +131,13 @@ def determinism(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(same.join(far, KEYS).groupBy("frame_tag").agg(F.count("*").alias("masks"), F.count_if("identical").alias("identical"), F.min("agreement").alias("least_agreement"), F.max("far").alias("largest_difference")))
 
 
+def determinism_by_architecture(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of each model, of which one model's second run differs in a few masks, per architecture."""
+    first = stored(spark, d, "vox_pred").withColumn("architecture", F.element_at(F.create_map(*(F.lit(x) for kv in ARCHITECTURE.items() for x in kv)), F.col("model")))
+    second = first.withColumn("labels", F.expr(f"case when model = 'model_b' and case_id % 13 = 0 then transform(labels, (v, i) -> case when v = 3 and i div {X} = 6 then 2 else v end) else labels end"))
+    return _rounded(sc.determinism(first, second, stored(spark, d, "vox_gt"), KEYS, ["model", "architecture"], "architecture", [1, 2, 3], GRID))
+
+
 def clinical(spark: SparkSession, d: str) -> DataFrame:
     wall = nb.wall_thickness(view(spark, d, "vox_gt"), KEYS, 2, 3, SPACING)
     return _rounded(sc.clinical(voxels.volumes(spark, d).join(wall, KEYS, "left"), ["case_id"]))
@@ -252,7 +261,7 @@ def per_frame(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "A17_labels_present": labels_present, "A17_regions": regions, "A01_sparse_masks": sparse_counts, "A18_metric_matrix": matrix, "A19_case_means": case_means, "A20_structure_means": structure_means, "A22_patient_by_model": patient_by_model,
     "A23_patient_level": patient_level, "A24_accuracy_summary": accuracy_summary, "A25_vendor_table": vendor_table, "A25_pathology_table": pathology_table, "A26_failure_rates": failure_rates, "P08_failure_predicate": failure_predicate,
-    "P09_label_schemas": label_schemas, "P10_binary_masks": binary_masks, "A35_standalone_agreement": standalone, "A34_determinism": determinism, "A38_clinical_measures": clinical, "J05_many_to_one": many_to_one, "J11_all_found": all_found,
+    "P09_label_schemas": label_schemas, "P10_binary_masks": binary_masks, "A35_standalone_agreement": standalone, "A34_determinism": determinism, "A34_by_architecture": determinism_by_architecture, "A38_clinical_measures": clinical, "J05_many_to_one": many_to_one, "J11_all_found": all_found,
     "J22_adjusted_p": adjusted, "J24_phases_in_one_row": phases, "A31_label_volumes": label_volumes, "A51_clipped": clipped, "A53_dataset_clip": dataset_clip, "A60_slice_scores": slice_scores, "V28_all_first_order": first_order,
     "R03_effect_table": effect_table, "W12_signed_ranks": signed_ranks, "R05_supplement": supplement, "U01_user_metric": user_metric, "U02_per_frame": per_frame,
 }
@@ -313,6 +322,12 @@ ORACLES = {
     "P09_label_schemas": "select architecture, 'ventricular' as schema, label, name from (select distinct split_part(regexp_extract(path, '_(?:ED|ES|frame[0-9]+)_(.*)[.]nii', 1), '__', 1) as architecture from mask_files) a cross join (values (1, 'rv'), (2, 'myo'), (3, 'lv')) l(label, name) union all select 'atrial_nnunet', 'atrial_la_cavity', 3, 'la'",
     "P10_binary_masks": f"select schema, name, model, count(*) as n, round(avg(dice), 6) as dice from (select k.schema, k.name, p.model, p.case_id, p.frame_tag, {_dice('p.label >= k.low', 'g.label > 1')} as dice from vox_pred p join vox_gt g using (case_id, frame_tag, z, y, x) cross join (values ('atrial_binary_union', 'biatrial', 1), ('atrial_la_cavity', 'la', 3)) k(schema, name, low) group by all) t group by schema, name, model",
     "A35_standalone_agreement": f"with {_join.format(m='model_b')}, d as (select 'a_b' as pair, * from ({_pair('a', 'b')}) t union all select 'a_gt', * from ({_pair('a', 'g')}) t union all select 'b_gt', * from ({_pair('b', 'g')}) t) select pair, label, count(*) as n, round(avg(dice), 6) as mean, round(min(dice), 6) as least from d group by pair, label",
+    "A34_by_architecture": f"""with a as (select *, case when model = 'model_b' and case_id % 13 = 0 and label = 3 and y = 6 then 2 else label end as other from vox_pred),
+        s as (select model, case_id, frame_tag, count_if(label <> other) = 0 as same, count_if(label = other) / count(*) as share from a group by all),
+        c as (select a.model, a.case_id, a.frame_tag, k, count_if(a.label = k and g.label = k) as t1, count_if(other = k and g.label = k) as t2, count_if(a.label = k) + count_if(g.label = k) as s1, count_if(other = k) + count_if(g.label = k) as s2
+            from a join vox_gt g on a.case_id = g.case_id and a.frame_tag = g.frame_tag and a.z = g.z and a.y = g.y and a.x = g.x cross join (values (1), (2), (3)) k(k) group by all),
+        f as (select model, case_id, frame_tag, max(abs(case when s1 = 0 then 1 else 2 * t1 / s1 end - case when s2 = 0 then 1 else 2 * t2 / s2 end)) as far from c group by all)
+        select case model when 'model_a' then 'cinema' when 'model_b' then 'nnformer' else 'vsa3l' end as architecture, count(*) as masks, count_if(same) as identical, round(min(share), 6) as least_agreement, round(max(far), 6) as largest_difference from s join f using (model, case_id, frame_tag) group by 1""",
     "A34_determinism": f"with {_join.format(m='model_c')}, s as (select case_id, frame_tag, count_if(a <> b) = 0 as identical, count_if(a = b) / count(*) as agreement from j group by case_id, frame_tag), f as (select x.case_id, x.frame_tag, max(abs(x.dice - y.dice)) as far from ({_pair('a', 'g')}) x join ({_pair('b', 'g')}) y using (case_id, frame_tag, label) group by all) select frame_tag, count(*) as masks, count_if(identical) as identical, round(min(agreement), 6) as least_agreement, round(max(far), 6) as largest_difference from s join f using (case_id, frame_tag) group by frame_tag",
     "A38_clinical_measures": """with w as (select case_id, max(d) as wall_mm from (select a.case_id, a.z, a.y, a.x, min(sqrt(pow((a.y - b.y) * 1.25, 2) + pow((a.x - b.x) * 1.25, 2))) as d from (select distinct v.* from vox_gt v join vox_gt p on p.case_id = v.case_id and p.frame_tag = 'ED' and p.label = 3 and p.z = v.z and abs(p.y - v.y) + abs(p.x - v.x) = 1 where v.label = 2 and v.frame_tag = 'ED') a
           join vox_gt b on a.case_id = b.case_id and b.frame_tag = 'ED' and a.z = b.z and b.label not in (2, 3) group by all) t group by case_id),
