@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, choices, cleaning, frames, metrics, records, runs, scores, texts, texture, trees, voxels
+from .plans import catalogue, choices, cleaning, frames, metrics, records, runs, scores, supplement, texts, texture, trees, voxels
 
-MODULES = (voxels, texture, runs, cleaning, scores, frames, records, choices, trees)
+MODULES = (voxels, texture, runs, cleaning, scores, frames, records, choices, trees, supplement)
 PLANS = metrics.PLANS | catalogue.PLANS | texts.PLANS
 
 

@@ -71,7 +71,7 @@ def patient_level(scores: DataFrame, keys: list[str], columns: list[str]) -> Dat
 def summarise(scores: DataFrame, groups: list[list[str]], patient: str, dice: list[str], distance: list[str], resamples: int = 2000) -> DataFrame:
     """Per group of each set in `groups`: patients, and of patient means: Dice mean, sd and bootstrap interval, distance quartiles.
 
-    Columns of other sets are null. Scores are first averaged per group and patient.
+    Columns of other sets are null. Scores are first averaged per group and patient. Without resamples there are no intervals.
     """
     every = list(dict.fromkeys(c for g in groups for c in g))
     out = None
@@ -83,7 +83,7 @@ def summarise(scores: DataFrame, groups: list[list[str]], patient: str, dice: li
         for c in distance:
             aggs += [F.percentile(c, F.lit(q)).alias(f"{c}_{n}") for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
         one = per.groupBy(*g).agg(*aggs)
-        for c in dice:
+        for c in dice if resamples else []:
             ends = inference.bootstrap_mean(per, g, c, [patient], resamples).select(*g, F.col("low").alias(f"{c}_ci_lo"), F.col("high").alias(f"{c}_ci_hi"))
             one = one.join(ends, g, "left")
         one = one.select(*(F.col(c) if c in g else F.lit(None).cast("string").alias(c) for c in every), *(c for c in one.columns if c not in g))
