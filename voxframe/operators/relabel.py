@@ -129,6 +129,49 @@ def largest_by_label(labels: DataFrame, keys: list[str], classes: list[int], lea
     return mine.join(kept, [*keys, "label", *VOXEL], "left_semi").unionByName(labels.filter((F.col("label") > 0) & ~F.col("label").isin(classes)))
 
 
+def _apart(groups: dict[str, list[int]]) -> list[list[str]]:
+    """Groups in batches without a common label; a group comes after earlier ones that it shares a label with."""
+    batches: list[list[str]] = []
+    for name, labels in groups.items():
+        last = max((n for n, b in enumerate(batches) if any(set(labels) & set(groups[o]) for o in b)), default=-1)
+        if last + 1 == len(batches):
+            batches.append([])
+        batches[last + 1].append(name)
+    return batches
+
+
+def keep_by_groups(labels: DataFrame, keys: list[str], groups: dict[str, list[int]], volume: float = 1.0, least: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Foreground without the smaller components of each group of labels, and a report.
+
+    The labels of a group count as one region. Groups go in order, each on what earlier ones left; those without a common label
+    share one run. Components as large as the largest stay, and with a group in `least` also those of at least that volume (a voxel
+    has `volume`). The report has a row for each mask of `labels` and group: `largest_removed` (null where nothing goes) and `kept`,
+    the largest one's volume (null without the group's labels). A label of 0 in a group is an error.
+    """
+    if any(k <= 0 for members in groups.values() for k in members):
+        raise ValueError("background can't be cleaned")
+    image, reports = labels.filter("label > 0").select(*keys, *VOXEL, "label"), None
+    batches = _apart(groups)
+    for n, batch in enumerate(batches):
+        name, floor = F.lit(None).cast("string"), F.lit(None).cast("double")
+        for g in batch:
+            name = F.when(F.col("label").isin(groups[g]), g).otherwise(name)
+            if least and g in least:
+                floor = F.when(F.col("_g") == g, F.lit(float(least[g]))).otherwise(floor)
+        mine = [*keys, "_g"]
+        parts = settled(components(image.withColumn("_g", name).filter("_g is not null").select(*mine, *VOXEL), mine), "groups")
+        goes = (F.col("size") < F.col("top")) & F.coalesce(F.col("size") * F.lit(volume) < floor, F.lit(True))
+        sizes = sized(parts, mine).withColumn("_goes", goes)
+        report = sizes.groupBy(*mine).agg((F.max(F.when(F.col("_goes"), F.col("size"))) * F.lit(volume)).alias("largest_removed"), (F.max("size") * F.lit(volume)).alias("kept"))
+        reports = report if reports is None else reports.unionByName(report)
+        gone = parts.join(sizes.filter("_goes").select(*mine, "component"), [*mine, "component"], "left_semi")
+        image = image.join(gone.select(*keys, *VOXEL), [*keys, *VOXEL], "left_anti")
+        if n + 1 < len(batches):
+            image = settled(image, "cleaned")
+    masks = labels.select(*keys).distinct().withColumn("_g", F.explode(F.array(*map(F.lit, groups))))
+    return image, masks.join(reports, [*keys, "_g"], "left").withColumnRenamed("_g", "group_name")
+
+
 def component_scores(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], classes: list[int]) -> DataFrame:
     """Every component of every class: keys, by, label, component, size, hits (voxels of the class in the reference), in_largest.
 

@@ -29,9 +29,27 @@ class Grid:
 
 
 def resized(source: Grid, spacing: tuple[float, float, float]) -> Grid:
-    """The grid of another spacing over the same space, sizes rounded half to even."""
+    """The grid of another spacing over the same space, sizes rounded half to even.
+
+    An origin is the middle of a voxel, so it moves by half the difference of the spacings; each of its coordinates by that of the
+    axis of its place, whatever the directions are.
+    """
     size = tuple(max(1, round(n * s / t)) for n, s, t in zip(source.size, source.spacing, spacing, strict=True))
-    return Grid(size, spacing, source.origin, source.axes)
+    origin = tuple(o + 0.5 * (t - s) for o, s, t in zip(source.origin, source.spacing, spacing, strict=True))
+    return Grid(size, spacing, origin, source.axes)
+
+
+def cropped(source: Grid, start: tuple[int, int, int], size: tuple[int, int, int]) -> Grid:
+    """The part of a grid from the voxel `start` on; a start below 0 pads. Points keep their position in mm."""
+    origin = tuple(source.origin[k] + sum(start[n] * source.spacing[n] * source.axes[n][k] for n in range(3)) for k in range(3))
+    return Grid(size, source.spacing, origin, source.axes)
+
+
+def moved(points: DataFrame, source: Grid, target: Grid) -> DataFrame:
+    """Points z, y, x of one grid with their position in mm (z_mm, y_mm, x_mm) and their fractional index in another (u_z, u_y, u_x)."""
+    mm = [f"{a}_mm" for a in POINT]
+    at = points.select("*", *(c.alias(n) for c, n in zip(source.physical(), mm, strict=True)))
+    return at.select("*", *(u.alias(f"u_{a}") for u, a in zip(target.index([F.col(n) for n in mm]), POINT, strict=True)))
 
 
 def _targets(groups: DataFrame, keys: list[str], source: Grid, target: Grid) -> DataFrame:

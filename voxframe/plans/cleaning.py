@@ -13,6 +13,8 @@ from ..tables import X, Y, view
 KEYS = ["case_id", "frame_tag"]
 SPACING = (10.0, 1.25, 1.25)
 STRENGTH, CLASSES = 0.5, [1, 2, 3]
+# groups of labels that count as one region; the second keeps pieces from LEAST ml on
+VOXEL_ML, GROUPS, LEAST = 0.015625, {"heart": [1, 2, 3], "ventricles": [1, 3], "pool": [3]}, {"ventricles": 0.3}
 
 
 def _image(spark: SparkSession, d: str) -> DataFrame:
@@ -113,7 +115,18 @@ def offsets(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "vox_gt").filter("label = 2").join(near, [*KEYS, *rl.VOXEL]).groupBy(*KEYS, "faces").agg(F.count("*").alias("n"))
 
 
+def class_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Report of three groups of labels, each cleaned after the one before, and the voxels of its labels that are left in the end."""
+    pred, group = view(spark, d, "vox_pred").select(*KEYS, "model", "z", "y", "x", "label"), [*KEYS, "model"]
+    image, report = rl.keep_by_groups(pred, group, GROUPS, VOXEL_ML, LEAST)
+    per = [F.count_if(F.col("label").isin(m)).alias(g) for g, m in GROUPS.items()]
+    cells = F.array(*(F.struct(F.lit(g).alias("group_name"), F.col(g).alias("voxels")) for g in GROUPS))
+    left = image.groupBy(*group).agg(*per).select(*group, F.explode(cells).alias("c")).select(*group, "c.*")
+    return _rounded(report.join(left, [*group, "group_name"], "left").fillna({"voxels": 0}), "largest_removed", "kept")
+
+
 QUERIES = {
+    "V09_class_groups": class_groups,
     "V18_ring_relabel": ring_relabel, "V19_grown": grown, "V20_confidence": confidence, "V20_rejections": rejections, "V21_band_relabel": band_relabel, "V22_delta": delta, "V23_decision": decision, "V24_apply_decision": apply_decision,
     "V03_known_wall": known_wall, "V17_stacked": stacked, "V27_locations": locations, "V11_closing": closing, "V11_opening": opening, "J14_nearest_points": nearest_points, "J15_offsets": offsets,
 } | {f"V11_ball_{n}_{r}": _balls(f"{n_}_ball", r) for n, n_, r in (("dilation", "dilate", 2), ("dilation", "dilate", 3), ("erosion", "erode", 1), ("opening", "opening", 1), ("closing", "closing", 2))}
@@ -151,6 +164,15 @@ def _forest(name: str, mask: str, keys: str) -> str:
         join recurring.{name} h on {_same('n', 'h', keys)} and h.z = n.z and h.y = n.y and h.x = n.x where r.component < h.component group by all)"""
 
 
+def _cleaned(name: str, image: str, labels: tuple[int, ...], least: float | None) -> str:
+    """CTEs name_image (the image without what goes) and name_report, for a group of labels as one region."""
+    few = f" and n * 0.015625 < {least}" if least else ""
+    return f"""{name}_all as (select * from {image} i), {name}_mask as (select {KM}, z, y, x from {name}_all where label in ({", ".join(map(str, labels))})), {_forest(f"{name}_parts", f"{name}_mask", KM)},
+        {name}_sizes as (select {KM}, component, count(*) as n, max(count(*)) over (partition by {KM}) as top from {name}_parts group by {KM}, component), {name}_gone as (select {KM}, component, n from {name}_sizes where n < top{few}),
+        {name}_image as (select * from {name}_all anti join (select {KM}, z, y, x from {name}_parts semi join {name}_gone using (case_id, frame_tag, model, component)) o using (case_id, frame_tag, model, z, y, x)),
+        {name}_report as (select {KM}, '{name}' as group_name, max(case when n < top{few} then n end) as largest_removed, max(n) as kept from {name}_sizes group by {KM})"""
+
+
 def _grow(of: str) -> str:
     return f"select distinct dark.{K.replace(', ', ', dark.')}, dark.z, dark.y, dark.x from dark {_beside('dark', of)}"
 
@@ -250,6 +272,11 @@ VOXEL_ORACLES = {
     "A56_component_limits": f"""with recursive masks as (select {KM}, label, z, y, x from vox_pred where label > 0), {_forest('f', 'masks', KM + ', label')},
         sizes as (select {KM}, label, component, count(*) as n from f group by {KM}, label, component), t as (select *, max(n) over (partition by {KM}, label) as top from sizes)
         select model, label, max(case when n < top then n end) as max_removed, min(case when n = top then n end) as min_kept from t group by model, label""",
+    "V09_class_groups": f"""with recursive {_cleaned("heart", f"(select {KM}, z, y, x, label from vox_pred where label > 0)", (1, 2, 3), None)}, {_cleaned("ventricles", "heart_image", (1, 3), 0.3)}, {_cleaned("pool", "ventricles_image", (3,), None)},
+        g as (select {KM}, g as group_name, m as members from (select distinct {KM} from vox_pred) c cross join (values ('heart', [1, 2, 3]), ('ventricles', [1, 3]), ('pool', [3])) t(g, m)),
+        s as (select * from heart_report union all select * from ventricles_report union all select * from pool_report), n as (select {KM}, label, count(*) as n from pool_image group by all),
+        lost as (select g.case_id, g.frame_tag, g.model, group_name, coalesce(sum(n), 0)::bigint as voxels from g left join n on {_same("g", "n", KM)} and list_contains(members, label) group by all)
+        select case_id, frame_tag, model, group_name, round(largest_removed * 0.015625, 6) as largest_removed, round(kept * 0.015625, 6) as kept, voxels from g left join s using (case_id, frame_tag, model, group_name) join lost using (case_id, frame_tag, model, group_name)""",
     "V08_components": f"with recursive ones as {_ones}, {_parts('parts', 'ones', KM, FACES)} select {KM}, component // 1000000 as z, component // 1000 % 1000 as y, component % 1000 as x, count(*) as n from parts group by {KM}, component",
     "V09_keep_largest": f"with recursive ones as {_ones}, {_parts('parts', 'ones', KM, FACES)}, sizes as (select {KM}, component, count(*) as n from parts group by {KM}, component) select {KM}, sum(n)::bigint as n from (select *, max(n) over (partition by {KM}) as top from sizes) t where n = top group by {KM}",
     "V07_fill_holes": f"""with recursive bg as (select case_id, frame_tag, z, y, x from vox_gt where label <> 2), seen as (select * from bg where y in (0, {Y - 1}) or x in (0, {X - 1}) union select bg.* from seen {_beside('seen', 'bg')}),

@@ -14,6 +14,7 @@ KEYS = ["case_id", "frame_tag"]
 SPACING = (10.0, 1.25, 1.25)
 WIDTH = 5.0
 SOURCE = rs.Grid((Z, Y, X), SPACING)
+TURNED = rs.Grid((Z, Y, X), SPACING, (5.0, -3.0, 2.0), ((1.0, 0.0, 0.0), (0.0, 0.6, 0.8), (0.0, -0.8, 0.6)))
 TARGET = rs.Grid((5, 8, 8), (10.0, 1.875, 1.875), (2.5, 0.3125, -0.9375))
 
 
@@ -78,8 +79,20 @@ def dark_pool(spark: SparkSession, d: str) -> DataFrame:
     return lb.darkest(pool, KEYS, "2 + case_id % 3").select(*KEYS, "z", "y", "x", "intensity")
 
 
+def grid_points(spark: SparkSession, d: str) -> DataFrame:
+    """Pool voxels in mm, and their place in a finer grid over the same space that is then cut and padded; turned axes."""
+    target = rs.cropped(rs.resized(TURNED, (5.0, 1.5, 1.0)), (1, -2, 3), (8, 12, 8))
+    at = rs.moved(view(spark, d, "vox_gt").filter("label = 3"), TURNED, target)
+    inside = F.lit(True)
+    for a, n in zip(rs.POINT, target.size, strict=True):
+        inside &= F.floor(F.col(f"u_{a}") + 0.5).between(0, n - 1)
+    ends = [f(c).alias(f"{n}_{c}") for c in ("z_mm", "y_mm", "x_mm", "u_z", "u_y", "u_x") for n, f in (("least", F.min), ("most", F.max))]
+    out = at.groupBy(*KEYS).agg(*ends, F.count_if(inside).alias("inside"))
+    return out.select(*KEYS, "inside", *(F.round(c, 6).alias(c) for c in out.columns if c.startswith(("least", "most"))))
+
+
 QUERIES = {
-    "V02_canonical_labels": canonical_labels, "V04_dense_labels": dense_labels, "V05_nearest_labels": nearest_labels, "V06_linear_resample": linear, "V29_levels": levels, "V29_equal_bins": equal_bins,
+    "F26_grid_points": grid_points, "V02_canonical_labels": canonical_labels, "V04_dense_labels": dense_labels, "V05_nearest_labels": nearest_labels, "V06_linear_resample": linear, "V29_levels": levels, "V29_equal_bins": equal_bins,
     "V30_glcm": glcm, "V31_shape": shape, "V32_normalised": normalised, "W15_otsu": thresholds, "W16_darkest": dark_pool,
 }
 
@@ -117,7 +130,12 @@ _tgrid = f"(select case_id, frame_tag, tz, ty, tx, {_u['z']} as uz, {_u['y']} as
 _weight = " * ".join(f"case when k{a} = 1 then u{a} - floor(u{a}) else 1 - (u{a} - floor(u{a})) end" for a in "zyx")
 _corner = ", ".join(f"cast(least(greatest(floor(u{a}) + k{a}, 0), {n - 1}) as int) as {a}" for a, n in zip("zyx", (Z, Y, X), strict=True))
 _in = " and ".join(f"u{a} between -0.5 and {n - 0.5}" for a, n in zip("zyx", (Z, Y, X), strict=True))
+# the finer grid's origin lies half a difference of spacings off, then its crop starts at voxel 1, -2, 3
+_mm = "select case_id, frame_tag, 5.0 + 10.0 * z as z_mm, -3.0 + 0.6 * 1.25 * y - 0.8 * 1.25 * x as y_mm, 2.0 + 0.8 * 1.25 * y + 0.6 * 1.25 * x as x_mm from vox_gt where label = 3"
+_from = "select *, z_mm - (5.0 - 2.5 + 5.0) as a, y_mm - (-3.0 + 0.125 - 3.0 * 0.6 - 3.0 * 0.8) as b, x_mm - (2.0 - 0.125 - 3.0 * 0.8 + 3.0 * 0.6) as c"
+_index = "select case_id, frame_tag, z_mm, y_mm, x_mm, a / 5.0 as u_z, (0.6 * b + 0.8 * c) / 1.5 as u_y, (0.6 * c - 0.8 * b) / 1.0 as u_x"
 ORACLES = {
+    "F26_grid_points": f"{_index.replace('select', 'with p as (select', 1)} from ({_from} from ({_mm}) m) o) select case_id, frame_tag, count_if(floor(u_z + 0.5) between 0 and 7 and floor(u_y + 0.5) between 0 and 11 and floor(u_x + 0.5) between 0 and 7) as inside, " + ", ".join(f"round({f}({c}), 6) as {n}_{c}" for c in ("z_mm", "y_mm", "x_mm", "u_z", "u_y", "u_x") for n, f in (("least", "min"), ("most", "max"))) + " from p group by case_id, frame_tag",
     "V02_canonical_labels": "select case_id, frame_tag, label, count(*) as n from vox_gt group by case_id, frame_tag, label",
     "V04_dense_labels": "select case_id, frame_tag, dense_rank() over (partition by case_id, frame_tag order by v) - 1 as label, n from (select case_id, frame_tag, label * label as v, count(*) as n from vox_gt group by case_id, frame_tag, label) t",
     "V05_nearest_labels": f"select g.case_id, g.frame_tag, tz as z, ty as y, tx as x, coalesce(v.label, 0) as label from {_tgrid} g left join vox_gt v on v.case_id = g.case_id and v.frame_tag = g.frame_tag and v.z = floor(uz + 0.5) and v.y = floor(uy + 0.5) and v.x = floor(ux + 0.5)",
