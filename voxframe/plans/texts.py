@@ -50,6 +50,7 @@ PLANS = {
     "P05_with_reference": "select m.patient_id, m.model, m.frame_tag from frame_metrics m left join subjects s on m.patient_id = s.patient_id where s.pathology is not null",
     "P13_slice_gate": "select case_id, frame_tag, z, count_if(label > 0) as pixels from vox_gt group by case_id, frame_tag, z having count_if(label > 0) >= 20",
     "P14_result_filter": f"select model, patient_id, frame_tag, {GATE} as infinite from frame_metrics where dice_lv > 0.9 and frame_tag = 'ES' and model <> 'model_n'",
+    "P14_finite_rows": f"select model, patient_id, frame_tag, round(hd95_lv, 6) as hd95_lv from frame_metrics where {GATE.replace('not ', '')} and dice_lv > 0.9 and frame_tag = 'ES' and model in ('model_a', 'model_r')",
     "P19_clean_up": "select case_id, frame_tag, sum(case when label - 2 < -1 then 0 else label - 2 end) as total from vox_gt group by case_id, frame_tag",
     "V16_crop_to_nonzero": "select i.case_id, i.frame_tag, count(*) as voxels, count_if(i.label = 0) as outside, round(avg(case when i.label = 0 then -1.0 else intensity end), 6) as mean from vox_img i join (select case_id, frame_tag, min(z) as z0, max(z) as z1, min(y) as y0, max(y) as y1, min(x) as x0, max(x) as x1 from vox_gt where label > 0 group by case_id, frame_tag) b on i.case_id = b.case_id and i.frame_tag = b.frame_tag where z between z0 and z1 and y between y0 and y1 and x between x0 and x1 group by i.case_id, i.frame_tag",
     "V15_paste_back": "select g.case_id, g.frame_tag, coalesce(p.label, 0) as label, count(*) as n from vox_gt g left join (select case_id, frame_tag, z, y - 2 as y, x - 2 as x, label from vox_gt where y >= 2 and x >= 2) p on g.case_id = p.case_id and g.frame_tag = p.frame_tag and g.z = p.z and g.y = p.y + 2 and g.x = p.x + 2 group by g.case_id, g.frame_tag, coalesce(p.label, 0)",
