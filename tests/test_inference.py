@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxframe.operators import inference as inf
 from voxframe.operators import scores as sc
+from voxframe.plans import runs
 
 
 def test_erfc(spark):
@@ -77,3 +78,9 @@ def test_quantiles_narrow_to_the_ranks(spark):
     got = sc.quantiles(frame, "v", shares, bins=16)
     assert np.allclose(got, np.quantile(v, shares), rtol=1e-12)
     assert sc.quantiles(frame.filter("v is null"), "v", [0.5]) == [None]
+
+
+def test_noise_of_summation_does_not_move_means_that_lie_halfway(spark):
+    rows = [(1, "model_a", tag, *[v] * 3) for tag, v in (("ED", math.nextafter(0.96005, 0)), ("ES", math.nextafter(0.96005, 0)))]
+    spark.createDataFrame(rows, "patient_id long, model string, frame_tag string, dice_rv double, dice_myo double, dice_lv double").createOrReplaceTempView("frame_metrics")
+    assert {r.dice for r in spark.sql(runs.SCORES).collect()} == {0.9601}

@@ -11,6 +11,8 @@ from ..streaming.scores import score_stream
 from ..tables import X, Y, Z, sql, view
 
 LONG = "select patient_id, model, structure, round(avg(dice), 4) as dice from (select patient_id, model, 'rv' as structure, dice_rv as dice from frame_metrics union all select patient_id, model, 'myo', dice_myo from frame_metrics union all select patient_id, model, 'lv', dice_lv from frame_metrics) t group by patient_id, model, structure"
+# the same scores; noise of the order of summation, which would move means that lie halfway, is cut off first
+SCORES = LONG.replace("avg(dice)", "round(avg(dice), 10)")
 PICKS = "select patient_id, cast(max_by(frame_index, lv_ml * 1000 - frame_index) as int) as ed, cast(min_by(frame_index, lv_ml * 1000 + frame_index) as int) as es from lv_curve where lv_ml > 0 group by patient_id"
 
 
@@ -64,13 +66,13 @@ def bootstrap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def friedman(spark: SparkSession, d: str) -> DataFrame:
-    out = inf.friedman(sql(spark, d, LONG), ["structure"], "patient_id", "model", "dice", 3)
+    out = inf.friedman(sql(spark, d, SCORES), ["structure"], "patient_id", "model", "dice", 3)
     return out.select("structure", "n", F.round("chi2", 6).alias("chi2"), F.round("p", 6).alias("p"))
 
 
 def pairwise(spark: SparkSession, d: str) -> DataFrame:
     """Signed-rank tests of every pair of models with Holm's correction per structure."""
-    l = sql(spark, d, LONG)
+    l = sql(spark, d, SCORES)
     other = l.select("patient_id", "structure", F.col("model").alias("model_b"), F.col("dice").alias("b"))
     pairs = l.withColumnRenamed("model", "model_a").join(other, ["patient_id", "structure"]).filter("model_a < model_b")
     out = inf.holm(inf.signed_rank(pairs, ["structure", "model_a", "model_b"], "dice", "b"), ["structure"], "p", ["model_a", "model_b"])
