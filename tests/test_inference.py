@@ -84,3 +84,11 @@ def test_noise_of_summation_does_not_move_means_that_lie_halfway(spark):
     rows = [(1, "model_a", tag, *[v] * 3) for tag, v in (("ED", math.nextafter(0.96005, 0)), ("ES", math.nextafter(0.96005, 0)))]
     spark.createDataFrame(rows, "patient_id long, model string, frame_tag string, dice_rv double, dice_myo double, dice_lv double").createOrReplaceTempView("frame_metrics")
     assert {r.dice for r in spark.sql(runs.SCORES).collect()} == {0.9601}
+
+
+def test_draws_are_never_broadcast(spark):
+    v = spark.range(3000).selectExpr("cast(id % 2 as int) as g", "id", "cast(id as double) as v")
+    out = inf.bootstrap_mean(v, ["g"], "v", ["id"], 20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert any("LeftOuter" in line and "_i" in line for line in plan.splitlines())
+    assert out.first().n == 1500

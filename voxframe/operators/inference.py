@@ -49,15 +49,18 @@ def bootstrap_mean(values: DataFrame, keys: list[str], value: str, order: list[s
     """Mean and the 2.5 and 97.5 percentiles of the means of `resamples` draws with replacement; only finite values count.
 
     Values are numbered within their group, then every draw meets its value by number. The draws of a group are dealt by
-    resample, so a large group's work is spread.
+    resample, so a large group's work is spread. Every draw has a value; the join is an outer one because Spark estimates
+    the draws by the few rows they unfold from, and would broadcast them.
     """
     v = F.col(value)
     finite = values.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     w = Window.partitionBy(*keys)
     numbered = finite.select(*keys, (F.row_number().over(w.orderBy(value, *order)) - 1).cast("long").alias("_i"), v.alias("_v"))
     sizes = finite.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(v).alias("mean"))
-    draws = sizes.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)).cast("array<bigint>"))).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    drawn = draws.withColumn("_i", _draw(F.col("_b"), F.col("_k")) % F.col("n")).join(numbered, [*keys, "_i"])
+    tests = sizes.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)).cast("array<bigint>")).alias("_b"))
+    tests = tests.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_b")
+    draws = tests.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    drawn = draws.select(*keys, "_b", (_draw(F.col("_b"), F.col("_k")) % F.col("n")).alias("_i")).join(numbered, [*keys, "_i"], "left")
     means = drawn.groupBy(*keys, "_b").agg(F.avg("_v").alias("_m"))
     ends = means.groupBy(*keys).agg(F.percentile("_m", F.lit(0.025)).alias("low"), F.percentile("_m", F.lit(0.975)).alias("high"))
     return sizes.join(ends, keys).select(*keys, "n", "mean", "low", "high")
