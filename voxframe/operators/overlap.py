@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import settled
 
 VOXEL = ["z", "y", "x"]
+# voxels of slices that are counted at once
+BLOCK = 1 << 20
+_NONE = -(1 << 40)
 
 # metric name -> expression over tp, fp, fn, tn; undefined ratios are null
 METRICS = {
@@ -40,6 +47,64 @@ def _slice_pairs(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str]
     return rows.select(*keys, *by, "met", F.shiftright("_c", 32).cast("int").alias("a"), F.col("_c").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"))
 
 
+def _grid(column: pa.Array) -> np.ndarray:
+    """Label arrays as rows of a matrix; what an array lacks or holds as null is _NONE."""
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    out = np.full((len(size), int(size.max(initial=0))), _NONE, dtype=np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().cast(pa.int64()).fill_null(_NONE).to_numpy(zero_copy_only=False)
+    return out
+
+
+def _sides(batches: Iterator[pa.RecordBatch], sides: list[str]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches of at most BLOCK voxels a side, or of one slice, with the matrices of their label arrays."""
+    for batch in batches:
+        size = np.max([batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for c in sides], axis=0)
+        at = 0
+        while at < len(size):
+            # a matrix is as wide as its longest row
+            room = np.maximum.accumulate(size[at : at + BLOCK]) * np.arange(1, len(size[at : at + BLOCK]) + 1)
+            n = max(1, int(np.searchsorted(room, BLOCK, side="right")))
+            part = batch.slice(at, n)
+            yield part, [_grid(part.column(c)) for c in sides]
+            at += n
+
+
+def _counts(carried: list[str], p_of: dict[int, list[int]], r_of: dict[int, list[int]]):
+    """Per packed slice `labels` with its reference's `_ref`: p_, tp_ for each label, _p voxels, _b those on a reference slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, (a, b) in _sides(batches, ["labels", "_ref"]):
+            n = np.maximum(*(part.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("labels", "_ref")))
+            n[part.column("labels").is_null().to_numpy(zero_copy_only=False)] = 0
+            wide = max(a.shape[1], b.shape[1])
+            # a predicted voxel without a reference's is background there
+            a, b = (np.pad(m, ((0, 0), (0, wide - m.shape[1])), constant_values=_NONE) for m in (a, b))
+            b = np.where((b == _NONE) & (a != _NONE), 0, b)
+            mine = {k: np.isin(a, m) for k, m in p_of.items()}
+            out = {f"p_{k}": v.sum(axis=1) for k, v in mine.items()} | {f"tp_{k}": (v & np.isin(b, r_of[k])).sum(axis=1) for k, v in mine.items()}
+            out |= {"_p": n, "_b": np.where(part.column("_ref").is_null().to_numpy(zero_copy_only=False), 0, n)}
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *(pa.array(v, pa.int64()) for v in out.values())], [*carried, *out])
+
+    return run
+
+
+def _lone_counts(carried: list[str], r_of: dict[int, list[int]]):
+    """Per packed slice `labels`: r_ for each label, _r voxels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, (b,) in _sides(batches, ["labels"]):
+            out = {f"r_{k}": np.isin(b, m).sum(axis=1) for k, m in r_of.items()} | {"_r": part.column("labels").value_lengths().fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False)}
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *(pa.array(v, pa.int64()) for v in out.values())], [*carried, *out])
+
+    return run
+
+
+def _summed(rows: DataFrame, run, keys: list[str], names: list[str], total: str) -> DataFrame:
+    """Counts of slices, made by `run`, added per `keys`; groups without a voxel have no row."""
+    shape = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys), *(f"{n} long" for n in names)])
+    return rows.mapInArrow(run, shape).groupBy(*keys).agg(*(F.sum(n).alias(n) for n in names)).filter(f"{total} > 0")
+
+
 def label_pairs(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """How many voxels of packed slices have each predicted `label` and reference label `ref`, per group."""
     rows = _slice_pairs(pred, ref, keys, by)
@@ -54,8 +119,8 @@ def confusion(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], l
     group of either table meets all values of `by`. `grid` is the number of voxels of a group; without it tn counts the voxels
     that either table lists. Regions merge labels, on either side as given.
 
-    Slices are joined whole and counted in one aggregate, without an exchange below it where both are bucketed by `keys` and
-    z. Of voxel tables one aggregate a side gives totals and groups, and only foreground is joined.
+    Slices are joined whole, without an exchange where both are bucketed by `keys` and z, and counted as matrices, a block at
+    a time. Of voxel tables one aggregate a side gives totals and groups, and only foreground is joined.
     """
     all_, p_of, r_of = [*keys, *by], _members(labels, pred_regions), _members(labels, ref_regions)
 
@@ -64,8 +129,9 @@ def confusion(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], l
 
     hits = [F.count_if(F.col("a").isin(p_of[k]) & F.col("b").isin(r_of[k])).alias(f"tp_{k}") for k in labels]
     if "labels" in pred.columns:
-        mine = settled(_slice_pairs(pred, ref, keys, by).groupBy(*all_).agg(*counted("a", "p", p_of), *hits, F.count("*").alias("_p"), F.count_if("met").alias("_b")), "counts")
-        theirs = ref.select(*keys, F.explode("labels").alias("b")).groupBy(*keys).agg(*counted("b", "r", r_of), F.count("*").alias("_r"))
+        both = pred.select(*all_, "z", "labels").join(ref.select(*keys, "z", F.col("labels").alias("_ref")), [*keys, "z"], "left").select(*all_, "labels", "_ref")
+        mine = settled(_summed(both, _counts(all_, p_of, r_of), all_, [*(f"p_{k}" for k in labels), *(f"tp_{k}" for k in labels), "_p", "_b"], "_p"), "counts")
+        theirs = _summed(ref.select(*keys, "labels"), _lone_counts(keys, r_of), keys, [*(f"r_{k}" for k in labels), "_r"], "_r")
     else:
         mine = settled(pred.groupBy(*all_).agg(*counted("label", "p", p_of), F.count("*").alias("_p")), "counts")
         theirs = ref.groupBy(*keys).agg(*counted("label", "r", r_of), F.count("*").alias("_r"))
