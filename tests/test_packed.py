@@ -37,3 +37,13 @@ def test_counts_of_blocks_equal_those_of_voxels(spark, monkeypatch):
     got = overlap.confusion(p, g, ["k"], ["model"], [7], None, {7: [1, 2]}, {7: [2, 0]})
     assert {(r.k, r.model): (r.tp + r.fp, r.tp) for r in got.collect() if (r.k, r.model) in want} == want
     assert {(r.k, r.model, r.tp, r.fn) for r in got.collect() if r.k == 5} == {(5, "m", 0, 2), (5, "n", 0, 2)}
+
+
+def test_likeliest_class_takes_one_aggregate_and_the_smallest_at_a_tie(spark):
+    rows = [(1, 0, 0, x, c, p) for x, ps in enumerate([[(0, 1.0), (1, 3.0), (1, 5.0), (2, 4.0)], [(2, 7.0), (1, 7.0)], [(2, None), (1, None)], [(0, None), (2, 0.5)]]) for c, p in ps]
+    folds = spark.createDataFrame(rows, "k int, z int, y int, x int, class int, p double")
+    from voxframe.plans.voxels import likeliest
+
+    got = likeliest(folds, ["k"], [2, 1, 0])
+    assert {r.x: r.label for r in got.collect()} == {0: 1, 1: 1, 2: 1, 3: 2}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
