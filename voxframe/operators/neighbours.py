@@ -109,9 +109,13 @@ def component_limits(labels: DataFrame, keys: list[str], by: list[str]) -> DataF
 
     The largest component of each group stays, and those that tie with it. max_removed is null where nothing goes.
     """
-    sizes = components(labels, keys).groupBy(*keys, "component").agg(F.count("*").alias("n"))
-    kept = sizes.join(sizes.groupBy(*keys).agg(F.max("n").alias("_top")), keys)
-    return kept.groupBy(*by).agg(F.max(F.when(F.col("n") < F.col("_top"), F.col("n"))).alias("max_removed"), F.min(F.when(F.col("n") == F.col("_top"), F.col("n"))).alias("min_kept"))
+    return limits(sized(components(labels, keys), keys), by)
+
+
+def limits(sizes: DataFrame, by: list[str]) -> DataFrame:
+    """`component_limits` of components whose `size` and `top` are known."""
+    n, top = F.col("size"), F.col("top")
+    return sizes.groupBy(*by).agg(F.max(F.when(n < top, n)).alias("max_removed"), F.min(F.when(n == top, n)).alias("min_kept"))
 
 
 def fill_holes(mask: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours as nb
 from ..operators import overlap
+from ..operators import volumes as vol
 from ..tables import X, Y, Z, slices, stored, view
+from ..tables import volumes as packed
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
 SPACING = (10.0, 1.25, 1.25)
+SHAPE = (Z, Y, X)
 COUNTS = """select p.case_id, p.model, p.frame_tag, l.label, count_if(p.label = l.label and g.label = l.label) as tp, count_if(p.label = l.label and g.label <> l.label) as fp,
     count_if(p.label <> l.label and g.label = l.label) as fn, count_if(p.label <> l.label and g.label <> l.label) as tn
     from vox_pred p join vox_gt g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x
@@ -21,7 +24,7 @@ METRIC_IDS = {"A02_dice_or_one": "dice_or_one", "A03_dice": "dice", "A04_jaccard
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.confusion(stored(spark, d, "vox_pred"), stored(spark, d, "vox_gt"), KEYS, MODEL, [1, 2, 3], Z * Y * X)
+    return vol.confusion(vol.paired(packed(spark, d, "vox_pred"), packed(spark, d, "vox_gt"), KEYS), ["case_id", "model", "frame_tag"], SHAPE, [1, 2, 3])
 
 
 def _metric(name: str):
@@ -49,8 +52,9 @@ def slice_dice(spark: SparkSession, d: str) -> DataFrame:
 
 def volumes(spark: SparkSession, d: str) -> DataFrame:
     ml = SPACING[0] * SPACING[1] * SPACING[2] / 1000
-    of = lambda k: F.count_if(F.col("label") == k) * F.lit(ml)
-    return view(spark, d, "vox_gt").groupBy(*KEYS).agg(F.round(of(1), 6).alias("rv_ml"), F.round(of(2), 6).alias("myo_ml"), F.round(of(3), 6).alias("lv_ml"), F.round(1.05 * of(2), 6).alias("mass_g"))
+    of = lambda k: F.col("counts")[k - 1] * F.lit(ml)
+    counted = vol.label_counts(packed(spark, d, "vox_gt"), KEYS, SHAPE, [1, 2, 3])
+    return counted.select(*KEYS, F.round(of(1), 6).alias("rv_ml"), F.round(of(2), 6).alias("myo_ml"), F.round(of(3), 6).alias("lv_ml"), F.round(1.05 * of(2), 6).alias("mass_g"))
 
 
 def clinical(spark: SparkSession, d: str) -> DataFrame:
@@ -65,7 +69,8 @@ def bounding_box(spark: SparkSession, d: str) -> DataFrame:
 
 
 def majority_vote(spark: SparkSession, d: str) -> DataFrame:
-    return majority(view(spark, d, "vox_pred"), KEYS, [0, 1, 2, 3]).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    votes = packed(spark, d, "vox_pred").groupBy(*KEYS).agg(F.collect_list("labels").alias("votes"))
+    return vol.majority(votes, KEYS, SHAPE, [0, 1, 2, 3])
 
 
 def majority(votes: DataFrame, keys: list[str], labels: list[int]) -> DataFrame:
@@ -89,8 +94,8 @@ def likeliest(folds: DataFrame, keys: list[str], classes: list[int]) -> DataFram
 
 
 def component_limits(spark: SparkSession, d: str) -> DataFrame:
-    labels = view(spark, d, "vox_pred").filter("label > 0")
-    return nb.component_limits(labels, [*KEYS, "model", "label"], ["model", "label"])
+    parts = vol.components(packed(spark, d, "vox_pred"), [*KEYS, "model"], SHAPE, [1, 2, 3])
+    return nb.limits(parts, ["model", "label"])
 
 
 def remap(spark: SparkSession, d: str) -> DataFrame:
@@ -120,19 +125,18 @@ def erosion(spark: SparkSession, d: str) -> DataFrame:
 
 def surfaces(spark: SparkSession, d: str) -> DataFrame:
     keys = [*KEYS, "model"]
-    models = view(spark, d, "vox_pred").select(*keys).distinct()
-    ref = _mask(spark, d).join(models, KEYS)
-    out = nb.surface_distances(_mask(spark, d, "vox_pred"), ref, keys, SPACING, groups=models)
+    out = vol.surface_distances(vol.paired(packed(spark, d, "vox_pred"), packed(spark, d, "vox_gt"), KEYS), keys, SHAPE, 3, SPACING)
     return out.select(*keys, *(F.round(c, 6).alias(c) for c in ("hd", "hd95", "asd", "assd")))
 
 
 def component_sizes(spark: SparkSession, d: str) -> DataFrame:
-    parts = nb.components(_mask(spark, d, "vox_pred", 1), [*KEYS, "model"]).groupBy(*KEYS, "model", "component").agg(F.count("*").alias("n"))
-    return parts.select(*KEYS, "model", *((F.shiftright("component", s) % (1 << 21)).alias(c) for c, s in (("z", 42), ("y", 21), ("x", 0))), "n")
+    parts = vol.components(packed(spark, d, "vox_pred"), [*KEYS, "model"], SHAPE, [1])
+    return parts.select(*KEYS, "model", *((F.shiftright("component", s) % (1 << 21)).alias(c) for c, s in (("z", 42), ("y", 21), ("x", 0))), F.col("size").alias("n"))
 
 
 def largest(spark: SparkSession, d: str) -> DataFrame:
-    return nb.keep_largest(_mask(spark, d, "vox_pred", 1), [*KEYS, "model"]).groupBy(*KEYS, "model").agg(F.count("*").alias("n"))
+    parts = vol.components(packed(spark, d, "vox_pred"), [*KEYS, "model"], SHAPE, [1])
+    return parts.filter("size = top").groupBy(*KEYS, "model").agg(F.sum("size").alias("n"))
 
 
 def holes(spark: SparkSession, d: str) -> DataFrame:
@@ -140,7 +144,7 @@ def holes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def thickness(spark: SparkSession, d: str) -> DataFrame:
-    out = nb.wall_thickness(view(spark, d, "vox_gt"), KEYS, 2, 3, SPACING)
+    out = vol.wall_thickness(packed(spark, d, "vox_gt"), KEYS, SHAPE, 2, 3, SPACING)
     return out.select(*KEYS, *(F.round(c, 6).alias(c) for c in ("mean_mm", "max_mm", "p95_mm")))
 
 
