@@ -22,7 +22,12 @@ def enclosure(labels: DataFrame, keys: list[str]) -> DataFrame:
 def anatomy(labels: DataFrame, keys: list[str], least: float = 0.1, margin: float = 0.05) -> DataFrame:
     """Per group: `wall`, the label that best encloses another, and `cavity`, the label that it encloses; the best score must
     exceed `least` and lead every other outer label's by `margin`. Groups without such a label have no row."""
-    by_outer = enclosure(labels, keys).groupBy(*keys, "outer").agg(F.max(F.struct("score", (-F.col("inner")).alias("minus"))).alias("best"))
+    return surest(enclosure(labels, keys), keys, least, margin)
+
+
+def surest(enclosures: DataFrame, keys: list[str], least: float = 0.1, margin: float = 0.05) -> DataFrame:
+    """`anatomy` of scores that are known: rows as of `enclosure`."""
+    by_outer = enclosures.groupBy(*keys, "outer").agg(F.max(F.struct("score", (-F.col("inner")).alias("minus"))).alias("best"))
     ranked = by_outer.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("best.score"), "outer")))
     two = ranked.filter("place <= 2").groupBy(*keys).agg(F.max_by("outer", -F.col("place")).alias("wall"), F.max(F.when(F.col("place") == 1, F.col("best"))).alias("best"), F.max(F.when(F.col("place") == 2, F.col("best.score"))).alias("second"))
     sure = (F.col("best.score") > least) & (F.col("best.score") - F.coalesce("second", F.lit(0.0)) >= margin)
@@ -31,10 +36,14 @@ def anatomy(labels: DataFrame, keys: list[str], least: float = 0.1, margin: floa
 
 def canonical(labels: DataFrame, keys: list[str]) -> DataFrame:
     """Labels renamed to 1 (the rest), 2 (wall) and 3 (cavity); groups without a sure wall keep theirs."""
-    a = anatomy(labels, keys).drop("score")
-    v = F.col("label")
-    named = F.when(F.col("wall").isNull() | (v == 0), v).when(v == F.col("wall"), 2).when(v == F.col("cavity"), 3).otherwise(1)
-    return labels.join(a, keys, "left").withColumn("label", named.cast("int")).drop("wall", "cavity")
+    return named(labels, anatomy(labels, keys), keys)
+
+
+def named(labels: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a label renamed by their group's `wall` and `cavity`, as `canonical` does."""
+    a, v = found.drop("score"), F.col("label")
+    name = F.when(F.col("wall").isNull() | (v == 0), v).when(v == F.col("wall"), 2).when(v == F.col("cavity"), 3).otherwise(1)
+    return labels.join(a, keys, "left").withColumn("label", name.cast("int")).drop("wall", "cavity")
 
 
 def dense(labels: DataFrame, keys: list[str]) -> DataFrame:

@@ -243,6 +243,11 @@ def known_wall(labels: DataFrame, keys: list[str], wall: int) -> DataFrame:
     l = labels.filter("label > 0").select(*keys, *VOXEL, "label")
     holes = fill_holes(l.filter(F.col("label") == wall).select(*keys, *VOXEL), keys).withColumn("_in", F.lit(1))
     per = l.join(holes, [*keys, *VOXEL], "left").groupBy(*keys, "label").agg((F.count("_in") / F.count("*")).alias("inside"), *(F.avg(c).alias(c) for c in VOXEL))
+    return wall_named(labels, per, keys, wall)
+
+
+def wall_named(labels: DataFrame, per: DataFrame, keys: list[str], wall: int) -> DataFrame:
+    """Rows with a label renamed as `known_wall` does; `per` has each positive label's share `inside` the wall's holes and mean z, y, x."""
     at = per.filter(F.col("label") == wall).select(*keys, *(F.col(c).alias(f"{c}0") for c in VOXEL))
     rest = per.filter(F.col("label") != wall).join(at, keys, "left")
     far = F.sqrt(sum((F.pow(F.col(c) - F.col(f"{c}0"), 2) for c in VOXEL), F.lit(0.0)))

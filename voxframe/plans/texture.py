@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import labels as lb
 from ..operators import resample as rs
 from ..operators import texture as tx
-from ..tables import X, Y, Z, view
+from ..operators import volumes as vol
+from ..tables import X, Y, Z, view, volumes
 
 KEYS = ["case_id", "frame_tag"]
 SPACING = (10.0, 1.25, 1.25)
@@ -55,13 +56,13 @@ def linear(spark: SparkSession, d: str) -> DataFrame:
     return rs.resample_linear(view(spark, d, "vox_img"), KEYS, SOURCE, TARGET).withColumn("intensity", F.round("intensity", 6))
 
 
-def _shuffled(spark: SparkSession, d: str) -> DataFrame:
-    """The reference labels under names that turn with the case."""
-    return view(spark, d, "vox_gt").withColumn("label", F.expr("case when label = 0 then 0 else 1 + (label + case_id) % 3 end").cast("int"))
-
-
 def canonical_labels(spark: SparkSession, d: str) -> DataFrame:
-    return lb.canonical(_shuffled(spark, d), KEYS).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    """The reference labels under names that turn with the case, named again."""
+    names = F.array(F.lit(0), *((1 + (F.lit(k) + F.col("case_id")) % 3).cast("int") for k in (1, 2, 3)))
+    per = vol.shapes(vol.renamed(volumes(spark, d, "vox_gt"), KEYS, (Z, Y, X), names), KEYS, (Z, Y, X), [0, 1, 2, 3], [1, 2, 3])
+    held = per.filter("label > 0").select(*KEYS, F.col("label").alias("inner"), "n", F.posexplode("held").alias("outer", "h")).filter("h > 0")
+    scores = held.select(*KEYS, (F.col("outer") + 1).alias("outer"), "inner", (F.col("h") / F.col("n")).alias("score"))
+    return lb.named(per.select(*KEYS, "label", "n"), lb.surest(scores, KEYS), KEYS).groupBy(*KEYS, "label").agg(F.sum("n").alias("n"))
 
 
 def dense_labels(spark: SparkSession, d: str) -> DataFrame:
