@@ -58,3 +58,18 @@ def test_one_large_block_is_dealt_over_tasks(spark):
 
 def test_duplicate_query_equals_sql(spark):
     equals_sql(spark, "J20_duplicate_scans")
+
+
+def test_variants_are_made_after_groups_have_met(spark):
+    table = spark.range(60).select(F.lit(1).alias("site"), "id", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(1000)).cast("double")).alias("value"))
+    turns = [(str(k), F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i, k=k: (i + k) % 8)) for k in range(4)]
+    found = fr.best_correlation(table, table, ["site"], turns, 8)
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # arrays of cases are shuffled once for each group of the catalogue, not for each variant too
+    assert not any("posexplode" in line.lower() for line in lines)
+    assert found.count() == 60
+
+
+def test_rows_without_a_direction_are_left_out():
+    v, held = fr.unit_rows(np.array([[1.0, 3.0], [2.0, 2.0], [np.nan, 1.0], [np.inf, 1.0], [5.0, 1.0]]))
+    assert held.tolist() == [0, 4] and np.allclose(v, np.array([[-1, 1], [1, -1]]) / np.sqrt(2))
