@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import settled
+
 VOXEL = ["z", "y", "x"]
 
 
@@ -73,7 +75,8 @@ def verified_frames(manifest: DataFrame, images: DataFrame, matches: DataFrame,
     else `mismatch`; tagged ones that equal none don't count. Without such, the frame must be one of the numbered ones, if
     there are any. What has nothing to be held against is `no reference`.
     """
-    named = images.select(key, "name").distinct()
+    # both are small beside the images, and read several times
+    named, matches = settled(images.select(key, "name").distinct(), "names"), settled(matches, "matches")
     number = F.regexp_extract("name", r"^frame(\d\d)$", 1)
     numbered = named.select(key, "name", (number.try_cast("int") - 1).alias("t")).filter("t is not null")
     right = numbered.join(matches, [key, "name", "t"], "left_semi")
