@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import tables
-from .plans import catalogue, choices, cleaning, frames, metrics, records, runs, scores, supplement, texts, texture, trees, voxels
+from .plans import catalogue, choices, cleaning, frames, metrics, packed, records, runs, scores, supplement, texts, texture, trees, voxels
 
-MODULES = (voxels, texture, runs, cleaning, scores, frames, records, choices, trees, supplement)
+MODULES = (voxels, texture, runs, cleaning, scores, frames, records, choices, trees, supplement, packed)
 PLANS = metrics.PLANS | catalogue.PLANS | texts.PLANS
 
 
@@ -18,7 +18,7 @@ def _plan(text: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: q for m in MODULES for n, q in m.QUERIES.items()} | {name: _plan(text) for name, text in PLANS.items()}
+    return {name: _plan(text) for name, text in PLANS.items()} | {n: q for m in MODULES for n, q in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

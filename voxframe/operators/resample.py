@@ -1,12 +1,19 @@
-"""Resampling of voxel tables between grids."""
+"""Resampling of voxel tables and of packed volumes between grids."""
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .volumes import _each, _lists, _mapped, _rows
+
 POINT = ["z", "y", "x"]
 
 
@@ -86,3 +93,53 @@ def resample_linear(image: DataFrame, keys: list[str], source: Grid, target: Gri
     sums = hit.groupBy(*mine).agg(F.sum(F.col("w") * F.col(value)).alias(value))
     whole = t.select(*keys, *(F.col(a).alias(f"t{a}") for a in POINT)).join(sums, mine, "left")
     return whole.select(*keys, *(F.col(f"t{a}").alias(a) for a in POINT), F.coalesce(value, F.lit(0.0)).alias(value))
+
+
+def _places(source: Grid, target: Grid) -> list[np.ndarray]:
+    """Fractional source index, along each axis, of every voxel of the target grid in the order z, y, x."""
+    at = [a.ravel() for a in np.meshgrid(*(np.arange(n) for n in target.size), indexing="ij")]
+    mm = [target.origin[k] + sum((a * (target.spacing[n] * target.axes[n][k]) for n, a in enumerate(at)), 0.0) for k in range(3)]
+    return [sum(((mm[k] - source.origin[k]) * source.axes[n][k] for k in range(3)), 0.0) / source.spacing[n] for n in range(3)]
+
+
+def _resampled(packed: DataFrame, keys: list[str], source: Grid, column: str, out: str, kind: str, of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, (cube,) in _each(batches, source.size, [column]):
+            values = of(cube.reshape(len(cube), math.prod(source.size)))
+            yield _rows(part, keys, np.arange(len(cube)), {out: _lists(pa.array(values.ravel()), values.shape[1])})
+
+    return _mapped(packed, keys, run, f"{out} array<{kind}>")
+
+
+def nearest(packed: DataFrame, keys: list[str], source: Grid, target: Grid) -> DataFrame:
+    """`resample_labels` of packed volumes: `label`, the array of the target grid in the order z, y, x."""
+    at = [np.floor(u + 0.5).astype(np.int64) for u in _places(source, target)]
+    inside = np.logical_and.reduce([(a >= 0) & (a < n) for a, n in zip(at, source.size, strict=True)])
+    place = np.ravel_multi_index([np.clip(a, 0, n - 1) for a, n in zip(at, source.size, strict=True)], source.size)
+    return _resampled(packed, keys, source, "labels", "label", "int", lambda cube: np.where(inside, cube[:, place], 0).astype(np.int32))
+
+
+def linear(packed: DataFrame, keys: list[str], source: Grid, target: Grid) -> DataFrame:
+    """`resample_linear` of packed images: `intensity`, the array of the target grid in the order z, y, x."""
+    u = _places(source, target)
+    inside = np.logical_and.reduce([(a >= -0.5) & (a <= n - 0.5) for a, n in zip(u, source.size, strict=True)])
+    corners = []
+    for corner in itertools.product((0, 1), repeat=3):
+        weight = np.where(inside, 1.0, 0.0)
+        for a, b in zip(u, corner, strict=True):
+            weight = weight * (a - np.floor(a) if b else 1 - (a - np.floor(a)))
+        at = [np.clip(np.floor(a).astype(np.int64) + b, 0, n - 1) for a, b, n in zip(u, corner, source.size, strict=True)]
+        if weight.any():
+            corners.append((weight, np.ravel_multi_index(at, source.size)))
+
+    def of(image: np.ndarray) -> np.ndarray:
+        return sum((weight * image[:, place] for weight, place in corners), np.zeros((len(image), len(inside))))
+
+    return _resampled(packed, keys, source, "image", "intensity", "double", of)
+
+
+def unfolded(packed: DataFrame, keys: list[str], target: Grid, column: str) -> DataFrame:
+    """Voxel rows of the arrays of a grid."""
+    _, ny, nx = target.size
+    at = packed.select(*keys, F.posexplode(column).alias("_at", column))
+    return at.selectExpr(*keys, f"cast(_at div {ny * nx} as int) as z", f"cast(_at div {nx} % {ny} as int) as y", f"_at % {nx} as x", column)

@@ -8,19 +8,29 @@ from pyspark.sql import functions as F
 from ..functions import texts as tx
 from ..operators import choices as ch
 from ..operators import frames as fr
+from ..operators import images as im
+from ..operators import volumes as vol
 from ..sources import files
-from ..tables import X, Y, Z, sql, view
+from ..tables import CLASSES, FOLDS, X, Y, Z, images, probabilities, sql, view, volumes
 from .records import TAGS
 from .scores import _rounded
 
 KEYS = ["case_id", "frame_tag"]
+SHAPE = (Z, Y, X)
 SLICES = "select p.case_id, p.frame_tag, p.model, p.z, count_if(p.label <> g.label) as changed, count_if(p.label = 3) as pool, count_if(p.label > 0) as pred, count_if(g.label > 0) as ref, 2.0 * count_if(p.label = 3 and g.label = 3) / nullif(count_if(p.label = 3) + count_if(g.label = 3), 0) as dice from vox_pred p join vox_gt g on p.case_id = g.case_id and p.frame_tag = g.frame_tag and p.z = g.z and p.y = g.y and p.x = g.x group by p.case_id, p.frame_tag, p.model, p.z"
 WANTED = "select distinct o_custkey % 40 as pid, case o_orderkey % 3 when 0 then 'ED' when 1 then 'ES' else 'frame05' end as tag, cast(case o_orderkey % 3 when 0 then 0 when 1 then 11 else 5 end as int) as idx from orders"
 FILES = "select distinct concat('gt/', case o_orderkey % 6 when 0 then lpad(cast(o_custkey % 40 as string), 3, '0') when 1 then lpad(cast(o_custkey % 40 as string), 3, '0') when 2 then cast(o_custkey % 40 as string) else lpad(cast(o_custkey % 40 as string), 3, '0') end, case o_orderkey % 6 when 0 then '_ED_gt' when 1 then '_frame12_gt' when 2 then '_ES_gt' when 3 then '_frame06_gt' when 4 then '_notes' else '_gt_4d' end, '.nii.gz') as path from orders"
 
 
+def _slices(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of SLICES, counted on packed volumes."""
+    pairs = vol.paired(volumes(spark, d, "vox_pred"), volumes(spark, d, "vox_gt"), KEYS)
+    s = vol.slice_counts(pairs, [*KEYS, "model"], SHAPE, 3).selectExpr(*KEYS, "model", "inline(slices)")
+    return s.selectExpr(*KEYS, "model", "z", "changed", "pool", "pred", "ref", "2e0 * tp / nullif(pool + ref_pool, 0) as dice")
+
+
 def best_slices(spark: SparkSession, d: str) -> DataFrame:
-    return ch.best_slice(sql(spark, d, SLICES), [*KEYS, "model"], ["changed", "pool"])
+    return ch.best_slice(_slices(spark, d), [*KEYS, "model"], ["changed", "pool"])
 
 
 def ground_truths(spark: SparkSession, d: str) -> DataFrame:
@@ -46,22 +56,22 @@ def variants(spark: SparkSession, d: str) -> DataFrame:
 
 def _thirds(spark: SparkSession, d: str) -> DataFrame:
     third = F.when(F.col("z") == 1, "base").when(F.col("z") == 2, "mid").when(F.col("z") == 3, "apex")
-    return sql(spark, d, SLICES).filter("model = 'model_c' and frame_tag = 'ED'").withColumn("third", third)
+    return _slices(spark, d).filter("model = 'model_c' and frame_tag = 'ED'").withColumn("third", third)
 
 
 def examples(spark: SparkSession, d: str) -> DataFrame:
     worst = ch.worst_apex(_thirds(spark, d), "case_id", 0.7).select(F.lit("apex").alias("example"), "case_id", F.round("dice", 6).alias("value"))
-    off = ch.most_off_heart(sql(spark, d, SLICES).filter("model = 'model_b'"), "case_id").select(F.lit("off_heart"), "case_id", F.round("share", 6))
+    off = ch.most_off_heart(_slices(spark, d).filter("model = 'model_b'"), "case_id").select(F.lit("off_heart"), "case_id", F.round("share", 6))
     return worst.union(off)
 
 
-def _box(spark: SparkSession, d: str) -> DataFrame:
-    """A crop of 3 x 8 x 8 around each heart."""
-    b = view(spark, d, "vox_gt").filter("label > 0").groupBy(*KEYS).agg(*(x for c in "zyx" for x in (F.min(c).alias(f"{c}lo"), (F.max(c) + 1).alias(f"{c}hi"))))
+def _box(spark: SparkSession, d: str, *also: str) -> DataFrame:
+    """A crop of 3 x 8 x 8 around each heart, with the columns `also` of its volume."""
+    b = vol.boxes(volumes(spark, d, "vox_gt"), [*KEYS, *also], SHAPE)
     for c, size, limit in (("z", 3, Z), ("y", 8, Y), ("x", 8, X)):
         start, end, _, _ = ch.centre_bounds(F.col(f"{c}lo"), F.col(f"{c}hi"), size, limit)
         b = b.withColumn(f"{c}0", start).withColumn(f"{c}1", end)
-    return b.select(*KEYS, *(f"{c}{i}" for c in "zyx" for i in (0, 1)))
+    return b.select(*KEYS, *also, *(f"{c}{i}" for c in "zyx" for i in (0, 1)))
 
 
 def crop_bounds(spark: SparkSession, d: str) -> DataFrame:
@@ -70,15 +80,14 @@ def crop_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 def pad_bounds(spark: SparkSession, d: str) -> DataFrame:
     """Bounds and padding of a 15 x 16 x 9 patch in these grids, from the x extent of each heart."""
-    b = view(spark, d, "vox_gt").filter("label > 0").groupBy(*KEYS).agg(F.min("x").alias("lo"), (F.max("x") + 1).alias("hi"))
+    b = vol.boxes(volumes(spark, d, "vox_gt"), KEYS, SHAPE).select(*KEYS, F.col("xlo").alias("lo"), F.col("xhi").alias("hi"))
     y, x = ch.centre_bounds(F.col("lo"), F.col("hi"), 17, Y), ch.centre_bounds(F.col("lo"), F.col("hi"), 9, X)
     return b.select(*KEYS, y[2].alias("y_before"), y[3].alias("y_after"), x[0].cast("int").alias("x_from"), x[1].cast("int").alias("x_to"))
 
 
 def pasted(spark: SparkSession, d: str) -> DataFrame:
-    box, grid = _box(spark, d), view(spark, d, "vox_gt")
-    back = ch.pasted(ch.cropped(grid, box, KEYS), box, grid, KEYS)
-    return back.groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    back = vol.pasted(_box(spark, d, "labels").filter("case_id is not null"), KEYS, SHAPE)
+    return vol.voxels_by_label(back, KEYS, SHAPE, [0, 1, 2, 3])
 
 
 def nonzero(spark: SparkSession, d: str) -> DataFrame:
@@ -89,11 +98,12 @@ def nonzero(spark: SparkSession, d: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
-    return ch.region_labels(view(spark, d, "vox_prob"), KEYS, [1, 3, 2], 50.0).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    labels = im.region_labels(probabilities(spark, d), KEYS, SHAPE, FOLDS, list(range(CLASSES)), [1, 3, 2], 50.0)
+    return vol.voxels_by_label(labels, KEYS, SHAPE, [0, 1, 2, 3])
 
 
 def reference_scaled(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(ch.scaled_to_reference(view(spark, d, "vox_img"), KEYS, 3).groupBy(*KEYS, "label").agg(F.avg("intensity").alias("mean")))
+    return _rounded(im.label_means(images(spark, d).filter("case_id is not null"), KEYS, SHAPE, [0, 1, 2, 3], im.to_reference(3)))
 
 
 def info_problems(spark: SparkSession, d: str) -> DataFrame:

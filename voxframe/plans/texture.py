@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import images as im
 from ..operators import labels as lb
 from ..operators import resample as rs
 from ..operators import texture as tx
 from ..operators import volumes as vol
-from ..tables import X, Y, Z, view, volumes
+from ..tables import X, Y, Z, images, view, volumes
 
 KEYS = ["case_id", "frame_tag"]
 SPACING = (10.0, 1.25, 1.25)
@@ -44,16 +45,17 @@ def shape(spark: SparkSession, d: str) -> DataFrame:
 
 
 def normalised(spark: SparkSession, d: str) -> DataFrame:
-    i = tx.scaled(view(spark, d, "vox_img"), KEYS, scale=100.0, outliers=1.5)
-    return i.groupBy(*KEYS, "label").agg(F.round(F.avg("intensity"), 4).alias("mean"))
+    means = im.label_means(images(spark, d).filter("case_id is not null"), KEYS, SOURCE.size, [0, 1, 2, 3], im.deviations(100.0, 1.5))
+    return means.withColumn("mean", F.round("mean", 4))
 
 
 def nearest_labels(spark: SparkSession, d: str) -> DataFrame:
-    return rs.resample_labels(view(spark, d, "vox_gt"), KEYS, SOURCE, TARGET)
+    return rs.unfolded(rs.nearest(volumes(spark, d, "vox_gt"), KEYS, SOURCE, TARGET), KEYS, TARGET, "label")
 
 
 def linear(spark: SparkSession, d: str) -> DataFrame:
-    return rs.resample_linear(view(spark, d, "vox_img"), KEYS, SOURCE, TARGET).withColumn("intensity", F.round("intensity", 6))
+    out = rs.unfolded(rs.linear(images(spark, d), KEYS, SOURCE, TARGET), KEYS, TARGET, "intensity")
+    return out.withColumn("intensity", F.round("intensity", 6))
 
 
 def canonical_labels(spark: SparkSession, d: str) -> DataFrame:

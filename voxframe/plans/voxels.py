@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import images as im
 from ..operators import neighbours as nb
 from ..operators import overlap
 from ..operators import volumes as vol
-from ..tables import X, Y, Z, slices, stored, view
+from ..tables import X, Y, Z, images, slices, stored, view
 from ..tables import volumes as packed
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
@@ -149,9 +150,8 @@ def thickness(spark: SparkSession, d: str) -> DataFrame:
 
 
 def image_reference(spark: SparkSession, d: str) -> DataFrame:
-    i = view(spark, d, "vox_img")
-    pool = i.groupBy(*KEYS).agg(F.avg(F.when(F.col("label") == 3, F.col("intensity"))).alias("pool"))
-    return i.join(pool, KEYS).groupBy(*KEYS, "label").agg(F.round(F.avg(100 * F.col("intensity") / F.col("pool")), 6).alias("mean"))
+    means = im.label_means(images(spark, d).filter("case_id is not null"), KEYS, SHAPE, [0, 1, 2, 3], im.to_reference(3, strict=False))
+    return means.withColumn("mean", F.round("mean", 6))
 
 
 def firstorder(spark: SparkSession, d: str) -> DataFrame:
@@ -162,10 +162,8 @@ def firstorder(spark: SparkSession, d: str) -> DataFrame:
 
 
 def zscore(spark: SparkSession, d: str) -> DataFrame:
-    i = view(spark, d, "vox_img")
-    s = i.filter("label > 0").groupBy(*KEYS).agg(F.avg("intensity").alias("m"), F.stddev_pop("intensity").alias("s"))
-    z = F.when(F.col("label") > 0, (F.col("intensity") - F.col("m")) / (F.col("s") + 1e-8)).otherwise(0.0)
-    return i.join(s, KEYS).groupBy(*KEYS, "z").agg(F.round(F.sum(z), 4).alias("total"))
+    out = im.heart_deviations(images(spark, d).filter("case_id is not null"), KEYS, SHAPE)
+    return out.withColumn("total", F.round("total", 4))
 
 
 QUERIES = {
