@@ -212,10 +212,18 @@ def decide(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], clas
     groups = groups.unionByName(lone.crossJoin(groups.select(*by).distinct()) if by else lone)
     rows = groups.withColumn("label", F.explode(F.array(*map(F.lit, classes)))).join(sums, [*group, "label"], "left").join(theirs, [*keys, "label"], "left")
 
+    return decided(rows.withColumnRenamed("_r", "r"), classes, eps)
+
+
+def decided(sums: DataFrame, classes: list[int], eps: float = 0.0) -> DataFrame:
+    """The rows of `decide` from sums of every group and class: label, size and hits as they are (raw) and with what either step keeps
+    (whole, each_raw, each_whole), and `r`, the class's voxels in the reference."""
+    from pyspark.sql import Window
+
     def n(name: str):
         return F.coalesce(name, F.lit(0))
 
-    dice = rows.groupBy("label").agg(*(F.avg(2.0 * n(f"hits_{k}") / F.nullif(n(f"size_{k}") + n("_r"), F.lit(0))).alias(k) for k in kept))
+    dice = sums.groupBy("label").agg(*(F.avg(2.0 * n(f"hits_{k}") / F.nullif(n(f"size_{k}") + n("r"), F.lit(0))).alias(k) for k in ("raw", "whole", "each_raw", "each_whole")))
     all_ = Window.partitionBy(F.lit(1))  # a row for each class
     good = F.coalesce(F.bool_or(F.col("whole") > F.col("raw") + eps).over(all_), F.lit(False)) & ~F.coalesce(F.bool_or(F.col("whole") < F.col("raw")).over(all_), F.lit(False))
     d = dice.withColumn("good", good)
@@ -229,11 +237,16 @@ def decide(pred: DataFrame, ref: DataFrame, keys: list[str], by: list[str], clas
 
 def apply_decision(pred: DataFrame, keys: list[str], decision: list[tuple]) -> DataFrame:
     """The labels after the cleaning that a saved decision, rows as those of `decide`, accepts; `keys` are those of a whole mask."""
-    out = largest_foreground(pred, keys) if any(step == "all" and ok for step, _, _, _, ok in decision) else pred.filter("label > 0")
-    classes = [k for step, k, _, _, ok in decision if step == "label" and ok]
+    whole, classes = accepted(decision)
+    out = largest_foreground(pred, keys) if whole else pred.filter("label > 0")
     return largest_by_label(out, keys, classes) if classes else out
 
 
+def accepted(decision: list[tuple]) -> tuple[bool, list[int]]:
+    """Whether a decision accepts the step on all labels, and the classes of the step on single ones that it accepts."""
+    return any(step == "all" and ok for step, _, _, _, ok in decision), [k for step, k, _, _, ok in decision if step == "label" and ok]
+
+
 def known_wall(labels: DataFrame, keys: list[str], wall: int) -> DataFrame:
     """Groups whose wall label is known and that have two more: renamed to 1, 2 (wall) and 3 (cavity).
 
