@@ -11,7 +11,7 @@ from ..operators import frames as fr
 from ..operators import images as im
 from ..operators import volumes as vol
 from ..sources import files
-from ..tables import CLASSES, FOLDS, X, Y, Z, images, probabilities, sql, view, volumes
+from ..tables import CLASSES, FOLDS, X, Y, Z, images, probabilities, sql, volumes
 from .records import TAGS
 from .scores import _rounded
 
@@ -92,9 +92,8 @@ def pasted(spark: SparkSession, d: str) -> DataFrame:
 
 def nonzero(spark: SparkSession, d: str) -> DataFrame:
     """Images whose air is 0, with a dark ring around a hole, cropped to what isn't air."""
-    i = view(spark, d, "vox_img").withColumn("intensity", F.expr("case when label = 0 then 0e0 when label = 3 and case_id % 2 = 0 then 0e0 else intensity end"))
-    out = ch.crop_to_nonzero(i, KEYS)
-    return out.groupBy(*KEYS).agg(F.count("*").alias("voxels"), F.count_if("inside").alias("inside"), F.count_if(F.col("label") == -1).alias("outside"), F.max("x").alias("x_top"))
+    names = F.array(*map(F.lit, (0, 1, 2)), F.when(F.col("case_id") % 2 == 0, 0).otherwise(3))
+    return im.crop_to_nonzero(im.without_air(images(spark, d), KEYS, SHAPE, names), KEYS, SHAPE)
 
 
 def regions(spark: SparkSession, d: str) -> DataFrame:
