@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import images as im
 from ..operators import volumes as vol
-from ..tables import X, Y, Z, images, sql, volumes
+from ..tables import CLASSES, FOLDS, X, Y, Z, images, probabilities, sql, volumes
 from . import texts
 
 KEYS = ["case_id", "frame_tag"]
@@ -53,5 +53,16 @@ def shown(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*KEYS, "label", F.round("mean", 6).alias("shown"))
 
 
-QUERIES = {"A27_off_heart": _on_slices("A27_off_heart"), "A29_dice_by_third": dice_by_third, "A52_display_range": shown, "J09_three_way": three_way, "W18_best_slice": _on_slices("W18_best_slice"), "W19_examples": _on_slices("W19_examples")}
+def stability(spark: SparkSession, d: str) -> DataFrame:
+    return im.stability(probabilities(spark, d), KEYS, SHAPE, FOLDS, CLASSES, 4, 8).withColumn("score", F.round("score", 6))
+
+
+def soft_argmax(spark: SparkSession, d: str) -> DataFrame:
+    """Of a case without a key, whose probabilities are unknown, the places are null."""
+    rows = im.soft_argmax(probabilities(spark, d), KEYS, SHAPE, FOLDS, CLASSES, 0.2).selectExpr(*KEYS, "posexplode(places) as (_at, p)")
+    known = [f"case when case_id is not null then {v} end as {n}" for n, v in (("soft_y", "round(p.soft_y, 6)"), ("soft_x", "round(p.soft_x, 6)"), ("hard", "p.hard"))]
+    return rows.selectExpr(*KEYS, f"cast(_at div {FOLDS * CLASSES} as int) as z", f"cast(_at div {CLASSES} % {FOLDS} as int) as fold", f"_at % {CLASSES} as class", *known)
+
+
+QUERIES = {"A27_off_heart": _on_slices("A27_off_heart"), "A29_dice_by_third": dice_by_third, "A52_display_range": shown, "J09_three_way": three_way, "W18_best_slice": _on_slices("W18_best_slice"), "W19_examples": _on_slices("W19_examples"), "V34_stability": stability, "V35_soft_argmax": soft_argmax}
 ORACLES: dict[str, str] = {}
