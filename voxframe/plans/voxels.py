@@ -9,7 +9,7 @@ from ..operators import images as im
 from ..operators import neighbours as nb
 from ..operators import overlap
 from ..operators import volumes as vol
-from ..tables import X, Y, Z, images, slices, stored, view
+from ..tables import CLASSES, FOLDS, X, Y, Z, images, probabilities, slices, stored, view
 from ..tables import volumes as packed
 
 KEYS, MODEL = ["case_id", "frame_tag"], ["model"]
@@ -83,7 +83,7 @@ def majority(votes: DataFrame, keys: list[str], labels: list[int]) -> DataFrame:
 
 
 def probability_vote(spark: SparkSession, d: str) -> DataFrame:
-    return likeliest(view(spark, d, "vox_prob"), KEYS, [0, 1, 2, 3]).groupBy(*KEYS, "label").agg(F.count("*").alias("n"))
+    return im.likeliest(probabilities(spark, d), KEYS, SHAPE, FOLDS, CLASSES)
 
 
 def likeliest(folds: DataFrame, keys: list[str], classes: list[int]) -> DataFrame:
