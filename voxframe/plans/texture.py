@@ -37,7 +37,7 @@ def equal_bins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def glcm(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(tx.glcm_features(tx.discretised(_wall(spark, d), KEYS, width=WIDTH), KEYS))
+    return _rounded(im.glcm_features(images(spark, d), KEYS, SOURCE.size, 2, WIDTH))
 
 
 def shape(spark: SparkSession, d: str) -> DataFrame:
