@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import inference as inf
 from ..sources import files
-from ..streaming.scores import score_stream
-from ..tables import X, Y, Z, sql, view
+from ..streaming.scores import score_slices
+from ..tables import X, Y, Z, _parts, sql, view, volumes
 
 LONG = "select patient_id, model, structure, round(avg(dice), 4) as dice from (select patient_id, model, 'rv' as structure, dice_rv as dice from frame_metrics union all select patient_id, model, 'myo', dice_myo from frame_metrics union all select patient_id, model, 'lv', dice_lv from frame_metrics) t group by patient_id, model, structure"
 # the same scores; noise of the order of summation, which would move means that lie halfway, is cut off first
@@ -50,12 +50,14 @@ def volume_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, d: str) -> DataFrame:
-    """Mask rows of all frames arrive as files in turn."""
+    """Slices of all frames arrive as files in turn: those of a frame in different ones."""
     at = files.shared_folder(spark, "stream")
-    rows = view(spark, d, "vox_pred")
-    rows.repartition(6, "z", "y").write.parquet(f"{at}/rows")
-    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{at}/rows")
-    score_stream(source, view(spark, d, "vox_gt"), ["case_id", "frame_tag"], ["model"], 3, Z * Y * X, f"{at}/scores", f"{at}/checkpoint")
+    rows = volumes(spark, d, "vox_pred").selectExpr("case_id", "model", "frame_tag", "explode(sequence(0, %d)) as z" % (Z - 1), "labels")
+    rows = rows.withColumn("labels", F.expr(f"substring(labels, 1 + z * {Y * X}, {Y * X})"))
+    rows.repartition(_parts(spark), "z", F.expr("case_id % 16")).write.parquet(f"{at}/rows")
+    # two batches or so, however many files there are
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, _parts(spark) // 2)).parquet(f"{at}/rows")
+    score_slices(source, volumes(spark, d, "vox_gt"), ["case_id", "frame_tag"], ["model"], 3, (Z, Y, X), f"{at}/scores", f"{at}/checkpoint")
     scores = spark.read.parquet(f"{at}/scores")
     return scores.groupBy("model").agg(F.count("*").alias("frames"), F.round(F.avg("dice"), 6).alias("dice"))
 
